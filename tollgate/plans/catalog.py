@@ -101,7 +101,8 @@ def q_encoded_roundtrip(spark, sf_dir):
 
 
 def q_normalised_cdr(spark, sf_dir):
-    return _comparable_cdr(normalised_over_wire(_tb(spark, sf_dir).raw_messages()))
+    topic = scratch_path(spark, "valid-topic")
+    return _comparable_cdr(normalised_over_wire(_tb(spark, sf_dir).raw_messages(), topic))
 
 
 # ---------------------------------------------------------------------------

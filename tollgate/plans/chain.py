@@ -56,10 +56,20 @@ def mediated_from_messages(messages: DataFrame) -> DataFrame:
     return mediate(decode(messages, RAW_CDR))
 
 
-def normalised_over_wire(messages: DataFrame) -> DataFrame:
-    """Both hops with the JSON wire format between them."""
+def normalised_over_wire(messages: DataFrame, topic_path: str) -> DataFrame:
+    """Both hops with the JSON wire format between them, as two jobs linked
+    by a topic: hop 1 writes the valid records as JSON messages (one per
+    line) to ``topic_path``; hop 2 reads and decodes them.
+
+    The written topic is also what keeps the plans apart: decoding an
+    in-plan ``encode`` would let the optimizer inline the first hop's
+    expressions into every field of the second (hundreds of JSON parses per
+    row), so the hops are never fused into one plan.
+    """
     valid, _ = split(mediated_from_messages(messages))
-    return normalise(decode(encode(valid), MEDIATED_CDR))
+    encode(valid).select("value").write.mode("overwrite").text(topic_path)
+    topic = messages.sparkSession.read.text(topic_path)
+    return normalise(decode(topic, MEDIATED_CDR))
 
 
 def normalised_direct(raw: DataFrame) -> DataFrame:

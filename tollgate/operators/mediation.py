@@ -36,8 +36,14 @@ def decode(
     cols = [F.col(c) for c in keep]
     if keep_raw:
         cols.append(text.alias("raw_value"))
-    parsed = F.from_json(text, schema).alias("d")
-    return df.select(*cols, parsed).select(*keep, *(["raw_value"] if keep_raw else []), "d.*")
+    # The struct is flattened by a generator over a one-element array rather
+    # than by ``select("d.*")``.  With a projection, a later filter on a
+    # decoded field (validation, the valid/invalid split) is pushed below it
+    # with ``from_json`` substituted into the condition, so each message
+    # would be parsed once per referenced field.  A filter on generator
+    # output stays above the generator: one parse per message.  A null struct
+    # (empty or null message) becomes a row of nulls, as ``d.*`` gives.
+    return df.select(*cols, F.inline(F.array(F.from_json(text, schema))))
 
 
 def unify(raw: DataFrame) -> DataFrame:

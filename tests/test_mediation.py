@@ -112,3 +112,25 @@ def test_encode_leaves_out_nulls_and_round_trips(spark):
     assert dict(back.schema.fields[6].jsonValue())["type"] == "long"
     r = back.collect()[0]
     assert (r.msisdn, r.peer_id, r.duration, r.status) == ("212660000001", None, 60, "valid")
+
+
+def test_strict_rules_are_opt_in(spark):
+    texts = [
+        json.dumps(_voice()),                                   # valid under every rule
+        json.dumps(_voice(duration=-60)),                       # negative_usage
+        json.dumps(_voice(callee=None)),                        # missing_peer
+        json.dumps(_voice(record_type="other")),                # unknown_type
+        json.dumps(_voice(timestamp="bad")),                    # bad_timestamp
+        json.dumps(_voice(caller="ABC123XYZ")),                 # not_a_customer
+        json.dumps(_voice(caller="999123")),                    # default rule still applies
+    ]
+    raw = decode(_messages(spark, texts), RAW_CDR)
+    assert [r.is_valid for r in mediate(raw).collect()] == [True] * 6 + [False]
+    strict = [r.is_valid for r in mediate(raw, reject=("negative_usage", "missing_peer", "unknown_type",
+                                                        "bad_timestamp", "not_a_customer")).collect()]
+    assert strict == [True] + [False] * 6
+    only_peer = [r.is_valid for r in mediate(raw, reject=("missing_peer",)).collect()]
+    assert only_peer == [True, True, False, True, True, True, False]
+    import pytest
+    with pytest.raises(ValueError):
+        mediate(raw, reject=("no_such_rule",))

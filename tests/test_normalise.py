@@ -57,3 +57,18 @@ def test_with_month_partition_column(spark):
     rows = [("voice", "2025-06-30T23:59:59Z", None, None, "212660000001", None, 1, None, "valid")]
     out = normalise(_med(spark, rows), with_month=True).collect()[0]
     assert out.year_month == "2025-06"
+
+
+def test_observation_counts_dropped_rows(spark):
+    from pyspark.sql import Observation
+
+    rows = [
+        ("voice", "2025-06-11T17:47:18Z", "C", "4G", "212660000001", "212660000002", 60, None, "valid"),
+        ("voice", "2025-06-11T17:47:18Z", "C", "4G", "ABC123XYZ", "212660000002", 60, None, "valid"),
+        ("sms", "2025-06-11T17:47:18Z", "C", "4G", "2126600000011", None, 0, None, "valid"),
+        ("sms", "2025-06-11T17:47:18Z", "C", "4G", "212660000001", None, 0, None, "error"),
+    ]
+    obs = Observation("normalise")
+    out = normalise(_med(spark, rows), observe=obs)
+    assert out.count() == 1
+    assert obs.get == {"valid_rows": 3, "dropped_rows": 2}

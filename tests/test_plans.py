@@ -18,7 +18,7 @@ def _formatted(df):
 
 
 def test_rating_and_billing_share_one_clustering(spark):
-    tb = Testbed(spark, SF_SMALL)
+    tb = Testbed(spark, SF_SMALL, spread_input=False)  # the plan of a many-split input
     _, bills = rate_and_bill(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
     text = _formatted(bills)
     # one exchange for the usage pre-aggregation, one repartition by customer_id;
@@ -31,7 +31,7 @@ def test_rating_and_billing_share_one_clustering(spark):
 
 
 def test_scan_prunes_columns(spark):
-    tb = Testbed(spark, SF_SMALL)
+    tb = Testbed(spark, SF_SMALL, spread_input=False)  # the plan of a many-split input
     _, bills = rate_and_bill(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
     text = _formatted(bills)
     schemas = re.findall(r"ReadSchema: (struct<[^\n]*>)", text)
@@ -66,3 +66,15 @@ def test_split_parses_each_message_once(spark):
         # one for the testbed's props, one for the raw message: the split's
         # filter is not pushed below the decode
         assert plan.count("from_json(") == 2, plan
+
+
+def test_spread_only_when_input_is_narrower_than_the_cores(spark, tmp_dir):
+    from tollgate.sources.files import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert one.rdd.getNumPartitions() < cores
+    assert spread(one, "event_id").rdd.getNumPartitions() == cores
+    spark.range(0, 1000, numPartitions=cores).write.parquet(f"{tmp_dir}/wide")
+    wide = spark.read.parquet(f"{tmp_dir}/wide")
+    assert spread(wide, "id") is wide  # already as wide as the cluster: no shuffle

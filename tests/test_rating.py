@@ -137,3 +137,18 @@ def test_bill_plan_pick(spark):
     assert b.rate_plan_id == "RP1" and b.total_amount == 3.0 and b.num_services == 2
     with pytest.raises(ValueError):
         bill_monthly(rated, plan_pick="max")
+
+
+def test_decimal_pricing_is_exact(spark):
+    from decimal import Decimal
+
+    cdr = [("data", "+1", 0, 122.93, T), ("data", "+1", 0, 100.0, T), ("voice", "+2", 2632, 0.0, T),
+           ("other", "+2", 5, 0.0, T)]
+    cust = [("+1", "RP1", "active"), ("+2", "RP2", "active")]
+    r = _rated(spark, cdr, cust, decimal=True)
+    data = r[("+1", "data", "2025-06")]
+    assert data.billable_units == Decimal("122.930000") and data.cost == Decimal("6.146500")
+    assert r[("+2", "voice", "2025-06")].cost == Decimal("21.056000")
+    assert r[("+2", "other", "2025-06")].cost is None
+    floats = _rated(spark, cdr, cust)
+    assert abs(floats[("+1", "data", "2025-06")].cost - 6.1465) < 1e-9

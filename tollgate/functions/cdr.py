@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the source system's for identical results)
@@ -22,6 +23,8 @@ TEST_NUMBER_PREFIX = "999"
 CUSTOMER_ID_PREFIX = "+"
 MONTH_FORMAT = "yyyy-MM"
 VOICE, SMS, DATA = "voice", "sms", "data"
+# Exact money type of the opt-in decimal pricing.
+MONEY_EXACT = DecimalType(38, 6)
 
 
 def _c(c: str | Column) -> Column:
@@ -54,6 +57,49 @@ def is_valid(msisdn: str | Column = "msisdn", record_type: str | Column = "recor
     )
 
 
+# Opt-in rejection rules beyond the three default ones (``validate(...,
+# reject=...)``).  Each is true for a record to reject; the default
+# validation keeps all of these records.
+def _negative_usage() -> Column:
+    return (F.col("duration") < 0) | (F.col("volume_mb") < 0)
+
+
+def _missing_peer() -> Column:
+    return F.col("record_type").isin(VOICE, SMS) & F.col("peer_id").isNull()
+
+
+def _unknown_type() -> Column:
+    return ~F.col("record_type").isin(VOICE, SMS, DATA)
+
+
+def _bad_timestamp() -> Column:
+    return event_time("timestamp").isNull()
+
+
+def _not_a_customer() -> Column:
+    return customer_id_of("msisdn").isNull()
+
+
+STRICT_RULES = {
+    "negative_usage": _negative_usage,
+    "missing_peer": _missing_peer,
+    "unknown_type": _unknown_type,
+    "bad_timestamp": _bad_timestamp,
+    "not_a_customer": _not_a_customer,
+}
+
+
+def is_valid_strict(reject=tuple(STRICT_RULES)) -> Column:
+    """:func:`is_valid` and none of the named ``STRICT_RULES``; never null."""
+    unknown = set(reject) - set(STRICT_RULES)
+    if unknown:
+        raise ValueError(f"unknown rules {sorted(unknown)}")
+    cond = is_valid()
+    for name in reject:
+        cond = cond & ~F.coalesce(STRICT_RULES[name](), F.lit(False))
+    return cond
+
+
 def customer_id_of(msisdn: str | Column = "msisdn") -> Column:
     """E.164 customer id for a domestic subscriber number, else null."""
     m = _c(msisdn)
@@ -108,3 +154,16 @@ def billable_units(total: str | Column = "total_consumption_units", free: str |
     """Units above the allowance; 0 when within it or when no allowance is known."""
     t, f = _c(total), _c(free)
     return F.when(t > f, t - f).otherwise(F.lit(0)).cast("double")
+
+
+def money(c: str | Column) -> Column:
+    """``c`` as exact money, ``decimal(38, 6)``."""
+    return _c(c).cast(MONEY_EXACT)
+
+
+def billable_units_exact(
+    total: str | Column = "total_consumption_units", free: str | Column = "free_units"
+) -> Column:
+    """:func:`billable_units` in ``decimal(38, 6)``."""
+    t, f = money(total), money(free)
+    return money(F.when(t > f, t - f).otherwise(F.lit(0)))

@@ -60,14 +60,22 @@ def unify(raw: DataFrame) -> DataFrame:
     )
 
 
-def validate(unified: DataFrame) -> DataFrame:
-    """Add the non-null ``is_valid`` flag."""
-    return unified.withColumn("is_valid", X.is_valid())
+def validate(unified: DataFrame, reject: tuple[str, ...] = ()) -> DataFrame:
+    """Add the non-null ``is_valid`` flag.
+
+    The default flags a record invalid for a missing subscriber, a test
+    number or a missing type, as the source system does.  ``reject`` names
+    further rules of ``functions.cdr.STRICT_RULES`` (negative usage, missing
+    peer, unknown type, bad timestamp, non-customer number) to send such
+    records to the invalid side as well.
+    """
+    flag = X.is_valid_strict(reject) if reject else X.is_valid()
+    return unified.withColumn("is_valid", flag)
 
 
-def mediate(raw: DataFrame) -> DataFrame:
+def mediate(raw: DataFrame, reject: tuple[str, ...] = ()) -> DataFrame:
     """unify then validate."""
-    return validate(unify(raw))
+    return validate(unify(raw), reject)
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tollgate.functions import cdr as X
 
 
-def normalise(mediated: DataFrame, with_month: bool = False, time_zone: str = "UTC") -> DataFrame:
+def normalise(
+    mediated: DataFrame,
+    with_month: bool = False,
+    time_zone: str = "UTC",
+    observe: str | Observation | None = None,
+) -> DataFrame:
     """Valid mediated records -> ``cdr_records_normalized`` rows.
 
     customer_id is ``+`` and the subscriber number when it is a domestic
@@ -19,6 +24,11 @@ def normalise(mediated: DataFrame, with_month: bool = False, time_zone: str = "U
 
     One projection and one filter (pushed below the projection by Catalyst).
     ``with_month`` appends ``year_month`` for month-partitioned storage.
+
+    ``observe`` (an ``Observation`` in batch, a metric name in a stream)
+    counts, as the rows flow, the valid records (``valid_rows``) and those
+    dropped for not being a customer number (``dropped_rows``); the source
+    system drops them without a trace.
     """
     cols = [
         F.col("record_type").cast("string").alias("record_type"),
@@ -32,7 +42,14 @@ def normalise(mediated: DataFrame, with_month: bool = False, time_zone: str = "U
         F.lit(0).cast("long").alias("session_duration_sec"),
         X.event_time("timestamp").cast("timestamp").alias("timestamp"),
     ]
-    out = mediated.filter(F.col("status") == "valid").select(*cols).filter(F.col("customer_id").isNotNull())
+    out = mediated.filter(F.col("status") == "valid").select(*cols)
+    if observe is not None:
+        out = out.observe(
+            observe,
+            F.count(F.lit(1)).alias("valid_rows"),
+            F.count(F.when(F.col("customer_id").isNull(), 1)).alias("dropped_rows"),
+        )
+    out = out.filter(F.col("customer_id").isNotNull())
     if with_month:
         out = out.withColumn("year_month", X.billing_month("timestamp", time_zone))
     return out

@@ -107,10 +107,15 @@ def price(
     rates: DataFrame,
     broadcast_rates: bool | str = "auto",
     max_rate_rows: int = DEFAULT_BROADCAST_ROWS,
+    decimal: bool = False,
 ) -> DataFrame:
     """Price monthly consumption: billable = units above the free allowance,
     cost = billable x unit price.  A service without a price row keeps its
-    units, gets 0 billable and a null cost (left join)."""
+    units, gets 0 billable and a null cost (left join).
+
+    By default units, billable and cost are doubles, as in the source
+    system.  ``decimal=True`` computes billable and cost in
+    ``decimal(38, 6)`` (exact sums, independent of the summation order)."""
     book = rates.select(
         F.col("rate_plan_id").alias("pr_rate_plan_id"),
         "service_type",
@@ -121,7 +126,12 @@ def price(
         F.col("record_type") == F.col("service_type")
     )
     priced = join_dimension(consumption, book, cond, "left", broadcast_rates, max_rate_rows)
-    billable = X.billable_units("total_consumption_units", "free_units")
+    if decimal:
+        billable = X.billable_units_exact("total_consumption_units", "free_units")
+        cost = X.money(billable * F.col("unit_price"))
+    else:
+        billable = X.billable_units("total_consumption_units", "free_units")
+        cost = (billable * F.col("unit_price")).cast("double")
     return priced.select(
         "customer_id",
         "rate_plan_id",
@@ -131,7 +141,7 @@ def price(
         "free_units",
         billable.alias("billable_units"),
         "unit_price",
-        (billable * F.col("unit_price")).cast("double").alias("cost"),
+        cost.alias("cost"),
     )
 
 
@@ -142,7 +152,8 @@ def rate_monthly(
     time_zone: str = "UTC",
     broadcast_rates: bool | str = "auto",
     broadcast_customers: bool | str = "auto",
+    decimal: bool = False,
 ) -> DataFrame:
     """monthly_consumption then price: rows of ``monthly_rated_usage``."""
     consumption = monthly_consumption(cdr, customers, time_zone, broadcast_customers)
-    return price(consumption, rates, broadcast_rates)
+    return price(consumption, rates, broadcast_rates, decimal=decimal)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tollgate.functions.cdr import utc_wall_clock
 from tollgate.operators import quality as Q
 from tollgate.operators.billing import bill_monthly
-from tollgate.operators.mediation import decode, encode, split
+from tollgate.operators.mediation import decode, encode, mediate, split
+from tollgate.operators.normalise import normalise
 from tollgate.operators.rating import active_customers, cdr_with_plan, monthly_consumption, rate_monthly
 from tollgate.plans import testbed
 from tollgate.plans.chain import (
@@ -26,6 +27,7 @@ from tollgate.plans.chain import (
     normalised_over_wire,
     rate_and_bill,
 )
+from tollgate.plans.stored import bill_stored, rate_stored, store_normalised
 from tollgate.schemas import MEDIATED_CDR, NORMALISED_CDR, RAW_CDR
 from tollgate.session import scratch_path
 from tollgate.sinks.tables import (
@@ -262,6 +264,18 @@ def q_sink_overwrite(spark, sf_dir):
     return _comparable_bills(read_table(spark, path))
 
 
+def q_stored_chain(spark, sf_dir):
+    """Raw records -> month-partitioned normalised table -> rated-usage table
+    (months replaced) -> bills table, each step reading the table before."""
+    tb = _tb(spark, sf_dir)
+    root = scratch_path(spark, "stored-chain")
+    valid, _ = split(mediate(tb.raw_records()))
+    store_normalised(normalise(valid, with_month=True), f"{root}/cdr")
+    rated = rate_stored(spark, f"{root}/cdr", tb.customers(), tb.rates(), f"{root}/rated")
+    bill_stored(rated, f"{root}/bills")
+    return _comparable_bills(read_table(spark, f"{root}/bills"))
+
+
 def q_preview(spark, sf_dir):
     # The preview's order is undefined: a rows-only check.
     return q_monthly_bills(spark, sf_dir).limit(20)
@@ -292,6 +306,7 @@ QUERIES: dict[str, Query] = {
     "sink_append_twice": q_sink_append_twice,
     "sink_month_replaced": q_sink_month_replaced,
     "sink_overwrite": q_sink_overwrite,
+    "stored_chain": q_stored_chain,
     "preview": q_preview,
 }
 
@@ -482,4 +497,5 @@ SELECT * FROM valid UNION ALL SELECT * FROM invalid""",
     "sink_append_twice": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=" * 2"),
     "sink_month_replaced": f"WITH {_RATED} {_RATED_SELECT}",
     "sink_overwrite": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
+    "stored_chain": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
 }

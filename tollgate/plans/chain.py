@@ -18,6 +18,7 @@ from tollgate.operators.normalise import normalise
 from tollgate.operators.rating import rate_monthly
 from tollgate.plans import testbed
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
+from tollgate.sources.files import spread
 from tollgate.sources.reference import product_rates
 
 
@@ -27,6 +28,9 @@ class Testbed:
 
     spark: SparkSession
     sf_dir: str
+    # Spread a record input that arrives in fewer partitions than cores
+    # (see ``sources.files.spread``); a no-op on inputs with many splits.
+    spread_input: bool = True
     _cache: dict = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
@@ -36,7 +40,8 @@ class Testbed:
 
     @property
     def events(self) -> DataFrame:
-        return self.table("events")
+        events = self.table("events")
+        return spread(events, "event_id") if self.spread_input else events
 
     def raw_messages(self) -> DataFrame:
         return testbed.raw_messages(self.events)

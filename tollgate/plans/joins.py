@@ -14,12 +14,28 @@ DEFAULT_BROADCAST_ROWS = 100_000
 CUSTOMER_BROADCAST_ROWS = 1_000_000
 
 
+def _local_row_count(df: DataFrame) -> int | None:
+    """Exact row count of a frame whose optimized plan is rows held in the
+    plan itself (``createDataFrame`` of a list, ``VALUES``), else None."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if plan.getClass().getSimpleName() == "LocalRelation":
+            return int(plan.data().size())
+    except Exception:  # noqa: BLE001 - e.g. a remote session: fall back to counting
+        pass
+    return None
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so it stays cheap however large the
-    frame turns out to be.
+    Rows held in the plan are counted without a job; otherwise a job reads
+    at most ``max_rows + 1`` rows, so it stays cheap however large the frame
+    turns out to be.
     """
+    local = _local_row_count(df)
+    if local is not None:
+        return local <= max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 

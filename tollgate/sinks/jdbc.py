@@ -8,6 +8,9 @@ Credentials come from ``properties`` supplied by the caller.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BATCH_ID = "batch_id"
 
 
 def jdbc_write_options(
@@ -27,3 +30,57 @@ def jdbc_write_options(
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **kwargs) -> None:
     df.write.format("jdbc").options(**jdbc_write_options(url, table, **kwargs)).mode(mode).save()
+
+
+def _written_keys(spark, url: str, table: str, properties: dict[str, str] | None, keys: list[str], batch_id: int):
+    """Keys of the rows of ``batch_id`` already in ``table`` (the filter is
+    pushed to the database), or None when the table does not exist yet."""
+    from tollgate.sources.jdbc import read_jdbc
+
+    try:
+        existing = read_jdbc(spark, url, table, properties=properties)
+    except Exception:  # noqa: BLE001 - no table yet: nothing written
+        return None
+    return existing.filter(F.col(BATCH_ID) == batch_id).select(*keys).distinct()
+
+
+def jdbc_batch_writer(
+    url: str,
+    table: str,
+    properties: dict[str, str] | None = None,
+    key_columns: tuple[str, ...] = (),
+    on_error: str = "raise",
+    skip_empty: bool = True,
+):
+    """``foreachBatch`` callback appending each micro-batch to a JDBC table.
+
+    Without ``key_columns`` delivery is at-least-once: a replayed batch is
+    appended again.  With ``key_columns`` that identify a message (the
+    source's topic, partition and offset, kept by ``decode(keep=...)``), rows
+    also carry ``batch_id``; before appending, the keys of this batch already
+    in the table are read back and anti-joined, so a replay of a batch that
+    failed half-way adds only its missing rows: exactly-once contents.
+
+    ``on_error="skip"`` logs and drops a failed batch (the source system's
+    behaviour); the default raises so the query stops and replays it.
+    """
+    keys = list(key_columns)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if skip_empty and batch.isEmpty():
+            return
+        try:
+            rows = batch
+            if keys:
+                rows = batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+                done = _written_keys(batch.sparkSession, url, table, properties, keys, batch_id)
+                if done is not None:
+                    rows = rows.join(done, keys, "left_anti")
+            write_jdbc(rows, url, table, mode="append", properties=properties)
+        except Exception as exc:  # noqa: BLE001 - policy decides
+            if on_error == "skip":
+                print(f"batch {batch_id} dropped: {exc}")
+                return
+            raise
+
+    return write

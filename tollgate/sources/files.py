@@ -40,3 +40,16 @@ def message_files(spark: SparkSession, path: str, max_files_per_trigger: int | N
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` across the cluster's cores when it
+    arrives in fewer partitions than there are cores (a small file with a
+    single row group is one task), so the record-level work after it runs in
+    parallel.  A large input already has at least as many splits as cores and
+    is returned unchanged: no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tollgate.schemas import PRODUCT_RATES, PRODUCTS, RATE_PLANS
@@ -43,8 +44,25 @@ PRODUCT_RATES_DEFAULTS = {"free_units": Decimal("0"), "tiered": False}
 
 
 def seed_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
-    """A small literal table with a declared schema (a seed load)."""
-    return spark.createDataFrame(rows, schema)
+    """A small literal table with a declared schema (a seed load): a SQL
+    ``VALUES`` list with bound parameters, cast to the declared types.
+
+    The rows live in the plan itself (a local relation), so their number is
+    known without running a job, and the frame is broadcast for free.
+    """
+    if not rows:
+        return spark.createDataFrame([], schema)
+    args: dict[str, object] = {}
+    tuples = []
+    for i, row in enumerate(rows):
+        names = []
+        for j, value in enumerate(row):
+            args[f"v{i}_{j}"] = value
+            names.append(f":v{i}_{j}")
+        tuples.append(f"({', '.join(names)})")
+    cols = ", ".join(f.name for f in schema.fields)
+    df = spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t({cols})", args=args)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def rate_plans(spark: SparkSession) -> DataFrame:

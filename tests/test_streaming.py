@@ -95,3 +95,19 @@ def test_two_query_variant(spark, tmp_dir):
     qv.awaitTermination()
     qi.awaitTermination()
     assert read_table(spark, f"{tmp_dir}/v").count() == 1 and read_table(spark, f"{tmp_dir}/i").count() == 1
+
+
+def test_store_hop_reports_dropped_rows(spark, tmp_dir):
+    valid = f"{tmp_dir}/valid"
+    med = [json.dumps({"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z", "msisdn": m,
+                       "peer_id": "212660000002", "duration": 5, "status": "valid"})
+           for m in ("212660000001", "ABC123XYZ", "212660000003")]
+    _drop(valid, "a.txt", med)
+    q = run_store(message_files(spark, valid), batch_table_writer(f"{tmp_dir}/norm"), f"{tmp_dir}/ck", NOW,
+                  observe="store_losses")
+    q.awaitTermination()
+    metrics = [p["observedMetrics"]["store_losses"] for p in q.recentProgress
+               if p.get("observedMetrics", {}).get("store_losses")]
+    assert sum(m["valid_rows"] for m in metrics) == 3
+    assert sum(m["dropped_rows"] for m in metrics) == 1
+    assert read_table(spark, f"{tmp_dir}/norm").count() == 2

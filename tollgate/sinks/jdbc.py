@@ -66,17 +66,20 @@ def jdbc_batch_writer(
     """
     keys = list(key_columns)
 
+    def save(batch: DataFrame, batch_id: int) -> None:
+        rows = batch
+        if keys:
+            rows = batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+            done = _written_keys(batch.sparkSession, url, table, properties, keys, batch_id)
+            if done is not None:
+                rows = rows.join(done, keys, "left_anti")
+        write_jdbc(rows, url, table, mode="append", properties=properties)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
-            return
+        from tollgate.sinks.tables import write_batch_once
+
         try:
-            rows = batch
-            if keys:
-                rows = batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
-                done = _written_keys(batch.sparkSession, url, table, properties, keys, batch_id)
-                if done is not None:
-                    rows = rows.join(done, keys, "left_anti")
-            write_jdbc(rows, url, table, mode="append", properties=properties)
+            write_batch_once(batch, lambda b: save(b, batch_id), skip_empty)
         except Exception as exc:  # noqa: BLE001 - policy decides
             if on_error == "skip":
                 print(f"batch {batch_id} dropped: {exc}")

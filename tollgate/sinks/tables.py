@@ -21,6 +21,22 @@ from tollgate.operators.mediation import encode
 BatchSink = Callable[[DataFrame, int], None]
 
 
+def write_batch_once(batch: DataFrame, write: Callable[[DataFrame], None], skip_empty: bool = True) -> None:
+    """Run ``write`` on a micro-batch, skipping it when empty.
+
+    The batch is persisted for the emptiness check and the write, so the
+    source is read once per batch and metrics observed in its plan count
+    each row once.
+    """
+    batch.persist()
+    try:
+        if skip_empty and batch.isEmpty():
+            return
+        write(batch)
+    finally:
+        batch.unpersist()
+
+
 def write_rated(rated: DataFrame, path: str, mode: str = "replace_months") -> None:
     writer = rated.write.partitionBy("year_month")
     if mode == "replace_months":
@@ -56,14 +72,15 @@ def batch_table_writer(
     """
     parts = list(partition_by)
 
+    def save(batch: DataFrame, batch_id: int) -> None:
+        w = batch.write.mode("overwrite")
+        if parts:
+            w = w.partitionBy(*parts)
+        w.parquet(f"{path}/batch_id={batch_id}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
-            return
         try:
-            w = batch.write.mode("overwrite")
-            if parts:
-                w = w.partitionBy(*parts)
-            w.parquet(f"{path}/batch_id={batch_id}")
+            write_batch_once(batch, lambda b: save(b, batch_id), skip_empty)
         except Exception as exc:  # noqa: BLE001 - policy decides
             if on_error == "skip":
                 print(f"batch {batch_id} dropped: {exc}")
@@ -78,9 +95,10 @@ def batch_message_writer(path: str, skip_empty: bool = True) -> BatchSink:
     (one per line) to ``<path>/batch_id=<n>``: a file-backed topic that the
     next hop reads with :func:`tollgate.sources.files.message_files`."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
-            return
+    def save(batch: DataFrame, batch_id: int) -> None:
         encode(batch).select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch_once(batch, lambda b: save(b, batch_id), skip_empty)
+
     return write

@@ -71,8 +71,12 @@ def run_store(
     trigger: dict | None = None,
     value_col: str = "value",
     with_month: bool = False,
+    observe: str | None = None,
 ) -> StreamingQuery:
-    """Start hop 2: valid messages -> normalised rows -> ``sink`` per batch."""
-    rows = normalise(decode(messages, MEDIATED_CDR, value_col), with_month=with_month)
+    """Start hop 2: valid messages -> normalised rows -> ``sink`` per batch.
+
+    ``observe`` names a metric set reported in each batch's progress
+    (``observedMetrics``): valid rows and rows dropped as non-customers."""
+    rows = normalise(decode(messages, MEDIATED_CDR, value_col), with_month=with_month, observe=observe)
     writer = rows.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
     return _start(writer, trigger)

@@ -78,3 +78,21 @@ def test_spread_only_when_input_is_narrower_than_the_cores(spark, tmp_dir):
     spark.range(0, 1000, numPartitions=cores).write.parquet(f"{tmp_dir}/wide")
     wide = spark.read.parquet(f"{tmp_dir}/wide")
     assert spread(wide, "id") is wide  # already as wide as the cluster: no shuffle
+
+
+def test_fk_check_deduplicates_child_keys_before_joining(spark):
+    # With broadcasts off, as for a parent too large to broadcast: the child
+    # keys are deduplicated map-side before their exchange, and the join
+    # reuses that partitioning (no anti join pushed below the distinct).
+    tb = Testbed(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Q.check_fk(tb.table("orders"), tb.table("customer"), ["o_custkey"], ["c_custkey"])
+        text = _formatted(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    tree = text.split("\n\n\n")[0]
+    assert "LeftAnti" not in tree and "SortMergeJoin LeftOuter" in tree
+    # three exchanges: child rows, distinct child keys, distinct parent keys
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 3

@@ -61,11 +61,22 @@ def check_fk(
     cols = list(columns)
     pcols = list(parent_columns) if parent_columns is not None else cols
     keys = child.select(*cols).filter(~check_null_any(cols)).distinct()
-    parent_keys = parent.select(*[F.col(p).alias(c) for p, c in zip(pcols, cols)]).distinct()
-    missing = keys.join(parent_keys, cols, "left_anti")
+    parent_keys = (
+        parent.select(*[F.col(p).alias(c) for p, c in zip(pcols, cols)])
+        .distinct()
+        .withColumn(_FOUND, F.lit(True))
+    )
+    # A left outer join and a null test rather than an anti join: Catalyst
+    # would push an anti join below the ``distinct`` and join every child
+    # key; this way the keys are deduplicated first (map-side) and the join
+    # reuses the deduplication's partitioning.
+    missing = keys.join(parent_keys, cols, "left").filter(F.col(_FOUND).isNull()).drop(_FOUND)
     return child.join(missing, cols, "left_semi")
 
 
+_FOUND = "_parent_found"
+
+
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Add each absent column with its default value.  Columns that exist
     keep their values, explicit nulls included (SQL DEFAULT semantics)."""

@@ -84,6 +84,8 @@ def test_connector_options():
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "raw-cdr",
                  "startingOffsets": "latest", "failOnDataLoss": "true"}
     assert kafka_options("b", "valid-cdr", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+    bounded = kafka_options("b", "raw-cdr", max_offsets_per_trigger=100000, min_partitions=64)
+    assert bounded["maxOffsetsPerTrigger"] == "100000" and bounded["minPartitions"] == "64"
     assert kafka_sink_options("b", "valid-cdr", "/ck")["topic"] == "valid-cdr"
     r = jdbc_read_options("jdbc:x", "customers", {"user": "u"}, partition_column="id",
                           lower_bound=0, upper_bound=100, num_partitions=4)

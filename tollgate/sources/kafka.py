@@ -16,13 +16,23 @@ def kafka_options(
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = True,
     extra: dict[str, str] | None = None,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
+    """Source options.  ``max_offsets_per_trigger`` bounds each micro-batch
+    (the sinks persist a batch while writing it); ``min_partitions`` splits
+    topic partitions into more Spark tasks when the topic has fewer
+    partitions than the cluster has cores."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra or {})
     return opts
 

@@ -152,3 +152,29 @@ def test_decimal_pricing_is_exact(spark):
     assert r[("+2", "other", "2025-06")].cost is None
     floats = _rated(spark, cdr, cust)
     assert abs(floats[("+1", "data", "2025-06")].cost - 6.1465) < 1e-9
+
+
+def test_hot_subscriber_is_pre_aggregated(spark):
+    # One subscriber holds a third of all records.
+    n = 30_000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("+1")).otherwise(F.concat(F.lit("+"), (F.col("id") % 500 + 2).cast("string"))).alias("customer_id"),
+        F.col("id"),
+    )
+    cdr = base.select(
+        F.lit("voice").alias("record_type"), "customer_id", F.lit(None).cast("string").alias("cell_id"),
+        F.lit(None).cast("string").alias("technology"), F.lit(None).cast("string").alias("receiver_id"),
+        F.lit(None).cast("string").alias("callee_id"), (F.col("id") % 7).alias("duration_sec"),
+        F.lit(0.0).alias("data_volume_mb"), F.lit(0).cast("long").alias("session_duration_sec"),
+        F.lit(T).cast("timestamp").alias("timestamp"),
+    )
+    cust = _customers(spark, [("+1", "RP1", "active")] + [(f"+{i}", "RP2", "active") for i in range(2, 502)])
+    cons = monthly_consumption(cdr.repartition(8), cust)
+    plan = cons._jdf.queryExecution().executedPlan().toString()
+    hot = [r for r in cons.collect() if r.customer_id == "+1"]
+    assert len(hot) == 1 and hot[0].total_consumption_units == sum(i % 7 for i in range(0, n, 3))
+    # the exchange on the usage keys carries partial sums (one row per key and
+    # task), never the hot subscriber's raw records
+    import re
+    assert re.search(r"Exchange hashpartitioning\(customer_id#\d+, [^#]+#\d+, [^#]+#\d+, \d+\), ENSURE_REQUIREMENTS"
+                     r"[^\n]*\n[\s:|]*\+- HashAggregate\(keys=\[[^\]]*\], functions=\[partial_sum", plan), plan

@@ -169,3 +169,21 @@ def test_jdbc_batch_writer_error_policy(spark):
     with pytest.raises(Exception):
         jdbc_batch_writer(bad, "T")(batch, 0)
     jdbc_batch_writer(bad, "T", on_error="skip")(batch, 0)  # D25: logged and dropped
+
+
+def test_rerating_through_an_append_only_table(spark):
+    from tollgate.operators.rating import latest_runs, with_run
+    from tollgate.sinks.jdbc import write_jdbc
+    from tollgate.sources.jdbc import read_jdbc
+
+    url = _derby_url()
+    first = spark.createDataFrame(
+        [("+1", "RP1", "voice", "2025-05", 10.0, 0.1), ("+1", "RP1", "voice", "2025-06", 20.0, 0.2),
+         ("+2", "RP2", "sms", None, 1.0, 0.03)],
+        "customer_id string, rate_plan_id string, record_type string, year_month string, "
+        "billable_units double, cost double")
+    write_jdbc(with_run(first, 1), url, "RATED")
+    june_again = first.filter("year_month = '2025-06'").withColumn("cost", F.lit(0.5))
+    write_jdbc(with_run(june_again, 2), url, "RATED")          # re-rate June only
+    latest = {(r.year_month, r.run_id): r.cost for r in latest_runs(read_jdbc(spark, url, "RATED")).collect()}
+    assert latest == {("2025-05", 1): 0.1, ("2025-06", 2): 0.5, (None, 1): 0.03}

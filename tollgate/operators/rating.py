@@ -157,3 +157,26 @@ def rate_monthly(
     """monthly_consumption then price: rows of ``monthly_rated_usage``."""
     consumption = monthly_consumption(cdr, customers, time_zone, broadcast_customers)
     return price(consumption, rates, broadcast_rates, decimal=decimal)
+
+
+RUN_ID = "run_id"
+
+
+def with_run(rated: DataFrame, run_id: int) -> DataFrame:
+    """Tag rated usage with the id of the rating run that produced it (for
+    append-only stores such as JDBC tables, where a month cannot be
+    replaced in place)."""
+    return rated.withColumn(RUN_ID, F.lit(run_id).cast("long"))
+
+
+def latest_runs(rated: DataFrame, run_col: str = RUN_ID) -> DataFrame:
+    """Rows of the latest rating run of each month: re-rating a month by
+    appending a new run supersedes the earlier runs of that month only.
+
+    The latest run per month is one row per month, so it is broadcast
+    behind a row-count check; the rated rows are never shuffled for it.
+    """
+    latest = rated.groupBy("year_month").agg(F.max(run_col).alias("_latest_run"))
+    cond = F.col("year_month").eqNullSafe(F.col("_latest_month")) & (F.col(run_col) == F.col("_latest_run"))
+    latest = latest.withColumnRenamed("year_month", "_latest_month")
+    return join_dimension(rated, latest, cond, "left_semi", max_rows=DEFAULT_BROADCAST_ROWS)

@@ -18,7 +18,14 @@ from tollgate.operators import quality as Q
 from tollgate.operators.billing import bill_monthly
 from tollgate.operators.mediation import decode, encode, mediate, split
 from tollgate.operators.normalise import normalise
-from tollgate.operators.rating import active_customers, cdr_with_plan, monthly_consumption, rate_monthly
+from tollgate.operators.rating import (
+    active_customers,
+    cdr_with_plan,
+    latest_runs,
+    monthly_consumption,
+    rate_monthly,
+    with_run,
+)
 from tollgate.plans import testbed
 from tollgate.plans.chain import (
     Testbed,
@@ -256,6 +263,15 @@ def q_sink_month_replaced(spark, sf_dir):
     return _comparable_rated(read_table(spark, path))
 
 
+def q_sink_rerun_latest(spark, sf_dir):
+    """Two rating runs appended to an append-only store; billing reads the
+    latest run of each month, so the rerun does not double the bills."""
+    rated, path = _rated_and_path(spark, sf_dir, "rated-runs")
+    write_rated(with_run(rated, 1), path, mode="append")
+    write_rated(with_run(rated, 2), path, mode="append")
+    return _comparable_bills(bill_monthly(latest_runs(read_table(spark, path))))
+
+
 def q_sink_overwrite(spark, sf_dir):
     rated, path = _rated_and_path(spark, sf_dir, "bills-overwrite")
     bills = bill_monthly(rated)
@@ -305,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_json": q_snapshot_json,
     "sink_append_twice": q_sink_append_twice,
     "sink_month_replaced": q_sink_month_replaced,
+    "sink_rerun_latest": q_sink_rerun_latest,
     "sink_overwrite": q_sink_overwrite,
     "stored_chain": q_stored_chain,
     "preview": q_preview,
@@ -498,4 +515,5 @@ SELECT * FROM valid UNION ALL SELECT * FROM invalid""",
     "sink_month_replaced": f"WITH {_RATED} {_RATED_SELECT}",
     "sink_overwrite": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
     "stored_chain": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
+    "sink_rerun_latest": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
 }

@@ -100,10 +100,15 @@ def is_valid_strict(reject=tuple(STRICT_RULES)) -> Column:
     return cond
 
 
+def is_customer_number(msisdn: str | Column = "msisdn") -> Column:
+    """True for a domestic subscriber number (null for a null number)."""
+    return _c(msisdn).rlike(CUSTOMER_NUMBER_PATTERN)
+
+
 def customer_id_of(msisdn: str | Column = "msisdn") -> Column:
     """E.164 customer id for a domestic subscriber number, else null."""
     m = _c(msisdn)
-    return F.when(m.rlike(CUSTOMER_NUMBER_PATTERN), F.concat(F.lit(CUSTOMER_ID_PREFIX), m))
+    return F.when(is_customer_number(m), F.concat(F.lit(CUSTOMER_ID_PREFIX), m))
 
 
 def receiver_of(record_type: str | Column = "record_type", peer_id: str | Column = "peer_id") -> Column:

@@ -32,7 +32,7 @@ def normalise(
     """
     cols = [
         F.col("record_type").cast("string").alias("record_type"),
-        X.customer_id_of("msisdn").cast("string").alias("customer_id"),
+        F.concat(F.lit(X.CUSTOMER_ID_PREFIX), F.col("msisdn")).cast("string").alias("customer_id"),
         F.col("cell_id").cast("string").alias("cell_id"),
         F.col("technology").cast("string").alias("technology"),
         X.receiver_of().cast("string").alias("receiver_id"),
@@ -42,14 +42,17 @@ def normalise(
         F.lit(0).cast("long").alias("session_duration_sec"),
         X.event_time("timestamp").cast("timestamp").alias("timestamp"),
     ]
-    out = mediated.filter(F.col("status") == "valid").select(*cols)
+    # The customer-number test is the filter itself, so the pattern is
+    # matched once per record; rows that pass get the ``+`` id (the same
+    # rows and values as ``customer_id_of`` followed by a not-null filter).
+    valid = mediated.filter(F.col("status") == "valid")
     if observe is not None:
-        out = out.observe(
+        valid = valid.observe(
             observe,
             F.count(F.lit(1)).alias("valid_rows"),
-            F.count(F.when(F.col("customer_id").isNull(), 1)).alias("dropped_rows"),
+            F.count(F.when(X.customer_id_of("msisdn").isNull(), 1)).alias("dropped_rows"),
         )
-    out = out.filter(F.col("customer_id").isNotNull())
+    out = valid.filter(X.is_customer_number("msisdn")).select(*cols)
     if with_month:
         out = out.withColumn("year_month", X.billing_month("timestamp", time_zone))
     return out

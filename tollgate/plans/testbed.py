@@ -83,7 +83,11 @@ def raw_records(events: DataFrame) -> DataFrame:
         "technology": F.concat((k % 4 + 2).cast("string"), F.lit("G")),
     }
     base = decode_props(events).withColumn("shape", _shape())
-    return base.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_CDR.fields])
+    record = F.struct(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_CDR.fields])
+    # The records leave the testbed like rows of a source: flattened by a
+    # generator, so the pipeline's filters stay on the generated columns
+    # instead of being rewritten into copies of the mapping expressions.
+    return base.select(F.inline(F.array(record)))
 
 
 def raw_messages(events: DataFrame) -> DataFrame:

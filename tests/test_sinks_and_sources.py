@@ -187,3 +187,18 @@ def test_rerating_through_an_append_only_table(spark):
     write_jdbc(with_run(june_again, 2), url, "RATED")          # re-rate June only
     latest = {(r.year_month, r.run_id): r.cost for r in latest_runs(read_jdbc(spark, url, "RATED")).collect()}
     assert latest == {("2025-05", 1): 0.1, ("2025-06", 2): 0.5, (None, 1): 0.03}
+
+
+def test_batch_writer_does_not_cache_a_cached_side_twice(spark, tmp_dir):
+    from tollgate.sinks.tables import _served_from_cache
+
+    batch = spark.range(10).withColumn("even", F.col("id") % 2 == 0)
+    assert not _served_from_cache(batch)
+    batch.persist()
+    try:
+        side = batch.filter("even")
+        assert _served_from_cache(side)
+        batch_table_writer(f"{tmp_dir}/t")(side, 0)
+        assert read_table(spark, f"{tmp_dir}/t").count() == 5
+    finally:
+        batch.unpersist()

@@ -26,15 +26,26 @@ def write_batch_once(batch: DataFrame, write: Callable[[DataFrame], None], skip_
 
     The batch is persisted for the emptiness check and the write, so the
     source is read once per batch and metrics observed in its plan count
-    each row once.
+    each row once.  A batch already served from a cache (a side of the
+    mediation fan-out, which persists the whole batch) is not cached again.
     """
-    batch.persist()
+    own_cache = not _served_from_cache(batch)
+    if own_cache:
+        batch.persist()
     try:
         if skip_empty and batch.isEmpty():
             return
         write(batch)
     finally:
-        batch.unpersist()
+        if own_cache:
+            batch.unpersist()
+
+
+def _served_from_cache(df: DataFrame) -> bool:
+    try:
+        return "InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString()
+    except Exception:  # noqa: BLE001 - when unsure, cache
+        return False
 
 
 def write_rated(rated: DataFrame, path: str, mode: str = "replace_months") -> None:

@@ -178,3 +178,21 @@ def test_hot_subscriber_is_pre_aggregated(spark):
     import re
     assert re.search(r"Exchange hashpartitioning\(customer_id#\d+, [^#]+#\d+, [^#]+#\d+, \d+\), ENSURE_REQUIREMENTS"
                      r"[^\n]*\n[\s:|]*\+- HashAggregate\(keys=\[[^\]]*\], functions=\[partial_sum", plan), plan
+
+
+def test_bill_plan_as_key_is_hash_only_and_equal_when_plans_are_unique(spark):
+    from tollgate.plans.chain import Testbed, normalised_direct
+
+    tb = Testbed(spark, "/root/testdata/sf0.001")
+    rated = rate_monthly(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
+    by_min, by_key = bill_monthly(rated), bill_monthly(rated, plan_pick="key")
+    assert by_key.columns == by_min.columns
+    rows = lambda df: sorted((r.customer_id, r.year_month, round(r.total_amount, 6), r.num_services, r.rate_plan_id)
+                             for r in df.collect())
+    assert rows(by_key) == rows(by_min)
+    plan = by_key._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    two_plans = spark.createDataFrame(
+        [("+1", "RP2", "voice", "2025-06", 1.0), ("+1", "RP1", "sms", "2025-06", 2.0)],
+        "customer_id string, rate_plan_id string, record_type string, year_month string, cost double")
+    assert bill_monthly(two_plans, plan_pick="key").count() == 2

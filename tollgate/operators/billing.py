@@ -17,7 +17,18 @@ def bill_monthly(rated: DataFrame, plan_pick: str = "min") -> DataFrame:
 
     Input rows are already one per (customer, plan, service, month), so the
     grouping is skew-free whatever the raw record distribution was.
+
+    ``min`` and ``first`` on a string force a sort-based aggregate.
+    ``plan_pick="key"`` groups by the plan instead: hash aggregates only, and
+    the same bills whenever a customer has one plan in a month (customer ids
+    unique in the customer table, one rating run billed); a customer with two
+    plans in a month then gets one bill per plan.
     """
+    if plan_pick == "key":
+        return rated.groupBy("customer_id", "year_month", "rate_plan_id").agg(
+            F.sum("cost").alias("total_amount"),
+            F.countDistinct("record_type").alias("num_services"),
+        ).select("customer_id", "year_month", "total_amount", "num_services", "rate_plan_id")
     if plan_pick == "min":
         plan = F.min("rate_plan_id")
     elif plan_pick == "first":

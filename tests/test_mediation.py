@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from tollgate import decode, encode, mediate, split, unify, validate
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
 

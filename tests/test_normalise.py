@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tollgate import normalise
 from tollgate.schemas import NORMALISED_CDR
 

@@ -1,9 +1,5 @@
 """The chain over stored, month-partitioned tables."""
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from tollgate import normalise
 from tollgate.plans.stored import bill_stored, rate_stored, store_normalised, stored_months
 from tollgate.schemas import CUSTOMERS

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tollgate import decode, mediate, normalise, split
+from tollgate import decode, mediate, split
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
 from tollgate.sinks.tables import batch_message_writer, batch_table_writer
 from tollgate.sources.files import message_files, read_table

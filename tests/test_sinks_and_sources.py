@@ -202,3 +202,31 @@ def test_batch_writer_does_not_cache_a_cached_side_twice(spark, tmp_dir):
         assert read_table(spark, f"{tmp_dir}/t").count() == 5
     finally:
         batch.unpersist()
+
+
+def test_kafka_shaped_batch_to_jdbc_exactly_once(spark):
+    # A frame with the Kafka source's columns (no broker here): the message
+    # coordinates ride along through decode, mediation and normalisation and
+    # key the JDBC writer, so a replayed batch adds nothing.
+    from tollgate import decode, mediate, normalise, split
+    from tollgate.schemas import NORMALISED_CDR, RAW_CDR
+    from tollgate.sinks.jdbc import jdbc_batch_writer
+    from tollgate.sources.jdbc import read_jdbc
+
+    msgs = [json.dumps({"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z",
+                        "caller_id": f"2126600000{i:02d}", "callee_id": "212660000099", "duration_sec": i})
+            for i in range(5)] + ["junk"]
+    kafka = spark.createDataFrame(
+        [(None, m.encode(), "raw-cdr", 0, off) for off, m in enumerate(msgs)],
+        "key binary, value binary, topic string, partition int, offset long")
+    coords = ("topic", "partition", "offset")
+    valid, invalid = split(mediate(decode(kafka, RAW_CDR, keep=coords)))
+    assert [r.offset for r in invalid.collect()] == [5]              # the dead letter keeps its coordinates
+    rows = normalise(valid, keep=coords)
+    assert rows.columns == [f.name for f in NORMALISED_CDR.fields] + list(coords)
+    url = _derby_url()
+    writer = jdbc_batch_writer(url, "CDR", key_columns=coords)
+    writer(rows.filter("offset < 3"), 0)                             # a write that failed half-way
+    writer(rows, 0)                                                  # the replay
+    back = read_jdbc(spark, url, "CDR")
+    assert back.count() == 5 and sorted(r.offset for r in back.collect()) == [0, 1, 2, 3, 4]

@@ -13,6 +13,7 @@ def normalise(
     with_month: bool = False,
     time_zone: str = "UTC",
     observe: str | Observation | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Valid mediated records -> ``cdr_records_normalized`` rows.
 
@@ -29,6 +30,10 @@ def normalise(
     counts, as the rows flow, the valid records (``valid_rows``) and those
     dropped for not being a customer number (``dropped_rows``); the source
     system drops them without a trace.
+
+    ``keep`` appends input columns after the storage columns, e.g. the
+    message coordinates (topic, partition, offset) that key an exactly-once
+    JDBC sink.
     """
     cols = [
         F.col("record_type").cast("string").alias("record_type"),
@@ -52,7 +57,7 @@ def normalise(
             F.count(F.lit(1)).alias("valid_rows"),
             F.count(F.when(X.customer_id_of("msisdn").isNull(), 1)).alias("dropped_rows"),
         )
-    out = valid.filter(X.is_customer_number("msisdn")).select(*cols)
+    out = valid.filter(X.is_customer_number("msisdn")).select(*cols, *keep)
     if with_month:
         out = out.withColumn("year_month", X.billing_month("timestamp", time_zone))
     return out

@@ -72,11 +72,15 @@ def run_store(
     value_col: str = "value",
     with_month: bool = False,
     observe: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Start hop 2: valid messages -> normalised rows -> ``sink`` per batch.
 
     ``observe`` names a metric set reported in each batch's progress
-    (``observedMetrics``): valid rows and rows dropped as non-customers."""
-    rows = normalise(decode(messages, MEDIATED_CDR, value_col), with_month=with_month, observe=observe)
+    (``observedMetrics``): valid rows and rows dropped as non-customers.
+    ``keep`` carries source columns (e.g. topic, partition, offset) through
+    to the sink, for :func:`tollgate.sinks.jdbc.jdbc_batch_writer` keys."""
+    decoded = decode(messages, MEDIATED_CDR, value_col, keep=keep)
+    rows = normalise(decoded, with_month=with_month, observe=observe, keep=keep)
     writer = rows.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
     return _start(writer, trigger)

@@ -42,3 +42,25 @@ def test_rerating_one_month_keeps_the_others(spark, tmp_dir):
     bills = {r.year_month: r.total_amount for r in read_table(spark, bills_path).collect()}
     assert set(bills) == {"2025-05", "2025-06"}
     assert abs(bills["2025-05"] - 1.0) < 1e-9 and abs(bills["2025-06"] - (2.0 + 2.5)) < 1e-9
+
+
+def test_backfill_clustering_writes_few_files(spark, tmp_dir):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from tollgate.sinks.tables import write_normalised
+
+    months = ["2025-01", "2025-02", "2025-03"]
+    rows = spark.range(3000).select(
+        F.concat(F.lit("+2126600"), F.lpad((F.col("id") % 97).cast("string"), 5, "0")).alias("customer_id"),
+        F.element_at(F.array(*[F.lit(m) for m in months]), (F.col("id") % 3 + 1).cast("int")).alias("year_month"),
+        F.col("id").alias("duration_sec"),
+    ).repartition(12)
+    write_normalised(rows, f"{tmp_dir}/plain")
+    write_normalised(rows, f"{tmp_dir}/clustered", cluster_into=3)
+    plain = glob.glob(f"{tmp_dir}/plain/year_month=*/*.parquet")
+    clustered = glob.glob(f"{tmp_dir}/clustered/year_month=*/*.parquet")
+    # a task may straddle a month boundary: at most tasks + months - 1 files
+    assert len(plain) == 36 and len(clustered) <= 3 + len(months) - 1
+    assert read_table(spark, f"{tmp_dir}/clustered").count() == 3000

@@ -26,9 +26,12 @@ from tollgate.sources.files import read_table
 MONTH = "year_month"
 
 
-def store_normalised(cdr_with_month: DataFrame, path: str, mode: str = "append") -> None:
-    """Write normalised records (``normalise(..., with_month=True)``)."""
-    write_normalised(cdr_with_month, path, mode)
+def store_normalised(
+    cdr_with_month: DataFrame, path: str, mode: str = "append", cluster_into: int | None = None
+) -> None:
+    """Write normalised records (``normalise(..., with_month=True)``); see
+    :func:`tollgate.sinks.tables.write_normalised` for ``cluster_into``."""
+    write_normalised(cdr_with_month, path, mode, cluster_into)
 
 
 def stored_months(spark: SparkSession, path: str, months: Iterable[str] | None = None) -> DataFrame:

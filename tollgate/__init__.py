@@ -12,9 +12,11 @@ from tollgate.operators.normalise import normalise
 from tollgate.operators.rating import (
     active_customers,
     cdr_with_plan,
+    latest_runs,
     monthly_consumption,
     price,
     rate_monthly,
+    with_run,
 )
 from tollgate.operators.billing import bill_monthly
 
@@ -31,5 +33,7 @@ __all__ = [
     "monthly_consumption",
     "price",
     "rate_monthly",
+    "with_run",
+    "latest_runs",
     "bill_monthly",
 ]

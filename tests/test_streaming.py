@@ -111,3 +111,18 @@ def test_store_hop_reports_dropped_rows(spark, tmp_dir):
     assert sum(m["valid_rows"] for m in metrics) == 3
     assert sum(m["dropped_rows"] for m in metrics) == 1
     assert read_table(spark, f"{tmp_dir}/norm").count() == 2
+
+
+def test_dead_letters_keep_text_under_strict_rules(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    no_peer = json.dumps({"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z",
+                          "caller_id": "212660000001", "duration_sec": 9})
+    _drop(raw, "a.txt", [_voice(1), "junk", no_peer])
+    q = run_mediation(message_files(spark, raw), batch_table_writer(f"{tmp_dir}/valid"),
+                      batch_table_writer(f"{tmp_dir}/invalid"), f"{tmp_dir}/ck", NOW,
+                      keep_raw=True, reject=("missing_peer",))
+    q.awaitTermination()
+    valid = read_table(spark, f"{tmp_dir}/valid")
+    assert "raw_value" not in valid.columns and valid.count() == 1
+    dead = sorted(r.raw_value for r in read_table(spark, f"{tmp_dir}/invalid").collect())
+    assert dead == sorted(["junk", no_peer])

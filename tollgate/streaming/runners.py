@@ -32,7 +32,8 @@ def mediation_fanout(valid_sink: BatchSink, invalid_sink: BatchSink) -> BatchSin
         batch.persist()
         try:
             valid, invalid = split(batch)
-            valid_sink(valid, batch_id)
+            # the message text is kept for dead letters only
+            valid_sink(valid.drop("raw_value"), batch_id)
             invalid_sink(invalid, batch_id)
         finally:
             batch.unpersist()
@@ -47,9 +48,17 @@ def run_mediation(
     checkpoint: str,
     trigger: dict | None = None,
     value_col: str = "value",
+    keep: tuple[str, ...] = (),
+    keep_raw: bool = False,
+    reject: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """Start hop 1 as one query with a fan-out (the source is read once)."""
-    validated = mediate(decode(messages, RAW_CDR, value_col))
+    """Start hop 1 as one query with a fan-out (the source is read once).
+
+    ``keep`` carries source columns (topic, partition, offset) to both
+    sides, ``keep_raw`` keeps the message text (``raw_value``) for dead
+    letters, and ``reject`` names strict validation rules (see
+    :func:`tollgate.operators.mediation.validate`)."""
+    validated = mediate(decode(messages, RAW_CDR, value_col, keep=keep, keep_raw=keep_raw), reject)
     writer = (
         validated.writeStream.foreachBatch(mediation_fanout(valid_sink, invalid_sink))
         .outputMode("append")
@@ -58,10 +67,16 @@ def run_mediation(
     return _start(writer, trigger)
 
 
-def mediation_streams(messages: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+def mediation_streams(
+    messages: DataFrame,
+    value_col: str = "value",
+    keep: tuple[str, ...] = (),
+    keep_raw: bool = False,
+    reject: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
     """Hop 1 as two streaming frames (valid, invalid) for two queries with
     their own sinks and checkpoints; each query reads the source itself."""
-    return split(mediate(decode(messages, RAW_CDR, value_col)))
+    return split(mediate(decode(messages, RAW_CDR, value_col, keep=keep, keep_raw=keep_raw), reject))
 
 
 def run_store(

@@ -64,3 +64,16 @@ def test_backfill_clustering_writes_few_files(spark, tmp_dir):
     # a task may straddle a month boundary: at most tasks + months - 1 files
     assert len(plain) == 36 and len(clustered) <= 3 + len(months) - 1
     assert read_table(spark, f"{tmp_dir}/clustered").count() == 3000
+
+
+def test_rating_stored_months_reads_four_columns(spark, tmp_dir):
+    from tollgate import rate_monthly
+
+    cust = _setup(spark, tmp_dir)
+    cdr = stored_months(spark, f"{tmp_dir}/cdr", ["2025-06"])
+    rated = rate_monthly(cdr, cust, product_rates(spark), month_col="year_month")
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    schemas = [s for s in plan.split("ReadSchema: ")[1:] if "record_type" in s]
+    assert schemas and "timestamp" not in schemas[0].split("]")[0]
+    assert schemas[0].startswith("struct<record_type:string,customer_id:string,duration_sec:bigint,data_volume_mb:double>")
+    assert {r.year_month for r in rated.collect()} == {"2025-06"}

@@ -66,15 +66,22 @@ def monthly_consumption(
     customers: DataFrame,
     time_zone: str = "UTC",
     broadcast_customers: bool | str = "auto",
+    month_col: str | None = None,
 ) -> DataFrame:
     """Sum of consumption units per customer, plan, service and month for
-    active customers (inner join: unknown or inactive customers vanish)."""
+    active customers (inner join: unknown or inactive customers vanish).
+
+    ``month_col`` names a column that already holds the billing month (the
+    partition column of the stored records, written by
+    ``normalise(..., with_month=True)``), which saves formatting the month
+    from the timestamp for every record."""
+    month = F.col(month_col) if month_col else X.billing_month("timestamp", time_zone)
     usage = (
         cdr.filter(F.col("customer_id").isNotNull())
         .select(
             "customer_id",
             "record_type",
-            X.billing_month("timestamp", time_zone).alias("year_month"),
+            month.alias("year_month"),
             X.consumption_units().alias("units"),
         )
         .groupBy("customer_id", "record_type", "year_month")
@@ -153,9 +160,10 @@ def rate_monthly(
     broadcast_rates: bool | str = "auto",
     broadcast_customers: bool | str = "auto",
     decimal: bool = False,
+    month_col: str | None = None,
 ) -> DataFrame:
     """monthly_consumption then price: rows of ``monthly_rated_usage``."""
-    consumption = monthly_consumption(cdr, customers, time_zone, broadcast_customers)
+    consumption = monthly_consumption(cdr, customers, time_zone, broadcast_customers, month_col)
     return price(consumption, rates, broadcast_rates, decimal=decimal)
 
 

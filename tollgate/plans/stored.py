@@ -55,8 +55,9 @@ def rate_stored(
     """Rate the stored months and replace them in the rated-usage table;
     returns the rated rows as read back from the table."""
     month_list = None if months is None else list(months)
-    cdr = stored_months(spark, cdr_path, month_list).drop(MONTH)
-    write_rated(rate_monthly(cdr, customers, rates, **rating_options), rated_path)
+    cdr = stored_months(spark, cdr_path, month_list)
+    # the stored partition column is the billing month: no per-record formatting
+    write_rated(rate_monthly(cdr, customers, rates, month_col=MONTH, **rating_options), rated_path)
     rated = read_table(spark, rated_path)
     if month_list is not None:
         rated = rated.filter(F.col(MONTH).isin(month_list))

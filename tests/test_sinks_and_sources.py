@@ -230,3 +230,14 @@ def test_kafka_shaped_batch_to_jdbc_exactly_once(spark):
     writer(rows, 0)                                                  # the replay
     back = read_jdbc(spark, url, "CDR")
     assert back.count() == 5 and sorted(r.offset for r in back.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_partitioned_batch_writer_keeps_months_together(spark, tmp_dir):
+    w = batch_table_writer(f"{tmp_dir}/t", partition_by=("year_month",))
+    may = spark.createDataFrame([("2025-05", 1), ("2025-06", 2)], "year_month string, v int")
+    w(may, 0)
+    w(may, 0)                                             # replay replaces its own folders
+    w(spark.createDataFrame([("2025-06", 3)], "year_month string, v int"), 1)
+    assert sorted(os.listdir(f"{tmp_dir}/t/year_month=2025-06")) == ["batch_id=0", "batch_id=1"]
+    got = sorted((r.year_month, r.v, r.batch_id) for r in read_table(spark, f"{tmp_dir}/t").collect())
+    assert got == [("2025-05", 1, 0), ("2025-06", 2, 0), ("2025-06", 3, 1)]

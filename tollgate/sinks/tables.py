@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tollgate.operators.mediation import encode
 
@@ -90,6 +91,11 @@ def batch_table_writer(
     """``foreachBatch`` callback writing each micro-batch to
     ``<path>/batch_id=<n>`` (overwrite, so a replay replaces it).
 
+    With ``partition_by`` (e.g. ``year_month``) the layout is
+    ``<path>/year_month=<m>/batch_id=<n>``: a month's batches stay together
+    (read or compact one month by its folder), and a dynamic partition
+    overwrite lets a replay replace exactly its own batch folders.
+
     ``on_error="raise"`` fails the query so the batch is replayed on restart;
     ``"skip"`` logs and drops the batch (the source system's behaviour: the
     checkpoint advances and the batch is lost).
@@ -97,10 +103,16 @@ def batch_table_writer(
     parts = list(partition_by)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        w = batch.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(f"{path}/batch_id={batch_id}")
+        if not parts:
+            batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            return
+        (
+            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*parts, "batch_id")
+            .parquet(path)
+        )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         try:

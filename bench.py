@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 import time
 
@@ -41,6 +42,14 @@ def run_once(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
+def exchanges(spark, name: str, sf_dir: str) -> dict[str, int]:
+    """Shuffle and broadcast exchanges of the query's physical plan (as
+    planned, before adaptive re-planning)."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    shuffles = len(re.findall(r"\bExchange (?:hash|range|RoundRobin|Single)", plan))
+    return {"shuffle": shuffles, "broadcast": plan.count("BroadcastExchange")}
+
+
 def main(argv: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -62,6 +71,7 @@ def main(argv: list[str]) -> None:
         timings[name] = round(min(run_once(spark, name, sf_dir) for _ in range(repeat)), 3)
 
     headline = [q for q in HEADLINE if q in timings]
+    plans = {q: exchanges(spark, q, sf_dir) for q in headline}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
         json.dumps(
@@ -70,6 +80,7 @@ def main(argv: list[str]) -> None:
                 "value": round(sum(timings[q] for q in headline), 3),
                 "unit": "sec",
                 "queries": timings,
+                "exchanges": plans,
                 "all_queries_total_sec": round(sum(timings.values()), 3),
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,

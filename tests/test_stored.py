@@ -77,3 +77,21 @@ def test_rating_stored_months_reads_four_columns(spark, tmp_dir):
     assert schemas and "timestamp" not in schemas[0].split("]")[0]
     assert schemas[0].startswith("struct<record_type:string,customer_id:string,duration_sec:bigint,data_volume_mb:double>")
     assert {r.year_month for r in rated.collect()} == {"2025-06"}
+
+
+def test_backfill_clustering_splits_a_hot_subscriber(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from tollgate.sinks.tables import write_normalised
+
+    n = 6000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("+212660000001"))
+         .otherwise(F.concat(F.lit("+2126600"), F.lpad((F.col("id") % 500).cast("string"), 5, "0"))).alias("customer_id"),
+        F.lit("2025-06").alias("year_month"),
+        F.timestamp_seconds(F.lit(1748736000) + F.col("id")).alias("timestamp"),
+    )
+    write_normalised(rows, f"{tmp_dir}/c", cluster_into=6)
+    sizes = read_table(spark, f"{tmp_dir}/c").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in sizes) == n
+    assert max(r["count"] for r in sizes) < n / 3   # the hot subscriber's third is split

@@ -69,16 +69,16 @@ def write_normalised(cdr: DataFrame, path: str, mode: str = "append", cluster_in
 
     A backfill spanning many months would write one file per task and month.
     ``cluster_into=n`` range-partitions the records on (year_month,
-    customer_id) into ``n`` balanced tasks first (boundaries from a sample,
-    so a large month is split over many tasks and a hot subscriber does not
-    make one task large): about ``n`` files, each a slice of one month
-    ordered by customer, which also gives tight min/max statistics for
-    customer filters.  Micro-batches (one month at a time) need none of it.
+    customer_id, timestamp) into ``n`` balanced tasks first, with boundaries
+    from a sample.  A large month is split over many tasks, and the
+    timestamp splits a subscriber holding a large share of the records.  The
+    result is about ``n`` files, each a slice of one month ordered by
+    customer, which also gives tight min/max statistics for customer
+    filters.  Micro-batches (one month at a time) need none of it.
     """
     if cluster_into:
-        cdr = cdr.repartitionByRange(cluster_into, "year_month", "customer_id").sortWithinPartitions(
-            "year_month", "customer_id"
-        )
+        keys = [c for c in ("year_month", "customer_id", "timestamp") if c in cdr.columns]
+        cdr = cdr.repartitionByRange(cluster_into, *keys).sortWithinPartitions(*keys)
     cdr.write.mode(mode).partitionBy("year_month").parquet(path)
 
 

@@ -15,6 +15,12 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # No broadcast from planning-time estimates (file sizes say little about
+    # a side's size in memory).  Broadcasts are either explicit, behind a
+    # row-count check (plans/joins.py), or chosen by AQE from the measured
+    # size of a finished shuffle stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",

@@ -72,8 +72,11 @@ def _trigger(args) -> dict | None:
 
 
 def _kafka_side(args, topic: str) -> BatchSink:
+    """Batch writer to a topic (the fan-out drops ``raw_value`` from the
+    valid side, so only dead letters carry the message text)."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_kafka_batch(encode(batch.drop(*KAFKA_COORDS, "raw_value")), args.kafka_servers, topic)
+        write_kafka_batch(encode(batch.drop(*KAFKA_COORDS)), args.kafka_servers, topic)
 
     return write
 

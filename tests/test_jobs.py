@@ -58,3 +58,30 @@ def test_rating_runs_into_an_append_only_store(spark, tmp_dir):
                    f"{tmp_dir}/rates", "--out", f"{tmp_dir}/rated", "--mode", "append", "--run-id", str(run)], spark)
     jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills", "--latest-run"], spark)
     assert _bills(read_table(spark, f"{tmp_dir}/bills")) == _bills(QUERIES["monthly_bills"](spark, SF_SMALL))
+
+
+def test_kafka_sides_of_the_mediation_job(spark, tmp_dir, monkeypatch):
+    # No broker here: capture what the job would send to each topic.
+    import json
+    import os
+
+    from tollgate.sources.files import message_files
+    from tollgate.streaming.runners import run_mediation
+
+    sent = []
+    monkeypatch.setattr(jobs, "write_kafka_batch",
+                        lambda df, servers, topic: sent.extend((topic, r.key, r.value) for r in df.collect()))
+    args = jobs.parser().parse_args(["mediate", "--kafka-servers", "h:9092", "--checkpoint", "x"])
+    os.makedirs(f"{tmp_dir}/raw")
+    good = json.dumps({"record_type": "sms", "timestamp": "2025-06-11T17:47:18Z", "sender_id": "212660000001",
+                       "receiver_id": "212660000002"})
+    with open(f"{tmp_dir}/raw/a.txt", "w") as f:
+        f.write(good + "\njunk\n")
+    q = run_mediation(message_files(spark, f"{tmp_dir}/raw"), jobs._kafka_side(args, "valid-cdr"),
+                      jobs._kafka_side(args, "invalid-cdr"), f"{tmp_dir}/ck", {"availableNow": True}, keep_raw=True)
+    q.awaitTermination()
+    by_topic = {t: (k, json.loads(v)) for t, k, v in sent}
+    assert set(by_topic) == {"valid-cdr", "invalid-cdr"}
+    key, valid = by_topic["valid-cdr"]
+    assert key is None and valid["msisdn"] == "212660000001" and "raw_value" not in valid
+    assert by_topic["invalid-cdr"][1] == {"raw_value": "junk", "status": "error"}

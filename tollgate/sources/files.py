@@ -49,7 +49,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     parallel.  A large input already has at least as many splits as cores and
     is returned unchanged: no shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(cores, key)
+    return df.repartition(cores, key) if narrow else df

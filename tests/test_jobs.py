@@ -85,3 +85,21 @@ def test_kafka_sides_of_the_mediation_job(spark, tmp_dir, monkeypatch):
     key, valid = by_topic["valid-cdr"]
     assert key is None and valid["msisdn"] == "212660000001" and "raw_value" not in valid
     assert by_topic["invalid-cdr"][1] == {"raw_value": "junk", "status": "error"}
+
+
+def test_rate_job_reads_jdbc_tables_in_ranges(spark, tmp_dir):
+    from tollgate.plans.chain import normalised_direct
+    from tollgate.sinks.jdbc import write_jdbc
+
+    tb = Testbed(spark, SF_SMALL)
+    url = f"jdbc:derby:memory:tg{uuid.uuid4().hex[:12]};create=true"
+    cdr = normalised_direct(tb.raw_records()).withColumn("seq", F.monotonically_increasing_id())
+    write_jdbc(cdr.select("seq", "record_type", "customer_id", "duration_sec", "data_volume_mb", "timestamp"),
+               url, "CDR")
+    tb.customers().select("customer_id", "rate_plan_id", "status").write.parquet(f"{tmp_dir}/customers")
+    tb.rates().write.parquet(f"{tmp_dir}/rates")
+    jobs.main(["--jdbc-url", url, "rate", "--cdr", "jdbc:CDR", "--customers", f"{tmp_dir}/customers",
+               "--rates", f"{tmp_dir}/rates", "--out", f"{tmp_dir}/rated",
+               "--jdbc-partitions", "4", "--jdbc-partition-column", "seq"], spark)
+    jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills"], spark)
+    assert _bills(read_table(spark, f"{tmp_dir}/bills")) == _bills(QUERIES["monthly_bills"](spark, SF_SMALL))

@@ -241,3 +241,17 @@ def test_partitioned_batch_writer_keeps_months_together(spark, tmp_dir):
     assert sorted(os.listdir(f"{tmp_dir}/t/year_month=2025-06")) == ["batch_id=0", "batch_id=1"]
     got = sorted((r.year_month, r.v, r.batch_id) for r in read_table(spark, f"{tmp_dir}/t").collect())
     assert got == [("2025-05", 1, 0), ("2025-06", 2, 0), ("2025-06", 3, 1)]
+
+
+def test_jdbc_split_and_predicate_reads(spark):
+    from tollgate.sinks.jdbc import write_jdbc
+    from tollgate.sources.jdbc import read_jdbc_predicates, read_jdbc_split
+
+    url = _derby_url()
+    write_jdbc(_bills(spark, 20), url, "BILLS")
+    split = read_jdbc_split(spark, url, "BILLS", "total_amount", 4)
+    assert split.rdd.getNumPartitions() == 4 and split.count() == 20
+    # predicates are the database's SQL: the column was created quoted, in lower case
+    by_digit = read_jdbc_predicates(spark, url, "BILLS", [f"\"customer_id\" LIKE '%{d}'" for d in range(10)])
+    assert by_digit.rdd.getNumPartitions() == 10 and by_digit.count() == 20
+    assert sorted(r.customer_id for r in by_digit.collect()) == sorted(f"+{i}" for i in range(20))

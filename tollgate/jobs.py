@@ -39,7 +39,7 @@ from tollgate.sinks.tables import (
     write_rated,
 )
 from tollgate.sources.files import message_files, read_table
-from tollgate.sources.jdbc import read_jdbc
+from tollgate.sources.jdbc import read_jdbc, read_jdbc_split
 from tollgate.sources.kafka import kafka_stream
 from tollgate.streaming.runners import run_mediation, run_store
 
@@ -56,10 +56,16 @@ def _jdbc_properties() -> dict[str, str]:
     return props
 
 
-def read_any(spark: SparkSession, spec: str, args) -> DataFrame:
-    """A parquet path, or ``jdbc:<table>`` read through ``--jdbc-url``."""
+def read_any(spark: SparkSession, spec: str, args, split_column: str | None = None) -> DataFrame:
+    """A parquet path, or ``jdbc:<table>`` read through ``--jdbc-url``; with
+    ``--jdbc-partitions`` a JDBC table that has ``split_column`` is read in
+    that many parallel ranges instead of one task."""
     if spec.startswith(JDBC_PREFIX):
-        return read_jdbc(spark, args.jdbc_url, spec[len(JDBC_PREFIX):], properties=_jdbc_properties())
+        table = spec[len(JDBC_PREFIX):]
+        if split_column and args.jdbc_partitions:
+            return read_jdbc_split(spark, args.jdbc_url, table, split_column, args.jdbc_partitions,
+                                   properties=_jdbc_properties())
+        return read_jdbc(spark, args.jdbc_url, table, properties=_jdbc_properties())
     return read_table(spark, spec)
 
 
@@ -120,12 +126,13 @@ def job_store(spark: SparkSession, args) -> None:
 
 
 def job_rate(spark: SparkSession, args) -> None:
-    cdr = read_any(spark, args.cdr, args)
+    cdr = read_any(spark, args.cdr, args, split_column=args.jdbc_partition_column)
     if "year_month" in cdr.columns:                     # month-partitioned store: prune, use the stored month
         cdr, month_col = _months(cdr, args.months), "year_month"
     else:
         month_col = None
-    rated = rate_monthly(cdr, read_any(spark, args.customers, args), read_any(spark, args.rates, args),
+    customers = read_any(spark, args.customers, args, split_column=args.customers_partition_column)
+    rated = rate_monthly(cdr, customers, read_any(spark, args.rates, args),
                          month_col=month_col, decimal=args.decimal)
     if not month_col and args.months:
         rated = _months(rated, args.months)
@@ -188,6 +195,9 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--mode", choices=("replace_months", "append", "overwrite"), default="replace_months")
     r.add_argument("--decimal", action="store_true")
     r.add_argument("--run-id", type=int, help="tag rows with this run (append-only stores, e.g. JDBC)")
+    r.add_argument("--jdbc-partitions", type=int, help="parallel ranges for JDBC reads of large tables")
+    r.add_argument("--jdbc-partition-column", help="numeric/date column of a JDBC --cdr table to split on")
+    r.add_argument("--customers-partition-column", help="numeric/date column of a JDBC --customers table")
 
     b = sub.add_parser("bill")
     b.add_argument("--rated", required=True)

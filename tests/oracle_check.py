@@ -1,5 +1,5 @@
 """Compare registered queries with their DuckDB oracle (row count, column
-names, order-insensitive values).  Usable from pytest and as a script:
+names and types, order-insensitive values).  Usable from pytest and as a script:
 
     python tests/oracle_check.py /root/testdata/sf0.01 [name ...]
 """
@@ -17,6 +17,11 @@ import pandas as pd
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE",
+}
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -70,6 +75,8 @@ def compare(spark, name: str, sf_dir: str, query, sql: str | None):
         res["status"] = "rows-only"
         return res
     con = duck(sf_dir)
+    rel = con.sql(sql)
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
@@ -77,6 +84,11 @@ def compare(spark, name: str, sf_dir: str, query, sql: str | None):
     if sorted(scols) != sorted(dcols):
         res["status"] = f"COLUMNS {sorted(scols)} != {sorted(dcols)}"
         return res
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    bad_types = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    if bad_types:
+        res["status"] = f"TYPES {bad_types}"
+        return res
     a, b = _rows(scols, srows), _rows(dcols, drows)
     if a == b:
         res["status"] = "match"

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.functions.cdr import utc_wall_clock
+from tollgate.functions.cdr import STRICT_RULES, utc_wall_clock
 from tollgate.operators import quality as Q
 from tollgate.operators.billing import bill_monthly
 from tollgate.operators.mediation import decode, encode, mediate, split
@@ -104,6 +104,12 @@ def q_mediated_invalid(spark, sf_dir):
     return split(mediated_from_messages(_tb(spark, sf_dir).raw_messages()))[1]
 
 
+def q_mediated_strict_invalid(spark, sf_dir):
+    """Dead letters under every opt-in strict rule as well as the default ones."""
+    messages = _tb(spark, sf_dir).raw_messages()
+    return split(mediate(decode(messages, RAW_CDR), reject=tuple(STRICT_RULES)))[1]
+
+
 def q_encoded_roundtrip(spark, sf_dir):
     valid, _ = split(mediated_from_messages(_tb(spark, sf_dir).raw_messages()))
     return decode(encode(valid), MEDIATED_CDR)
@@ -302,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "mediated_all": q_mediated_all,
     "mediated_valid": q_mediated_valid,
     "mediated_invalid": q_mediated_invalid,
+    "mediated_strict_invalid": q_mediated_strict_invalid,
     "encoded_roundtrip": q_encoded_roundtrip,
     "normalised_cdr": q_normalised_cdr,
     "active_customers": q_active_customers,
@@ -466,6 +473,17 @@ ORACLE_SQL: dict[str, str] = {
     "mediated_all": f"WITH {_MEDIATED} SELECT * FROM mediated",
     "mediated_valid": f"WITH {_MEDIATED} SELECT * FROM valid",
     "mediated_invalid": f"WITH {_MEDIATED} SELECT * FROM invalid",
+    "mediated_strict_invalid": f"""WITH {_MEDIATED},
+strict AS (
+  SELECT *,
+         is_valid
+         AND NOT coalesce(duration < 0 OR volume_mb < 0, false)
+         AND NOT coalesce(record_type IN ('voice', 'sms') AND peer_id IS NULL, false)
+         AND NOT coalesce(record_type NOT IN ('voice', 'sms', 'data'), false)
+         AND NOT coalesce(try_strptime("timestamp", '%Y-%m-%dT%H:%M:%SZ') IS NULL, false)
+         AND NOT coalesce(NOT regexp_matches(msisdn, '^212[0-9]{{9}}$'), false) AS ok
+  FROM mediated)
+SELECT * EXCLUDE (is_valid, ok, status), 'error' AS status FROM strict WHERE NOT ok""",
     "encoded_roundtrip": f"""WITH {_MEDIATED}
 SELECT record_type, "timestamp", cell_id, technology, msisdn, peer_id,
        CAST(duration AS BIGINT) AS duration, volume_mb, status

@@ -103,3 +103,27 @@ def test_rate_job_reads_jdbc_tables_in_ranges(spark, tmp_dir):
                "--jdbc-partitions", "4", "--jdbc-partition-column", "seq"], spark)
     jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills"], spark)
     assert _bills(read_table(spark, f"{tmp_dir}/bills")) == _bills(QUERIES["monthly_bills"](spark, SF_SMALL))
+
+
+def test_command_line_in_its_own_process(spark, tmp_dir):
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    from tollgate.plans.chain import normalised_direct
+
+    tb = Testbed(spark, SF_SMALL)
+    normalised_direct(tb.raw_records()).write.parquet(f"{tmp_dir}/cdr")
+    tb.customers().write.parquet(f"{tmp_dir}/customers")
+    tb.rates().write.parquet(f"{tmp_dir}/rates")
+    # a small local session with Spark's web UI off (no port opened)
+    env = dict(os.environ, PYTHONPATH=ROOT,
+               PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false pyspark-shell")
+    for argv in (["rate", "--cdr", f"{tmp_dir}/cdr", "--customers", f"{tmp_dir}/customers",
+                  "--rates", f"{tmp_dir}/rates", "--out", f"{tmp_dir}/rated"],
+                 ["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills", "--plan-pick", "key"]):
+        done = subprocess.run([sys.executable, "-m", "tollgate", *argv], env=env, cwd=tmp_dir,
+                              capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-2000:]
+    assert _bills(read_table(spark, f"{tmp_dir}/bills")) == _bills(QUERIES["monthly_bills"](spark, SF_SMALL))

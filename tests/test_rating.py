@@ -196,3 +196,37 @@ def test_bill_plan_as_key_is_hash_only_and_equal_when_plans_are_unique(spark):
         [("+1", "RP2", "voice", "2025-06", 1.0), ("+1", "RP1", "sms", "2025-06", 2.0)],
         "customer_id string, rate_plan_id string, record_type string, year_month string, cost double")
     assert bill_monthly(two_plans, plan_pick="key").count() == 2
+
+
+def test_record_level_join_splits_a_hot_subscriber(spark):
+    # Customers not broadcast (as above the broadcast bound): a sort-merge
+    # join on customer_id in which AQE splits the hot subscriber's partition.
+    # Thresholds are lowered so that test-sized data counts as skewed.
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 40_000
+        cdr = spark.range(n).select(
+            F.lit("voice").alias("record_type"),
+            F.when(F.col("id") % 3 == 0, F.lit("+1"))
+             .otherwise(F.concat(F.lit("+"), (F.col("id") % 400 + 2).cast("string"))).alias("customer_id"),
+            *[F.lit(None).cast("string").alias(c) for c in ("cell_id", "technology", "receiver_id", "callee_id")],
+            F.col("id").alias("duration_sec"), F.lit(0.0).alias("data_volume_mb"),
+            F.lit(0).cast("long").alias("session_duration_sec"), F.lit(T).cast("timestamp").alias("timestamp"))
+        cust = _customers(spark, [(f"+{i}", "RP1", "active") for i in range(1, 402)])
+        out = cdr_with_plan(cdr, cust, broadcast_customers=False)
+        rows = out.collect()
+        assert len(rows) == n and sum(1 for r in rows if r.customer_id == "+1") == (n + 2) // 3
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -67,11 +67,20 @@ def main(argv: list[str]) -> None:
     run_once(spark, "monthly_bills", sf_dir)  # JVM and code-cache warm-up
 
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        timings[name] = round(min(run_once(spark, name, sf_dir) for _ in range(repeat)), 3)
+        try:
+            timings[name] = round(min(run_once(spark, name, sf_dir) for _ in range(repeat)), 3)
+        except Exception as exc:  # noqa: BLE001 - report the query and go on
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
 
     headline = [q for q in HEADLINE if q in timings]
-    plans = {q: exchanges(spark, q, sf_dir) for q in headline}
+    plans = {}
+    for q in headline:
+        try:
+            plans[q] = exchanges(spark, q, sf_dir)
+        except Exception:  # noqa: BLE001 - plan counts are informative only
+            pass
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
         json.dumps(
@@ -81,6 +90,7 @@ def main(argv: list[str]) -> None:
                 "unit": "sec",
                 "queries": timings,
                 "exchanges": plans,
+                "errors": errors,
                 "all_queries_total_sec": round(sum(timings.values()), 3),
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,

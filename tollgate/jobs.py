@@ -91,7 +91,7 @@ def job_mediate(spark: SparkSession, args) -> None:
     if args.kafka_servers:
         messages = kafka_stream(
             spark, args.kafka_servers, args.raw_topic, starting_offsets=args.starting_offsets,
-            max_offsets_per_trigger=args.max_offsets_per_trigger,
+            max_offsets_per_trigger=args.max_offsets_per_trigger, min_partitions=args.min_partitions,
         )
         valid_sink, invalid_sink = _kafka_side(args, args.valid_topic), _kafka_side(args, args.invalid_topic)
     else:
@@ -111,6 +111,7 @@ def job_store(spark: SparkSession, args) -> None:
         messages = kafka_stream(
             spark, args.kafka_servers, args.valid_topic, starting_offsets=args.starting_offsets,
             fail_on_data_loss=False, max_offsets_per_trigger=args.max_offsets_per_trigger,
+            min_partitions=args.min_partitions,
         )
         keep = KAFKA_COORDS if args.out.startswith(JDBC_PREFIX) else ()
     else:
@@ -165,6 +166,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--kafka-servers")
         s.add_argument("--starting-offsets", default="latest")
         s.add_argument("--max-offsets-per-trigger", type=int)
+        s.add_argument("--min-partitions", type=int, help="split few topic partitions over more tasks")
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--available-now", action="store_true")
 

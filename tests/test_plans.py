@@ -96,3 +96,14 @@ def test_fk_check_deduplicates_child_keys_before_joining(spark):
     assert "LeftAnti" not in tree and "SortMergeJoin LeftOuter" in tree
     # three exchanges: child rows, distinct child keys, distinct parent keys
     assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 3
+
+
+def test_mediation_and_normalisation_are_narrow(spark):
+    from tollgate.operators.mediation import split
+    from tollgate.plans.chain import mediated_from_messages
+
+    tb = Testbed(spark, SF_SMALL, spread_input=False)  # the plan of a many-split input
+    valid, invalid = split(mediated_from_messages(tb.raw_messages()))
+    for df in (valid, invalid, normalised_direct(tb.raw_records())):
+        text = _formatted(df)
+        assert not re.findall(r"^\(\d+\) (?:Exchange|BroadcastExchange|Sort)\b", text, re.M), text

@@ -198,6 +198,8 @@ def test_batch_writer_does_not_cache_a_cached_side_twice(spark, tmp_dir):
     try:
         side = batch.filter("even")
         assert _served_from_cache(side)
+        joined = spark.range(10).join(batch, "id")      # a cached frame deeper in the plan
+        assert not _served_from_cache(joined)
         batch_table_writer(f"{tmp_dir}/t")(side, 0)
         assert read_table(spark, f"{tmp_dir}/t").count() == 5
     finally:

@@ -43,10 +43,19 @@ def write_batch_once(batch: DataFrame, write: Callable[[DataFrame], None], skip_
 
 
 def _served_from_cache(df: DataFrame) -> bool:
+    """True when ``df`` is projections and filters over a cached frame (a
+    side of a persisted batch); a cached table deeper in the plan, e.g. a
+    joined lookup table, does not count."""
     try:
-        return "InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString()
+        plan = df._jdf.queryExecution().withCachedData().toString()
     except Exception:  # noqa: BLE001 - when unsure, cache
         return False
+    for line in plan.splitlines():
+        node = line.lstrip(" :+-").split(" ", 1)[0]
+        if node in ("Project", "Filter"):
+            continue
+        return node == "InMemoryRelation"
+    return False
 
 
 def write_rated(rated: DataFrame, path: str, mode: str = "replace_months") -> None:

@@ -8,11 +8,12 @@ stage's ``docs``.  All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tollgate.llm.common import materialise, read
 from tollgate.llm.quality_forest import fit_quality, keep_quality
+from tollgate.llm.secret_grammar import learn_formats, redact_documents
 from tollgate.llm.similarity_sketch import near_duplicates
+from tollgate.llm.string_kernel import fit_toxicity, keep_clean
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,6 +22,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_quality(docs, fit_quality(docs, read(spark, sf_dir, "labels")), COLUMNS)
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_clean(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")), COLUMNS)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8 or more; the smallest doc_id of each
     group stays."""
@@ -28,9 +33,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.select(*COLUMNS).join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select(*COLUMNS)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret span is replaced in the text; no document goes."""
+    return redact_documents(docs, learn_formats(docs), COLUMNS)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("toxicity", toxicity),
     ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
 ]
 
 #: Learned models and sketches are not expressible in SQL; the tests compare

@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tollgate.llm.common import read
 from tollgate.llm.quality_forest import fit_quality, judge_quality
+from tollgate.llm.secret_grammar import find_secrets, learn_formats
 from tollgate.llm.similarity_sketch import near_duplicates
+from tollgate.llm.string_kernel import fit_toxicity, score_toxicity
+
+
+def op1_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return find_secrets(docs, learn_formats(docs))
+
+
+def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
 
 
 def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +33,8 @@ def op10_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_grammar": op1_secret_grammar,
+    "op3_string_kernel": op3_string_kernel,
     "op9_quality_forest": op9_quality_forest,
     "op10_similarity_sketch": op10_similarity_sketch,
 }

@@ -13,7 +13,9 @@ from tollgate.llm.common import materialise, read
 from tollgate.llm.quality_forest import fit_quality, keep_quality
 from tollgate.llm.secret_grammar import learn_formats, redact_documents
 from tollgate.llm.similarity_sketch import near_duplicates
+from tollgate.llm.queries import packing_ids
 from tollgate.llm.string_kernel import fit_toxicity, keep_clean
+from tollgate.llm.vector_packing import pack_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -38,11 +40,17 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact_documents(docs, learn_formats(docs), COLUMNS)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces of the remaining documents in sequences."""
+    return pack_documents(docs, packing_ids(), end_id=0)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("toxicity", toxicity),
     ("near_dedup", near_dedup),
     ("secret_scan", secret_scan),
+    ("best_fit_packing", packing),
 ]
 
 #: Learned models and sketches are not expressible in SQL; the tests compare

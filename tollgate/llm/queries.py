@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tollgate.llm.common import read
+from tollgate.llm.duckdb_bpe import encode_digests
+from tollgate.llm.huffman_ids import read_documents, store_ids
 from tollgate.llm.quality_forest import fit_quality, judge_quality
 from tollgate.llm.secret_grammar import find_secrets, learn_formats
 from tollgate.llm.similarity_sketch import near_duplicates
 from tollgate.llm.string_kernel import fit_toxicity, score_toxicity
+from tollgate.llm.tokens import library_encoder, word_end_encoder
+from tollgate.llm.vector_packing import pack_documents
+from tollgate.llm.warc_chunks import read_chunks, records, write_archives
 
 
 def op1_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +29,33 @@ def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
 
 
+def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(read(spark, sf_dir, "pages"), min_bytes=0)
+    return records(read_chunks(archives, with_data=False))
+
+
+def op5_duckdb_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_digests(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def packing_ids(path: str | None = None):
+    """Makes, in a worker, the encoder whose ids are packed."""
+    return lambda: word_end_encoder(path or public_tokenizers.path("word_bpe_49k.json")).ids
+
+
+def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), packing_ids(), end_id=0)
+
+
+def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def make_encode():
+        return library_encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN).ids
+
+    manifest = store_ids(read(spark, sf_dir, "documents"), make_encode, size=50_257, end_id=0)
+    return read_documents(spark, manifest)
+
+
 def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return judge_quality(docs, fit_quality(docs, read(spark, sf_dir, "labels")))
@@ -35,6 +68,10 @@ def op10_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_grammar": op1_secret_grammar,
     "op3_string_kernel": op3_string_kernel,
+    "op4_warc_chunks": op4_warc_chunks,
+    "op5_duckdb_bpe": op5_duckdb_bpe,
+    "op6_vector_packing": op6_vector_packing,
+    "op7_huffman_ids": op7_huffman_ids,
     "op9_quality_forest": op9_quality_forest,
     "op10_similarity_sketch": op10_similarity_sketch,
 }

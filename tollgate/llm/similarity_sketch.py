@@ -9,10 +9,11 @@ coordinate with probability equal to their Jaccard similarity, and agreement
 concentrates as with independent coordinates.
 
 ``BANDS`` bands of ``ROWS`` coordinates give the buckets.  Candidates are
-verified on the full shingle sets.  Equal sets are one class from the start; a
-bucket then costs links to its smallest member (a star), not all pairs.
-Only where verified links leave a bucket in several components are
-the members outside its largest component compared with all others, so no
+verified on the full shingle sets.  Equal sets are one class from the start.
+Buckets are then joined in rounds: a leader by hash is compared with the
+members of other components (a star, not all pairs), first in a few bands, then
+in all.  In the buckets that are in several components after that, the
+members outside the largest one are compared with all others, so no
 link between components is lost.  A one-bit-per-coordinate summary screens
 pairs before the sets are fetched.  A bucket's rows are never gathered: every
 step is an aggregation or a join that Spark can split.
@@ -39,6 +40,8 @@ from tollgate.llm.graph import connected_components
 
 BANDS, ROWS = 32, 5
 COORDS = BANDS * ROWS
+#: Bands that each round of stars looks at.
+STAR_ROUNDS = (6, BANDS, BANDS, BANDS)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -226,25 +229,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "classes",
     )
     most = most_differing_bits(percent)
-    members = reps.select("rep", F.explode("bands").alias("bucket"))
-    buckets = materialise(
-        members.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1").select("bucket", "leader"),
-        "buckets",
-    )
+    members = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     shared = materialise(members.join(buckets, "bucket"), "members")  # only buckets with two members or more
     bits = reps.select("rep", "bits")
-    star = shared.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = verify_pairs(docs, materialise(screened(star, bits, most), "star-pairs"), width, percent)
-    component = connected_components(links, "dedup")
 
-    rest = materialise(screened(_across(shared, component), bits, most), "cross-pairs")
-    if not rest.isEmpty():
-        links = links.unionByName(verify_pairs(docs, rest, width, percent))
-        component = connected_components(links, "dedup")
+    component = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
+    for turn, last_band in enumerate(STAR_ROUNDS):
+        part = shared.where(F.col("band") < last_band)
+        component = _merge(docs, _stars(part, component, turn), bits, component, most, width, percent)
+    component = _merge(docs, _across(shared, component), bits, component, most, width, percent)
 
-    by_class = classes.join(component.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "set_key", F.coalesce("component", "rep").alias("component")
-    )
+    by_class = classes.join(component.select(F.col("id").alias("rep"), "component"), "rep").select("set_key", "component")
     return (
         sketched.select("doc_id", "n_shingles", "set_key")
         .join(by_class, "set_key", "left")
@@ -257,6 +253,44 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
+def _merge(docs, pairs, bits, component, most, width, percent) -> DataFrame:
+    """Components after the verified ones of ``pairs`` have been added."""
+    pairs = materialise(screened(pairs, bits, most), "pairs")
+    if pairs.isEmpty():
+        return component
+    links = verify_pairs(docs, pairs, width, percent)
+    a = component.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    b = component.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    between = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    up = connected_components(between, "dedup").select(F.col("id").alias("component"), F.col("component").alias("up"))
+    return materialise(
+        component.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component")), "components"
+    )
+
+
+def _placed(shared: DataFrame, component: DataFrame) -> DataFrame:
+    return shared.join(component.select(F.col("id").alias("rep"), "component"), "rep").select("bucket", "rep", "component")
+
+
+def _stars(shared: DataFrame, component: DataFrame, turn: int) -> DataFrame:
+    """In each bucket of several components a leader by hash, paired with
+    the members of other components."""
+    placed = _placed(shared, component)
+    by_hash = F.struct(F.xxhash64(F.lit(turn), "bucket", "rep").alias("h"), F.col("rep"), F.col("component"))
+    leaders = (
+        placed.groupBy("bucket")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(by_hash).alias("lead"))
+        .where("low <> high")
+        .select("bucket", F.col("lead.rep").alias("leader"), F.col("lead.component").alias("of"))
+    )
+    return (
+        placed.join(leaders, "bucket")
+        .where("component <> of")
+        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
+        .distinct()
+    )
+
+
 def screened(pairs: DataFrame, bits: DataFrame, most: int) -> DataFrame:
     return (
         pairs.join(bits.select(F.col("rep").alias("b"), F.struct("bits").alias("y")), "b")
@@ -269,9 +303,7 @@ def screened(pairs: DataFrame, bits: DataFrame, most: int) -> DataFrame:
 def _across(shared: DataFrame, component: DataFrame) -> DataFrame:
     """Pairs of one bucket in different components, each with an end outside
     the bucket's largest component."""
-    placed = shared.join(component.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component")
-    )
+    placed = _placed(shared, component)
     parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = (
         parts.groupBy("bucket")

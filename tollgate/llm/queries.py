@@ -14,7 +14,9 @@ from tollgate.llm.quality_forest import fit_quality, judge_quality
 from tollgate.llm.secret_grammar import find_secrets, learn_formats
 from tollgate.llm.similarity_sketch import near_duplicates
 from tollgate.llm.string_kernel import fit_toxicity, score_toxicity
+from tollgate.llm.subspace_join import near_vectors
 from tollgate.llm.tokens import library_encoder, word_end_encoder
+from tollgate.llm.trie_counts import count_tokens
 from tollgate.llm.vector_packing import pack_documents
 from tollgate.llm.warc_chunks import read_chunks, records, write_archives
 
@@ -24,6 +26,10 @@ def op1_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(docs, learn_formats(docs))
 
 
+def op2_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
@@ -56,6 +62,10 @@ def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, manifest)
 
 
+def op8_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return judge_quality(docs, fit_quality(docs, read(spark, sf_dir, "labels")))
@@ -67,11 +77,13 @@ def op10_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_grammar": op1_secret_grammar,
+    "op2_subspace_join": op2_subspace_join,
     "op3_string_kernel": op3_string_kernel,
     "op4_warc_chunks": op4_warc_chunks,
     "op5_duckdb_bpe": op5_duckdb_bpe,
     "op6_vector_packing": op6_vector_packing,
     "op7_huffman_ids": op7_huffman_ids,
+    "op8_trie_counts": op8_trie_counts,
     "op9_quality_forest": op9_quality_forest,
     "op10_similarity_sketch": op10_similarity_sketch,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tollgate.llm.common import read
 from tollgate.llm.duckdb_bpe import encode_digests
 from tollgate.llm.huffman_ids import read_documents, store_ids
+from tollgate.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry module
 from tollgate.llm.quality_forest import fit_quality, judge_quality
 from tollgate.llm.secret_grammar import find_secrets, learn_formats
 from tollgate.llm.similarity_sketch import near_duplicates
@@ -87,5 +88,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_forest": op9_quality_forest,
     "op10_similarity_sketch": op10_similarity_sketch,
 }
-
-ORACLE_SQL: dict[str, str] = {}

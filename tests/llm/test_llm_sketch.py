@@ -1,0 +1,126 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm_frames import awkward, documents, prose, words
+
+from tollgate.llm import similarity_sketch as S
+from tollgate.llm.graph import connected_components
+
+
+def sets_of(text, width):
+    w = words(text)
+    k = min(width, len(w))
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+
+
+def brute(docs, width, percent):
+    """{doc_id: (set size, component)} by comparing all pairs."""
+    sets = {d: sets_of(t, width) for d, t in docs}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            x, y = sets[a], sets[b]
+            both = len(x & y)
+            if x and y and 100 * both >= percent * (len(x) + len(y) - both):
+                ra, rb = sorted((find(a), find(b)))
+                parent[rb] = ra
+    return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+def near_copies(seed=1):
+    """Groups of copies, some exact, some edited a little or a lot, and a chain
+    whose ends are far apart."""
+    rng = random.Random(seed)
+    out, n = [], 0
+    for _ in range(12):
+        base = prose(rng, rng.choice([3, 30, 120, 400]), 3000).split()
+        for _ in range(rng.choice([1, 2, 6])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 3, len(copy) // 12, len(copy) // 4])):
+                copy[rng.randrange(len(copy))] = "e" + str(rng.randrange(10_000))
+            out.append((n, " ".join(copy)))
+            n += 1
+    chain = prose(rng, 200, 3000).split()
+    for k in range(25):
+        out.append((n, " ".join(chain)))
+        n += 1
+        for _ in range(3):
+            chain[rng.randrange(200)] = f"c{k}-{rng.randrange(1000)}"
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_components_equal_brute_force(spark, width):
+    docs = near_copies()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in S.near_duplicates(documents(spark, docs), width, 80).collect()}
+    assert got == brute(docs, width, 80)
+
+
+def test_awkward_rows(spark):
+    got = S.near_duplicates(documents(spark, awkward()), 2, 80).collect()
+    assert len(got) == len(awkward())
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append((r.n_shingles, r.component_id, r.kept))
+    assert by[1] == by[2][:0] + [(0, 1, True)] and by[2] == [(0, 2, True)] and by[3] == [(0, 3, True)]
+    assert by[4] == [(1, 4, True)] and by[10] == [(1, 4, False)]  # one word each, equal
+    assert by[6] == [(3, 6, True)] * 2
+    assert by[None] == [(2, None, True)]
+    assert by[5][0][0] == len(sets_of(dict(awkward())[5], 2))
+
+
+def test_empty_table(spark):
+    out = S.near_duplicates(documents(spark, []), 2, 80)
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and out.count() == 0
+
+
+def test_set_size_counts_shingles():
+    for _, text in awkward():
+        assert len(S.shingle_set(text, 2)) == len(sets_of(text, 2))
+
+
+def test_sketch_fills_and_agrees_with_similarity():
+    rng = np.random.default_rng(4)
+    errors = []
+    for size in (1, 2, 7, 150, 3000):
+        common = rng.integers(0, 2**63, size).astype(np.uint64)
+        own = [rng.integers(0, 2**63, max(0, size // 4)).astype(np.uint64) for _ in range(2)]
+        a, b = (np.unique(np.concatenate([common, o])) for o in own)
+        sketch = S.sketches([a, b])
+        assert not (sketch == np.uint64(2**64 - 1)).any()
+        jaccard = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        errors.append(abs((sketch[0] == sketch[1]).mean() - jaccard))
+    assert max(errors) < 0.2
+
+
+def test_equal_sets_have_equal_sketches_whatever_the_batch():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 3, 40, 900)]
+    together = S.sketches(sets)
+    for k, s in enumerate(sets):
+        assert (S.sketches([s])[0] == together[k]).all()
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 14), st.integers(0, 14)), max_size=20))
+def test_connected_components(spark, edges):
+    df = spark.createDataFrame(edges or [], "a long, b long")
+    got = {r.id: r.component for r in connected_components(df).collect()}
+    label = {v: v for e in edges if e[0] != e[1] for v in e}
+    for _ in range(20):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    assert got == label

@@ -1,0 +1,199 @@
+"""Archives, vectors, the pipeline, and the registered queries."""
+
+import base64
+import hashlib
+import io
+import math
+import random
+
+import numpy as np
+import pytest
+
+from conftest import SF_SMALL
+from llm_frames import documents
+from oracle_check import compare
+
+import corpus_pipeline
+from tollgate.llm import queries
+from tollgate.llm import subspace_join as J
+from tollgate.llm import warc_chunks as W
+from tollgate.llm.common import read
+
+
+# -- archives --------------------------------------------------------------
+def pages(spark, rows):
+    return spark.createDataFrame(
+        [(p, u, h, 1, "x", None) for p, u, h in rows],
+        "page_id long, url string, html string, payload_bytes long, record_type string, path string",
+    )
+
+
+PAGES = [
+    (1, "http://a/", "<p>one</p>"), (2, "http://b/", "<p>one</p>"), (9, None, "<p>one</p>"), (3, "http://c/", None), (4, "u", ""),
+    (5, "bad\r\nurl", "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"), (6, "é", "é中" * 70_000), (7, "long", "x" * 300_000),
+    (None, "n", "<p>one</p>"), (None, None, None), (8, "r", "same"), (8, "r", "same"), (10, "t", "ab\r\n\r\n"), (11, "t", "ab\r\n\r\n"),
+]
+
+
+def test_archives_round_trip(spark):
+    manifest = W.write_archives(pages(spark, PAGES).repartition(3))
+    chunks = W.read_chunks(manifest, chunk=1000)
+    out = W.records(chunks).collect()
+    assert len(out) == len(PAGES)
+    want = {}
+    for p, _, h in PAGES:
+        payload = (h or "").encode()
+        last = max([q for q, _, x in PAGES if q is not None and (x or "") == (h or "")], default=None)
+        first = p is None or p == last
+        want.setdefault(p, []).append(
+            (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(), "response" if first else "revisit", None if first else last)
+        )
+    for r in out:
+        want[r.page_id].remove((r.payload_bytes, r.payload_digest, r.record_type, r.refers_to))
+    assert not any(want.values())
+    # Chunks in order give the payload, and each digest is that of the bytes so far.
+    rows = sorted((r for r in chunks.collect() if r.record_id == "<urn:page:6>"), key=lambda r: r.chunk_no)
+    data = b""
+    for k, r in enumerate(rows):
+        data += bytes(r.data)
+        assert r.chunk_no == k and r.n_bytes == len(r.data) <= 1000 and r.bytes_so_far == len(data)
+        assert base64.b32decode(r.digest_so_far) == hashlib.sha1(data).digest()
+    assert data == ("é中" * 70_000).encode() and [r.last for r in rows] == [False] * (len(rows) - 1) + [True]
+
+
+def test_small_payloads_are_all_responses(spark):
+    out = W.records(W.read_chunks(W.write_archives(pages(spark, PAGES), min_bytes=8))).collect()
+    kinds = {r.page_id: r.record_type for r in out}
+    assert kinds[1] == "revisit" and kinds[9] == "response" and kinds[10] == kinds[11] == "response" and kinds[3] == kinds[4] == "response"
+
+
+def test_one_page_id_with_two_payloads(spark):
+    rows = [(1, "u", "aaa"), (1, "u", "bbb"), (2, "u", "aaa")]
+    out = sorted((r.page_id, r.record_type, r.refers_to or 0, r.payload_bytes) for r in W.records(W.read_chunks(W.write_archives(pages(spark, rows)))).collect())
+    assert out == [(1, "response", 0, 3), (1, "revisit", 2, 3), (2, "response", 0, 3)]
+
+
+def test_empty_pages(spark):
+    assert W.records(W.read_chunks(W.write_archives(pages(spark, [])))).count() == 0
+
+
+def test_truncated_archives_are_errors():
+    out = io.BytesIO()
+    W.write_record(out, {"WARC-Type": "response", "WARC-Record-ID": "<urn:page:1>"}, b"hello" * 100)
+    raw = out.getvalue()
+    whole = [b"".join(body) for _, body in W.read_records(io.BytesIO(raw * 2), 7)]
+    assert whole == [b"hello" * 100] * 2
+    for cut in (10, 40, len(raw) - 200):
+        with pytest.raises(ValueError):
+            for _, body in W.read_records(io.BytesIO(raw[:cut]), 7):
+                for _ in body:
+                    pass
+
+
+# -- vectors -----------------------------------------------------------------
+def brute(rows, cosine):
+    ids = [r[0] for r in rows]
+    linked = {k: [] for k in range(len(rows))}
+    for i, (_, a, la) in enumerate(rows):
+        for j, (_, b, lb) in enumerate(rows):
+            if i != j and la is not None and la == lb and J.usable(a) and J.usable(b) and len(a) == len(b) and None not in (ids[i], ids[j]):
+                x, y = np.float64(np.float32(a)), np.float64(np.float32(b))
+                if x @ y / math.sqrt((x @ x) * (y @ y)) >= cosine:
+                    linked[i].append(j)
+    out = []
+    for i in range(len(rows)):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in linked[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        out.append((ids[i], len(linked[i]), ids[i] if ids[i] is None else min(ids[j] for j in seen)))
+    return sorted(out, key=str)
+
+
+def vectors(spark, rows):
+    schema = "vec_id long, embedding array<float>, label int, rep long, n long, block int, strip int, kept string"
+    return spark.createDataFrame([(v, e, la, 1, 2, 3, 4, "z") for v, e, la in rows], schema)
+
+
+def test_links_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(J, "CHUNK", 40)
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((6, 16))
+    rows = []
+    for k in range(260):
+        v = centres[rng.integers(6)] + rng.standard_normal(16) * rng.choice([0.02, 0.2, 0.5])
+        rows.append((k, [float(np.float32(x)) for x in v * rng.choice([1e-3, 1, 50])], int(rng.integers(3))))
+    rows += [(1000 + k, rows[0][1], rows[0][2]) for k in range(30)]  # copies
+    nan, inf = float("nan"), float("inf")
+    rows += [(2000, None, 1), (2001, [], 1), (2002, [0.0] * 16, 1), (2003, [nan] + [1.0] * 15, 1), (2004, [None] + [1.0] * 15, 1),
+             (2005, [inf] + [1.0] * 15, 1), (2006, rows[0][1], None), (None, rows[0][1], rows[0][2]), (2007, [1.0, 2.0], 1), (2008, [2.0, 4.0], 1),
+             (2009, [-0.0] + [1.0] * 15, 0), (2010, [0.0] + [1.0] * 15, 0), (0, rows[0][1], rows[0][2])]
+    got = J.near_vectors(vectors(spark, rows), 0.93).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows, 0.93)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 7])
+def test_any_number_of_blocks_finds_every_link(blocks):
+    rng = np.random.default_rng(2)
+    a = rng.standard_normal((80, 10))
+    b = a[rng.integers(0, 80, 120)] + 0.3 * rng.standard_normal((120, 10))
+    found = set()
+    for block in range(len(J.block_edges(10, blocks))):
+        pairs = set(zip(*map(lambda x: x.tolist(), J.links_within(a, b, block, blocks, 0.9))))
+        assert not pairs & found  # counted in one block only
+        found |= pairs
+    cos = J.unit(a) @ J.unit(b).T
+    assert found == set(zip(*map(lambda x: x.tolist(), np.nonzero(cos >= 0.9))))
+
+
+def test_empty_vectors(spark):
+    out = J.near_vectors(vectors(spark, []))
+    assert out.columns == ["vec_id", "n_links", "component_id", "kept"] and out.count() == 0
+
+
+# -- pipeline ----------------------------------------------------------------
+def test_pipeline_stages(spark):
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "toxicity", "near_dedup", "secret_scan", "best_fit_packing"]
+    docs = read(spark, SF_SMALL, "documents")
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, left, SF_SMALL)
+        assert out.columns == corpus_pipeline.COLUMNS, name
+        left = spark.createDataFrame(out.collect(), out.schema)
+    ids = {r.doc_id for r in left.collect()}
+    packed = corpus_pipeline.STAGES[-1][1](spark, left, SF_SMALL)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == ids
+    run = corpus_pipeline.run(spark, SF_SMALL)
+    assert {r.doc_id for r in run.select("doc_id").distinct().collect()} == ids
+    # Each stage's own operator, applied afterwards, finds nothing more to do.
+    texts = [r.text for r in left.collect()]
+    from test_llm_text_ops import plain_base
+
+    assert not any(plain_base(t) for t in texts)
+    assert 0.5 * docs.count() < len(ids) < docs.count()
+
+
+def test_pipeline_stages_take_awkward_rows(spark):
+    rng = random.Random(1)
+    rows = [(1, None), (2, ""), (None, "word " * 3), (3, "x" * 5000), (4, " ".join(f"w{rng.randrange(9999)}" for _ in range(80)))]
+    rows += [(5, rows[-1][1]), (4, rows[-1][1])]
+    for name, stage in corpus_pipeline.STAGES:
+        for data in (rows, []):
+            assert stage(spark, documents(spark, data), SF_SMALL).count() >= 0, name
+
+
+# -- registered queries ----------------------------------------------------------
+def test_one_query_per_operator():
+    names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query_matches_its_oracle_or_runs(spark, name):
+    got = compare(spark, name, SF_SMALL, queries.QUERIES[name], queries.ORACLE_SQL.get(name))
+    assert got["status"] in ("match", "rows-only"), got
+    assert got["spark_rows"] > 0

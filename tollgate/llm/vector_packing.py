@@ -127,7 +127,7 @@ def _pack_shards(pieces: DataFrame, rows: int, capacity: Capacity, turn: int) ->
     """Pack shards of about SHARD rows; sequence ids are distinct over turns."""
     shards = max(1, math.ceil(rows / SHARD))
 
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "piece", "start", "ids_crc32"], kind="stable")
         sequence, offset = best_fit(frame["length"].to_numpy(), capacity)
         base = (turn << 60) + (int(key[0]) << 28)

@@ -68,6 +68,16 @@ def test_components_equal_brute_force(spark, width):
     assert got == brute(docs, width, 80)
 
 
+def test_blocks_equal_brute_force(spark, monkeypatch):
+    """Buckets of several components compared block by block."""
+    monkeypatch.setattr(S, "FEW_PAIRS", 0)
+    monkeypatch.setattr(S, "BLOCK", 4)
+    monkeypatch.setattr(S, "STAR_ROUNDS", (1,))
+    docs = near_copies(2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in S.near_duplicates(documents(spark, docs), 2, 80).collect()}
+    assert got == brute(docs, 2, 80)
+
+
 def test_awkward_rows(spark):
     got = S.near_duplicates(documents(spark, awkward()), 2, 80).collect()
     assert len(got) == len(awkward())

@@ -13,8 +13,9 @@ verified on the full shingle sets.  Equal sets are one class from the start.
 Buckets are then joined in rounds: a leader by hash is compared with the
 members of other components (a star, not all pairs), first in a few bands, then
 in all.  In the buckets that are in several components after that, the
-members outside the largest one are compared with all others, so no
-link between components is lost.  A one-bit-per-coordinate summary screens
+members outside the largest one are compared with all others (in large
+buckets block by block, without a row per pair), so no link between components
+is lost.  A one-bit-per-coordinate summary screens
 pairs before the sets are fetched.  A bucket's rows are never gathered: every
 step is an aggregation or a join that Spark can split.
 
@@ -32,6 +33,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,10 @@ from tollgate.llm.graph import connected_components
 BANDS, ROWS = 32, 5
 COORDS = BANDS * ROWS
 #: Bands that each round of stars looks at.
-STAR_ROUNDS = (6, BANDS, BANDS, BANDS)
+STAR_ROUNDS = (6, BANDS, BANDS)
+#: Pairs across components up to which a bucket is compared pair by pair, and
+#: members of a block in larger ones.
+FEW_PAIRS, BLOCK = 100, 256
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -184,13 +189,17 @@ def _verified(cols, percent):
     return {"a": np.array(cols["a"])[keep], "b": np.array(cols["b"])[keep]}
 
 
+def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``doc_id, shingles`` of the documents with the given ids."""
+    texts = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+    sets = map_batches(texts, _set_columns, "doc_id long, shingles binary", width).dropDuplicates(["doc_id"])
+    return materialise(sets, "shingle-sets", batch_rows=1000)
+
+
 def verify_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets are similar enough.  Only
     documents of some pair are read for their sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = map_batches(texts, _set_columns, "doc_id long, shingles binary", width).dropDuplicates(["doc_id"])
-    sets = materialise(sets, "shingle-sets", batch_rows=1000)
+    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), width)
     both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b").join(
         sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a"
     )
@@ -238,7 +247,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     for turn, last_band in enumerate(STAR_ROUNDS):
         part = shared.where(F.col("band") < last_band)
         component = _merge(docs, _stars(part, component, turn), bits, component, most, width, percent)
-    component = _merge(docs, _across(shared, component), bits, component, most, width, percent)
+    inside = materialise(_mixed(shared, component), "mixed")
+    few = F.col("n") * F.col("outside") <= FEW_PAIRS
+    links = verify_pairs(docs, materialise(screened(_pairs_across(inside.where(few)), bits, most), "pairs"), width, percent)
+    component = _joined(
+        component,
+        _between(links, component).unionByName(_blocks_across(docs, inside.where(~few), width, percent)),
+    )
 
     by_class = classes.join(component.select(F.col("id").alias("rep"), "component"), "rep").select("set_key", "component")
     return (
@@ -258,10 +273,17 @@ def _merge(docs, pairs, bits, component, most, width, percent) -> DataFrame:
     pairs = materialise(screened(pairs, bits, most), "pairs")
     if pairs.isEmpty():
         return component
-    links = verify_pairs(docs, pairs, width, percent)
+    return _joined(component, _between(verify_pairs(docs, pairs, width, percent), component))
+
+
+def _between(links: DataFrame, component: DataFrame) -> DataFrame:
+    """Links of documents as links of their components."""
     a = component.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     b = component.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    between = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    return links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+
+def _joined(component: DataFrame, between: DataFrame) -> DataFrame:
     up = connected_components(between, "dedup").select(F.col("id").alias("component"), F.col("component").alias("up"))
     return materialise(
         component.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component")), "components"
@@ -300,22 +322,27 @@ def screened(pairs: DataFrame, bits: DataFrame, most: int) -> DataFrame:
     )
 
 
-def _across(shared: DataFrame, component: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components, each with an end outside
-    the bucket's largest component."""
+def _mixed(shared: DataFrame, component: DataFrame) -> DataFrame:
+    """Members of the buckets that are in several components, with the bucket's
+    largest component, its size ``n`` and the number of members ``outside`` it."""
     placed = _placed(shared, component)
-    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = (
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    buckets = (
         parts.groupBy("bucket")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("top"))
+        .agg(F.count("*").alias("parts"), F.sum("size").alias("n"), F.max(F.struct("size", "component")).alias("top"))
         .where("parts > 1")
-        .select("bucket", F.col("top.component").alias("largest"))
+        .select("bucket", "n", (F.col("n") - F.col("top.size")).alias("outside"), F.col("top.component").alias("largest"))
     )
-    inside = materialise(placed.join(mixed, "bucket"), "mixed")
-    minor = inside.where("component <> largest")
+    return placed.join(buckets, "bucket")
+
+
+def _pairs_across(inside: DataFrame) -> DataFrame:
+    """Pairs of one bucket in different components; each has an end outside the
+    largest one.  For buckets with few such pairs."""
+    outside = inside.where("component <> largest")
     return (
         inside.alias("m")
-        .join(minor.alias("o"), "bucket")
+        .join(outside.alias("o"), "bucket")
         .where(
             (F.col("m.component") != F.col("o.component"))
             & ((F.col("m.component") == F.col("m.largest")) | (F.col("m.rep") < F.col("o.rep")))
@@ -323,3 +350,48 @@ def _across(shared: DataFrame, component: DataFrame) -> DataFrame:
         .select(F.least("m.rep", "o.rep").alias("a"), F.greatest("m.rep", "o.rep").alias("b"))
         .distinct()
     )
+
+
+def _blocks_across(docs: DataFrame, inside: DataFrame, width: int, percent: int) -> DataFrame:
+    """The same comparison for buckets with many pairs, block by block: chunks of
+    the members outside the largest component meet chunks of all members, and a
+    task gives the links between components that it finds, not pairs."""
+    ids = inside.select(F.col("rep").alias("doc_id")).distinct()
+    sets = _sets(docs, ids, width)
+    chunks = [F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("n", "outside")]
+    dealt = inside.withColumns({"members": chunks[0], "others": chunks[1], "key": F.xxhash64("rep")})
+    mine = F.pmod("key", F.col("members")).cast("int")
+    other = F.pmod("key", F.col("others")).cast("int")
+    columns = ["bucket", "rep", "component"]
+    units = dealt.select(
+        *columns, F.lit(False).alias("out"), mine.alias("j"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i")
+    ).unionByName(
+        dealt.where("component <> largest").select(
+            *columns, F.lit(True).alias("out"), other.alias("i"), F.explode(F.sequence(F.lit(0), F.col("members") - 1)).alias("j")
+        )
+    )
+    units = units.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        return _compare_block(frame, percent)
+
+    return materialise(units.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct(), "block-links")
+
+
+def _compare_block(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    frame = frame.sort_values("rep", kind="stable")
+    members, others = frame[~frame["out"]], frame[frame["out"]]
+    found: set = set()
+    if len(members) and len(others):
+        sets = [np.frombuffer(b, np.uint64) for b in members["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        of = members["component"].to_numpy()
+        for own, blob in zip(others["component"].tolist(), others["shingles"]):
+            mine = np.frombuffer(blob, np.uint64)
+            has = np.isin(known, mine, assume_unique=True)
+            both = np.add.reduceat(has[codes].astype(np.int64), starts)
+            close = (100 * both >= percent * (sizes + len(mine) - both)) & (of != own)
+            found |= {(min(own, c), max(own, c)) for c in np.unique(of[close]).tolist()}
+    return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")

@@ -17,21 +17,54 @@ def _formatted(df):
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-def test_rating_and_billing_share_one_clustering(spark):
-    tb = Testbed(spark, SF_SMALL, spread_input=False)  # the plan of a many-split input
-    _, bills = rate_and_bill(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
-    text = _formatted(bills)
-    # one exchange for the usage pre-aggregation, one repartition by customer_id;
-    # the customer join, plan aggregation and billing add none.
-    exchanges = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
-    assert len(exchanges) == 2, text
-    assert exchanges[1].startswith("customer_id#") and exchanges[1].count(",") == 1
-    # the usage side is never broadcast: only customers, nation and the price book
-    assert len(re.findall(r"^\(\d+\) BroadcastExchange", text, re.M)) == 3
+def _jobs_run(spark, build):
+    """Jobs started while ``build`` makes a frame."""
+    tracker = spark.sparkContext.statusTracker()
+    group = f"build-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "building")
+    try:
+        build()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_operators_run_no_job(spark, tmp_dir):
+    from tollgate import bill_monthly, cdr_with_plan, rate_monthly
+    from tollgate.operators.rating import latest_runs, with_run
+
+    tb = Testbed(spark, SF_SMALL)
+    tb.rates().write.parquet(f"{tmp_dir}/rates")
+    cdr, customers, stored = normalised_direct(tb.raw_records()), tb.customers(), spark.read.parquet(f"{tmp_dir}/rates")
+    for rates in (tb.rates(), stored):
+        assert _jobs_run(spark, lambda: bill_monthly(latest_runs(with_run(rate_monthly(cdr, customers, rates), 1)))) == 0
+    assert _jobs_run(spark, lambda: cdr_with_plan(cdr, customers)) == 0
+    assert _jobs_run(spark, lambda: Q.check(customers, Q.CUSTOMER_RULES)) == 0
+
+
+def test_no_single_partition_before_a_join(spark, tmp_dir):
+    tb = Testbed(spark, SF_SMALL)
+    tb.rates().write.parquet(f"{tmp_dir}/rates")
+    _, bills = rate_and_bill(normalised_direct(tb.raw_records()), tb.customers(), spark.read.parquet(f"{tmp_dir}/rates"))
+    assert "SinglePartition" not in _formatted(bills)
+
+
+def test_rated_usage_is_shuffled_once(spark):
+    """With customers that AQE broadcasts from their measured size, the usage is
+    shuffled for its aggregation only."""
+    tb = Testbed(spark, SF_SMALL)
+    rated, _ = rate_and_bill(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
+    rated.collect()
+    final = rated._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    usage = [line for line in final.splitlines() if re.search(r"Exchange hashpartitioning\(customer_id#\d+, record_type#\d+", line)]
+    assert len(usage) == 1, final
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final.split("Nation")[0].split("n_name")[0]
+    # a price book in the plan is broadcast; the usage never is
+    assert final.count("BroadcastExchange") >= 2
 
 
 def test_scan_prunes_columns(spark):
-    tb = Testbed(spark, SF_SMALL, spread_input=False)  # the plan of a many-split input
+    tb = Testbed(spark, SF_SMALL)
     _, bills = rate_and_bill(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
     text = _formatted(bills)
     schemas = re.findall(r"ReadSchema: (struct<[^\n]*>)", text)
@@ -68,41 +101,28 @@ def test_split_parses_each_message_once(spark):
         assert plan.count("from_json(") == 2, plan
 
 
-def test_spread_only_when_input_is_narrower_than_the_cores(spark, tmp_dir):
-    from tollgate.sources.files import spread
+def test_fk_check_shuffles_the_child_once(spark):
+    tb = Testbed(spark, SF_SMALL)
+    text = _formatted(Q.check_fk(tb.table("orders"), tb.table("customer"), ["o_custkey"], ["c_custkey"]))
+    assert "LeftAnti" in text
+    # one for the child rows, one for the distinct parent keys; the child is scanned once
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 2
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 2
 
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert one.rdd.getNumPartitions() < cores
-    assert spread(one, "event_id").rdd.getNumPartitions() == cores
-    spark.range(0, 1000, numPartitions=cores).write.parquet(f"{tmp_dir}/wide")
-    wide = spark.read.parquet(f"{tmp_dir}/wide")
-    assert spread(wide, "id") is wide  # already as wide as the cluster: no shuffle
 
+def test_fk_check_against_rows_in_the_plan_shuffles_nothing(spark):
+    from tollgate.sources.reference import rate_plans
 
-def test_fk_check_deduplicates_child_keys_before_joining(spark):
-    # With broadcasts off, as for a parent too large to broadcast: the child
-    # keys are deduplicated map-side before their exchange, and the join
-    # reuses that partitioning (no anti join pushed below the distinct).
     tb = Testbed(spark, SF_SMALL)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = Q.check_fk(tb.table("orders"), tb.table("customer"), ["o_custkey"], ["c_custkey"])
-        text = _formatted(df)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    tree = text.split("\n\n\n")[0]
-    assert "LeftAnti" not in tree and "SortMergeJoin LeftOuter" in tree
-    # three exchanges: child rows, distinct child keys, distinct parent keys
-    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 3
+    text = _formatted(Q.check_fk(tb.customers(), rate_plans(spark), ["rate_plan_id"]))
+    assert "LeftAnti" in text and "BroadcastHashJoin" in text
 
 
 def test_mediation_and_normalisation_are_narrow(spark):
     from tollgate.operators.mediation import split
     from tollgate.plans.chain import mediated_from_messages
 
-    tb = Testbed(spark, SF_SMALL, spread_input=False)  # the plan of a many-split input
+    tb = Testbed(spark, SF_SMALL)
     valid, invalid = split(mediated_from_messages(tb.raw_messages()))
     for df in (valid, invalid, normalised_direct(tb.raw_records())):
         text = _formatted(df)

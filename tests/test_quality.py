@@ -45,8 +45,7 @@ def test_declared_rules_hold_on_seed_tables(spark):
     tables = {"rate_plans": rate_plans(spark), "products": products(spark), "product_rates": product_rates(spark)}
     rules = {"rate_plans": Q.RATE_PLAN_RULES, "products": Q.PRODUCT_RULES, "product_rates": Q.PRODUCT_RATE_RULES}
     for name, df in tables.items():
-        for rule, bad in Q.check(df, rules[name], parents=tables).items():
-            assert bad.count() == 0, (name, rule)
+        assert Q.check(df, rules[name], parents=tables).collect() == [], name
 
 
 def test_declared_rules_catch_violations(spark):
@@ -54,9 +53,22 @@ def test_declared_rules_catch_violations(spark):
         [("+1", "c", "prepaid", "RP1", None, "active", None), ("+1", "d", "postpaid", "RP1", None, "closed", None)],
         "customer_id string, customer_name string, subscription_type string, rate_plan_id string, "
         "activation_date date, status string, region string")
-    found = {k: v.count() for k, v in Q.check(df, Q.CUSTOMER_RULES).items()}
-    assert found == {"not_null:customer_id": 0, "unique:customer_id": 1,
-                     "allowed:subscription_type": 1, "allowed:status": 1}
+    found = {(r.rule.split(" in ")[0], r.value): r.n_rows for r in Q.check(df, Q.CUSTOMER_RULES).collect()}
+    assert found == {("unique(customer_id)", '{"customer_id":"+1"}'): 2,
+                     ("allowed(subscription_type)", '{"subscription_type":"prepaid"}'): 1,
+                     ("allowed(status)", '{"status":"closed"}'): 1}
+
+
+def test_no_rule_is_lost(spark):
+    """Two foreign keys, and two lists of allowed values, on one column."""
+    child = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    parents = {"p1": spark.createDataFrame([("a",)], "k string"), "p2": spark.createDataFrame([("b",)], "k string")}
+    rules = [Q.Rule("fk", ("k",), parent="p1"), Q.Rule("fk", ("k",), parent="p2"),
+             Q.Rule("allowed", ("k",), allowed=("a",)), Q.Rule("allowed", ("k",), allowed=("b",)), Q.Rule("not_null", ("k",))]
+    found = sorted((r.rule, r.value, r.n_rows) for r in Q.check(child, rules, parents).collect())
+    assert found == [("allowed(k) in (a)", '{"k":"b"}', 2), ("allowed(k) in (b)", '{"k":"a"}', 1),
+                     ("fk(k) -> p1(k)", '{"k":"b"}', 2), ("fk(k) -> p2(k)", '{"k":"a"}', 1), ("not_null(k)", "{}", 1)]
+    assert Q.check(child, []).count() == 0
 
 
 def test_row_counts(spark):

@@ -120,12 +120,14 @@ def test_units_by_type_are_double(spark):
     assert sorted(r.consumption_units for r in out.collect()) == [1.0, 2.5, 7.0]
 
 
-def test_price_forced_and_checked_broadcast_agree(spark):
+def test_price_broadcast_and_salted_agree(spark, tmp_dir):
     cons = spark.createDataFrame([("+1", "RP1", "data", "2025-06", 150.0)],
                                  "customer_id string, rate_plan_id string, record_type string, year_month string, total_consumption_units double")
-    a = price(cons, product_rates(spark), broadcast_rates=True).collect()
-    b = price(cons, product_rates(spark), broadcast_rates=False).collect()
-    c = price(cons, product_rates(spark), broadcast_rates="auto").collect()
+    a = price(cons, product_rates(spark)).collect()  # rows in the plan: broadcast
+    product_rates(spark).write.parquet(f"{tmp_dir}/rates")
+    stored = spark.read.parquet(f"{tmp_dir}/rates")  # salted
+    b = price(cons, stored).collect()
+    c = price(cons, stored, salts=1).collect()
     assert a == b == c and a[0].cost == pytest.approx(2.5)
 
 
@@ -205,7 +207,8 @@ def test_record_level_join_splits_a_hot_subscriber(spark):
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}  # customers too large to broadcast
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -219,7 +222,7 @@ def test_record_level_join_splits_a_hot_subscriber(spark):
             F.col("id").alias("duration_sec"), F.lit(0.0).alias("data_volume_mb"),
             F.lit(0).cast("long").alias("session_duration_sec"), F.lit(T).cast("timestamp").alias("timestamp"))
         cust = _customers(spark, [(f"+{i}", "RP1", "active") for i in range(1, 402)])
-        out = cdr_with_plan(cdr, cust, broadcast_customers=False)
+        out = cdr_with_plan(cdr, cust)
         rows = out.collect()
         assert len(rows) == n and sum(1 for r in rows if r.customer_id == "+1") == (n + 2) // 3
         plan = out._jdf.queryExecution().executedPlan().toString()

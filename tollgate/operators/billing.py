@@ -24,19 +24,18 @@ def bill_monthly(rated: DataFrame, plan_pick: str = "min") -> DataFrame:
     unique in the customer table, one rating run billed); a customer with two
     plans in a month then gets one bill per plan.
     """
+    keys = ["customer_id", "year_month"]
+    totals = [F.sum("cost").alias("total_amount"), F.countDistinct("record_type").alias("num_services")]
     if plan_pick == "key":
-        return rated.groupBy("customer_id", "year_month", "rate_plan_id").agg(
-            F.sum("cost").alias("total_amount"),
-            F.countDistinct("record_type").alias("num_services"),
-        ).select("customer_id", "year_month", "total_amount", "num_services", "rate_plan_id")
-    if plan_pick == "min":
-        plan = F.min("rate_plan_id")
-    elif plan_pick == "first":
-        plan = F.first("rate_plan_id")
+        bills = rated.groupBy(*keys, "rate_plan_id").agg(*totals)
+    elif plan_pick in ("min", "first"):
+        pick = F.min if plan_pick == "min" else F.first
+        bills = rated.groupBy(*keys).agg(*totals, pick("rate_plan_id").alias("rate_plan_id"))
     else:
         raise ValueError(f"unknown plan_pick {plan_pick!r}")
-    return rated.groupBy("customer_id", "year_month").agg(
-        F.sum("cost").alias("total_amount"),
-        F.countDistinct("record_type").alias("num_services"),
-        plan.alias("rate_plan_id"),
-    )
+    return bills.select(*keys, "total_amount", "num_services", "rate_plan_id")
+
+
+def preview(df: DataFrame, rows: int = 20) -> DataFrame:
+    """Any ``rows`` rows, to look at; which ones is not defined."""
+    return df.limit(rows)

@@ -3,8 +3,7 @@
 A database rejects violating rows on insert; Spark tables do not, so each
 constraint becomes a job that returns the violations.  All checks are
 distributed: key checks aggregate with map-side combine (a hot key is
-collapsed per task before the shuffle) and foreign keys are checked on
-distinct keys before touching the child rows again.
+collapsed per task before the shuffle), and foreign keys are one anti join.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.plans.joins import bounded
+
 
 def check_allowed(df: DataFrame, column: str, allowed: Iterable) -> DataFrame:
     """Rows whose ``column`` is set and outside ``allowed`` (NULL passes, as
@@ -53,28 +54,18 @@ def check_fk(
 ) -> DataFrame:
     """Child rows whose (non-null) key has no parent row.
 
-    The anti join runs on *distinct* child keys, so a key that holds a large
-    share of the child rows is one row there; only the missing keys are
-    joined back to the child rows (a semi join that AQE splits if one
-    missing key is hot).
+    One anti join of the child rows with the distinct parent keys: the child is
+    scanned and shuffled once (not at all when the parent is broadcast), and AQE
+    splits a hot child key.
     """
     cols = list(columns)
     pcols = list(parent_columns) if parent_columns is not None else cols
-    keys = child.select(*cols).filter(~check_null_any(cols)).distinct()
-    parent_keys = (
-        parent.select(*[F.col(p).alias(c) for p, c in zip(pcols, cols)])
-        .distinct()
-        .withColumn(_FOUND, F.lit(True))
-    )
-    # A left outer join and a null test rather than an anti join: Catalyst
-    # would push an anti join below the ``distinct`` and join every child
-    # key; this way the keys are deduplicated first (map-side) and the join
-    # reuses the deduplication's partitioning.
-    missing = keys.join(parent_keys, cols, "left").filter(F.col(_FOUND).isNull()).drop(_FOUND)
-    return child.join(missing, cols, "left_semi")
-
-
-_FOUND = "_parent_found"
+    keys = parent.select(*[F.col(p).alias(c) for p, c in zip(pcols, cols)])
+    if bounded(keys):
+        keys = F.broadcast(keys)
+    else:
+        keys = keys.distinct()
+    return child.filter(~check_null_any(cols)).join(keys, cols, "left_anti")
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -108,25 +99,47 @@ class Rule:
 
     @property
     def name(self) -> str:
-        return f"{self.kind}:{','.join(self.columns)}"
-
-
-def check(df: DataFrame, rules: Iterable[Rule], parents: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Violations per rule (lazy frames; nothing runs until they are used)."""
-    out: dict[str, DataFrame] = {}
+        """Tells rules apart: two rules on one column differ in what they
+        allow, or in their parent."""
+        out = f"{self.kind}({', '.join(self.columns)})"
+        if self.kind == "allowed":
+            out += f" in ({', '.join(map(str, self.allowed))})"
+        if self.kind == "fk":
+            out += f" -> {self.parent}({', '.join(self.parent_columns or self.columns)})"
+        return out
+
+
+def violations(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The violating rows of one rule (for ``unique``: key values and counts)."""
+    if rule.kind == "allowed":
+        return check_allowed(df, rule.columns[0], rule.allowed)
+    if rule.kind == "not_null":
+        return check_not_null(df, rule.columns)
+    if rule.kind == "unique":
+        return check_unique(df, rule.columns)
+    if rule.kind == "fk":
+        return check_fk(df, (parents or {})[rule.parent], rule.columns, rule.parent_columns or rule.columns)
+    raise ValueError(f"unknown rule kind {rule.kind!r}")
+
+
+def check(df: DataFrame, rules: Iterable[Rule], parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """All violations as one frame ``(rule, value, n_rows)``: a row per rule and
+    distinct violating value of the rule's columns (JSON, nulls left out).
+
+    The count per value combines map-side, so a value that violates a rule in a
+    third of the rows is one row per task.  Lazy; no rule gives no rows."""
+    parts = []
     for rule in rules:
-        if rule.kind == "allowed":
-            out[rule.name] = check_allowed(df, rule.columns[0], rule.allowed)
-        elif rule.kind == "not_null":
-            out[rule.name] = check_not_null(df, rule.columns)
-        elif rule.kind == "unique":
-            out[rule.name] = check_unique(df, rule.columns)
-        elif rule.kind == "fk":
-            parent = (parents or {})[rule.parent]
-            out[rule.name] = check_fk(df, parent, rule.columns, rule.parent_columns or rule.columns)
-        else:
-            raise ValueError(f"unknown rule kind {rule.kind!r}")
-    return out
+        found = violations(df, rule, parents)
+        count = F.sum("n_rows") if rule.kind == "unique" else F.count(F.lit(1))
+        parts.append(
+            found.groupBy(F.to_json(F.struct(*rule.columns)).alias("value"))
+            .agg(count.alias("n_rows"))
+            .select(F.lit(rule.name).alias("rule"), "value", "n_rows")
+        )
+    if not parts:
+        return df.sparkSession.createDataFrame([], "rule string, value string, n_rows long")
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---------------------------------------------------------------------------
@@ -152,4 +165,10 @@ PRODUCT_RATE_RULES = (
     Rule("unique", ("rate_plan_id", "service_type")),
     Rule("fk", ("rate_plan_id",), parent="rate_plans"),
 )
+DECLARED_RULES = {
+    "customers": CUSTOMER_RULES,
+    "rate_plans": RATE_PLAN_RULES,
+    "products": PRODUCT_RULES,
+    "product_rates": PRODUCT_RATE_RULES,
+}
 # ---------------------------------------------------------------------------

@@ -8,15 +8,15 @@ Scale notes
   holds a large share of all records into one row per task, so neither the
   aggregation shuffle nor the customer join sees the hot key.
 * The customer join then sees at most (services x months) rows per customer;
-  Catalyst/AQE choose broadcast or sort-merge from runtime sizes.
-* The aggregated usage is repartitioned by customer_id (skew-free: at most
-  services x months rows per customer).  The customer join, the aggregation
-  over the plan keys and billing's (customer, month) grouping all reuse that
-  clustering, so none of them adds an exchange.
+  AQE chooses broadcast or sort-merge from the sizes it has measured.  When it
+  broadcasts the customers, the usage is shuffled once, for its aggregation.
 * The aggregation over the plan keys keeps the result exact even when a
-  customer id appears twice in the customer table.
+  customer id appears twice in the customer table.  Its keys contain those of
+  the step before, so it adds no exchange.
 * The price book is joined after aggregation (one lookup per group, not per
-  record) and broadcast only when its size is checked.
+  record).  Seed rows are broadcast; a stored book is joined salted, as
+  (plan, service) has a handful of values.
+* Nothing here runs a job.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions import cdr as X
-from tollgate.plans.joins import CUSTOMER_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, join_dimension
+from tollgate.plans.joins import SALTS, join_dimension
 
 ACTIVE = "active"
 CONSUMPTION_KEYS = ("customer_id", "rate_plan_id", "record_type", "year_month")
@@ -40,7 +40,6 @@ def cdr_with_plan(
     cdr: DataFrame,
     customers: DataFrame,
     time_zone: str = "UTC",
-    broadcast_customers: bool | str = "auto",
 ) -> DataFrame:
     """Per-record view: each stored record of an active customer with its
     plan, billing month and consumption units.
@@ -50,22 +49,15 @@ def cdr_with_plan(
     not go through this view (see ``monthly_consumption``).
     """
     dated = cdr.withColumn("year_month", X.billing_month("timestamp", time_zone))
-    return join_dimension(
-        dated,
-        active_customers(customers),
-        "customer_id",
-        "inner",
-        broadcast_customers,
-        CUSTOMER_BROADCAST_ROWS,
-        otherwise="merge",
-    ).withColumn("consumption_units", X.consumption_units())
+    return join_dimension(dated, active_customers(customers), ["customer_id"]).withColumn(
+        "consumption_units", X.consumption_units()
+    )
 
 
 def monthly_consumption(
     cdr: DataFrame,
     customers: DataFrame,
     time_zone: str = "UTC",
-    broadcast_customers: bool | str = "auto",
     month_col: str | None = None,
 ) -> DataFrame:
     """Sum of consumption units per customer, plan, service and month for
@@ -86,24 +78,9 @@ def monthly_consumption(
         )
         .groupBy("customer_id", "record_type", "year_month")
         .agg(F.sum("units").alias("units"))
-        # Already reduced to services x months rows per customer, so this
-        # exchange is skew-free; everything downstream (customer join, plan
-        # aggregation, billing) is then clustered on customer_id.
-        .repartition("customer_id")
     )
-    # Broadcast the subscribers only behind a row-count check; otherwise a
-    # sort-merge join that shuffles just the customer side (the usage side
-    # is already clustered on customer_id).  Never broadcast the usage.
     return (
-        join_dimension(
-            usage,
-            active_customers(customers),
-            "customer_id",
-            "inner",
-            broadcast_customers,
-            CUSTOMER_BROADCAST_ROWS,
-            otherwise="merge",
-        )
+        join_dimension(usage, active_customers(customers), ["customer_id"])
         .groupBy(*CONSUMPTION_KEYS)
         .agg(F.sum("units").alias("total_consumption_units"))
     )
@@ -112,9 +89,8 @@ def monthly_consumption(
 def price(
     consumption: DataFrame,
     rates: DataFrame,
-    broadcast_rates: bool | str = "auto",
-    max_rate_rows: int = DEFAULT_BROADCAST_ROWS,
     decimal: bool = False,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Price monthly consumption: billable = units above the free allowance,
     cost = billable x unit price.  A service without a price row keeps its
@@ -123,16 +99,13 @@ def price(
     By default units, billable and cost are doubles, as in the source
     system.  ``decimal=True`` computes billable and cost in
     ``decimal(38, 6)`` (exact sums, independent of the summation order)."""
-    book = rates.select(
-        F.col("rate_plan_id").alias("pr_rate_plan_id"),
-        "service_type",
-        "unit_price",
-        "free_units",
+    # The book takes the usage's key names, so the join is on two names.
+    book = rates.withColumnRenamed("service_type", "record_type").select(
+        "rate_plan_id", "record_type", "unit_price", "free_units"
     )
-    cond = (F.col("rate_plan_id") == F.col("pr_rate_plan_id")) & (
-        F.col("record_type") == F.col("service_type")
+    priced = join_dimension(
+        consumption, book, ["rate_plan_id", "record_type"], "left", salts, salt_by=["customer_id", "year_month"]
     )
-    priced = join_dimension(consumption, book, cond, "left", broadcast_rates, max_rate_rows)
     if decimal:
         billable = X.billable_units_exact("total_consumption_units", "free_units")
         cost = X.money(billable * F.col("unit_price"))
@@ -157,14 +130,11 @@ def rate_monthly(
     customers: DataFrame,
     rates: DataFrame,
     time_zone: str = "UTC",
-    broadcast_rates: bool | str = "auto",
-    broadcast_customers: bool | str = "auto",
     decimal: bool = False,
     month_col: str | None = None,
 ) -> DataFrame:
     """monthly_consumption then price: rows of ``monthly_rated_usage``."""
-    consumption = monthly_consumption(cdr, customers, time_zone, broadcast_customers, month_col)
-    return price(consumption, rates, broadcast_rates, decimal=decimal)
+    return price(monthly_consumption(cdr, customers, time_zone, month_col), rates, decimal=decimal)
 
 
 RUN_ID = "run_id"
@@ -181,10 +151,13 @@ def latest_runs(rated: DataFrame, run_col: str = RUN_ID) -> DataFrame:
     """Rows of the latest rating run of each month: re-rating a month by
     appending a new run supersedes the earlier runs of that month only.
 
-    The latest run per month is one row per month, so it is broadcast
-    behind a row-count check; the rated rows are never shuffled for it.
+    The latest run per month is one row per month, which AQE broadcasts; the
+    join is salted, so a month is not one task if it doesn't.  Rows without a
+    month have their own latest run.
     """
-    latest = rated.groupBy("year_month").agg(F.max(run_col).alias("_latest_run"))
-    cond = F.col("year_month").eqNullSafe(F.col("_latest_month")) & (F.col(run_col) == F.col("_latest_run"))
-    latest = latest.withColumnRenamed("year_month", "_latest_month")
-    return join_dimension(rated, latest, cond, "left_semi", max_rows=DEFAULT_BROADCAST_ROWS)
+    month = F.coalesce("year_month", F.lit("")).alias("_month")
+    latest = rated.groupBy(month).agg(F.max(run_col).alias(run_col))
+    marked = rated.withColumn("_month", month)
+    return join_dimension(
+        marked, latest, ["_month", run_col], "left_semi", SALTS, salt_by=["customer_id", "record_type"]
+    ).drop("_month")

@@ -1,69 +1,60 @@
-"""Joins against small dimension tables, broadcast only behind a size check."""
+"""Joins against dimension tables, without a job at planning time.
+
+A dimension is broadcast only when its size is bounded by construction: its
+rows are held in the plan itself (seed rows, ``VALUES``).  Any other dimension
+is left to Catalyst and AQE, which may broadcast a side whose finished shuffle
+stage measures under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Where
+the join key has few values (plan and service, month, nation), the join is
+salted, so that no task holds all facts of one value either way.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows.  The
-# price book is bounded by plans x services; anything larger is joined with
-# a shuffle (AQE may still turn it into a broadcast from runtime sizes).
-DEFAULT_BROADCAST_ROWS = 100_000
-# Subscribers (two short string columns) broadcast up to this many rows,
-# about 50-100 MB per executor; beyond it the join is a sort-merge join.
-CUSTOMER_BROADCAST_ROWS = 1_000_000
+#: Rows in the plan up to which a dimension is broadcast.
+MAX_PLAN_ROWS = 100_000
+#: Parts that the facts of one key value are dealt to in a salted join.
+SALTS = 32
+_SALT = "_salt"
 
 
-def _local_row_count(df: DataFrame) -> int | None:
-    """Exact row count of a frame whose optimized plan is rows held in the
-    plan itself (``createDataFrame`` of a list, ``VALUES``), else None."""
+def plan_rows(df: DataFrame) -> int | None:
+    """Exact row count of a frame whose rows are held in the plan itself
+    (``createDataFrame`` of a list, ``VALUES``), else None.  Runs no job."""
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
         if plan.getClass().getSimpleName() == "LocalRelation":
             return int(plan.data().size())
-    except Exception:  # noqa: BLE001 - e.g. a remote session: fall back to counting
+    except Exception:  # noqa: BLE001 - e.g. a remote session: size unknown
         pass
     return None
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Rows held in the plan are counted without a job; otherwise a job reads
-    at most ``max_rows + 1`` rows, so it stays cheap however large the frame
-    turns out to be.
-    """
-    local = _local_row_count(df)
-    if local is not None:
-        return local <= max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+def bounded(df: DataFrame, max_rows: int = MAX_PLAN_ROWS) -> bool:
+    rows = plan_rows(df)
+    return rows is not None and rows <= max_rows
 
 
 def join_dimension(
     facts: DataFrame,
     dimension: DataFrame,
-    on: str | list[str] | Column,
+    on: list[str],
     how: str = "inner",
-    broadcast: bool | str = "auto",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-    otherwise: str | None = None,
+    salts: int = 1,
+    salt_by: list[str] | None = None,
 ) -> DataFrame:
-    """Join a (possibly large) fact frame with a dimension.
-
-    ``broadcast="auto"`` broadcasts the dimension only when it is proven to
-    hold at most ``max_rows`` rows; ``True`` / ``False`` force the choice
-    (``True`` is for dimensions whose size is fixed by construction).
-    When not broadcast, ``otherwise`` names a join hint (``"merge"``,
-    ``"shuffle_hash"``) so that the facts side is never the one broadcast,
-    e.g. to keep a clustering the facts already have; ``None`` leaves the
-    choice to Catalyst and AQE.
-    """
-    if broadcast == "auto":
-        broadcast = has_at_most(dimension, max_rows)
-    if broadcast:
-        right = F.broadcast(dimension)
-    elif otherwise:
-        right = dimension.hint(otherwise)
-    else:
-        right = dimension
-    return facts.join(right, on, how)
+    """Join facts with a dimension on equally named columns.
+
+    ``salts`` above 1 is for keys with few values: the dimension is repeated
+    ``salts`` times and each fact meets one copy, picked by a hash of
+    ``salt_by`` (all fact columns by default).  Not used when the dimension is
+    broadcast."""
+    if bounded(dimension):
+        return facts.join(F.broadcast(dimension), on, how)
+    if salts <= 1:
+        return facts.join(dimension, on, how)
+    copies = dimension.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(salts)).cast("int")
+    return facts.withColumn(_SALT, salt).join(copies, [*on, _SALT], how).drop(_SALT)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tollgate.operators.mediation import decode
-from tollgate.plans.joins import join_dimension
+from tollgate.plans.joins import SALTS, join_dimension
 from tollgate.schemas import RAW_CDR
 
 # ---------------------------------------------------------------------------
@@ -26,7 +26,7 @@ EVENT_SHAPES = {"view": "voice", "click": "voice", "purchase": "data", "signup":
 OTHER_SHAPE = "other"
 COUNTRY_CODE = "212"
 TEST_PREFIX = "999"
-TEXT_SUBSCRIBER = "ABC123XYZ"
+TEXT_SUBSCRIBER = "front-desk"
 NUMBER_DIGITS = 9
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 # ---------------------------------------------------------------------------
@@ -56,8 +56,8 @@ def _shape() -> F.Column:
     return expr.otherwise(OTHER_SHAPE)
 
 
-def raw_records(events: DataFrame) -> DataFrame:
-    """events -> typed raw CDRs (RAW_CDR columns, plus nothing else)."""
+def raw_records(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """events -> typed raw CDRs (RAW_CDR columns after the ``keep`` columns of events)."""
     k = F.col("k")
     shape = F.col("shape")
     sub = (
@@ -87,7 +87,7 @@ def raw_records(events: DataFrame) -> DataFrame:
     # The records leave the testbed like rows of a source: flattened by a
     # generator, so the pipeline's filters stay on the generated columns
     # instead of being rewritten into copies of the mapping expressions.
-    return base.select(F.inline(F.array(record)))
+    return base.select(*keep, F.inline(F.array(record)))
 
 
 def raw_messages(events: DataFrame) -> DataFrame:
@@ -101,10 +101,8 @@ def customers_from(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """customer (+ nation names) -> the ``customers`` table: id ``+212`` and the
     zero-padded key, plan RP1 for even keys and RP2 for odd, active when the
     account balance is not negative, region = nation name."""
-    names = nation.select("n_nationkey", "n_name")
-    joined = join_dimension(
-        customer, names, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
+    names = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    joined = join_dimension(customer, names, ["c_nationkey"], "left", SALTS, salt_by=["c_custkey"])
     key = F.col("c_custkey")
     return joined.select(
         F.concat(F.lit("+"), _number(COUNTRY_CODE, key)).alias("customer_id"),

@@ -33,25 +33,16 @@ def read_snapshot(
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+#: Files of a micro-batch, unless the caller says otherwise: the sinks hold a
+#: batch in cache, so a backlog is worked off in bounded batches.
+MAX_FILES_PER_TRIGGER = 200
+
+
+def message_files(
+    spark: SparkSession, path: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
+) -> DataFrame:
     """Streaming stand-in for a topic: one message per text line, exposed as
-    the ``value`` column a Kafka source would give."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` across the cluster's cores when it
-    arrives in fewer partitions than there are cores (a small file with a
-    single row group is one task), so the record-level work after it runs in
-    parallel.  A large input already has at least as many splits as cores and
-    is returned unchanged: no shuffle is added at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(cores, key) if narrow else df
+    the ``value`` column a Kafka source would give.  Files beyond the bound wait
+    for the next batch."""
+    return spark.readStream.format("text").option("maxFilesPerTrigger", str(max_files_per_trigger)).load(path)
+

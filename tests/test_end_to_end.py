@@ -16,7 +16,7 @@ from tollgate.sources.reference import product_rates
 A, B = "212660000005", "212660000188"      # RP2 and RP1 subscribers
 
 
-def _voice(caller, secs, ts="2025-06-11T17:47:18Z", **kw):
+def _voice(caller, secs, ts="2025-06-12T09:30:05Z", **kw):
     return {"record_type": "voice", "timestamp": ts, "caller_id": caller, "callee_id": "212660000077",
             "duration_sec": secs, "cell_id": "CELL_1", "technology": "4G", **kw}
 
@@ -36,7 +36,7 @@ MESSAGES = [
     _voice(B, 1500), _voice(B, 44), _data(B, 122.93), _data(B, 100.0),
     _sms(B),
     {"record_type": "data", "timestamp": "2025-06-12T08:00:00Z", "data_volume_mb": 5.0},   # no subscriber
-    _voice("ABC123XYZ", 60),                                                               # text subscriber
+    _voice("front-desk", 60),                                                               # text subscriber
     _voice("212660000201", 60),                                                            # unknown subscriber
 ]
 

@@ -1,5 +1,5 @@
-"""The command-line jobs, end to end on the testdata (file-backed topics,
-parquet tables, and JDBC bills on embedded Derby)."""
+"""The command-line jobs, end to end on the testdata (file-backed topics, parquet
+tables; JDBC writes captured, and on an embedded database where one may start)."""
 
 import uuid
 
@@ -9,9 +9,10 @@ from tollgate import jobs
 from tollgate.plans.catalog import QUERIES
 from tollgate.plans.chain import Testbed
 from tollgate.sources.files import read_table
-from tollgate.sources.jdbc import read_jdbc
 
-from conftest import SF_SMALL
+import pytest
+
+from conftest import SF_SMALL, needs_database
 
 
 def _bills(df):
@@ -36,14 +37,86 @@ def test_jobs_from_messages_to_bills(spark, tmp_dir):
     want = _bills(QUERIES["monthly_bills"](spark, SF_SMALL))
     assert _bills(read_table(spark, f"{tmp_dir}/bills")) == want
 
-    # re-rating one month replaces it; bills to a JDBC table (truncate + insert)
+    # re-rating and billing one month replaces it and keeps the others
     month = want[0][1]
     jobs.main(["rate", "--cdr", f"{tmp_dir}/cdr", "--customers", f"{tmp_dir}/customers",
                "--rates", f"{tmp_dir}/rates", "--out", f"{tmp_dir}/rated", "--months", month], spark)
-    url = f"jdbc:derby:memory:tg{uuid.uuid4().hex[:12]};create=true"
-    jobs.main(["--jdbc-url", url, "bill", "--rated", f"{tmp_dir}/rated", "--out", "jdbc:BILLS"], spark)
-    jobs.main(["--jdbc-url", url, "bill", "--rated", f"{tmp_dir}/rated", "--out", "jdbc:BILLS"], spark)
-    assert _bills(read_jdbc(spark, url, "BILLS")) == want
+    jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills", "--months", month], spark)
+    assert _bills(read_table(spark, f"{tmp_dir}/bills")) == want
+
+    # nobody is active any more: the month's usage and bills go, the rest stays
+    tb.customers().withColumn("status", F.lit("terminated")).write.parquet(f"{tmp_dir}/ended")
+    jobs.main(["rate", "--cdr", f"{tmp_dir}/cdr", "--customers", f"{tmp_dir}/ended",
+               "--rates", f"{tmp_dir}/rates", "--out", f"{tmp_dir}/rated", "--months", month], spark)
+    jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills", "--months", month], spark)
+    assert _bills(read_table(spark, f"{tmp_dir}/bills")) == [b for b in want if b[1] != month]
+
+
+def test_jdbc_targets_refuse_what_would_give_wrong_bills(spark, tmp_dir):
+    url = ["--jdbc-url", "jdbc:x"]
+    rate = ["rate", "--cdr", "c", "--customers", "u", "--rates", "r", "--out", "jdbc:RATED"]
+    with pytest.raises(SystemExit, match="--run-id"):
+        jobs.main([*url, *rate], spark)
+    with pytest.raises(SystemExit, match="--months"):
+        jobs.main([*url, "bill", "--rated", "x", "--out", "jdbc:BILLS", "--months", "2025-06"], spark)
+
+
+def test_jdbc_rating_reads_a_time_range_and_bounds_its_connections(spark, tmp_dir, monkeypatch):
+    from tollgate.plans.chain import normalised_direct
+
+    tb = Testbed(spark, SF_SMALL)
+    normalised_direct(tb.raw_records()).write.parquet(f"{tmp_dir}/cdr")
+    tb.customers().write.parquet(f"{tmp_dir}/customers")
+    tb.rates().write.parquet(f"{tmp_dir}/rates")
+    written = []
+    monkeypatch.setattr(jobs, "write_jdbc", lambda df, url, table, **k: written.append((df, table, k)))
+    want = QUERIES["rated_monthly"](spark, SF_SMALL)
+    month = sorted(r.year_month for r in want.select("year_month").distinct().collect())[0]
+    jobs.main(["--jdbc-url", "jdbc:x", "--jdbc-write-partitions", "3", "rate", "--cdr", f"{tmp_dir}/cdr", "--customers",
+               f"{tmp_dir}/customers", "--rates", f"{tmp_dir}/rates", "--out", "jdbc:RATED", "--run-id", "4", "--months", month], spark)
+    (df, table, options), = written
+    assert table == "RATED" and options["mode"] == "append" and options["num_partitions"] == 3
+    assert {r.run_id for r in df.collect()} == {4}
+    assert df.count() == want.filter(F.col("year_month") == month).count()
+    plan = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "GreaterThanOrEqual(timestamp," in plan and "LessThan(timestamp," in plan  # pushed to the scan
+
+
+def test_month_ranges(spark):
+    rows = spark.createDataFrame([(t,) for t in ("2024-11-30T23:59:59Z", "2024-12-01T00:00:00Z", "2024-12-31T23:59:59Z",
+                                                 "2025-01-01T00:00:00Z", "2025-02-01T00:00:00Z")], "t string")
+    rows = rows.select("t", F.try_to_timestamp("t").alias("timestamp"))
+    got = [r.t[:10] for r in rows.filter(jobs.month_range(["2024-12", "2025-01"])).orderBy("t").collect()]
+    assert got == ["2024-12-01", "2024-12-31", "2025-01-01"]
+
+
+def test_store_job_appends_plain_columns_or_keys(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(jobs, "kafka_stream", lambda *a, **k: None)
+    monkeypatch.setattr(jobs, "jdbc_batch_writer", lambda *a, **k: calls.append(k))
+
+    class Done:
+        def awaitTermination(self):
+            pass
+
+    monkeypatch.setattr(jobs, "run_store", lambda messages, sink, *a, **k: calls.append(k) or Done())
+    base = ["--jdbc-url", "jdbc:x", "store", "--kafka-servers", "h:1", "--out", "jdbc:CDR", "--checkpoint", "c"]
+    jobs.main(base, spark)
+    assert calls[0]["key_columns"] == calls[1]["message_keys"] == ("raw_topic", "raw_partition", "raw_offset")
+    del calls[:]
+    jobs.main([*base, "--plain-columns"], spark)
+    assert calls[0]["key_columns"] == calls[1]["message_keys"] == () and calls[0]["num_partitions"] == 8
+
+
+def test_check_job(spark, tmp_dir):
+    tb = Testbed(spark, SF_SMALL)
+    tb.customers().withColumn("status", F.lit("gone")).write.parquet(f"{tmp_dir}/customers")
+    jobs.main(["check", "--table", f"{tmp_dir}/customers", "--rules", "customers", "--out", f"{tmp_dir}/bad"], spark)
+    bad = read_table(spark, f"{tmp_dir}/bad").collect()
+    assert [(r.value, r.n_rows) for r in bad] == [('{"status":"gone"}', tb.customers().count())]
+    with pytest.raises(SystemExit, match="rate_plans=<table>"):
+        jobs.main(["check", "--table", "x", "--rules", "product_rates", "--out", "y"], spark)
 
 
 def test_rating_runs_into_an_append_only_store(spark, tmp_dir):
@@ -56,7 +129,7 @@ def test_rating_runs_into_an_append_only_store(spark, tmp_dir):
     for run in (1, 2):   # the same months rated twice, appended
         jobs.main(["rate", "--cdr", f"{tmp_dir}/cdr", "--customers", f"{tmp_dir}/customers", "--rates",
                    f"{tmp_dir}/rates", "--out", f"{tmp_dir}/rated", "--mode", "append", "--run-id", str(run)], spark)
-    jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills", "--latest-run"], spark)
+    jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills"], spark)
     assert _bills(read_table(spark, f"{tmp_dir}/bills")) == _bills(QUERIES["monthly_bills"](spark, SF_SMALL))
 
 
@@ -73,7 +146,7 @@ def test_kafka_sides_of_the_mediation_job(spark, tmp_dir, monkeypatch):
                         lambda df, servers, topic: sent.extend((topic, r.key, r.value) for r in df.collect()))
     args = jobs.parser().parse_args(["mediate", "--kafka-servers", "h:9092", "--checkpoint", "x"])
     os.makedirs(f"{tmp_dir}/raw")
-    good = json.dumps({"record_type": "sms", "timestamp": "2025-06-11T17:47:18Z", "sender_id": "212660000001",
+    good = json.dumps({"record_type": "sms", "timestamp": "2025-06-12T09:30:05Z", "sender_id": "212660000001",
                        "receiver_id": "212660000002"})
     with open(f"{tmp_dir}/raw/a.txt", "w") as f:
         f.write(good + "\njunk\n")
@@ -87,6 +160,7 @@ def test_kafka_sides_of_the_mediation_job(spark, tmp_dir, monkeypatch):
     assert by_topic["invalid-cdr"][1] == {"raw_value": "junk", "status": "error"}
 
 
+@needs_database
 def test_rate_job_reads_jdbc_tables_in_ranges(spark, tmp_dir):
     from tollgate.plans.chain import normalised_direct
     from tollgate.sinks.jdbc import write_jdbc

@@ -11,7 +11,7 @@ def _messages(spark, texts):
 
 
 def _voice(caller="212660000001", callee="212660000002", duration=60, **extra):
-    rec = {"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z", "caller_id": caller,
+    rec = {"record_type": "voice", "timestamp": "2025-06-12T09:30:05Z", "caller_id": caller,
            "callee_id": callee, "duration_sec": duration, "cell_id": "C1", "technology": "4G"}
     rec.update(extra)
     return {k: v for k, v in rec.items() if v is not None}
@@ -81,7 +81,7 @@ def test_validity_rules(spark):
         json.dumps(_voice(record_type=None)),                   # no type
         json.dumps(_voice(duration=-60)),                       # D7: negative is still valid
         json.dumps(_voice(callee=None)),                        # missing peer is valid
-        json.dumps(_voice(caller="ABC123XYZ")),                 # non-numeric is valid here
+        json.dumps(_voice(caller="front-desk")),                 # non-numeric is valid here
         json.dumps(_voice(record_type="other")),                # unknown type is valid
         "garbage",                                              # D1
     ]
@@ -119,7 +119,7 @@ def test_strict_rules_are_opt_in(spark):
         json.dumps(_voice(callee=None)),                        # missing_peer
         json.dumps(_voice(record_type="other")),                # unknown_type
         json.dumps(_voice(timestamp="bad")),                    # bad_timestamp
-        json.dumps(_voice(caller="ABC123XYZ")),                 # not_a_customer
+        json.dumps(_voice(caller="front-desk")),                 # not_a_customer
         json.dumps(_voice(caller="999123")),                    # default rule still applies
     ]
     raw = decode(_messages(spark, texts), RAW_CDR)

@@ -6,6 +6,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import needs_database
+
 from tollgate.schemas import RAW_CDR, RATED_USAGE
 from tollgate.sinks.jdbc import jdbc_write_options
 from tollgate.sinks.kafka import kafka_sink_options
@@ -23,12 +25,31 @@ def _rated(spark, months):
 def test_rated_replace_months_is_idempotent(spark, tmp_dir):
     path = f"{tmp_dir}/rated"
     write_rated(_rated(spark, ["2025-05", "2025-06"]), path)
-    write_rated(_rated(spark, ["2025-06"]), path)  # re-rate June only
+    write_rated(_rated(spark, ["2025-06"]), path, months=["2025-06"])  # re-rate June only
     out = read_table(spark, path, RATED_USAGE)
     assert sorted(r.year_month for r in out.collect()) == ["2025-05", "2025-06"]
     assert [f.name for f in out.schema.fields] == [f.name for f in RATED_USAGE.fields]
 
 
+def test_replaced_month_without_rows_is_empty(spark, tmp_dir):
+    path = f"{tmp_dir}/rated"
+    write_rated(_rated(spark, ["2025-04", "2025-05", "2025-06"]), path)
+    write_rated(_rated(spark, ["2025-05"]), path, months=["2025-05", "2025-06"])  # nothing left in June
+    assert sorted(r.year_month for r in read_table(spark, path, RATED_USAGE).collect()) == ["2025-04", "2025-05"]
+    write_rated(_rated(spark, []), path, months=["2025-04"])
+    assert [r.year_month for r in read_table(spark, path, RATED_USAGE).collect()] == ["2025-05"]
+    write_rated(_rated(spark, ["2025-01"]), path)  # no months named: the whole table
+    assert [r.year_month for r in read_table(spark, path, RATED_USAGE).collect()] == ["2025-01"]
+
+
+def test_rated_files_are_few(spark, tmp_dir):
+    import glob
+
+    rated = _rated(spark, [f"2025-{m:02d}" for m in range(1, 13)] * 50).repartition(8)
+    write_rated(rated, f"{tmp_dir}/rated")
+    assert len(glob.glob(f"{tmp_dir}/rated/*/*.parquet")) == 12  # a file per month, not per task and month
+
+
 def test_rated_append_duplicates(spark, tmp_dir):
     path = f"{tmp_dir}/rated"
     write_rated(_rated(spark, ["2025-06"]), path, mode="append")
@@ -79,10 +100,11 @@ def test_snapshot_json_array_file(spark, tmp_dir):
     assert rows[0].duration_sec == 5 and rows[2].data_volume_mb == 1.5
 
 
+@needs_database
 def test_connector_options():
     o = kafka_options("broker:9092", "raw-cdr")
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "raw-cdr",
-                 "startingOffsets": "latest", "failOnDataLoss": "true"}
+                 "startingOffsets": "latest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "5000000"}
     assert kafka_options("b", "valid-cdr", fail_on_data_loss=False)["failOnDataLoss"] == "false"
     bounded = kafka_options("b", "raw-cdr", max_offsets_per_trigger=100000, min_partitions=64)
     assert bounded["maxOffsetsPerTrigger"] == "100000" and bounded["minPartitions"] == "64"
@@ -109,6 +131,7 @@ def _bills(spark, n=4):
         rows, "customer_id string, year_month string, total_amount double, num_services long, rate_plan_id string")
 
 
+@needs_database
 def test_jdbc_append_creates_then_overwrite_replaces(spark):
     from tollgate.sinks.jdbc import write_jdbc
     from tollgate.sources.jdbc import read_jdbc
@@ -128,6 +151,7 @@ def test_jdbc_append_creates_then_overwrite_replaces(spark):
     assert pushed.count() == 2
 
 
+@needs_database
 def test_jdbc_partitioned_read(spark):
     from tollgate.sinks.jdbc import write_jdbc
     from tollgate.sources.jdbc import read_jdbc
@@ -139,6 +163,7 @@ def test_jdbc_partitioned_read(spark):
     assert df.rdd.getNumPartitions() == 3 and df.count() == 10
 
 
+@needs_database
 def test_jdbc_batch_writer_exactly_once_with_keys(spark):
     from tollgate.sinks.jdbc import jdbc_batch_writer
     from tollgate.sources.jdbc import read_jdbc
@@ -161,6 +186,7 @@ def test_jdbc_batch_writer_exactly_once_with_keys(spark):
     assert read_jdbc(spark, url, "CDR_PLAIN").count() == 12
 
 
+@needs_database
 def test_jdbc_batch_writer_error_policy(spark):
     from tollgate.sinks.jdbc import jdbc_batch_writer
 
@@ -171,6 +197,7 @@ def test_jdbc_batch_writer_error_policy(spark):
     jdbc_batch_writer(bad, "T", on_error="skip")(batch, 0)  # D25: logged and dropped
 
 
+@needs_database
 def test_rerating_through_an_append_only_table(spark):
     from tollgate.operators.rating import latest_runs, with_run
     from tollgate.sinks.jdbc import write_jdbc
@@ -189,6 +216,53 @@ def test_rerating_through_an_append_only_table(spark):
     assert latest == {("2025-05", 1): 0.1, ("2025-06", 2): 0.5, (None, 1): 0.03}
 
 
+class _SqlError(Exception):
+    """Stands in for an exception of Spark's with a database error behind it."""
+
+    def __init__(self, state):
+        class Java:
+            def getSQLState(self):
+                return state
+
+        class Wrapper:
+            def getCause(self):
+                return Java()
+
+        super().__init__(state)
+        self.java_exception = Wrapper()
+
+
+def test_keyed_writer_appends_only_when_written_rows_are_known(spark, monkeypatch):
+    from tollgate.sinks import jdbc
+    from tollgate.sources import jdbc as source
+
+    batch = spark.createDataFrame([("raw", 0, i, f"+{i}") for i in (4, 5, 6, 6)],
+                                  "raw_topic string, raw_partition int, raw_offset long, customer_id string")
+    written = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, *a, **k: written.append(sorted(r.raw_offset for r in df.collect())))
+    writer = jdbc.jdbc_batch_writer("jdbc:x", "CDR", key_columns=("raw_topic", "raw_partition", "raw_offset"))
+
+    def answer(value):
+        def read(*a, **k):
+            if isinstance(value, Exception):
+                raise value
+            return value
+
+        monkeypatch.setattr(source, "read_jdbc", read)
+
+    answer(_SqlError("42P01"))  # no such table: all rows, each message once
+    writer(batch, 3)
+    # A message that an earlier batch wrote, under whatever batch id, is not written again.
+    answer(spark.createDataFrame([("raw", 0, 5), ("raw", 1, 6), ("raw", 0, 99)], "raw_topic string, raw_partition int, raw_offset long"))
+    writer(batch, 4)
+    assert written == [[4, 5, 6], [4, 6]]
+    for error in (_SqlError("42501"), _SqlError("08006"), RuntimeError("timeout")):
+        answer(error)
+        with pytest.raises(type(error)):
+            writer(batch, 5)
+    assert len(written) == 2
+
+
 def test_batch_writer_does_not_cache_a_cached_side_twice(spark, tmp_dir):
     from tollgate.sinks.tables import _served_from_cache
 
@@ -206,6 +280,7 @@ def test_batch_writer_does_not_cache_a_cached_side_twice(spark, tmp_dir):
         batch.unpersist()
 
 
+@needs_database
 def test_kafka_shaped_batch_to_jdbc_exactly_once(spark):
     # A frame with the Kafka source's columns (no broker here): the message
     # coordinates ride along through decode, mediation and normalisation and
@@ -215,7 +290,7 @@ def test_kafka_shaped_batch_to_jdbc_exactly_once(spark):
     from tollgate.sinks.jdbc import jdbc_batch_writer
     from tollgate.sources.jdbc import read_jdbc
 
-    msgs = [json.dumps({"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z",
+    msgs = [json.dumps({"record_type": "voice", "timestamp": "2025-06-12T09:30:05Z",
                         "caller_id": f"2126600000{i:02d}", "callee_id": "212660000099", "duration_sec": i})
             for i in range(5)] + ["junk"]
     kafka = spark.createDataFrame(
@@ -245,6 +320,7 @@ def test_partitioned_batch_writer_keeps_months_together(spark, tmp_dir):
     assert got == [("2025-05", 1, 0), ("2025-06", 2, 0), ("2025-06", 3, 1)]
 
 
+@needs_database
 def test_jdbc_split_and_predicate_reads(spark):
     from tollgate.sinks.jdbc import write_jdbc
     from tollgate.sources.jdbc import read_jdbc_predicates, read_jdbc_split
@@ -257,3 +333,22 @@ def test_jdbc_split_and_predicate_reads(spark):
     by_digit = read_jdbc_predicates(spark, url, "BILLS", [f"\"customer_id\" LIKE '%{d}'" for d in range(10)])
     assert by_digit.rdd.getNumPartitions() == 10 and by_digit.count() == 20
     assert sorted(r.customer_id for r in by_digit.collect()) == sorted(f"+{i}" for i in range(20))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tollgate.session import shared_dir
+
+    def session(master, folder=None):
+        context = SimpleNamespace(
+            master=master, getConf=lambda: SimpleNamespace(get=lambda k, d=None: d), getCheckpointDir=lambda: None,
+            setCheckpointDir=lambda d: None,
+        )
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: folder), sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+        assert shared_dir(session(master, "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_dir(session("local[4]"))

@@ -36,7 +36,7 @@ def test_rerating_one_month_keeps_the_others(spark, tmp_dir):
     all_rated = rate_stored(spark, f"{tmp_dir}/cdr", cust, product_rates(spark), rated_path)
     bill_stored(all_rated, bills_path)
     june = rate_stored(spark, f"{tmp_dir}/cdr", cust, product_rates(spark), rated_path, months=["2025-06"])
-    bill_stored(june, bills_path)
+    bill_stored(june, bills_path, months=["2025-06"])
     rated = read_table(spark, rated_path)
     assert rated.count() == 3  # May voice, June voice, June data: no duplicates
     bills = {r.year_month: r.total_amount for r in read_table(spark, bills_path).collect()}
@@ -44,6 +44,17 @@ def test_rerating_one_month_keeps_the_others(spark, tmp_dir):
     assert abs(bills["2025-05"] - 1.0) < 1e-9 and abs(bills["2025-06"] - (2.0 + 2.5)) < 1e-9
 
 
+def test_rerating_after_a_customer_ended_leaves_nothing_stale(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    cust = _setup(spark, tmp_dir)
+    rate_stored(spark, f"{tmp_dir}/cdr", cust, product_rates(spark), f"{tmp_dir}/rated")
+    ended = cust.withColumn("status", F.lit("terminated"))
+    june = rate_stored(spark, f"{tmp_dir}/cdr", ended, product_rates(spark), f"{tmp_dir}/rated", months=["2025-06"])
+    assert june.count() == 0
+    assert [r.year_month for r in read_table(spark, f"{tmp_dir}/rated").collect()] == ["2025-05"]
+
+
 def test_backfill_clustering_writes_few_files(spark, tmp_dir):
     import glob
 

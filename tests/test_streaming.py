@@ -3,19 +3,21 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tollgate import decode, mediate, split
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
 from tollgate.sinks.tables import batch_message_writer, batch_table_writer
 from tollgate.sources.files import message_files, read_table
-from tollgate.streaming.runners import mediation_streams, run_mediation, run_store
+from tollgate.streaming.runners import mediation_streams, run_mediation, run_mediation_streams, run_store, wait_any
 
 NOW = {"availableNow": True}
 
 
 def _voice(i, caller="212660000001"):
-    return json.dumps({"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z",
+    return json.dumps({"record_type": "voice", "timestamp": "2025-06-12T09:30:05Z",
                        "caller_id": caller, "callee_id": "212660000002", "duration_sec": i})
 
 
@@ -33,7 +35,7 @@ def _batch_result(spark, path):
 
 def test_two_hops_equal_batch_and_restart(spark, tmp_dir):
     raw = f"{tmp_dir}/raw"
-    _drop(raw, "a.txt", [_voice(1), _voice(2, caller="999"), "junk", _voice(3, caller="ABC123XYZ")])
+    _drop(raw, "a.txt", [_voice(1), _voice(2, caller="999"), "junk", _voice(3, caller="front-desk")])
     q = run_mediation(message_files(spark, raw), batch_message_writer(f"{tmp_dir}/valid"),
                       batch_table_writer(f"{tmp_dir}/invalid"), f"{tmp_dir}/ck1", NOW)
     q.awaitTermination()
@@ -52,7 +54,7 @@ def test_two_hops_equal_batch_and_restart(spark, tmp_dir):
     q2 = run_store(message_files(spark, f"{tmp_dir}/valid"), batch_table_writer(f"{tmp_dir}/norm"), f"{tmp_dir}/ck2", NOW)
     q2.awaitTermination()
     stored = read_table(spark, f"{tmp_dir}/norm")
-    assert sorted(r.duration_sec for r in stored.collect()) == [1, 4]  # ABC123XYZ dropped at normalisation
+    assert sorted(r.duration_sec for r in stored.collect()) == [1, 4]  # front-desk dropped at normalisation
 
 
 def test_failed_batch_is_replayed(spark, tmp_dir):
@@ -86,6 +88,55 @@ def run_store_messages(spark, raw, sink, ck):
     return run_store(msgs, sink, ck, NOW)
 
 
+def test_a_replayed_batch_reaches_the_next_hop_once(spark, tmp_dir):
+    """The invalid side fails once; hop 2 runs before and after the restart."""
+    raw = f"{tmp_dir}/raw"
+    _drop(raw, "a.txt", [_voice(1), "junk"])
+    calls = {"n": 0}
+
+    def flaky(df, batch_id):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("sink down")
+        batch_table_writer(f"{tmp_dir}/invalid")(df, batch_id)
+
+    for turn in range(2):
+        queries = run_mediation_streams(message_files(spark, raw), f"{tmp_dir}/valid", flaky, f"{tmp_dir}/ck1", NOW)
+        queries[0].awaitTermination()
+        if turn == 0:
+            with pytest.raises(StreamingQueryException):
+                queries[1].awaitTermination()
+        else:
+            queries[1].awaitTermination()
+        run_store(message_files(spark, f"{tmp_dir}/valid"), batch_table_writer(f"{tmp_dir}/norm"), f"{tmp_dir}/ck2", NOW).awaitTermination()
+    assert read_table(spark, f"{tmp_dir}/norm").count() == 1
+    assert read_table(spark, f"{tmp_dir}/invalid").count() == 1
+
+
+def test_wait_any_stops_the_other_query(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    _drop(raw, "a.txt", [_voice(1), "junk"])
+
+    def broken(df, batch_id):
+        raise RuntimeError("sink down")
+
+    # No trigger: both would run on for ever.
+    queries = run_mediation_streams(message_files(spark, raw), f"{tmp_dir}/valid", broken, f"{tmp_dir}/ck")
+    with pytest.raises(StreamingQueryException):
+        wait_any(spark, queries)
+    assert not any(q.isActive for q in queries)
+
+
+def test_batches_are_bounded_and_lose_nothing(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    for k in range(7):
+        _drop(raw, f"{k}.txt", [_voice(k)])
+    queries = run_mediation_streams(message_files(spark, raw, 2), f"{tmp_dir}/valid", f"{tmp_dir}/invalid", f"{tmp_dir}/ck", NOW)
+    wait_any(spark, queries, until_all=True)
+    assert len(queries[0].recentProgress) >= 4
+    assert decode(spark.read.text(f"{tmp_dir}/valid"), MEDIATED_CDR).count() == 7
+
+
 def test_two_query_variant(spark, tmp_dir):
     raw = f"{tmp_dir}/raw"
     _drop(raw, "a.txt", [_voice(1), "junk"])
@@ -99,9 +150,9 @@ def test_two_query_variant(spark, tmp_dir):
 
 def test_store_hop_reports_dropped_rows(spark, tmp_dir):
     valid = f"{tmp_dir}/valid"
-    med = [json.dumps({"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z", "msisdn": m,
+    med = [json.dumps({"record_type": "voice", "timestamp": "2025-06-12T09:30:05Z", "msisdn": m,
                        "peer_id": "212660000002", "duration": 5, "status": "valid"})
-           for m in ("212660000001", "ABC123XYZ", "212660000003")]
+           for m in ("212660000001", "front-desk", "212660000003")]
     _drop(valid, "a.txt", med)
     q = run_store(message_files(spark, valid), batch_table_writer(f"{tmp_dir}/norm"), f"{tmp_dir}/ck", NOW,
                   observe="store_losses")
@@ -115,7 +166,7 @@ def test_store_hop_reports_dropped_rows(spark, tmp_dir):
 
 def test_dead_letters_keep_text_under_strict_rules(spark, tmp_dir):
     raw = f"{tmp_dir}/raw"
-    no_peer = json.dumps({"record_type": "voice", "timestamp": "2025-06-11T17:47:18Z",
+    no_peer = json.dumps({"record_type": "voice", "timestamp": "2025-06-12T09:30:05Z",
                           "caller_id": "212660000001", "duration_sec": 9})
     _drop(raw, "a.txt", [_voice(1), "junk", no_peer])
     q = run_mediation(message_files(spark, raw), batch_table_writer(f"{tmp_dir}/valid"),

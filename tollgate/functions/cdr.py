@@ -128,10 +128,13 @@ def event_time(text: str | Column = "timestamp") -> Column:
 def utc_wall_clock(ts: str | Column, time_zone: str = "UTC") -> Column:
     """Wall-clock time of an instant in ``time_zone``, whatever the session zone.
 
-    The cast to timestamp_ntz and ``convert_timezone`` both use the session
-    zone as source, so it cancels out.
+    Built from the instant's microseconds, not through a wall clock of the
+    session zone, which would be ambiguous when clocks go back.
     """
-    return F.convert_timezone(None, F.lit(time_zone), _c(ts).cast("timestamp_ntz"))
+    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
+        secs=(F.unix_micros(_c(ts)).cast("decimal(20, 0)") / 1_000_000).cast("decimal(18, 6)")
+    )
+    return F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc)
 
 
 def billing_month(ts: str | Column = "timestamp", time_zone: str = "UTC") -> Column:

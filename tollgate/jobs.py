@@ -1,10 +1,11 @@
-"""Command-line jobs: the chain's four steps.
+"""Command-line jobs: the chain's four steps, and the table checks.
 
     spark-submit --py-files tollgate.zip tollgate/jobs.py mediate --kafka-servers H:9092 \\
         --raw-topic raw-cdr --valid-topic valid-cdr --invalid-topic invalid-cdr --checkpoint <shared dir>
     ... store  --kafka-servers H:9092 --valid-topic valid-cdr --out <table> --checkpoint <dir>
     ... rate   --cdr <table> --customers <table> --rates <table> --out <table> [--months 2025-06]
     ... bill   --rated <table> --out <table> [--months 2025-06]
+    ... check  --table <table> --rules customers --out <table>
 
 (``python -m tollgate.jobs ...`` runs the same in a local session.)
 
@@ -21,27 +22,25 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.operators.billing import bill_monthly
 from tollgate.operators.mediation import encode
-from tollgate.operators.rating import latest_runs, rate_monthly, with_run
+from tollgate.operators.quality import DECLARED_RULES, check
+from tollgate.operators.rating import RUN_ID, latest_runs, rate_monthly, with_run
+from tollgate.schemas import KEYED_CDR, MEDIATED_CDR, RAW_KEYS
 from tollgate.session import build_session
 from tollgate.sinks.jdbc import jdbc_batch_writer, write_jdbc
 from tollgate.sinks.kafka import write_kafka_batch
-from tollgate.sinks.tables import (
-    BatchSink,
-    batch_message_writer,
-    batch_table_writer,
-    write_bills,
-    write_rated,
-)
-from tollgate.sources.files import message_files, read_table
+from tollgate.sinks.tables import BatchSink, batch_table_writer, write_bills, write_rated
+from tollgate.sources.files import MAX_FILES_PER_TRIGGER, message_files, read_table
 from tollgate.sources.jdbc import read_jdbc, read_jdbc_split
-from tollgate.sources.kafka import kafka_stream
-from tollgate.streaming.runners import run_mediation, run_store
+from tollgate.sources.kafka import MAX_OFFSETS_PER_TRIGGER, kafka_stream
+from tollgate.streaming.runners import run_mediation, run_mediation_streams, run_store, wait_any
 
 JDBC_PREFIX = "jdbc:"
 KAFKA_COORDS = ("topic", "partition", "offset")
@@ -73,99 +72,130 @@ def _months(df: DataFrame, months: list[str] | None) -> DataFrame:
     return df if not months else df.filter(F.col("year_month").isin(months))
 
 
+def month_range(months: list[str], column: str = "timestamp") -> Column:
+    """True for instants in any of the months (UTC), as ranges of the column that
+    a scan can push down."""
+    spans = []
+    for month in months:
+        year, number = map(int, month.split("-"))
+        start = datetime(year, number, 1, tzinfo=timezone.utc)
+        end = datetime(year + number // 12, number % 12 + 1, 1, tzinfo=timezone.utc)
+        low, high = (F.timestamp_seconds(F.lit(int(t.timestamp()))) for t in (start, end))
+        spans.append((F.col(column) >= low) & (F.col(column) < high))
+    return reduce(lambda x, y: x | y, spans)
+
+
 def _trigger(args) -> dict | None:
     return {"availableNow": True} if args.available_now else None
 
 
 def _kafka_side(args, topic: str) -> BatchSink:
-    """Batch writer to a topic (the fan-out drops ``raw_value`` from the
+    """Batch writer to a topic.  Messages carry the raw message's coordinates
+    under the names of ``RAW_KEYS`` (the fan-out drops ``raw_value`` from the
     valid side, so only dead letters carry the message text)."""
+    names = dict(zip(KAFKA_COORDS, RAW_KEYS))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_kafka_batch(encode(batch.drop(*KAFKA_COORDS)), args.kafka_servers, topic)
+        write_kafka_batch(encode(batch.withColumnsRenamed(names)), args.kafka_servers, topic)
 
     return write
 
 
 def job_mediate(spark: SparkSession, args) -> None:
+    options = {"keep_raw": args.keep_raw, "reject": tuple(args.reject or ())}
     if args.kafka_servers:
         messages = kafka_stream(
             spark, args.kafka_servers, args.raw_topic, starting_offsets=args.starting_offsets,
             max_offsets_per_trigger=args.max_offsets_per_trigger, min_partitions=args.min_partitions,
         )
-        valid_sink, invalid_sink = _kafka_side(args, args.valid_topic), _kafka_side(args, args.invalid_topic)
+        sides = _kafka_side(args, args.valid_topic), _kafka_side(args, args.invalid_topic)
+        run_mediation(messages, *sides, args.checkpoint, _trigger(args), keep=KAFKA_COORDS, **options).awaitTermination()
     else:
-        messages = message_files(spark, args.raw_dir)
-        valid_sink = batch_message_writer(args.valid_dir)
-        invalid_sink = batch_table_writer(args.invalid_dir)
-    query = run_mediation(
-        messages, valid_sink, invalid_sink, args.checkpoint, _trigger(args),
-        keep_raw=args.keep_raw, reject=tuple(args.reject or ()),
-    )
-    query.awaitTermination()
+        messages = message_files(spark, args.raw_dir, args.max_files_per_trigger)
+        queries = run_mediation_streams(messages, args.valid_dir, args.invalid_dir, args.checkpoint, _trigger(args), **options)
+        wait_any(spark, queries, until_all=args.available_now)
 
 
 def job_store(spark: SparkSession, args) -> None:
-    keep: tuple[str, ...] = ()
+    to_jdbc = args.out.startswith(JDBC_PREFIX)
+    keys: tuple[str, ...] = ()
     if args.kafka_servers:
         messages = kafka_stream(
             spark, args.kafka_servers, args.valid_topic, starting_offsets=args.starting_offsets,
             fail_on_data_loss=False, max_offsets_per_trigger=args.max_offsets_per_trigger,
             min_partitions=args.min_partitions,
         )
-        keep = KAFKA_COORDS if args.out.startswith(JDBC_PREFIX) else ()
+        keys = RAW_KEYS if to_jdbc and not args.plain_columns else ()
     else:
-        messages = message_files(spark, args.valid_dir)
-    if args.out.startswith(JDBC_PREFIX):
+        messages = message_files(spark, args.valid_dir, args.max_files_per_trigger)
+    if to_jdbc:
         sink = jdbc_batch_writer(args.jdbc_url, args.out[len(JDBC_PREFIX):], _jdbc_properties(),
-                                 key_columns=keep, on_error=args.on_error)
+                                 key_columns=keys, on_error=args.on_error, num_partitions=args.jdbc_write_partitions)
     else:
         sink = batch_table_writer(args.out, partition_by=("year_month",), on_error=args.on_error)
-    query = run_store(messages, sink, args.checkpoint, _trigger(args), with_month=not args.out.startswith(JDBC_PREFIX),
-                      keep=keep, observe="store_losses")
+    query = run_store(messages, sink, args.checkpoint, _trigger(args), with_month=not to_jdbc,
+                      schema=KEYED_CDR if keys else MEDIATED_CDR, message_keys=keys, observe="store_losses")
     query.awaitTermination()
 
 
 def job_rate(spark: SparkSession, args) -> None:
-    cdr = read_any(spark, args.cdr, args, split_column=args.jdbc_partition_column)
-    if "year_month" in cdr.columns:                     # month-partitioned store: prune, use the stored month
-        cdr, month_col = _months(cdr, args.months), "year_month"
-    else:
-        month_col = None
+    to_jdbc = args.out.startswith(JDBC_PREFIX)
+    if to_jdbc and args.run_id is None and args.mode != "append":
+        raise SystemExit("rating into a JDBC table appends: give --run-id (billing then takes each month's latest run), "
+                         "or --mode append to double the month on a rerun")
     customers = read_any(spark, args.customers, args, split_column=args.customers_partition_column)
-    rated = rate_monthly(cdr, customers, read_any(spark, args.rates, args),
-                         month_col=month_col, decimal=args.decimal)
-    if not month_col and args.months:
-        rated = _months(rated, args.months)
+    rates = read_any(spark, args.rates, args)
+    cdr = read_any(spark, args.cdr, args, split_column=args.jdbc_partition_column)
+    month_col = "year_month" if "year_month" in cdr.columns else None
+    if args.months:  # partition pruning, or a time range for the scan
+        cdr = _months(cdr, args.months) if month_col else cdr.filter(month_range(args.months))
+    rated = rate_monthly(cdr, customers, rates, month_col=month_col, decimal=args.decimal)
     if args.run_id is not None:
         rated = with_run(rated, args.run_id)
-    if args.out.startswith(JDBC_PREFIX):
-        write_jdbc(rated, args.jdbc_url, args.out[len(JDBC_PREFIX):], mode="append", properties=_jdbc_properties())
+    if to_jdbc:
+        write_jdbc(rated, args.jdbc_url, args.out[len(JDBC_PREFIX):], mode="append", properties=_jdbc_properties(),
+                   num_partitions=args.jdbc_write_partitions)
     else:
-        write_rated(rated, args.out, mode=args.mode)
+        write_rated(rated, args.out, mode=args.mode, months=args.months)
 
 
 def job_bill(spark: SparkSession, args) -> None:
+    to_jdbc = args.out.startswith(JDBC_PREFIX)
+    if to_jdbc and args.months:
+        raise SystemExit("bills in a JDBC table are overwritten as a whole: --months would drop the other months' bills")
     rated = _months(read_any(spark, args.rated, args), args.months)
-    if args.latest_run:
+    if RUN_ID in rated.columns and not args.all_runs:
         rated = latest_runs(rated)
     bills = bill_monthly(rated, plan_pick=args.plan_pick)
-    if args.out.startswith(JDBC_PREFIX):
+    if to_jdbc:
         write_jdbc(bills, args.jdbc_url, args.out[len(JDBC_PREFIX):], mode="overwrite", truncate=True,
-                   properties=_jdbc_properties())
+                   properties=_jdbc_properties(), num_partitions=args.jdbc_write_partitions)
     else:
-        write_bills(bills, args.out)
+        write_bills(bills, args.out, args.months)
+
+
+def job_check(spark: SparkSession, args) -> None:
+    """Violations of a table's declared rules, written as a table."""
+    parents = dict(p.split("=", 1) for p in args.parent or ())
+    frames = {name: read_any(spark, spec, args) for name, spec in parents.items()}
+    rules = DECLARED_RULES[args.rules]
+    missing = {r.parent for r in rules if r.kind == "fk"} - set(frames)
+    if missing:
+        raise SystemExit(f"give --parent {' '.join(f'{m}=<table>' for m in sorted(missing))}")
+    check(read_any(spark, args.table, args), rules, frames).write.mode("overwrite").parquet(args.out)
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m tollgate.jobs")
     p.add_argument("--jdbc-url")
+    p.add_argument("--jdbc-write-partitions", type=int, default=8, help="database connections of a write, at most")
     sub = p.add_subparsers(dest="job", required=True)
 
     def stream_opts(s):
         s.add_argument("--kafka-servers")
         s.add_argument("--starting-offsets", default="latest")
-        s.add_argument("--max-offsets-per-trigger", type=int)
+        s.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER)
+        s.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER)
         s.add_argument("--min-partitions", type=int, help="split few topic partitions over more tasks")
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--available-now", action="store_true")
@@ -187,6 +217,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--valid-dir")
     s.add_argument("--out", required=True)
     s.add_argument("--on-error", choices=("raise", "skip"), default="raise")
+    s.add_argument("--plain-columns", action="store_true",
+                   help="JDBC: append the ten storage columns only (an existing table); a replayed batch is then appended again")
 
     r = sub.add_parser("rate")
     r.add_argument("--cdr", required=True)
@@ -206,11 +238,17 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--out", required=True)
     b.add_argument("--months", nargs="*")
     b.add_argument("--plan-pick", choices=("min", "first", "key"), default="min")
-    b.add_argument("--latest-run", action="store_true", help="bill the latest rating run of each month")
+    b.add_argument("--all-runs", action="store_true", help="bill every rating run, not the latest of each month")
+
+    c = sub.add_parser("check")
+    c.add_argument("--table", required=True)
+    c.add_argument("--rules", choices=sorted(DECLARED_RULES), required=True)
+    c.add_argument("--parent", nargs="*", metavar="NAME=TABLE")
+    c.add_argument("--out", required=True)
     return p
 
 
-JOBS = {"mediate": job_mediate, "store": job_store, "rate": job_rate, "bill": job_bill}
+JOBS = {"mediate": job_mediate, "store": job_store, "rate": job_rate, "bill": job_bill, "check": job_check}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

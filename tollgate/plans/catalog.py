@@ -9,13 +9,15 @@ depend on order).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.cdr import STRICT_RULES, utc_wall_clock
 from tollgate.operators import quality as Q
-from tollgate.operators.billing import bill_monthly
+from tollgate.operators.billing import bill_monthly, preview
 from tollgate.operators.mediation import decode, encode, mediate, split
 from tollgate.operators.normalise import normalise
 from tollgate.operators.rating import (
@@ -38,14 +40,13 @@ from tollgate.plans.stored import bill_stored, rate_stored, store_normalised
 from tollgate.schemas import MEDIATED_CDR, NORMALISED_CDR, RAW_CDR
 from tollgate.session import scratch_path
 from tollgate.sinks.tables import (
-    batch_message_writer,
     batch_table_writer,
     write_bills,
     write_rated,
 )
 from tollgate.sources.files import message_files, read_snapshot, read_table
 from tollgate.sources.reference import PRODUCT_RATES_DEFAULTS, products, rate_plans
-from tollgate.streaming.runners import run_mediation, run_store
+from tollgate.streaming.runners import run_mediation, run_mediation_streams, run_store, wait_any
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,7 +113,7 @@ def q_mediated_strict_invalid(spark, sf_dir):
 
 def q_encoded_roundtrip(spark, sf_dir):
     valid, _ = split(mediated_from_messages(_tb(spark, sf_dir).raw_messages()))
-    return decode(encode(valid), MEDIATED_CDR)
+    return decode(encode(valid), MEDIATED_CDR, keep=("key",))
 
 
 def q_normalised_cdr(spark, sf_dir):
@@ -190,6 +191,32 @@ def q_check_fk(spark, sf_dir):
     return Q.check_fk(tb.table("orders"), in_credit, ["o_custkey"], ["c_custkey"])
 
 
+def q_check_rules(spark, sf_dir):
+    """The four declared rule sets, and two foreign keys on one column with
+    different parents."""
+    tb = _tb(spark, sf_dir)
+    plans = rate_plans(spark)
+    customer = tb.table("customer")
+    parents = {
+        "rate_plans": plans,
+        "in_credit": customer.filter(F.col("c_acctbal") >= 0),
+        "builders": customer.filter(F.col("c_mktsegment") == "BUILDING"),
+    }
+    orders = tuple(Q.Rule("fk", ("o_custkey",), parent=p, parent_columns=("c_custkey",)) for p in ("in_credit", "builders"))
+    # Subscribers with a status and type outside the declared ones, to have violations.
+    subscribers = tb.customers().withColumn(
+        "status", F.when(F.col("region") == "NATION_3", "unknown").otherwise(F.col("status"))
+    ).withColumn("subscription_type", F.when(F.col("region") == "NATION_5", "prepaid").otherwise(F.col("subscription_type")))
+    parts = [
+        Q.check(subscribers, Q.CUSTOMER_RULES),
+        Q.check(plans, Q.RATE_PLAN_RULES),
+        Q.check(products(spark), Q.PRODUCT_RULES),
+        Q.check(tb.rates(), Q.PRODUCT_RATE_RULES, parents),
+        Q.check(tb.table("orders"), orders, parents),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_defaults_filled(spark, sf_dir):
     tb = _tb(spark, sf_dir)
     bare = tb.rates().drop("free_units", "tiered")
@@ -203,15 +230,20 @@ def q_defaults_filled(spark, sf_dir):
 AVAILABLE_NOW = {"availableNow": True}
 
 
+#: Files of a topic, and files of a micro-batch: the streams run in several batches.
+TOPIC_FILES, BATCH_FILES = 6, 2
+
+
 def _write_messages(df: DataFrame, path: str) -> None:
-    df.select(F.col("value").cast("string").alias("value")).write.mode("overwrite").text(path)
+    text = df.select(F.col("value").cast("string").alias("value"))
+    text.repartition(TOPIC_FILES).write.mode("overwrite").text(path)
 
 
 def q_stream_mediated_equals_batch(spark, sf_dir):
     root = scratch_path(spark, "stream-mediation")
     _write_messages(_tb(spark, sf_dir).raw_messages(), f"{root}/raw")
     query = run_mediation(
-        message_files(spark, f"{root}/raw"),
+        message_files(spark, f"{root}/raw", BATCH_FILES),
         batch_table_writer(f"{root}/valid"),
         batch_table_writer(f"{root}/invalid"),
         checkpoint=f"{root}/_checkpoint",
@@ -222,24 +254,68 @@ def q_stream_mediated_equals_batch(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+def _store_topic(spark, root: str) -> None:
+    """Hop 2: the valid topic, in batches, into the normalised table."""
+    run_store(
+        message_files(spark, f"{root}/valid_topic", BATCH_FILES),
+        batch_table_writer(f"{root}/normalised"),
+        checkpoint=f"{root}/_checkpoint_store",
+        trigger=AVAILABLE_NOW,
+    ).awaitTermination()
+
+
 def q_stream_store(spark, sf_dir):
     root = scratch_path(spark, "stream-store")
     _write_messages(_tb(spark, sf_dir).raw_messages(), f"{root}/raw")
-    hop1 = run_mediation(
-        message_files(spark, f"{root}/raw"),
-        batch_message_writer(f"{root}/valid_topic"),
-        batch_table_writer(f"{root}/invalid"),
-        checkpoint=f"{root}/_checkpoint_mediation",
-        trigger=AVAILABLE_NOW,
+    queries = run_mediation_streams(
+        message_files(spark, f"{root}/raw", BATCH_FILES), f"{root}/valid_topic", f"{root}/invalid",
+        f"{root}/_checkpoint_mediation", AVAILABLE_NOW,
     )
-    hop1.awaitTermination()
-    hop2 = run_store(
-        message_files(spark, f"{root}/valid_topic"),
-        batch_table_writer(f"{root}/normalised"),
-        checkpoint=f"{root}/_checkpoint_store",
-        trigger=AVAILABLE_NOW,
+    wait_any(spark, queries, until_all=True)
+    _store_topic(spark, root)
+    return _comparable_cdr(read_table(spark, f"{root}/normalised", NORMALISED_CDR))
+
+
+def q_stream_two_queries(spark, sf_dir):
+    """Hop 1 as two queries with a file sink each, waited for together."""
+    root = scratch_path(spark, "stream-two")
+    _write_messages(_tb(spark, sf_dir).raw_messages(), f"{root}/raw")
+    queries = run_mediation_streams(
+        message_files(spark, f"{root}/raw", BATCH_FILES), f"{root}/valid_topic", f"{root}/invalid",
+        f"{root}/_checkpoint", AVAILABLE_NOW,
     )
-    hop2.awaitTermination()
+    wait_any(spark, queries, until_all=True)
+    valid = decode(spark.read.text(f"{root}/valid_topic"), MEDIATED_CDR).select(*MEDIATED_COLS)
+    invalid = read_table(spark, f"{root}/invalid").select(*MEDIATED_COLS)
+    return valid.unionByName(invalid.withColumn("duration", F.col("duration").cast("long")))
+
+
+def q_stream_replay(spark, sf_dir):
+    """The invalid side fails once in hop 1's second batch; hop 2 runs before and
+    after the restart.  Every record is stored once."""
+    root = scratch_path(spark, "stream-replay")
+    _write_messages(_tb(spark, sf_dir).raw_messages(), f"{root}/raw")
+    keep_invalid = batch_table_writer(f"{root}/invalid")
+    failures = []
+
+    def failing(batch, batch_id):
+        if batch_id == 1 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("planned failure of the invalid side")
+        keep_invalid(batch, batch_id)
+
+    for _ in range(2):
+        queries = run_mediation_streams(
+            message_files(spark, f"{root}/raw", BATCH_FILES), f"{root}/valid_topic", failing,
+            f"{root}/_checkpoint_mediation", AVAILABLE_NOW,
+        )
+        for query in queries:
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                if not failures:
+                    raise
+        _store_topic(spark, root)
     return _comparable_cdr(read_table(spark, f"{root}/normalised", NORMALISED_CDR))
 
 
@@ -249,6 +325,23 @@ def q_snapshot_json(spark, sf_dir):
     return read_snapshot(spark, path, RAW_CDR, multiline=False)
 
 
+#: Records of one JSON array of a snapshot.
+ARRAY_RECORDS = 5_000
+
+
+def q_snapshot_array(spark, sf_dir):
+    """A snapshot of files that hold one JSON array each."""
+    path = scratch_path(spark, "snapshot-array")
+    tb = _tb(spark, sf_dir)
+    keyed = testbed.raw_records(tb.events, keep=("event_id",))
+    arrays = (
+        keyed.groupBy(F.floor(F.col("event_id") / ARRAY_RECORDS).alias("file"))
+        .agg(F.to_json(F.collect_list(F.struct(*RAW_CDR.names))).alias("value"))
+    )
+    arrays.write.mode("overwrite").partitionBy("file").text(path)
+    return read_snapshot(spark, f"{path}/*", RAW_CDR, multiline=True)
+
+
 def _rated_and_path(spark, sf_dir, name):
     tb = _tb(spark, sf_dir)
     rated = rate_monthly(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
@@ -298,9 +391,46 @@ def q_stored_chain(spark, sf_dir):
     return _comparable_bills(read_table(spark, f"{root}/bills"))
 
 
+def q_rerate_inactive(spark, sf_dir):
+    """All months rated and stored, then a third of the customers ends; the
+    months rated again hold only the others."""
+    tb = _tb(spark, sf_dir)
+    root = scratch_path(spark, "rerate")
+    valid, _ = split(mediate(tb.raw_records()))
+    store_normalised(normalise(valid, with_month=True), f"{root}/cdr")
+    customers = tb.customers()
+    rated = rate_stored(spark, f"{root}/cdr", customers, tb.rates(), f"{root}/rated")
+    months = [r.year_month for r in rated.select("year_month").distinct().collect()]  # a row per month
+    number = F.substring("customer_id", 5, 9).cast("long")
+    fewer = customers.withColumn("status", F.when(number % 3 == 0, "terminated").otherwise(F.col("status")))
+    rate_stored(spark, f"{root}/cdr", fewer, tb.rates(), f"{root}/rated", months=months)
+    # A month in which nobody is active any more leaves no row behind.
+    nobody = customers.withColumn("status", F.lit("terminated"))
+    rate_stored(spark, f"{root}/cdr", nobody, tb.rates(), f"{root}/rated", months=[min(months)])
+    return _comparable_rated(read_table(spark, f"{root}/rated"))
+
+
+def q_bill_one_month(spark, sf_dir):
+    """All months billed, then one month billed again: every month is there."""
+    rated, path = _rated_and_path(spark, sf_dir, "bills-month")
+    write_rated(rated, f"{path}/rated")
+    stored = read_table(spark, f"{path}/rated")
+    bill_stored(stored, f"{path}/bills")
+    month = stored.agg(F.min("year_month")).first()[0]
+    bill_stored(stored, f"{path}/bills", months=[month])
+    return _comparable_bills(read_table(spark, f"{path}/bills"))
+
+
 def q_preview(spark, sf_dir):
-    # The preview's order is undefined: a rows-only check.
-    return q_monthly_bills(spark, sf_dir).limit(20)
+    """The preview's rows are any: how many there are, and how many are bills."""
+    path = scratch_path(spark, "preview")
+    q_monthly_bills(spark, sf_dir).write.parquet(f"{path}/bills")
+    bills = read_table(spark, f"{path}/bills")
+    preview(bills).write.parquet(f"{path}/preview")
+    some = read_table(spark, f"{path}/preview").withColumn("shown", F.lit(1))
+    keys = ["customer_id", "year_month", "total_amount", "num_services", "rate_plan_id"]
+    found = some.join(bills.withColumn("billed", F.lit(1)), keys, "left")
+    return found.agg(F.count("shown").alias("n_rows"), F.count("billed").alias("n_bills"))
 
 
 QUERIES: dict[str, Query] = {
@@ -331,6 +461,12 @@ QUERIES: dict[str, Query] = {
     "sink_rerun_latest": q_sink_rerun_latest,
     "sink_overwrite": q_sink_overwrite,
     "stored_chain": q_stored_chain,
+    "rerate_inactive": q_rerate_inactive,
+    "bill_one_month": q_bill_one_month,
+    "check_rules": q_check_rules,
+    "snapshot_array": q_snapshot_array,
+    "stream_two_queries": q_stream_two_queries,
+    "stream_replay": q_stream_replay,
     "preview": q_preview,
 }
 
@@ -350,7 +486,7 @@ shaped AS (
                          ELSE 'other' END AS shape,
          CASE WHEN k < 3 THEN NULL
               WHEN k < 6 THEN '999' || lpad(CAST(user_id AS VARCHAR), 9, '0')
-              WHEN k < 8 THEN 'ABC123XYZ'
+              WHEN k < 8 THEN 'front-desk'
               ELSE '212' || lpad(CAST(user_id AS VARCHAR), 9, '0') END AS sub,
          '212' || lpad(CAST(k AS VARCHAR), 9, '0') AS other_party
   FROM ev),
@@ -486,7 +622,7 @@ strict AS (
 SELECT * EXCLUDE (is_valid, ok, status), 'error' AS status FROM strict WHERE NOT ok""",
     "encoded_roundtrip": f"""WITH {_MEDIATED}
 SELECT record_type, "timestamp", cell_id, technology, msisdn, peer_id,
-       CAST(duration AS BIGINT) AS duration, volume_mb, status
+       CAST(duration AS BIGINT) AS duration, volume_mb, status, CAST(NULL AS VARCHAR) AS key
 FROM valid""",
     "normalised_cdr": f"WITH {_NORM} {_NORM_SELECT}",
     "active_customers": f"WITH {_CUST} SELECT * FROM active",
@@ -529,6 +665,25 @@ rates0 AS (SELECT rate_plan_id, service_type, unit_price, CAST(0 AS DOUBLE) AS f
 SELECT * FROM valid UNION ALL SELECT * FROM invalid""",
     "stream_store": f"WITH {_NORM} {_NORM_SELECT}",
     "snapshot_json": f"""WITH {_RAW} SELECT * FROM raw""",
+    "snapshot_array": f"""WITH {_RAW} SELECT * FROM raw""",
+    "stream_two_queries": f"""WITH {_MEDIATED}, both_sides AS (SELECT * FROM valid UNION ALL SELECT * FROM invalid)
+SELECT record_type, "timestamp", cell_id, technology, msisdn, peer_id, volume_mb, CAST(duration AS BIGINT) AS duration, status
+FROM both_sides""",
+    "stream_replay": f"WITH {_NORM} {_NORM_SELECT}",
+    "rerate_inactive": f"WITH {_RATED} {_RATED_SELECT} WHERE CAST(substr(customer_id, 5) AS BIGINT) % 3 <> 0 "
+    "AND year_month > (SELECT min(year_month) FROM rated)",
+    "bill_one_month": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
+    "preview": f"WITH {_RATED}, bills AS (" + _BILLS_SELECT.format(factor="") + """)
+SELECT least(count(*), 20) AS n_rows, least(count(*), 20) AS n_bills FROM bills""",
+    "check_rules": f"""WITH {_CUST}
+SELECT 'allowed(status) in (active, suspended, terminated)' AS rule, '{{"status":"unknown"}}' AS value, count(*) AS n_rows
+FROM cust WHERE region = 'NATION_3' HAVING count(*) > 0
+UNION ALL SELECT 'allowed(subscription_type) in (postpaid)', '{{"subscription_type":"prepaid"}}', count(*)
+FROM cust WHERE region = 'NATION_5' HAVING count(*) > 0
+UNION ALL SELECT 'fk(o_custkey) -> in_credit(c_custkey)', '{{"o_custkey":' || o_custkey || '}}', count(*)
+FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY o_custkey
+UNION ALL SELECT 'fk(o_custkey) -> builders(c_custkey)', '{{"o_custkey":' || o_custkey || '}}', count(*)
+FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY o_custkey""",
     "sink_append_twice": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=" * 2"),
     "sink_month_replaced": f"WITH {_RATED} {_RATED_SELECT}",
     "sink_overwrite": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),

@@ -2,9 +2,9 @@
 
 * Normalised records are stored partitioned by ``year_month``.
 * Rating reads only the months it rates: the month filter is a partition
-  filter, so other months are never listed or read.  The rated months
-  replace their own partitions of the rated-usage table (idempotent rerun).
-* Billing reads the rated months back and overwrites the bills of those
+  filter, so other months are never listed or read.  The months asked for are
+  replaced in the rated-usage table, those that have no rows any more included.
+* Billing reads the rated months back and replaces the bills of those
   months only.
 
 Each step writes a table, which also cuts the lineage between steps: a lost
@@ -20,11 +20,9 @@ from pyspark.sql import functions as F
 
 from tollgate.operators.billing import bill_monthly
 from tollgate.operators.rating import rate_monthly
-from tollgate.sinks.tables import write_normalised, write_rated
+from tollgate.sinks.tables import MONTH, write_bills, write_normalised, write_rated
 from tollgate.sources.files import read_table
 
-MONTH = "year_month"
-
 
 def store_normalised(
     cdr_with_month: DataFrame, path: str, mode: str = "append", cluster_into: int | None = None
@@ -35,7 +33,7 @@ def store_normalised(
 
 
 def stored_months(spark: SparkSession, path: str, months: Iterable[str] | None = None) -> DataFrame:
-    """Stored normalised records of ``months`` (all when None).  Records
+    """Rows of ``months`` of a month-partitioned table (all when None).  Records
     without a time live in the null month and are read only with all."""
     df = read_table(spark, path)
     if months is not None:
@@ -57,21 +55,16 @@ def rate_stored(
     month_list = None if months is None else list(months)
     cdr = stored_months(spark, cdr_path, month_list)
     # the stored partition column is the billing month: no per-record formatting
-    write_rated(rate_monthly(cdr, customers, rates, month_col=MONTH, **rating_options), rated_path)
-    rated = read_table(spark, rated_path)
-    if month_list is not None:
-        rated = rated.filter(F.col(MONTH).isin(month_list))
-    return rated
+    write_rated(rate_monthly(cdr, customers, rates, month_col=MONTH, **rating_options), rated_path, months=month_list)
+    return stored_months(spark, rated_path, month_list)
 
 
-def bill_stored(rated: DataFrame, bills_path: str) -> DataFrame:
-    """Bills of the given rated rows, written so that each month's bills
-    replace that month's earlier bills (other months are kept)."""
-    bills = bill_monthly(rated)
-    (
-        bills.write.partitionBy(MONTH)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(bills_path)
-    )
+def bill_stored(rated: DataFrame, bills_path: str, months: Iterable[str] | None = None, **bill_options) -> DataFrame:
+    """Bills of the given rated rows.  They replace the bills of ``months``, the
+    others are kept; without months, they replace all bills."""
+    month_list = None if months is None else list(months)
+    if month_list is not None:
+        rated = rated.filter(F.col(MONTH).isin(month_list))
+    bills = bill_monthly(rated, **bill_options)
+    write_bills(bills, bills_path, month_list)
     return bills

@@ -53,6 +53,14 @@ MEDIATED_CDR = _schema(
     ("status", StringType()),
 )
 
+# Coordinates of the raw message in the raw topic, carried in the mediated one:
+# they stay the same when a replayed batch sends a message again.
+RAW_KEYS = ("raw_topic", "raw_partition", "raw_offset")
+KEYED_CDR = StructType(
+    MEDIATED_CDR.fields
+    + _schema((RAW_KEYS[0], StringType()), (RAW_KEYS[1], IntegerType()), (RAW_KEYS[2], LongType())).fields
+)
+
 NORMALISED_CDR = _schema(
     ("record_type", StringType()),
     ("customer_id", StringType()),

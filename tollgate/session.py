@@ -16,9 +16,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # No broadcast from planning-time estimates (file sizes say little about
-    # a side's size in memory).  Broadcasts are either explicit, behind a
-    # row-count check (plans/joins.py), or chosen by AQE from the measured
-    # size of a finished shuffle stage.
+    # a side's size in memory).  Broadcasts are either of rows held in the plan
+    # (plans/joins.py), or chosen by AQE from the measured size of a finished
+    # shuffle stage.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
@@ -53,8 +53,10 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a private folder is
-    created and registered as the checkpoint directory.
+    Only in a local session that names none (tests) a private folder is
+    created and registered as the checkpoint directory.  On a cluster a
+    machine-local folder would lose what other executors write, so a missing
+    setting is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -64,6 +66,9 @@ def shared_dir(spark: SparkSession) -> str:
         if current:
             base = current
         else:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise RuntimeError(f"spark.checkpoint.dir is not set: a {master} session needs a shared folder there")
             base = tempfile.mkdtemp(prefix="tollgate-ckpt-")
             spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

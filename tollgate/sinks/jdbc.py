@@ -32,16 +32,40 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **kwar
     df.write.format("jdbc").options(**jdbc_write_options(url, table, **kwargs)).mode(mode).save()
 
 
-def _written_keys(spark, url: str, table: str, properties: dict[str, str] | None, keys: list[str], batch_id: int):
-    """Keys of the rows of ``batch_id`` already in ``table`` (the filter is
-    pushed to the database), or None when the table does not exist yet."""
+#: SQL states by which databases say that a table does not exist (fixed values).
+NO_SUCH_TABLE = ("42P01", "42S02", "42X05", "42704")
+
+
+def sql_state(error: BaseException) -> str | None:
+    """The SQL state of the database error behind an exception of Spark's."""
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while java is not None:
+        try:
+            return java.getSQLState()
+        except Exception:  # noqa: BLE001 - not an SQL exception: look at its cause
+            pass
+        try:
+            java = java.getCause()
+        except Exception:  # noqa: BLE001
+            return None
+    return None
+
+
+def _written_keys(batch: DataFrame, url: str, table: str, properties: dict[str, str] | None, keys: list[str]):
+    """Keys in ``table`` within the batch's range of the last key (an offset;
+    the range is pushed to the database), or None when the table does not exist
+    yet.  Any other error is raised: a batch whose written rows are not known
+    must not be appended."""
     from tollgate.sources.jdbc import read_jdbc
 
     try:
-        existing = read_jdbc(spark, url, table, properties=properties)
-    except Exception:  # noqa: BLE001 - no table yet: nothing written
-        return None
-    return existing.filter(F.col(BATCH_ID) == batch_id).select(*keys).distinct()
+        existing = read_jdbc(batch.sparkSession, url, table, properties=properties)
+    except Exception as error:  # noqa: BLE001 - only a missing table passes
+        if sql_state(error) in NO_SUCH_TABLE:
+            return None
+        raise
+    span = batch.agg(F.min(keys[-1]).alias("low"), F.max(keys[-1]).alias("high")).first()
+    return existing.filter(F.col(keys[-1]).between(span["low"], span["high"])).select(*keys).distinct()
 
 
 def jdbc_batch_writer(
@@ -51,15 +75,17 @@ def jdbc_batch_writer(
     key_columns: tuple[str, ...] = (),
     on_error: str = "raise",
     skip_empty: bool = True,
+    num_partitions: int | None = None,
 ):
     """``foreachBatch`` callback appending each micro-batch to a JDBC table.
 
     Without ``key_columns`` delivery is at-least-once: a replayed batch is
-    appended again.  With ``key_columns`` that identify a message (the
-    source's topic, partition and offset, kept by ``decode(keep=...)``), rows
-    also carry ``batch_id``; before appending, the keys of this batch already
-    in the table are read back and anti-joined, so a replay of a batch that
-    failed half-way adds only its missing rows: exactly-once contents.
+    appended again.  With ``key_columns`` that identify a message, ending in an
+    offset (the raw message's topic, partition and offset, carried in it), rows
+    also carry ``batch_id``; before appending, the keys already in the table are
+    read back for the batch's range of offsets and anti-joined, so a replay of a
+    batch that failed half-way, or a message sent again in a later batch, adds
+    only missing rows: exactly-once contents.
 
     ``on_error="skip"`` logs and drops a failed batch (the source system's
     behaviour); the default raises so the query stops and replays it.
@@ -69,11 +95,11 @@ def jdbc_batch_writer(
     def save(batch: DataFrame, batch_id: int) -> None:
         rows = batch
         if keys:
-            rows = batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
-            done = _written_keys(batch.sparkSession, url, table, properties, keys, batch_id)
+            rows = batch.dropDuplicates(keys).withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+            done = _written_keys(batch, url, table, properties, keys)
             if done is not None:
                 rows = rows.join(done, keys, "left_anti")
-        write_jdbc(rows, url, table, mode="append", properties=properties)
+        write_jdbc(rows, url, table, mode="append", properties=properties, num_partitions=num_partitions)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         from tollgate.sinks.tables import write_batch_once

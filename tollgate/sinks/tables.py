@@ -2,19 +2,21 @@
 
 * Normalised records are stored partitioned by ``year_month`` so rating a
   month prunes every other month at the scan.
-* Rated usage replaces the months it carries (dynamic partition overwrite):
-  re-rating a month is idempotent.  ``append`` keeps the source system's
-  behaviour, where a rerun duplicates rows.
-* Bills are overwritten.
-* Micro-batch writers overwrite ``batch_id=<n>``: a replayed batch replaces
-  its own output, so at-least-once delivery yields exactly-once contents.
+* Rated usage and bills replace the months asked for, a month without rows
+  included, so a rerun leaves nothing stale; without months the table is
+  overwritten.  ``append`` keeps the source system's behaviour, where a rerun
+  duplicates rows.
+* Table writers for micro-batches overwrite ``batch_id=<n>``: a replayed batch
+  replaces its own output.  A topic of files that a next hop *streams* is
+  written by Spark's own file sink instead (``streaming.runners``): its log of
+  committed files is what the file source trusts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tollgate.operators.mediation import encode
@@ -58,18 +60,59 @@ def _served_from_cache(df: DataFrame) -> bool:
     return False
 
 
-def write_rated(rated: DataFrame, path: str, mode: str = "replace_months") -> None:
-    writer = rated.write.partitionBy("year_month")
+MONTH = "year_month"
+
+
+def by_month(df: DataFrame) -> DataFrame:
+    """Rows dealt by month, in partitions that AQE sizes from measured bytes:
+    about one file per month, or several of a large one, instead of a file per
+    task and month."""
+    return df.hint("rebalance", MONTH)
+
+
+def replace_months(df: DataFrame, path: str, months: Iterable[str] | None = None) -> None:
+    """Make ``df`` the contents of ``months`` in a month-partitioned table; of
+    the whole table when ``months`` is None.
+
+    A month with rows is replaced by the write itself (dynamic overwrite).  The
+    months that gave rows are observed in that write; each other month asked
+    for is looked at again and, if it has no rows, replaced by an empty one.  Rows
+    of months not asked for are not written."""
+    if months is None:
+        by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
+        return
+    wanted = sorted(set(months))
+    seen = Observation()
+    rows = df.filter(F.col(MONTH).isin(wanted)).observe(seen, F.collect_set(MONTH).alias("months"))
+    by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    empty = df.sparkSession.createDataFrame([], df.drop(MONTH).schema)
+    try:
+        written = set(seen.get["months"])
+    except Exception:  # noqa: BLE001 - a frame planned to be empty takes its metrics along
+        written = set()
+    for month in sorted(set(wanted) - written):
+        if df.filter(F.col(MONTH) == month).isEmpty():
+            empty.write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
+
+
+def write_rated(
+    rated: DataFrame, path: str, mode: str = "replace_months", months: Iterable[str] | None = None
+) -> None:
+    """``replace_months`` replaces ``months`` (None: the table); ``append`` adds;
+    ``overwrite`` replaces the table."""
     if mode == "replace_months":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    elif mode in ("append", "overwrite"):
-        writer.mode(mode).parquet(path)
+        replace_months(rated, path, months)
+    elif mode == "overwrite":
+        replace_months(rated, path)
+    elif mode == "append":
+        by_month(rated).write.mode("append").partitionBy(MONTH).parquet(path)
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
 
-def write_bills(bills: DataFrame, path: str, mode: str = "overwrite") -> None:
-    bills.write.mode(mode).parquet(path)
+def write_bills(bills: DataFrame, path: str, months: Iterable[str] | None = None) -> None:
+    """Replace the bills of ``months``; without months, all bills."""
+    replace_months(bills, path, months)
 
 
 def write_normalised(cdr: DataFrame, path: str, mode: str = "append", cluster_into: int | None = None) -> None:
@@ -137,8 +180,9 @@ def batch_table_writer(
 
 def batch_message_writer(path: str, skip_empty: bool = True) -> BatchSink:
     """``foreachBatch`` callback writing each micro-batch as JSON messages
-    (one per line) to ``<path>/batch_id=<n>``: a file-backed topic that the
-    next hop reads with :func:`tollgate.sources.files.message_files`."""
+    (one per line) to ``<path>/batch_id=<n>``, to be read as a batch.  Not for a
+    stream that follows: a replayed batch gets new file names, which a file
+    source takes as new messages (see :func:`streaming.runners.run_mediation_files`)."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
         encode(batch).select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")

@@ -4,15 +4,24 @@ Hop 1 (mediation): messages -> decode -> unify -> validate -> valid and
 invalid sinks.  Hop 2 (store): valid messages -> decode -> normalise -> table.
 Both hops are stateless map/filter queries (no watermark, no state store);
 their progress lives in the checkpoint, so a restarted query resumes after
-the last committed batch, and the idempotent sinks make a replay harmless.
+the last committed batch.
+
+Hop 1 runs as one query that reads the source once and feeds both sides
+(``run_mediation``), or as two queries with a sink and checkpoint each
+(``run_mediation_streams``).  A topic of files takes the second form: Spark's
+file sink logs what a batch committed and the file source reads only that, so
+a replayed batch is seen once by hop 2.  Over Kafka a replayed batch is sent
+again; the messages carry the raw message's coordinates, by which hop 2's
+keyed sink knows them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from tollgate.operators.mediation import decode, mediate, split
+from tollgate.operators.mediation import decode, encode, mediate, split
 from tollgate.operators.normalise import normalise
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
 from tollgate.sinks.tables import BatchSink
@@ -79,6 +88,55 @@ def mediation_streams(
     return split(mediate(decode(messages, RAW_CDR, value_col, keep=keep, keep_raw=keep_raw), reject))
 
 
+def run_mediation_streams(
+    messages: DataFrame,
+    valid: str | BatchSink,
+    invalid: str | BatchSink,
+    checkpoint: str,
+    trigger: dict | None = None,
+    **options,
+) -> list[StreamingQuery]:
+    """Start hop 1 as two queries.  A side given as a path is written by the file
+    sink (valid: JSON messages, one per line; invalid: parquet), a callable gets
+    micro-batches.  ``options`` are those of :func:`mediation_streams`.  Each
+    query has its own folder under ``checkpoint``."""
+    good, bad = mediation_streams(messages, **options)
+    if "raw_value" in good.columns:
+        good = good.drop("raw_value")  # the message text is kept for dead letters only
+    queries = []
+    for name, frame, side in (("valid", good, valid), ("invalid", bad, invalid)):
+        if callable(side):
+            writer = frame.writeStream.foreachBatch(side)
+        elif name == "valid":
+            writer = encode(frame).select("value").writeStream.format("text").option("path", side)
+        else:
+            writer = frame.writeStream.format("parquet").option("path", side)
+        queries.append(_start(writer.outputMode("append").option("checkpointLocation", f"{checkpoint}/{name}"), trigger))
+    return queries
+
+
+def wait_any(spark: SparkSession, queries: list[StreamingQuery], until_all: bool = False) -> None:
+    """Wait until any of the queries ends, and stop the others; raise what ended
+    it.  ``until_all`` lets those that end well go on to the last (queries that
+    process what is there and stop)."""
+    left = list(queries)
+    try:
+        while left:
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+            ended = [q for q in left if not q.isActive]
+            for q in ended:
+                if q.exception() is not None:
+                    raise q.exception()
+            left = [q for q in left if q.isActive]
+            if ended and not until_all:
+                return
+    finally:
+        spark.streams.resetTerminated()
+        for q in left:
+            q.stop()
+
+
 def run_store(
     messages: DataFrame,
     sink: BatchSink,
@@ -88,14 +146,17 @@ def run_store(
     with_month: bool = False,
     observe: str | None = None,
     keep: tuple[str, ...] = (),
+    schema: StructType = MEDIATED_CDR,
+    message_keys: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Start hop 2: valid messages -> normalised rows -> ``sink`` per batch.
 
     ``observe`` names a metric set reported in each batch's progress
     (``observedMetrics``): valid rows and rows dropped as non-customers.
-    ``keep`` carries source columns (e.g. topic, partition, offset) through
-    to the sink, for :func:`tollgate.sinks.jdbc.jdbc_batch_writer` keys."""
-    decoded = decode(messages, MEDIATED_CDR, value_col, keep=keep)
-    rows = normalise(decoded, with_month=with_month, observe=observe, keep=keep)
+    ``keep`` carries source columns through to the sink, ``message_keys`` fields
+    of the message itself (of ``schema``, e.g. the raw coordinates of
+    ``schemas.KEYED_CDR``), for :func:`tollgate.sinks.jdbc.jdbc_batch_writer` keys."""
+    decoded = decode(messages, schema, value_col, keep=keep)
+    rows = normalise(decoded, with_month=with_month, observe=observe, keep=(*keep, *message_keys))
     writer = rows.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
     return _start(writer, trigger)

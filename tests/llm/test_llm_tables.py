@@ -1,6 +1,7 @@
 """Archives, vectors, the pipeline, and the registered queries."""
 
 import base64
+import gzip
 import hashlib
 import io
 import math
@@ -81,11 +82,13 @@ def test_truncated_archives_are_errors():
     out = io.BytesIO()
     W.write_record(out, {"WARC-Type": "response", "WARC-Record-ID": "<urn:page:1>"}, b"hello" * 100)
     raw = out.getvalue()
-    whole = [b"".join(body) for _, body in W.read_records(io.BytesIO(raw * 2), 7)]
+    whole = [b"".join(body) for _, body in W.read_records(W.Unzipped(io.BytesIO(raw * 2)), 7)]
     assert whole == [b"hello" * 100] * 2
-    for cut in (10, 40, len(raw) - 200):
+    assert gzip.decompress(raw).startswith(b"WARC/1.1\r\n")
+    plain = gzip.decompress(raw)
+    for stream in [io.BytesIO(plain[:cut]) for cut in (10, 40, len(plain) - 200)] + [W.Unzipped(io.BytesIO(raw[:-20]))]:
         with pytest.raises(ValueError):
-            for _, body in W.read_records(io.BytesIO(raw[:cut]), 7):
+            for _, body in W.read_records(stream, 7):
                 for _ in body:
                     pass
 

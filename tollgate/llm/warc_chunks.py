@@ -3,7 +3,7 @@
 Writing: pages with equal payloads (SHA-1 and length) of at least ``min_bytes``
 share one response record, that of the largest ``page_id``; the others are
 revisit records that refer to it and carry no payload.  Each task writes one
-archive in the shared folder, a payload slice by slice.
+archive in the shared folder, each record a gzip member, a payload slice by slice.
 
 Reading: an archive is streamed, and a record becomes rows of record identifier
 and chunk number, each with the running byte count and the running SHA-1 of the
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +32,7 @@ from tollgate.llm.files import open_file, whole_file
 from tollgate.session import scratch_path
 
 CHUNK = 64 * 1024
+LEVEL = 5  # of the compression
 DATE = "2000-01-01T00:00:00Z"  # fixed, so that a retried task writes the same bytes
 
 
@@ -79,12 +81,36 @@ def record_id(page_id: int | None, part: int, n: int) -> str:
 
 
 def write_record(out, head: dict[str, str], payload: bytes, chunk: int = CHUNK) -> None:
+    """A record as a gzip member of its own, the payload slice by slice."""
+    zipped = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
     lines = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items())
-    out.write((lines + f"Content-Length: {len(payload)}\r\n\r\n").encode())
+    out.write(zipped.compress((lines + f"Content-Length: {len(payload)}\r\n\r\n").encode()))
     view = memoryview(payload)
     for at in range(0, len(payload), chunk):
-        out.write(view[at : at + chunk])
-    out.write(b"\r\n\r\n")
+        out.write(zipped.compress(view[at : at + chunk]))
+    out.write(zipped.compress(b"\r\n\r\n") + zipped.flush())
+
+
+class Unzipped:
+    """A stream of gzip members, read as the bytes that they hold."""
+
+    def __init__(self, stream):
+        self.stream, self.member, self.raw = stream, None, b""
+
+    def read(self, n: int) -> bytes:
+        while True:
+            if not self.raw:
+                self.raw = self.stream.read(CHUNK)
+                if not self.raw:
+                    if self.member is not None and not self.member.eof:
+                        raise ValueError("the archive ends inside a member")
+                    return b""
+            if self.member is None or self.member.eof:
+                self.member = zlib.decompressobj(31)
+            out = self.member.decompress(self.raw, n)
+            self.raw = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
+            if out:
+                return out
 
 
 def write_archives(pages: DataFrame, min_bytes: int = 0, folder: str | None = None) -> DataFrame:
@@ -111,7 +137,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, folder: str | None = No
         first = next(batches, None)
         if first is None:
             return
-        path, n, batch = f"{folder}/pages-{part:06d}.warc", 0, first
+        path, n, batch = f"{folder}/pages-{part:06d}.warc.gz", 0, first
         with whole_file(path) as out:
             while batch is not None:
                 for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
@@ -208,7 +234,7 @@ def read_chunks(manifest: DataFrame, chunk: int = CHUNK, with_data: bool = True)
             for path in batch.column("path").to_pylist():
                 rows, held = [], 0
                 with open_file(path) as stream:
-                    for number, (head, slices) in enumerate(read_records(stream, chunk)):
+                    for number, (head, slices) in enumerate(read_records(Unzipped(stream), chunk)):
                         digest, so_far, k = hashlib.sha1(), 0, 0
                         part = next(slices, b"")
                         while True:

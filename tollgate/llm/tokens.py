@@ -11,6 +11,7 @@ tokenizer.  The ids are those of encoding the whole text.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from collections.abc import Callable
 
@@ -20,7 +21,20 @@ from tollgate.llm.common import WordCache
 
 _EDGE = re.compile(r"(?<=\S)(?= )")
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
-_LONG = 200  # longer chunks are not kept between batches
+_LONG = 200  # longer chunks are not kept
+_GROUP_CHARS = 1_000_000  # characters of the texts that are cut at a time
+
+
+def groups(texts: list) -> list[list]:
+    """Texts in order, in groups of about ``_GROUP_CHARS`` characters."""
+    out, size = [[]], 0
+    for t in texts:
+        if size > _GROUP_CHARS:
+            out.append([])
+            size = 0
+        out[-1].append(t)
+        size += len(t or "")
+    return out
 
 
 def chunks(text: str) -> list[str]:
@@ -33,12 +47,18 @@ def chunks(text: str) -> list[str]:
 class ChunkEncoder:
     """``split(chunk)`` gives pre-tokens, ``encode(pretokens)`` their ids."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list], block: int = 30_000):
-        self.split, self.encode, self.block = split, encode, block
-        self.chunks, self.words = WordCache(250_000), WordCache(250_000)
+    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list]):
+        self.split, self.encode = split, encode
+        self.chunks, self.words = WordCache(200_000), WordCache(300_000)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
+        out: list[bytes] = []
+        for some in groups(texts):
+            out += self._ids(some)
+        return out
+
+    def _ids(self, texts: list[str | None]) -> list[bytes]:
         self.chunks.room()
         self.words.room()
         parts = [chunks(t) if t else [] for t in texts]
@@ -46,68 +66,170 @@ class ChunkEncoder:
         need.update(*parts)
         missing = self.chunks.missing(need)
         known, words = self.chunks.young, self.words.young
-        for at in range(0, len(missing), self.block):
-            some = missing[at : at + self.block]
-            pre = [self.split(c) for c in some]
-            wanted: set = set()
-            wanted.update(*pre)
-            new = self.words.missing(wanted)
-            for word, ids in zip(new, self.encode(new) if new else ()):
-                words[word] = np.asarray(ids, "<u4").tobytes()
-            for c, p in zip(some, pre):
-                known[c] = b"".join(map(words.__getitem__, p))
+        pre = [self.split(c) for c in missing]
+        wanted: set = set()
+        wanted.update(*pre)
+        new = self.words.missing(wanted)
+        for word, ids in zip(new, self.encode(new) if new else ()):
+            words[word] = np.asarray(ids, "<u4").tobytes()
+        for c, p in zip(missing, pre):
+            known[c] = b"".join(map(words.__getitem__, p))
         out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for c in missing:
-            if len(c) > _LONG:
-                del known[c]
-        for w in [w for w in words if len(w) > _LONG]:
-            del words[w]
+        for cache, used in ((known, missing), (words, new)):
+            for w in used:
+                if len(w) > _LONG:
+                    del cache[w]
         return out
 
 
+def byte_characters() -> dict[int, str]:
+    """The printable character that byte-level models use for each byte: itself
+    for printable Latin-1, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
+
+
 _ENCODERS: dict = {}
 
 
-def library_encoder(path: str, pattern: str | None) -> ChunkEncoder:
-    """The ``tokenizers`` library's encoder of a file, one per worker.  Special
-    tokens in a text are ordinary text.  ``pattern`` is the file's pre-token
-    pattern, or None for chunks to go to the library whole."""
-    if path not in _ENCODERS:
-        import os
+def _load(path: str):
+    """A tokenizer file: (whole-text encoder, model step of one pre-token)."""
+    import os
+
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    model, table = tokenizer.model, byte_characters()
+
+    def whole(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    def step(word: str) -> list[int]:
+        return [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(table))]
+
+    return whole, step
+
+
+class WordIds(dict):
+    """Ids (packed) by word, made when first asked for, in two generations."""
+
+    def __init__(self, make: Callable[[str], bytes], size: int = 250_000, old: dict | None = None):
+        self.make, self.size, self.old = make, size, old or {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= _LONG:
+            self[word] = ids
+        return ids
+
+    def room(self) -> None:
+        """Call between texts: a full dict becomes the old generation."""
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+_MARKS = frozenset(".,;:!?")
+_RARE_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+def cuts_at_spaces(text: str) -> bool:
+    """Whether every space follows a character that is not white space, so that
+    the text may be cut before each."""
+    if "  " in text or "\n " in text:
+        return False
+    return not any(c in text and c + " " in text for c in _RARE_SPACES)
 
-        def encode(words):
-            return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-        find = regex.compile(pattern).findall if pattern else None
-        _ENCODERS[path] = ChunkEncoder(find or (lambda c: [c]), encode)
+class LibraryEncoder:
+    """Whole-text ids of a byte-level file: the text is cut before spaces, and each
+    distinct word goes through the pattern and the library's model once."""
+
+    def __init__(self, step: Callable[[str], list[int]], find: Callable[[str], list[str]]):
+        self.step, self.find = step, find
+        self.words = WordIds(lambda w: pack(step(w)))  # pre-tokens
+        self.spaced = WordIds(self._spaced)  # chunks, without the space in front
+
+    def _spaced(self, word: str) -> bytes:
+        if word.isalpha():
+            return pack(self.step(" " + word))
+        if word[-1:] in _MARKS and word[:-1].isalpha():
+            return self.spaced[word[:-1]] + self.words[word[-1]]
+        return self._whole(" " + word)
+
+    def _whole(self, chunk: str) -> bytes:
+        return b"".join([self.spaced[p[1:]] if p[0] == " " and p[1:].isalpha() else self.words[p] for p in self.find(chunk)])
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
+        out, get = [], self.spaced.__getitem__
+        for text in texts:
+            self.words.room()
+            self.spaced.room()
+            if not text:
+                out.append(b"")
+            elif cuts_at_spaces(text):
+                first, *rest = text.split(" ")
+                out.append(self._whole(first) + b"".join(map(get, rest)) if first else b"".join(map(get, rest)))
+            else:
+                out.append(b"".join(map(self._whole, _EDGE.split(text))))
+        return out
+
+
+class WordEndEncoder:
+    """Whole-text ids of a lower-casing file with word ends, which drops white
+    space.  Words that composition or a final sigma could change go through the
+    library whole."""
+
+    def __init__(self, whole: Callable[[str], list[int]], step: Callable[[str], list[int]], find: Callable[[str], list[str]]):
+        self.whole, self.find = whole, find
+        self.words = WordIds(lambda w: pack(step(w)))  # lower-cased pre-tokens
+        self.chunks = WordIds(self._chunk)
+
+    def _chunk(self, chunk: str) -> bytes:
+        if not chunk.isascii() and ("\u03a3" in chunk or not unicodedata.is_normalized("NFC", chunk)):
+            return pack(self.whole(chunk))
+        low = chunk.lower()
+        if low.isalpha():
+            return self.words[low]
+        if low[-1:] in _MARKS and low[:-1].isalpha():
+            return self.words[low[:-1]] + self.words[low[-1]]
+        return b"".join(map(self.words.__getitem__, self.find(low)))
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        out, get = [], self.chunks.__getitem__
+        for text in texts:
+            self.words.room()
+            self.chunks.room()
+            out.append(b"".join(map(get, text.split(" "))) if text else b"")
+        return out
+
+
+def library_encoder(path: str, pattern: str) -> LibraryEncoder:
+    """The ``tokenizers`` library's encoder of a byte-level file, one per worker.
+    ``pattern`` is the file's own; special tokens in a text are ordinary text."""
+    if path not in _ENCODERS:
+        import regex
+
+        _ENCODERS[path] = LibraryEncoder(_load(path)[1], regex.compile(pattern).findall)
     return _ENCODERS[path]
 
 
-def word_end_encoder(path: str) -> ChunkEncoder:
-    """The encoder of a lower-casing tokenizer with word ends, which drops
-    white space.  Lower-cased chunks are split into their words (contractions,
-    letters, single digits, other marks); those that composition or a final
-    sigma could change go whole."""
+def word_end_encoder(path: str) -> WordEndEncoder:
+    """The library's encoder of a lower-casing file with word ends, one per worker."""
     key = (path, "words")
     if key not in _ENCODERS:
         import regex
 
-        inner = library_encoder(path, None).encode
         find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-
-        def split(chunk):
-            if chunk.isascii():
-                return find(chunk.lower())
-            if "\u03a3" in chunk or not unicodedata.is_normalized("NFC", chunk):
-                return [chunk]
-            return find(chunk.lower())
-
-        _ENCODERS[key] = ChunkEncoder(split, inner)
+        _ENCODERS[key] = WordEndEncoder(*_load(path), find)
     return _ENCODERS[key]

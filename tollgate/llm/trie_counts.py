@@ -19,6 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from tollgate.llm.common import WordCache, map_batches
+from tollgate.llm.tokens import groups
 
 MARK = "▁"
 #: Log score of a byte of a character that has no piece.
@@ -31,7 +32,7 @@ class TrieCounter:
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
         self.longest = max(map(len, pieces), default=1)
-        self.cache = WordCache(400_000)
+        self.cache = WordCache(300_000)
 
     def insert(self, words: list[str]) -> dict:
         """The trie of the words: nested dicts by character, a word's
@@ -86,6 +87,12 @@ class TrieCounter:
 
     def counts(self, texts: list[str | None]) -> list[tuple[int, int, float]]:
         """(words, tokens, log score) of each text."""
+        out = []
+        for some in groups(texts):
+            out += self._counts(some)
+        return out
+
+    def _counts(self, texts):
         self.cache.room()
         parts = [t.split() if t else [] for t in texts]
         need: set = set()

@@ -21,7 +21,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, batch_rows: int | None = None, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to a fresh folder under the shared directory and read it
     back: cuts the lineage with files every executor can reach.
     ``batch_rows`` bounds the rows of an Arrow batch while it is written (for
@@ -29,7 +29,7 @@ def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> Data
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with arrow_batches(spark, batch_rows):
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,9 +11,12 @@ ids, checkpoints, payload bytes, crc32 of the payload), its documents' ids and
 token counts, the checkpoints and the payload.  A document longer than a block
 goes on in the next one; no more than a block is in memory.
 
+Texts are tokenised once, into a table of ids that the counts and the files are
+made from.
+
 Defined cases: null and empty texts have only the end id; null ``doc_id``s come
 first and read back as null; repeated ids and rows each keep their place (ties by
-the text); an empty table gives no rows.
+a checksum of the ids); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -113,57 +116,66 @@ def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes
     return out.astype(np.uint64).astype(">u4").tobytes()[: (total + 7) // 8], start[::STEP].astype(np.uint32)
 
 
-def unpack(payload: bytes, n: int, checkpoints: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """The ``n`` ids of a block, all its segments decoded side by side."""
+def unpack(payload: bytes, sizes: np.ndarray, checkpoints: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The ids of parts of ``sizes`` ids, from their checkpoints, all segments side
+    by side."""
     data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.int64)
     at = checkpoints.astype(np.int64)
     out = np.zeros((len(at), STEP), np.uint32)
     last = len(payload) * 8
-    for k in range(min(STEP, n)):
+    segments = -(-sizes // STEP)
+    # Ids of each segment: STEP, but for the last of a part.
+    count = np.full(len(at), STEP, np.int64)
+    ends = np.cumsum(segments)[sizes > 0] - 1
+    count[ends] = (sizes - (segments - 1) * STEP)[sizes > 0]
+    for k in range(int(count.max(initial=0))):
         byte = at >> 3
         window = (data[byte] << 24) | (data[byte + 1] << 16) | (data[byte + 2] << 8) | data[byte + 3]
         entry = table[((window << (at & 7)) & 0xFFFFFFFF) >> (32 - LIMIT)]
         out[:, k] = entry >> 8
         at = np.minimum(at + (entry & 255), last)
-    return out.reshape(-1)[:n]
+    return out[np.arange(STEP) < count[:, None]]
 
 
 class BlockWriter:
+    """Blocks of packed parts.  A part is (doc_id, ids it has, more to come, bits,
+    checkpoints), each on a byte boundary, so that parts packed by other tasks are
+    joined as they are."""
+
     def __init__(self, out, lengths: np.ndarray):
-        self.out, self.lengths, self.codes = out, lengths, canonical_codes(lengths)
-        self.docs: list[tuple[int, int]] = []
-        self.parts: list[np.ndarray] = []
-        self.held = 0
+        self.out, self.parts, self.held = out, [], 0
         table = zlib.compress(lengths.tobytes())
         out.write(MAGIC + struct.pack("<II", len(lengths), len(table)) + table)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        """A document; pieces of a long one are marked by the same id with
-        the top bit of the count set on all but the last."""
-        key = _NULL_ID if doc_id is None else doc_id
-        at = 0
-        while True:
-            room = BLOCK_IDS - self.held
-            part = ids[at : at + room]
-            at += len(part)
-            more = at < len(ids)
-            self.docs.append((key, len(part) | (1 << 31 if more else 0)))
-            self.parts.append(part)
-            self.held += len(part)
-            if self.held >= BLOCK_IDS:
-                self.flush()
-            if not more:
-                return
+    def add(self, doc_id: int | None, n: int, more: bool, bits: bytes, checkpoints: bytes) -> None:
+        self.parts.append((_NULL_ID if doc_id is None else doc_id, n | (1 << 31 if more else 0), bits, checkpoints))
+        self.held += n
+        if self.held >= BLOCK_IDS:
+            self.flush()
 
     def flush(self) -> None:
-        if not self.docs:
+        if not self.parts:
             return
-        payload, checkpoints = pack(np.concatenate(self.parts), self.lengths, self.codes)
-        docs = np.array([d for d, _ in self.docs], "<i8"), np.array([n for _, n in self.docs], "<u4")
-        self.out.write(_HEAD.pack(len(self.docs), self.held, len(checkpoints), len(payload), zlib.crc32(payload)))
-        for part in (docs[0].tobytes(), docs[1].tobytes(), checkpoints.astype("<u4").tobytes(), payload):
-            self.out.write(part)
-        self.docs, self.parts, self.held = [], [], 0
+        start, points = 0, []
+        for _, _, bits, checkpoints in self.parts:
+            points.append(np.frombuffer(checkpoints, "<u4") + np.uint32(8 * start))
+            start += len(bits)
+        payload = b"".join(p[2] for p in self.parts)
+        points = np.concatenate(points).astype("<u4")
+        self.out.write(_HEAD.pack(len(self.parts), self.held, len(points), len(payload), zlib.crc32(payload)))
+        for column, kind in ((0, "<i8"), (1, "<u4")):
+            self.out.write(np.array([p[column] for p in self.parts], kind).tobytes())
+        self.out.write(points.tobytes())
+        self.out.write(payload)
+        self.parts, self.held = [], 0
+
+
+def parts_of(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray):
+    """A document's parts of at most a block: (ids, more to come, bits, checkpoints)."""
+    for at in range(0, max(1, len(ids)), BLOCK_IDS):
+        some = ids[at : at + BLOCK_IDS]
+        bits, checkpoints = pack(some, lengths, codes)
+        yield len(some), at + BLOCK_IDS < len(ids), bits, checkpoints.astype("<u4").tobytes()
 
 
 def read_blocks(stream) -> Iterator[tuple[int | None, np.ndarray, bool]]:
@@ -188,60 +200,95 @@ def read_blocks(stream) -> Iterator[tuple[int | None, np.ndarray, bool]]:
         checkpoints, payload = np.frombuffer(take(4 * n_checkpoints), "<u4"), take(n_payload)
         if zlib.crc32(payload) != crc:
             raise ValueError("a block is damaged")
-        ids = unpack(payload, n_ids, checkpoints, table)
+        sizes = (counts & 0x7FFFFFFF).astype(np.int64)
+        if sizes.sum() != n_ids or n_checkpoints != (-(-sizes // STEP)).sum():
+            raise ValueError("a block is damaged")
+        ids = unpack(payload, sizes, checkpoints, table)
         at = 0
-        for doc, count in zip(docs.tolist(), counts.tolist()):
-            n = count & 0x7FFFFFFF
-            yield (None if doc == _NULL_ID else doc), ids[at : at + n], bool(count >> 31)
+        for doc, n, more in zip(docs.tolist(), sizes.tolist(), (counts >> 31).tolist()):
+            yield (None if doc == _NULL_ID else doc), ids[at : at + n], bool(more)
             at += n
 
 
-def count_ids(docs: DataFrame, make_encode: Callable[[], Encode], size: int, end_id: int) -> np.ndarray:
-    """Occurrences of each id over all documents, the end ids included.  The
-    result has ``size`` numbers, whatever the input."""
+def tokenise(docs: DataFrame, make_encode: Callable[[], Encode], size: int, end_id: int) -> DataFrame:
+    """``doc_id, ids`` with the end id, in 16 bits where the ids allow, as a table in
+    the shared folder: texts are tokenised once."""
+    kind = _kind(size)
+
+    def run(batches):
+        encode, end = make_encode(), np.array([end_id], kind).tobytes()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in encode(texts)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+    return materialise(rows, "ids", compression="zstd")
+
+
+def _kind(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
+    """Occurrences of each id in all documents.  The result has ``size`` numbers,
+    whatever the input."""
+    kind = _kind(size)
 
     def count(batches):
         total = np.zeros(size, np.int64)
-        encode = make_encode()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 200):
-                some = b"".join(encode(texts[at : at + 200]))
-                total += np.bincount(np.frombuffer(some, "<u4"), minlength=size)
-            total[end_id] += batch.num_rows
+            ids = batch.column(0)
+            for at in range(0, len(ids), 500):
+                some = b"".join(ids.slice(at, 500).to_pylist())
+                total += np.bincount(np.frombuffer(some, kind), minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = tokens.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(size, np.int64)
     for r in rows.collect():  # at most ``size`` rows
         counts[r["id"]] = r["n"]
     return counts
 
 
-def write_files(docs: DataFrame, folder: str, make_encode: Callable[[], Encode], lengths: np.ndarray, end_id: int, files: int) -> DataFrame:
+def write_files(tokens: DataFrame, folder: str, lengths: np.ndarray, size: int, files: int) -> DataFrame:
     """Write one file per range of ``doc_id``; returns the manifest ``part, path,
-    n_docs, n_ids``."""
-    shared = docs.sparkSession.sparkContext.broadcast(lengths)  # a byte per id
+    n_docs, n_ids``.  Documents are packed before the shuffle, which so moves code
+    bits."""
+    shared = tokens.sparkSession.sparkContext.broadcast(lengths)  # a byte per id
+    kind = _kind(size)
+
+    def code(batches):
+        from pyspark import TaskContext
+
+        lengths, codes = shared.value, canonical_codes(shared.value)
+        row = TaskContext.get().partitionId() << 33  # keeps the parts of each of several equal rows together
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
+                crc, row = zlib.crc32(raw), row + 1
+                for k, part in enumerate(parts_of(np.frombuffer(raw, kind), lengths, codes)):
+                    rows.append((doc, crc, row, k, *part))
+            yield pa.RecordBatch.from_pydict(dict(zip(target.names, zip(*rows))) if rows else {n: [] for n in target.names}, schema=target)
+
+    schema = T.StructType.fromDDL("doc_id long, crc long, row long, part int, n long, more boolean, bits binary, checkpoints binary")
+    target = arrow_schema(schema)
 
     def write(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        first = next(batches, None)
-        if first is None:
+        batch = next(batches, None)
+        if batch is None:
             return
-        encode, end = make_encode(), np.array([end_id], "<u4")
         path, n_docs, n_ids = f"{folder}/ids-{part:06d}.huf", 0, 0
         with whole_file(path) as out:
             writer = BlockWriter(out, shared.value)
-            batch = first
             while batch is not None:
-                texts = batch.column("text").to_pylist()
-                for doc, raw in zip(batch.column("doc_id").to_pylist(), encode(texts)):
-                    ids = np.concatenate([np.frombuffer(raw, "<u4"), end])
-                    writer.add(doc, ids)
-                    n_docs, n_ids = n_docs + 1, n_ids + len(ids)
+                for doc, n, more, bits, checkpoints in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "more", "bits", "checkpoints"))):
+                    writer.add(doc, n, more, bits, checkpoints)
+                    n_docs, n_ids = n_docs + (not more), n_ids + n
                 batch = next(batches, None)
             writer.flush()
         yield pa.RecordBatch.from_arrays(
@@ -249,7 +296,8 @@ def write_files(docs: DataFrame, folder: str, make_encode: Callable[[], Encode],
             ["part", "path", "n_docs", "n_ids"],
         )
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(files, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    order = ["doc_id", "crc", "row"]
+    ordered = tokens.mapInArrow(code, schema).repartitionByRange(files, *order).sortWithinPartitions(*order, "part")
     written = ordered.mapInArrow(write, "part int, path string, n_docs long, n_ids long")
     return materialise(written, "id-files")
 
@@ -290,9 +338,10 @@ def read_documents(spark, manifest: DataFrame) -> DataFrame:
 
 
 def store_ids(docs: DataFrame, make_encode: Callable[[], Encode], size: int, end_id: int = 0, files: int | None = None) -> DataFrame:
-    """Count, code, write, and return the manifest.  ``size`` is one more than
-    the largest id."""
+    """Tokenise, count, code, write, and return the manifest.  ``size`` is one more
+    than the largest id."""
     spark = docs.sparkSession
-    lengths = code_lengths(count_ids(docs, make_encode, size, end_id))
+    tokens = tokenise(docs, make_encode, size, end_id)
+    lengths = code_lengths(count_ids(tokens, size))
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return write_files(docs, scratch_path(spark, "token-ids"), make_encode, lengths, end_id, files)
+    return write_files(tokens, scratch_path(spark, "token-ids"), lengths, size, files)

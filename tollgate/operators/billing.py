@@ -18,9 +18,10 @@ def bill_monthly(rated: DataFrame, plan_pick: str = "min") -> DataFrame:
     Input rows are already one per (customer, plan, service, month), so the
     grouping is skew-free whatever the raw record distribution was.
 
-    ``min`` and ``first`` on a string force a sort-based aggregate.
-    ``plan_pick="key"`` groups by the plan instead: hash aggregates only, and
-    the same bills whenever a customer has one plan in a month (customer ids
+    ``min`` and the distinct services come from the sets of a group's plans and
+    services, a handful of values each: one partial and one final aggregate,
+    where ``min`` on a string and a distinct count take four sorted ones.
+    ``plan_pick="key"`` groups by the plan instead: the same bills whenever a customer has one plan in a month (customer ids
     unique in the customer table, one rating run billed); a customer with two
     plans in a month then gets one bill per plan.
     """
@@ -28,9 +29,14 @@ def bill_monthly(rated: DataFrame, plan_pick: str = "min") -> DataFrame:
     totals = [F.sum("cost").alias("total_amount"), F.countDistinct("record_type").alias("num_services")]
     if plan_pick == "key":
         bills = rated.groupBy(*keys, "rate_plan_id").agg(*totals)
-    elif plan_pick in ("min", "first"):
-        pick = F.min if plan_pick == "min" else F.first
-        bills = rated.groupBy(*keys).agg(*totals, pick("rate_plan_id").alias("rate_plan_id"))
+    elif plan_pick == "first":
+        bills = rated.groupBy(*keys).agg(*totals, F.first("rate_plan_id").alias("rate_plan_id"))
+    elif plan_pick == "min":
+        bills = rated.groupBy(*keys).agg(
+            totals[0],
+            F.size(F.collect_set("record_type")).cast("long").alias("num_services"),
+            F.array_min(F.collect_set("rate_plan_id")).alias("rate_plan_id"),
+        )
     else:
         raise ValueError(f"unknown plan_pick {plan_pick!r}")
     return bills.select(*keys, "total_amount", "num_services", "rate_plan_id")

@@ -196,10 +196,8 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return materialise(sets, "shingle-sets", batch_rows=1000)
 
 
-def verify_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets are similar enough.  Only
-    documents of some pair are read for their sets."""
-    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), width)
+def verify_pairs(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose full shingle sets are similar enough."""
     both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b").join(
         sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a"
     )
@@ -241,18 +239,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     buckets = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     shared = materialise(members.join(buckets, "bucket"), "members")  # only buckets with two members or more
+    # Sets of the documents that can be in a pair, from one more read of their texts.
+    sets = _sets(docs, shared.select(F.col("rep").alias("doc_id")).distinct(), width)
     bits = reps.select("rep", "bits")
 
     component = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
     for turn, last_band in enumerate(STAR_ROUNDS):
         part = shared.where(F.col("band") < last_band)
-        component = _merge(docs, _stars(part, component, turn), bits, component, most, width, percent)
+        component = _merge(sets, _stars(part, component, turn), bits, component, most, percent)
     inside = materialise(_mixed(shared, component), "mixed")
     few = F.col("n") * F.col("outside") <= FEW_PAIRS
-    links = verify_pairs(docs, materialise(screened(_pairs_across(inside.where(few)), bits, most), "pairs"), width, percent)
+    links = verify_pairs(sets, materialise(screened(_pairs_across(inside.where(few)), bits, most), "pairs"), percent)
     component = _joined(
-        component,
-        _between(links, component).unionByName(_blocks_across(docs, inside.where(~few), width, percent)),
+        component, _between(links, component).unionByName(_blocks_across(sets, inside.where(~few), percent))
     )
 
     by_class = classes.join(component.select(F.col("id").alias("rep"), "component"), "rep").select("set_key", "component")
@@ -268,12 +267,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _merge(docs, pairs, bits, component, most, width, percent) -> DataFrame:
+def _merge(sets, pairs, bits, component, most, percent) -> DataFrame:
     """Components after the verified ones of ``pairs`` have been added."""
     pairs = materialise(screened(pairs, bits, most), "pairs")
     if pairs.isEmpty():
         return component
-    return _joined(component, _between(verify_pairs(docs, pairs, width, percent), component))
+    return _joined(component, _between(verify_pairs(sets, pairs, percent), component))
 
 
 def _between(links: DataFrame, component: DataFrame) -> DataFrame:
@@ -352,12 +351,10 @@ def _pairs_across(inside: DataFrame) -> DataFrame:
     )
 
 
-def _blocks_across(docs: DataFrame, inside: DataFrame, width: int, percent: int) -> DataFrame:
+def _blocks_across(sets: DataFrame, inside: DataFrame, percent: int) -> DataFrame:
     """The same comparison for buckets with many pairs, block by block: chunks of
     the members outside the largest component meet chunks of all members, and a
     task gives the links between components that it finds, not pairs."""
-    ids = inside.select(F.col("rep").alias("doc_id")).distinct()
-    sets = _sets(docs, ids, width)
     chunks = [F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("n", "outside")]
     dealt = inside.withColumns({"members": chunks[0], "others": chunks[1], "key": F.xxhash64("rep")})
     mine = F.pmod("key", F.col("members")).cast("int")

@@ -22,7 +22,6 @@ from tollgate.llm import huffman_ids as H
 from tollgate.llm import tokens
 from tollgate.llm import trie_counts as C
 from tollgate.llm import vector_packing as V
-from tollgate.session import scratch_path
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 BYTES = P.path("byte_bpe_50k.json")

@@ -129,14 +129,11 @@ def unit_scores(text: str, table: np.ndarray) -> np.ndarray:
 
 
 def features_of(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse normalised features (row, triple, value) of single units."""
-    codes = [np.zeros(0, np.int64)]
-    owner = [np.zeros(0, np.int64)]
-    for i, u in enumerate(units):
-        c, k = codes_of(u)
-        codes += [c, np.zeros(SPAN, np.int64)]
-        owner += [np.where(k >= 0, i, -1), np.full(SPAN, -1)]
-    codes, owner = np.concatenate(codes), np.concatenate(owner)
+    """Sparse normalised features (row, triple, value) of single units, which
+    hold two characters or more and no white space."""
+    codes, owner = codes_of("\n".join(units))
+    if int(owner.max(initial=-1)) + 1 != len(units):
+        raise ValueError("a unit is empty or holds white space")
     norm = unit_norms(codes, owner, len(units))
     parts = [(u, i, np.full(len(u), w)) for u, i, w in triples(codes, owner)]
     if not parts:
@@ -155,11 +152,13 @@ def kernel(units: list[str], landmarks: tuple, m: int) -> np.ndarray:
     dense = np.zeros((len(used), m))
     dense[column, lrow] = lvalue
     out = np.zeros((len(units), m))
-    for at in range(0, len(units), 4000):
-        row, index, value = features_of(units[at : at + 4000])
+    for at in range(0, len(units), 1000):
+        row, index, value = features_of(units[at : at + 1000])  # sorted by row
         place = np.searchsorted(used, index)
         hit = (place < len(used)) & (used[np.minimum(place, len(used) - 1)] == index) if len(used) else np.zeros(len(index), bool)
-        np.add.at(out, row[hit] + at, value[hit, None] * dense[place[hit]])
+        if hit.any():
+            first = np.flatnonzero(np.diff(row[hit], prepend=-1))
+            out[row[hit][first] + at] = np.add.reduceat(value[hit, None] * dense[place[hit]], first)
     return out
 
 
@@ -261,7 +260,7 @@ def train_units(bags: list[set[str]], y: np.ndarray, landmarks: int = 200, round
     prior = np.array([odds.get(u, -3.0) for u in vocabulary])
     score, w = prior, None
     for turn in range(rounds):
-        hits, weights, hard = [], [], []
+        hits, hard = [], []
         for ids, label in zip(bag_ids, y):
             if not len(ids):
                 continue

@@ -3,6 +3,9 @@ samples, and Arrow-batch mapping with a cache that lives in the worker."""
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -17,7 +20,32 @@ from tollgate.session import scratch_path
 SPACES = " \t\n\v\f\r"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers: once per context, as a zip
+    in the shared folder that Spark hands to every executor.  Operators run their
+    functions by reference, so that a worker's caches outlive a task."""
+    context = spark.sparkContext
+    if getattr(context, "_tollgate_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    zipped = io.BytesIO()
+    with zipfile.ZipFile(zipped, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    target = f"{scratch_path(spark, 'code')}/{os.path.basename(root)}.zip"
+    path = context._jvm.org.apache.hadoop.fs.Path(target)
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(zipped.getvalue()))
+    stream.close()
+    context.addPyFile(path.toUri().toString() if "://" in target else target)
+    context._tollgate_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

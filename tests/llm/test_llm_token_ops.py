@@ -215,10 +215,11 @@ def test_length_limit_is_kept():
 def test_pack_and_unpack(ids, skew):
     ids = np.array([i // (1 + skew) for i in ids], np.uint32)
     lengths = H.code_lengths(np.bincount(ids, minlength=301))
-    parts = list(H.parts_of(ids, lengths, H.canonical_codes(lengths)))
-    assert [p[0] for p in parts] == [len(ids)] and not parts[0][1]
-    points = np.frombuffer(parts[0][3], "<u4")
-    assert H.unpack(parts[0][2], np.array([len(ids)]), points, H.decoding_table(lengths)).tolist() == ids.tolist()
+    payload, start = H.pack(ids, lengths, H.canonical_codes(lengths))
+    for sizes in ([len(ids)], [0, len(ids) // 3, 0, len(ids) - len(ids) // 3]):
+        sizes = np.array(sizes)
+        points = start[H.segment_starts(sizes)].astype("<u4")
+        assert H.unpack(payload, sizes, points, H.decoding_table(lengths)).tolist() == ids.tolist()
 
 
 #: A lambda, as workers cannot import a test module.
@@ -234,8 +235,7 @@ def test_blocks_round_trip_when_documents_span_them(monkeypatch):
     out = io.BytesIO()
     writer = H.BlockWriter(out, lengths)
     for d, ids in docs:
-        for part in H.parts_of(ids, lengths, H.canonical_codes(lengths)):
-            writer.add(d, *part)
+        writer.add(d, ids)
     writer.flush()
     got, held = [], []
     for d, ids, more in H.read_blocks(io.BytesIO(out.getvalue())):

@@ -37,7 +37,7 @@ from tollgate.session import scratch_path
 
 LIMIT = 20  # bits of the longest code
 STEP = 128  # ids between checkpoints
-BLOCK_IDS = 1 << 16
+BLOCK_IDS = 1 << 18
 MAGIC = b"HUFFIDS1"
 _HEAD = struct.Struct("<IIIII")
 _NULL_ID = -(2**63)
@@ -101,8 +101,7 @@ def decoding_table(lengths: np.ndarray) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Bits of the ids, most significant first, and the bit offset of every
-    STEP-th id."""
+    """Bits of the ids, most significant first, and the bit offset of each id."""
     bits = lengths[ids].astype(np.int64)
     end = np.cumsum(bits)
     start = end - bits
@@ -113,13 +112,23 @@ def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes
     # Bits don't overlap, so sums of 32-bit halves are exact in doubles.
     out = np.bincount(at, (placed >> np.uint64(32)).astype(np.float64), words)
     out += np.bincount(at + 1, (placed & np.uint64(0xFFFFFFFF)).astype(np.float64), words)
-    return out.astype(np.uint64).astype(">u4").tobytes()[: (total + 7) // 8], start[::STEP].astype(np.uint32)
+    return out.astype(np.uint64).astype(">u4").tobytes()[: (total + 7) // 8], start
+
+
+def segment_starts(sizes: np.ndarray) -> np.ndarray:
+    """Places of the ids that begin a segment: every STEP-th of each part."""
+    segments = -(-sizes // STEP)
+    of = np.repeat(np.arange(len(sizes)), segments)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(segments) - segments, segments)
+    return (np.cumsum(sizes) - sizes)[of] + STEP * number
 
 
 def unpack(payload: bytes, sizes: np.ndarray, checkpoints: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The ids of parts of ``sizes`` ids, from their checkpoints, all segments side
     by side."""
-    data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.int64)
+    data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.uint32)
+    # The 32 bits that start at each byte.
+    windows = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
     at = checkpoints.astype(np.int64)
     out = np.zeros((len(at), STEP), np.uint32)
     last = len(payload) * 8
@@ -129,53 +138,50 @@ def unpack(payload: bytes, sizes: np.ndarray, checkpoints: np.ndarray, table: np
     ends = np.cumsum(segments)[sizes > 0] - 1
     count[ends] = (sizes - (segments - 1) * STEP)[sizes > 0]
     for k in range(int(count.max(initial=0))):
-        byte = at >> 3
-        window = (data[byte] << 24) | (data[byte + 1] << 16) | (data[byte + 2] << 8) | data[byte + 3]
-        entry = table[((window << (at & 7)) & 0xFFFFFFFF) >> (32 - LIMIT)]
+        entry = table[(windows[at >> 3] << (at & 7).astype(np.uint32)) >> np.uint32(32 - LIMIT)]
         out[:, k] = entry >> 8
-        at = np.minimum(at + (entry & 255), last)
+        at += entry & 255
+        np.minimum(at, last, out=at)
     return out[np.arange(STEP) < count[:, None]]
 
 
 class BlockWriter:
-    """Blocks of packed parts.  A part is (doc_id, ids it has, more to come, bits,
-    checkpoints), each on a byte boundary, so that parts packed by other tasks are
-    joined as they are."""
-
     def __init__(self, out, lengths: np.ndarray):
-        self.out, self.parts, self.held = out, [], 0
+        self.out, self.lengths, self.codes = out, lengths, canonical_codes(lengths)
+        self.docs: list[int] = []
+        self.more: list[bool] = []
+        self.parts: list[np.ndarray] = []
+        self.held = 0
         table = zlib.compress(lengths.tobytes())
         out.write(MAGIC + struct.pack("<II", len(lengths), len(table)) + table)
 
-    def add(self, doc_id: int | None, n: int, more: bool, bits: bytes, checkpoints: bytes) -> None:
-        self.parts.append((_NULL_ID if doc_id is None else doc_id, n | (1 << 31 if more else 0), bits, checkpoints))
-        self.held += n
-        if self.held >= BLOCK_IDS:
-            self.flush()
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        """A document, in parts where it goes over a block's end."""
+        at = 0
+        while True:
+            part = ids[at : at + BLOCK_IDS - self.held]
+            at += len(part)
+            self.docs.append(_NULL_ID if doc_id is None else doc_id)
+            self.more.append(at < len(ids))
+            self.parts.append(part)
+            self.held += len(part)
+            if self.held >= BLOCK_IDS:
+                self.flush()
+            if at >= len(ids):
+                return
 
     def flush(self) -> None:
-        if not self.parts:
+        if not self.docs:
             return
-        start, points = 0, []
-        for _, _, bits, checkpoints in self.parts:
-            points.append(np.frombuffer(checkpoints, "<u4") + np.uint32(8 * start))
-            start += len(bits)
-        payload = b"".join(p[2] for p in self.parts)
-        points = np.concatenate(points).astype("<u4")
-        self.out.write(_HEAD.pack(len(self.parts), self.held, len(points), len(payload), zlib.crc32(payload)))
-        for column, kind in ((0, "<i8"), (1, "<u4")):
-            self.out.write(np.array([p[column] for p in self.parts], kind).tobytes())
-        self.out.write(points.tobytes())
+        sizes = np.array([len(p) for p in self.parts])
+        payload, start = pack(np.concatenate(self.parts), self.lengths, self.codes)
+        points = start[segment_starts(sizes)].astype("<u4")
+        counts = (sizes | (np.array(self.more, np.int64) << 31)).astype("<u4")  # the top bit: goes on
+        self.out.write(_HEAD.pack(len(self.docs), self.held, len(points), len(payload), zlib.crc32(payload)))
+        for column in (np.array(self.docs, "<i8"), counts, points):
+            self.out.write(column.tobytes())
         self.out.write(payload)
-        self.parts, self.held = [], 0
-
-
-def parts_of(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray):
-    """A document's parts of at most a block: (ids, more to come, bits, checkpoints)."""
-    for at in range(0, max(1, len(ids)), BLOCK_IDS):
-        some = ids[at : at + BLOCK_IDS]
-        bits, checkpoints = pack(some, lengths, codes)
-        yield len(some), at + BLOCK_IDS < len(ids), bits, checkpoints.astype("<u4").tobytes()
+        self.docs, self.more, self.parts, self.held = [], [], [], 0
 
 
 def read_blocks(stream) -> Iterator[tuple[int | None, np.ndarray, bool]]:
@@ -254,27 +260,10 @@ def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
 
 def write_files(tokens: DataFrame, folder: str, lengths: np.ndarray, size: int, files: int) -> DataFrame:
     """Write one file per range of ``doc_id``; returns the manifest ``part, path,
-    n_docs, n_ids``.  Documents are packed before the shuffle, which so moves code
-    bits."""
+    n_docs, n_ids``."""
     shared = tokens.sparkSession.sparkContext.broadcast(lengths)  # a byte per id
     kind = _kind(size)
 
-    def code(batches):
-        from pyspark import TaskContext
-
-        lengths, codes = shared.value, canonical_codes(shared.value)
-        row = TaskContext.get().partitionId() << 33  # keeps the parts of each of several equal rows together
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                crc, row = zlib.crc32(raw), row + 1
-                for k, part in enumerate(parts_of(np.frombuffer(raw, kind), lengths, codes)):
-                    rows.append((doc, crc, row, k, *part))
-            yield pa.RecordBatch.from_pydict(dict(zip(target.names, zip(*rows))) if rows else {n: [] for n in target.names}, schema=target)
-
-    schema = T.StructType.fromDDL("doc_id long, crc long, row long, part int, n long, more boolean, bits binary, checkpoints binary")
-    target = arrow_schema(schema)
-
     def write(batches):
         from pyspark import TaskContext
 
@@ -286,9 +275,10 @@ def write_files(tokens: DataFrame, folder: str, lengths: np.ndarray, size: int,
         with whole_file(path) as out:
             writer = BlockWriter(out, shared.value)
             while batch is not None:
-                for doc, n, more, bits, checkpoints in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "more", "bits", "checkpoints"))):
-                    writer.add(doc, n, more, bits, checkpoints)
-                    n_docs, n_ids = n_docs + (not more), n_ids + n
+                for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
+                    ids = np.frombuffer(raw, kind)
+                    writer.add(doc, ids)
+                    n_docs, n_ids = n_docs + 1, n_ids + len(ids)
                 batch = next(batches, None)
             writer.flush()
         yield pa.RecordBatch.from_arrays(
@@ -296,8 +286,8 @@ def write_files(tokens: DataFrame, folder: str, lengths: np.ndarray, size: int,
             ["part", "path", "n_docs", "n_ids"],
         )
 
-    order = ["doc_id", "crc", "row"]
-    ordered = tokens.mapInArrow(code, schema).repartitionByRange(files, *order).sortWithinPartitions(*order, "part")
+    order = ["doc_id", F.crc32("ids")]
+    ordered = tokens.repartitionByRange(files, *order).sortWithinPartitions(*order)
     written = ordered.mapInArrow(write, "part int, path string, n_docs long, n_ids long")
     return materialise(written, "id-files")
 

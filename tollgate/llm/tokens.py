@@ -107,8 +107,16 @@ def _load(path: str):
     def whole(text: str) -> list[int]:
         return tokenizer.encode(text, add_special_tokens=False).ids
 
+    tokenize, space = model.tokenize, table[32]
+
     def step(word: str) -> list[int]:
-        return [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(table))]
+        if word.isascii() and word.isalnum():
+            mapped = word  # printable ASCII stands for itself
+        elif word[0] == " " and word.isascii() and word[1:].isalnum():
+            mapped = space + word[1:]
+        else:
+            mapped = word.encode().decode("latin-1").translate(table)
+        return [t.id for t in tokenize(mapped)]
 
     return whole, step
 
@@ -116,7 +124,7 @@ def _load(path: str):
 class WordIds(dict):
     """Ids (packed) by word, made when first asked for, in two generations."""
 
-    def __init__(self, make: Callable[[str], bytes], size: int = 250_000, old: dict | None = None):
+    def __init__(self, make: Callable[[str], bytes], size: int = 500_000, old: dict | None = None):
         self.make, self.size, self.old = make, size, old or {}
 
     def __missing__(self, word: str) -> bytes:
@@ -134,8 +142,11 @@ class WordIds(dict):
             self.clear()
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
+
+
 def pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < 33 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 _MARKS = frozenset(".,;:!?")

@@ -41,7 +41,7 @@ MAX_UNIT = 64  # letters that a unit's norm distinguishes
 #: The training sample: at most so many labelled documents of each class, with
 #: texts of at most so many characters.
 MAX_PER_CLASS = 1500
-MAX_FIT_CHARS = 40_000
+MAX_FIT_CHARS = 20_000
 
 _ACCENTED = "àâäáãåçéèêëíìîïñóòôöõúùûüýß"
 
@@ -151,9 +151,9 @@ def kernel(units: list[str], landmarks: tuple, m: int) -> np.ndarray:
     used, column = np.unique(lindex, return_inverse=True)
     dense = np.zeros((len(used), m))
     dense[column, lrow] = lvalue
-    out = np.zeros((len(units), m))
-    for at in range(0, len(units), 1000):
-        row, index, value = features_of(units[at : at + 1000])  # sorted by row
+    out = np.zeros((len(units), m), np.float32)
+    for at in range(0, len(units), 500):
+        row, index, value = features_of(units[at : at + 500])  # sorted by row
         place = np.searchsorted(used, index)
         hit = (place < len(used)) & (used[np.minimum(place, len(used) - 1)] == index) if len(used) else np.zeros(len(index), bool)
         if hit.any():
@@ -249,13 +249,13 @@ def train_units(bags: list[set[str]], y: np.ndarray, landmarks: int = 200, round
     values, vectors = np.linalg.eigh(own + 1e-6 * np.eye(len(marks)))
     root = vectors / np.sqrt(np.maximum(values, 1e-6))  # Nystrom map: kernel row times this
     vocabulary = sorted(set(pos) | set(neg))
-    if len(vocabulary) > 30_000:  # ordinary units beyond this add nothing but time
+    if len(vocabulary) > 20_000:  # ordinary units beyond this add nothing but time
         keep = set(telling) | {u for u in pos if pos[u] > 1} | {u for u in neg if neg[u] > 1}
         spare = [u for u in vocabulary if u not in keep]
-        keep |= {spare[i] for i in rng.choice(len(spare), min(len(spare), max(0, 30_000 - len(keep))), replace=False)}
+        keep |= {spare[i] for i in rng.choice(len(spare), min(len(spare), max(0, 20_000 - len(keep))), replace=False)}
         vocabulary = sorted(keep)
     index = {u: i for i, u in enumerate(vocabulary)}
-    z = kernel(vocabulary, feats, len(marks)) @ root
+    z = kernel(vocabulary, feats, len(marks)) @ root.astype(np.float32)
     bag_ids = [np.array([index[u] for u in bag if u in index], int) for bag in bags]
     prior = np.array([odds.get(u, -3.0) for u in vocabulary])
     score, w = prior, None

@@ -263,6 +263,23 @@ def test_keyed_writer_appends_only_when_written_rows_are_known(spark, monkeypatc
     assert len(written) == 2
 
 
+def test_keyed_writer_keeps_every_row_without_keys(spark, monkeypatch):
+    from tollgate.sinks import jdbc
+    from tollgate.sources import jdbc as source
+
+    schema = "raw_topic string, raw_partition int, raw_offset long, customer_id string"
+    rows = [("raw", 0, 4, "+4"), ("raw", 0, 4, "+4"), ("raw", 0, 5, "+5"), (None, None, None, "a"), (None, None, None, "a"),
+            (None, None, None, "b"), ("raw", 0, None, "c"), ("raw", 0, None, "d"), (None, 0, 5, "e")]
+    written = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, *a, **k: written.append(sorted(r.customer_id for r in df.collect())))
+    existing = spark.createDataFrame([("raw", 0, 5), (None, None, None), (None, 0, 5)], schema.rsplit(",", 1)[0])
+    monkeypatch.setattr(source, "read_jdbc", lambda *a, **k: existing)
+    writer = jdbc.jdbc_batch_writer("jdbc:x", "CDR", key_columns=("raw_topic", "raw_partition", "raw_offset"))
+    writer(spark.createDataFrame(rows, schema), 1)
+    writer(spark.createDataFrame(rows[3:6], schema), 2)  # no key at all in the batch
+    assert written == [["+4", "a", "a", "b", "c", "d", "e"], ["a", "a", "b"]]
+
+
 def test_batch_writer_does_not_cache_a_cached_side_twice(spark, tmp_dir):
     from tollgate.sinks.tables import _served_from_cache
 

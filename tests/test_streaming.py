@@ -79,6 +79,24 @@ def test_failed_batch_is_replayed(spark, tmp_dir):
     assert read_table(spark, f"{tmp_dir}/out").count() == 2  # replayed, same batch id, no loss
 
 
+def test_messages_without_raw_coordinates_are_keyed_by_their_own(spark, tmp_dir):
+    from tollgate.schemas import KEYED_CDR, RAW_KEYS
+
+    sent = {"record_type": "voice", "timestamp": "2025-06-12T09:30:05Z", "caller_id": "212660000001",
+            "callee_id": "212660000099", "duration_sec": 5, "msisdn": "212660000001", "user_id": "212660000001",
+            "subscriber_id": "212660000001", "status": "valid"}
+    extra = [{}, {}, {"raw_topic": "raw", "raw_partition": 3}, {"raw_topic": "raw", "raw_partition": 3, "raw_offset": 70}]
+    os.makedirs(f"{tmp_dir}/valid")
+    with open(f"{tmp_dir}/valid/m.txt", "w") as f:
+        f.writelines(json.dumps({**sent, **e, "own": k}) + "\n" for k, e in enumerate(extra))
+    messages = spark.readStream.text(f"{tmp_dir}/valid").selectExpr(
+        "value", "'valid' AS topic", "1 AS partition", "cast(get_json_object(value, '$.own') AS long) AS offset")
+    seen = []
+    run_store(messages, lambda batch, _: seen.extend(tuple(r) for r in batch.select(*RAW_KEYS).collect()), f"{tmp_dir}/ck", NOW,
+              schema=KEYED_CDR, message_keys=RAW_KEYS, own_keys=("topic", "partition", "offset")).awaitTermination()
+    assert sorted(seen) == [("raw", 3, 70), ("valid", 1, 0), ("valid", 1, 1), ("valid", 1, 2)]
+
+
 def run_store_messages(spark, raw, sink, ck):
     # hop 2 fed with raw-shaped voice messages that carry the mediated fields
     msgs = message_files(spark, raw).select(

@@ -134,7 +134,8 @@ def job_store(spark: SparkSession, args) -> None:
     else:
         sink = batch_table_writer(args.out, partition_by=("year_month",), on_error=args.on_error)
     query = run_store(messages, sink, args.checkpoint, _trigger(args), with_month=not to_jdbc,
-                      schema=KEYED_CDR if keys else MEDIATED_CDR, message_keys=keys, observe="store_losses")
+                      schema=KEYED_CDR if keys else MEDIATED_CDR, message_keys=keys, own_keys=KAFKA_COORDS if keys else (),
+                      observe="store_losses")
     query.awaitTermination()
 
 

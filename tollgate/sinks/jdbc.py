@@ -7,6 +7,9 @@ Credentials come from ``properties`` supplied by the caller.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +67,7 @@ def _written_keys(batch: DataFrame, url: str, table: str, properties: dict[str,
         if sql_state(error) in NO_SUCH_TABLE:
             return None
         raise
-    span = batch.agg(F.min(keys[-1]).alias("low"), F.max(keys[-1]).alias("high")).first()
+    span = batch.dropna(subset=keys).agg(F.min(keys[-1]).alias("low"), F.max(keys[-1]).alias("high")).first()
     return existing.filter(F.col(keys[-1]).between(span["low"], span["high"])).select(*keys).distinct()
 
 
@@ -85,7 +88,9 @@ def jdbc_batch_writer(
     also carry ``batch_id``; before appending, the keys already in the table are
     read back for the batch's range of offsets and anti-joined, so a replay of a
     batch that failed half-way, or a message sent again in a later batch, adds
-    only missing rows: exactly-once contents.
+    only missing rows: exactly-once contents.  A row with a null key names no
+    message: it is equal to no other row and always appended, at least once
+    (``run_store`` gives such messages their own coordinates).
 
     ``on_error="skip"`` logs and drops a failed batch (the source system's
     behaviour); the default raises so the query stops and replays it.
@@ -95,10 +100,13 @@ def jdbc_batch_writer(
     def save(batch: DataFrame, batch_id: int) -> None:
         rows = batch
         if keys:
-            rows = batch.dropDuplicates(keys).withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+            whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+            named = batch.filter(whole).dropDuplicates(keys)
             done = _written_keys(batch, url, table, properties, keys)
             if done is not None:
-                rows = rows.join(done, keys, "left_anti")
+                named = named.join(done, keys, "left_anti")
+            rows = named.select(*batch.columns).unionByName(batch.filter(~whole))
+            rows = rows.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
         write_jdbc(rows, url, table, mode="append", properties=properties, num_partitions=num_partitions)
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -17,7 +17,11 @@ keyed sink knows them.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -137,6 +141,14 @@ def wait_any(spark: SparkSession, queries: list[StreamingQuery], until_all: bool
             q.stop()
 
 
+def keyed(rows: DataFrame, message_keys: tuple[str, ...], own_keys: tuple[str, ...]) -> DataFrame:
+    """``message_keys`` where all of them are set, else all of ``own_keys``."""
+    whole = reduce(and_, [F.col(k).isNotNull() for k in message_keys])
+    return rows.withColumns(
+        {k: F.when(whole, F.col(k)).otherwise(F.col(own)) for k, own in zip(message_keys, own_keys, strict=True)}
+    )
+
+
 def run_store(
     messages: DataFrame,
     sink: BatchSink,
@@ -148,6 +160,7 @@ def run_store(
     keep: tuple[str, ...] = (),
     schema: StructType = MEDIATED_CDR,
     message_keys: tuple[str, ...] = (),
+    own_keys: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Start hop 2: valid messages -> normalised rows -> ``sink`` per batch.
 
@@ -155,8 +168,13 @@ def run_store(
     (``observedMetrics``): valid rows and rows dropped as non-customers.
     ``keep`` carries source columns through to the sink, ``message_keys`` fields
     of the message itself (of ``schema``, e.g. the raw coordinates of
-    ``schemas.KEYED_CDR``), for :func:`tollgate.sinks.jdbc.jdbc_batch_writer` keys."""
-    decoded = decode(messages, schema, value_col, keep=keep)
+    ``schemas.KEYED_CDR``), for :func:`tollgate.sinks.jdbc.jdbc_batch_writer` keys.
+    A message without all of them (of another producer, or sent before they were
+    carried) is keyed by ``own_keys``, the source columns in the same order that
+    identify the message itself."""
+    decoded = decode(messages, schema, value_col, keep=(*keep, *(k for k in own_keys if k not in keep)))
+    if own_keys:
+        decoded = keyed(decoded, message_keys, own_keys)
     rows = normalise(decoded, with_month=with_month, observe=observe, keep=(*keep, *message_keys))
     writer = rows.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
     return _start(writer, trigger)

@@ -71,6 +71,24 @@ def test_learned_formats_find_bare_credentials_and_leave_words(spark):
     assert not any(G.all_spans(c, grammar, {})[1] for c in clean)
 
 
+def digits_grammar():
+    digits = G.Automaton([{"0": (0, np.log(0.9))}], [np.log(0.1)], [np.log(0.001)])
+    letters = G.Automaton([{s: (0, np.log(0.3)) for s in "0ag"}], [np.log(0.1)], [np.log(0.001)])
+    ordinary = G.Automaton([{}], [np.log(0.5)], [np.log(0.5 / G.ALPHABET)])
+    return G.Grammar({"assign": digits, "hex": letters}, ordinary)
+
+
+def test_long_runs_are_scored_to_their_end():
+    grammar, known = digits_grammar(), {}
+    assert G.all_spans("see " + "z" * 300 + " there", grammar, known)[1] == [("format", 4, 304)]
+    assert G.all_spans("z" * G.MAX_SHAPE + "-Ordinary_Tail" * 9, grammar, known)[1] == []
+    assert G.all_spans("z" * G.MAX_SHAPE, grammar, known)[1] == [("format", 0, G.MAX_SHAPE)]
+    assert all(len(w) <= G.MAX_SHAPE for w in known)
+    # The cut of a training shape is not an end.
+    auto = G.infer(Counter({G.training_shape("7" * 5000): 100, G.training_shape("7" * 20): 1}))
+    assert auto.generates("0" * 5000) and max(auto.stop) < np.log(0.2)
+
+
 def test_automaton_is_a_distribution_and_merges_states():
     rng = random.Random(1)
     words = Counter("".join(rng.choice("0a") for _ in range(rng.choice([8, 9, 10]))) for _ in range(400))

@@ -7,7 +7,8 @@ and the marks themselves).  States whose next-symbol and stop frequencies are
 statistically compatible (Hoeffding bound, checked through their subtrees) are
 merged into a probabilistic automaton.  One more automaton is
 learned from ordinary long tokens.  Every other run of credential characters
-of at least ``MIN_RUN`` is a candidate; it is a secret when some
+of at least ``MIN_RUN`` is a candidate; its
+whole length is scored, and it is a secret when some
 format explains it better than the ordinary tokens do by ``MIN_GAIN`` nats per
 character, generates each of its symbols, and is likely in itself.
 
@@ -38,7 +39,10 @@ KINDS = ("assign", "access", "hex", "format")
 MIN_RUN = 20
 #: Labelled credentials of each kind, and ordinary tokens, learned from at most.
 MAX_SAMPLE = 500
+#: A longer run is learned from by its first symbols (the whole run is scored).
 MAX_SHAPE = 96
+MARKS = "+/_.=-"
+CUT = "~"  # not a symbol of a shape
 MIN_GAIN = 0.4
 MAX_COST = 2.2  # nats per character under the format: above, it is no known format
 
@@ -53,7 +57,7 @@ _SHAPES = str.maketrans(
     "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 10 + "a" * 6 + "g" * 20 + "A" * 6 + "G" * 20
 )
 #: Symbols a shape can hold, and the stop.
-ALPHABET = 5 + len("+/_.=-") + 1
+ALPHABET = 5 + len(MARKS) + 1
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -81,6 +85,11 @@ def shape(value: str) -> str:
     return value.translate(_SHAPES)
 
 
+def training_shape(value: str) -> str:
+    """The shape, or the first ``MAX_SHAPE`` symbols of a longer one and ``CUT``."""
+    return shape(value) if len(value) <= MAX_SHAPE else shape(value[:MAX_SHAPE]) + CUT
+
+
 @dataclass
 class Automaton:
     """A probabilistic automaton: per state, log probabilities of each symbol
@@ -117,7 +126,8 @@ def _prefix_tree(words: Counter) -> tuple[list[dict], list[int]]:
     ends = [0]
     for word, times in sorted(words.items()):
         node = 0
-        for symbol in word:
+        cut = word.endswith(CUT)  # it goes on: no end is counted
+        for symbol in word.removesuffix(CUT):
             arc = arcs[node].get(symbol)
             if arc is None:
                 arc = arcs[node][symbol] = [len(arcs), 0]
@@ -125,7 +135,8 @@ def _prefix_tree(words: Counter) -> tuple[list[dict], list[int]]:
                 ends.append(0)
             arc[1] += times
             node = arc[0]
-        ends[node] += times
+        if not cut:
+            ends[node] += times
     return arcs, ends
 
 
@@ -208,7 +219,7 @@ class Grammar:
         better than ordinary tokens do; minus infinity for no known format."""
         if not self.formats or self.ordinary is None:
             return -math.inf
-        word = shape(value[:MAX_SHAPE])
+        word = shape(value)
         best = max((a.log_likelihood(word) for a in self.formats.values() if a.generates(word)), default=-math.inf)
         if -best > MAX_COST * (len(word) + 1):
             return -math.inf
@@ -220,12 +231,15 @@ def all_spans(text: str | None, grammar: Grammar, known: dict) -> tuple[list, li
     base = base_spans(text or "")
     learned = []
     for start, end, value in candidates(text or "", base):
-        word = shape(value[:MAX_SHAPE])
-        gain = known.get(word)
-        if gain is None:
-            if len(known) > 200_000:
-                known.clear()
-            gain = known[word] = grammar.gain(value)
+        if len(value) > MAX_SHAPE:  # the cache holds short shapes only
+            gain = grammar.gain(value)
+        else:
+            word = shape(value)
+            gain = known.get(word)
+            if gain is None:
+                if len(known) > 200_000:
+                    known.clear()
+                gain = known[word] = grammar.gain(value)
         if gain >= MIN_GAIN:
             learned.append(("format", start, end))
     return [b[:3] for b in base], learned
@@ -244,8 +258,8 @@ def learn_formats(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> Grammar:
         counts: Counter = Counter()
         for text in cols["text"]:
             base = base_spans(text or "")
-            counts.update((kind, shape(value[:MAX_SHAPE])) for kind, _, _, value in base)
-            counts.update(("ordinary", shape(value[:MAX_SHAPE])) for _, _, value in candidates(text or "", base))
+            counts.update((kind, training_shape(value)) for kind, _, _, value in base)
+            counts.update(("ordinary", training_shape(value)) for _, _, value in candidates(text or "", base))
         keys = list(counts)
         return {"kind": [k[0] for k in keys], "shape": [k[1] for k in keys], "n": [counts[k] for k in keys]}
 

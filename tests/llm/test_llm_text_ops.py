@@ -89,6 +89,26 @@ def test_long_runs_are_scored_to_their_end():
     assert auto.generates("0" * 5000) and max(auto.stop) < np.log(0.2)
 
 
+def test_rest_of_a_run_beside_a_base_span_is_a_candidate():
+    grammar = digits_grammar()
+    access, digest, token = "AKIA" + "Q7" * 8, "0123456789abcdef" * 2, "x9" * 20
+    for text, want in [
+        (f"{access}/{token} end", (21, 61)), (f"{digest}.{token}", (33, 73)), (f"a {token}.{digest} b", (2, 42)),
+        (f"{token}/{access}/{'y' * 19}", (0, 40)),
+    ]:
+        assert G.all_spans(text, grammar, {})[1] == [("format", *want)], text
+        assert token not in G.redact(text, sum(G.all_spans(text, grammar, {}), []))
+    rng = random.Random(5)
+    for _ in range(300):  # parts are outside all base spans, and nothing of MIN_RUN is left out
+        text = "".join(rng.choice([access, digest, token, "/", ".", " ", "z" * 25, "password=", "é"]) for _ in range(8))
+        base = G.base_spans(text)
+        free = "".join(" " if any(s <= k < e for _, s, e, _ in base) else c for k, c in enumerate(text))
+        parts = [(m.start(), m.end()) for m in G._RUN.finditer(free)]
+        got = G.candidates(text, base)
+        assert all(text[s:e] == v == free[s:e] and len(v) >= G.MIN_RUN for s, e, v in got)
+        assert all(any(a <= s <= a + 1 and b - 1 <= e <= b for s, e, _ in got) for a, b in parts if b - a >= G.MIN_RUN + 2)
+
+
 def test_automaton_is_a_distribution_and_merges_states():
     rng = random.Random(1)
     words = Counter("".join(rng.choice("0a") for _ in range(rng.choice([8, 9, 10]))) for _ in range(400))

@@ -7,7 +7,7 @@ and the marks themselves).  States whose next-symbol and stop frequencies are
 statistically compatible (Hoeffding bound, checked through their subtrees) are
 merged into a probabilistic automaton.  One more automaton is
 learned from ordinary long tokens.  Every other run of credential characters
-of at least ``MIN_RUN`` is a candidate; its
+of at least ``MIN_RUN``, or what base spans leave of one, is a candidate; its
 whole length is scored, and it is a secret when some
 format explains it better than the ordinary tokens do by ``MIN_GAIN`` nats per
 character, generates each of its symbols, and is likely in itself.
@@ -73,12 +73,33 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def candidates(text: str, base: list) -> list[tuple[int, int, str]]:
-    """Runs of credential characters that touch no base span."""
+    """Parts of runs of credential characters that are outside all base spans,
+    each of at least ``MIN_RUN``.  One mark that joins a part to a base span belongs
+    to neither."""
     out = []
+    spans = sorted((s, e) for _, s, e, _ in base)
+    i, covered = 0, 0  # spans before i start before this run; they end by covered
     for m in _RUN.finditer(text):
-        if not any(s < m.end() and m.start() < e for _, s, e, _ in base):
-            out.append((m.start(), m.end(), m.group()))
-    return out
+        while i < len(spans) and spans[i][0] <= m.start():
+            covered = max(covered, spans[i][1])
+            i += 1
+        start = m.start()
+        if covered > start:
+            start = _after_mark(text, covered)
+        while i < len(spans) and spans[i][0] < m.end():
+            at, end = spans[i]
+            if at >= covered:
+                out.append((start, at - (text[at - 1] in MARKS)))
+            if end > covered:
+                covered = end
+                start = _after_mark(text, covered)
+            i += 1
+        out.append((start, m.end()))
+    return [(s, e, text[s:e]) for s, e in out if e - s >= MIN_RUN]
+
+
+def _after_mark(text: str, at: int) -> int:
+    return at + (text[at : at + 1] in MARKS and at < len(text))
 
 
 def shape(value: str) -> str:

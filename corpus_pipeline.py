@@ -30,9 +30,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8 or more; the smallest doc_id of each
-    group stays."""
-    kept = near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id")
-    return docs.select(*COLUMNS).join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select(*COLUMNS)
+    group stays.  A row with a null doc_id is a row of its own and always stays.
+    Repeated rows (equal in all columns) under one doc_id stay once; a doc_id names
+    one document, so its rows that differ stay or go together."""
+    kept = near_duplicates(docs, width=5, percent=80).where("kept and doc_id is not null").select("doc_id")
+    docs = docs.select(*COLUMNS)
+    # The join leaves the rows dealt by doc_id: distinct needs no shuffle of its own.
+    named = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select(*COLUMNS).distinct()
+    return named.unionByName(docs.where("doc_id is null"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,6 +189,23 @@ def test_pipeline_stages_take_awkward_rows(spark):
             assert stage(spark, documents(spark, data), SF_SMALL).count() >= 0, name
 
 
+def test_near_dedup_keeps_null_ids_and_one_of_repeated_rows(spark):
+    rng = random.Random(3)
+    a, b, c = (" ".join(f"w{rng.randrange(9999)}" for _ in range(80)) for _ in range(3))
+    near = a + " end"  # one shingle more than a
+    rows = [(1, a), (1, a), (1, a), (2, near), (None, a), (None, a), (None, near), (None, None), (None, ""), (3, b), (3, b),
+            (4, b), (5, c), (6, None), (6, None), (7, None), (8, ""), (9, "one"), (9, "one"), (10, "one")]
+    want = [(1, a), (None, a), (None, a), (None, near), (None, None), (None, ""), (3, b), (5, c), (6, None), (7, None), (8, ""),
+            (9, "one")]
+    frame = documents(spark, rows).repartition(4)
+    got = corpus_pipeline.near_dedup(spark, frame, SF_SMALL)
+    assert got.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    # The later stages keep every one of these rows too.
+    left = corpus_pipeline.secret_scan(spark, got, SF_SMALL)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
 # -- registered queries ----------------------------------------------------------
 def test_one_query_per_operator():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))

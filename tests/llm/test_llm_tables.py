@@ -158,6 +158,18 @@ def test_empty_vectors(spark):
 
 
 # -- pipeline ----------------------------------------------------------------
+def test_archive_query_makes_the_whole_chunk_table(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries, "records", lambda chunks: made.append(chunks) or W.records(chunks))
+    out = queries.op4_warc_chunks(spark, SF_SMALL)
+    payloads = {}
+    for r in made[0].where("record_type = 'response'").orderBy("record_id", "chunk_no").collect():
+        assert len(r.data) == r.n_bytes
+        payloads[r.record_id] = payloads.get(r.record_id, b"") + bytes(r.data)
+    got = {(f"<urn:page:{r.page_id}>", r.payload_digest) for r in out.where("record_type = 'response'").collect()}
+    assert got == {(k, base64.b32encode(hashlib.sha1(v).digest()).decode()) for k, v in payloads.items()}
+
+
 def test_pipeline_stages(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "toxicity", "near_dedup", "secret_scan", "best_fit_packing"]

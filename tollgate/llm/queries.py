@@ -38,7 +38,7 @@ def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(read(spark, sf_dir, "pages"), min_bytes=0)
-    return records(read_chunks(archives, with_data=False))
+    return records(read_chunks(archives))
 
 
 def op5_duckdb_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

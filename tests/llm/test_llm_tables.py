@@ -218,6 +218,15 @@ def test_near_dedup_keeps_null_ids_and_one_of_repeated_rows(spark):
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
 
 
+def test_secret_scan_gives_the_expected_texts(spark):
+    digest = "0123456789abcdef"
+    rows = [(1, "a secret=abcdefghijkl z", "a [assign] z"), (1, "a secret=abcdefghijkl z", "a [assign] z"), (2, None, None), (3, "", ""),
+            (None, f"x {digest} y", "x [hex] y"), (4, f"{digest} AKIA{'Q' * 14}!", "[hex] [access]!"), (5, "plain words", "plain words")]
+    out = corpus_pipeline.secret_scan(spark, documents(spark, [(d, t) for d, t, _ in rows]), SF_SMALL)
+    want = [(d, new, None if new is None else len(new)) for d, _, new in rows]
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
 # -- registered queries ----------------------------------------------------------
 def test_one_query_per_operator():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))

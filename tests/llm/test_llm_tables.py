@@ -230,7 +230,7 @@ def test_secret_scan_gives_the_expected_texts(spark):
 # -- registered queries ----------------------------------------------------------
 def test_one_query_per_operator():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))

@@ -9,7 +9,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +77,27 @@ def arrow_batches(spark: SparkSession, rows: int | None):
         spark.conf.set(key, before)
 
 
+#: Bytes of a column (texts) that an operator turns into Python objects at a time.
+BATCH_BYTES = 8 << 20
+
+
+def byte_slices(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in order, cut so that a slice holds at most ``limit`` bytes of a
+    string or binary column, or a single row."""
+    rows, values = batch.num_rows, batch.column(column)
+    if values.get_total_buffer_size() <= limit:  # the usual case
+        if rows:
+            yield batch
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < rows:
+        done = int(ends[start - 1]) if start else 0
+        stop = max(int(np.searchsorted(ends, done + limit, "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def map_batches(
     df: DataFrame,
     fn: Callable[..., dict | list],

@@ -58,8 +58,55 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component AS componen
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(other) AS component FROM reach GROUP BY id) c ON w.doc_id = c.id
 """
 
+FILL_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS k,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), u AS (
+  SELECT *, len(k)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, array_to_string(k[1:a], '') AS prefix, array_to_string(k[a + 1:b], '') AS middle, array_to_string(k[b + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+CHAT = r"""
+WITH r AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), t AS (
+  SELECT conv_id, turn, role AS o1, text AS o2, coalesce(role, '') AS role, coalesce(text, '') AS text FROM r
+), g AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '<\\*/?s>|\[\\*(/?INST|/?ROLE|TEXT)\]')) AS guarded,
+    length(role) + len(regexp_extract_all(role, '<\\*/?s>|\[\\*(/?INST|/?ROLE|TEXT)\]')) AS guarded_role
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, o1 NULLS FIRST, o2 NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, o1 NULLS FIRST, o2 NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 ELSE 19 + guarded_role END + guarded))::BIGINT AS formatted_chars
+FROM g GROUP BY conv_id
+"""
+
 ORACLE_SQL = {
     "op2_subspace_join": LINKS,
     "op4_warc_chunks": ARCHIVES,
     "op10_similarity_sketch": NEAR_DUPLICATES,
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_chat_template": CHAT,
 }

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tollgate.llm.chat_template import format_conversations, read_back
 from tollgate.llm.common import read
 from tollgate.llm.duckdb_bpe import encode_digests
+from tollgate.llm.fill_middle import fill_in_middle, restore
 from tollgate.llm.huffman_ids import read_documents, store_ids
 from tollgate.llm.oracles import ORACLE_SQL  # noqa: F401 - read by the entry module
 from tollgate.llm.quality_forest import fit_quality, judge_quality
@@ -20,6 +23,7 @@ from tollgate.llm.tokens import library_encoder, word_end_encoder
 from tollgate.llm.trie_counts import count_tokens
 from tollgate.llm.vector_packing import pack_documents
 from tollgate.llm.warc_chunks import read_chunks, records, write_archives
+from tollgate.llm.whitening import whiten
 
 
 def op1_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +80,29 @@ def op10_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Beyond 64 bits the contract's column has no value for the exact deviation.
+    return whiten(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = restore(fill_in_middle(read(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+#: A conversation whose texts look like the format itself.
+MARKED_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op13_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED_TEXT), (-7, 1, "assistant", MARKED_TEXT)], rows.schema)
+    return read_back(format_conversations(rows.unionByName(marked)), in_order=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_grammar": op1_secret_grammar,
     "op2_subspace_join": op2_subspace_join,
@@ -87,4 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_trie_counts": op8_trie_counts,
     "op9_quality_forest": op9_quality_forest,
     "op10_similarity_sketch": op10_similarity_sketch,
+    "op11_whitening": op11_whitening,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_chat_template": op13_chat_template,
 }

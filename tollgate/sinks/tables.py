@@ -5,7 +5,8 @@
 * Rated usage and bills replace the months asked for, a month without rows
   included, so a rerun leaves nothing stale; without months the table is
   overwritten.  ``append`` keeps the source system's behaviour, where a rerun
-  duplicates rows.
+  duplicates rows.  ``atomic`` tables (:mod:`tollgate.versions`) change all their
+  months in one step.
 * Table writers for micro-batches overwrite ``batch_id=<n>``: a replayed batch
   replaces its own output.  A topic of files that a next hop *streams* is
   written by Spark's own file sink instead (``streaming.runners``): its log of
@@ -16,23 +17,34 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate import storage
 from tollgate.operators.mediation import encode
+from tollgate.versions import MONTH, MonthTable
 
 BatchSink = Callable[[DataFrame, int], None]
 
+_CACHED = "_tollgate_cached"
+
+
+def side_of_cached(side: DataFrame) -> DataFrame:
+    """Mark a frame as projections and filters over a cached micro-batch (a side of
+    a fan-out): a sink need not cache it again."""
+    setattr(side, _CACHED, True)
+    return side
+
 
 def write_batch_once(batch: DataFrame, write: Callable[[DataFrame], None], skip_empty: bool = True) -> None:
     """Run ``write`` on a micro-batch, skipping it when empty.
 
     The batch is persisted for the emptiness check and the write, so the
     source is read once per batch and metrics observed in its plan count
-    each row once.  A batch already served from a cache (a side of the
-    mediation fan-out, which persists the whole batch) is not cached again.
+    each row once.  A side of a fan-out, which persists the whole batch
+    (:func:`side_of_cached`), is not cached again.
     """
-    own_cache = not _served_from_cache(batch)
+    own_cache = not getattr(batch, _CACHED, False)
     if own_cache:
         batch.persist()
     try:
@@ -44,25 +56,6 @@ def write_batch_once(batch: DataFrame, write: Callable[[DataFrame], None], skip_
             batch.unpersist()
 
 
-def _served_from_cache(df: DataFrame) -> bool:
-    """True when ``df`` is projections and filters over a cached frame (a
-    side of a persisted batch); a cached table deeper in the plan, e.g. a
-    joined lookup table, does not count."""
-    try:
-        plan = df._jdf.queryExecution().withCachedData().toString()
-    except Exception:  # noqa: BLE001 - when unsure, cache
-        return False
-    for line in plan.splitlines():
-        node = line.lstrip(" :+-").split(" ", 1)[0]
-        if node in ("Project", "Filter"):
-            continue
-        return node == "InMemoryRelation"
-    return False
-
-
-MONTH = "year_month"
-
-
 def by_month(df: DataFrame) -> DataFrame:
     """Rows dealt by month, in partitions that AQE sizes from measured bytes:
     about one file per month, or several of a large one, instead of a file per
@@ -70,49 +63,60 @@ def by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", MONTH)
 
 
+def _month_files(spark, path: str, months: Iterable[str]) -> dict[str, list[str]]:
+    return {m: storage.names(spark, f"{path}/{MONTH}={m}") for m in months}
+
+
 def replace_months(df: DataFrame, path: str, months: Iterable[str] | None = None) -> None:
     """Make ``df`` the contents of ``months`` in a month-partitioned table; of
     the whole table when ``months`` is None.
 
-    A month with rows is replaced by the write itself (dynamic overwrite).  The
-    months that gave rows are observed in that write; each other month asked
-    for is looked at again and, if it has no rows, replaced by an empty one.  Rows
-    of months not asked for are not written."""
+    One job writes the months that have rows (dynamic overwrite).  A month asked
+    for whose files are still those of before had none, and is replaced by an
+    empty one; nothing of ``df`` runs again for it.  Rows of months not asked for are not
+    written.  The months change one after another: a table whose readers must
+    not see that is a :class:`~tollgate.versions.MonthTable`."""
     if months is None:
         by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
         return
-    wanted = sorted(set(months))
-    seen = Observation()
-    rows = df.filter(F.col(MONTH).isin(wanted)).observe(seen, F.collect_set(MONTH).alias("months"))
+    spark, wanted = df.sparkSession, sorted(set(months))
+    before = _month_files(spark, path, wanted)
+    rows = df.filter(F.col(MONTH).isin(wanted))
     by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
-    empty = df.sparkSession.createDataFrame([], df.drop(MONTH).schema)
-    try:
-        written = set(seen.get["months"])
-    except Exception:  # noqa: BLE001 - a frame planned to be empty takes its metrics along
-        written = set()
-    for month in sorted(set(wanted) - written):
-        if df.filter(F.col(MONTH) == month).isEmpty():
+    after = _month_files(spark, path, wanted)
+    empty = spark.createDataFrame([], df.drop(MONTH).schema)
+    for month in wanted:
+        if before[month] == after[month]:  # a write names its files anew
             empty.write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
 
 
 def write_rated(
-    rated: DataFrame, path: str, mode: str = "replace_months", months: Iterable[str] | None = None
+    rated: DataFrame,
+    path: str,
+    mode: str = "replace_months",
+    months: Iterable[str] | None = None,
+    atomic: bool = False,
 ) -> None:
     """``replace_months`` replaces ``months`` (None: the table); ``append`` adds;
-    ``overwrite`` replaces the table."""
-    if mode == "replace_months":
-        replace_months(rated, path, months)
-    elif mode == "overwrite":
-        replace_months(rated, path)
+    ``overwrite`` replaces the table.  ``atomic`` (and any table written so before)
+    changes all months in one step."""
+    if mode not in ("replace_months", "append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
+    table = MonthTable(rated.sparkSession, path)
+    if atomic or table.exists():
+        if mode == "append":
+            table.append(rated)
+        else:
+            table.replace(rated, months if mode == "replace_months" else None)
     elif mode == "append":
         by_month(rated).write.mode("append").partitionBy(MONTH).parquet(path)
     else:
-        raise ValueError(f"unknown mode {mode!r}")
+        replace_months(rated, path, months if mode == "replace_months" else None)
 
 
-def write_bills(bills: DataFrame, path: str, months: Iterable[str] | None = None) -> None:
+def write_bills(bills: DataFrame, path: str, months: Iterable[str] | None = None, atomic: bool = False) -> None:
     """Replace the bills of ``months``; without months, all bills."""
-    replace_months(bills, path, months)
+    write_rated(bills, path, months=months, atomic=atomic)
 
 
 def write_normalised(cdr: DataFrame, path: str, mode: str = "append", cluster_into: int | None = None) -> None:
@@ -182,7 +186,7 @@ def batch_message_writer(path: str, skip_empty: bool = True) -> BatchSink:
     """``foreachBatch`` callback writing each micro-batch as JSON messages
     (one per line) to ``<path>/batch_id=<n>``, to be read as a batch.  Not for a
     stream that follows: a replayed batch gets new file names, which a file
-    source takes as new messages (see :func:`streaming.runners.run_mediation_files`)."""
+    source takes as new messages (see :func:`tollgate.streaming.runners.run_mediation_streams`)."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
         encode(batch).select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tollgate.schemas import RAW_CDR
+from tollgate.versions import MonthTable
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A stored parquet table; with ``schema``, columns come back in that
-    order (partition columns included) so the frame matches the contract."""
-    df = spark.read.parquet(path)
+    order (partition columns included) so the frame matches the contract.  Of a
+    table with versions, the newest."""
+    table = MonthTable(spark, path)
+    df = table.read() if table.exists() else spark.read.parquet(path)
     if schema is not None:
         df = df.select(*[f.name for f in schema.fields])
     return df
@@ -26,9 +29,9 @@ def read_snapshot(
     """Raw records dumped as JSON for a backfill.
 
     ``multiline=True`` reads files that hold one JSON array of records (each
-    file is then read by one task); ``False`` reads JSON lines, which split
-    into many tasks per file and is the layout to use at volume.  The schema
-    is declared, never inferred.
+    file is then read by one task; :func:`tollgate.sources.json_array.read_json_array`
+    splits a huge one); ``False`` reads JSON lines, which split into many tasks per
+    file.  The schema is declared, never inferred.
     """
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 

@@ -17,6 +17,7 @@ keyed sink knows them.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from functools import reduce
 from operator import and_
 
@@ -28,7 +29,8 @@ from pyspark.sql.types import StructType
 from tollgate.operators.mediation import decode, encode, mediate, split
 from tollgate.operators.normalise import normalise
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
-from tollgate.sinks.tables import BatchSink
+from tollgate.sinks.tables import BatchSink, side_of_cached
+from tollgate.streaming.resent import rocksdb_state, without_resent
 
 
 def _start(writer, trigger: dict | None) -> StreamingQuery:
@@ -46,8 +48,8 @@ def mediation_fanout(valid_sink: BatchSink, invalid_sink: BatchSink) -> BatchSin
         try:
             valid, invalid = split(batch)
             # the message text is kept for dead letters only
-            valid_sink(valid.drop("raw_value"), batch_id)
-            invalid_sink(invalid, batch_id)
+            valid_sink(side_of_cached(valid.drop("raw_value")), batch_id)
+            invalid_sink(side_of_cached(invalid), batch_id)
         finally:
             batch.unpersist()
 
@@ -119,24 +121,31 @@ def run_mediation_streams(
     return queries
 
 
+#: Seconds between looks at the other queries while one is waited for.
+POLL_SECONDS = 0.2
+
+
 def wait_any(spark: SparkSession, queries: list[StreamingQuery], until_all: bool = False) -> None:
     """Wait until any of the queries ends, and stop the others; raise what ended
     it.  ``until_all`` lets those that end well go on to the last (queries that
-    process what is there and stop)."""
+    process what is there and stop).
+
+    Only the given queries are looked at.  The session's own list of ended
+    queries is neither read nor reset: another query that fails is its owner's."""
     left = list(queries)
     try:
         while left:
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-            ended = [q for q in left if not q.isActive]
+            active = [q.isActive for q in left]
+            ended = [q for q, on in zip(left, active) if not on]
             for q in ended:
                 if q.exception() is not None:
                     raise q.exception()
-            left = [q for q in left if q.isActive]
+            left = [q for q, on in zip(left, active) if on]
             if ended and not until_all:
                 return
+            if left:
+                left[0].awaitTermination(POLL_SECONDS)
     finally:
-        spark.streams.resetTerminated()
         for q in left:
             q.stop()
 
@@ -161,6 +170,8 @@ def run_store(
     schema: StructType = MEDIATED_CDR,
     message_keys: tuple[str, ...] = (),
     own_keys: tuple[str, ...] = (),
+    resent_within: str | None = None,
+    arrival: str | None = None,
 ) -> StreamingQuery:
     """Start hop 2: valid messages -> normalised rows -> ``sink`` per batch.
 
@@ -171,10 +182,20 @@ def run_store(
     ``schemas.KEYED_CDR``), for :func:`tollgate.sinks.jdbc.jdbc_batch_writer` keys.
     A message without all of them (of another producer, or sent before they were
     carried) is keyed by ``own_keys``, the source columns in the same order that
-    identify the message itself."""
+    identify the message itself.
+
+    ``resent_within`` (e.g. ``"7 days"``) drops a record that comes again within that
+    time (:func:`tollgate.streaming.resent.without_resent`), by the record's own time, or
+    by ``arrival``, a kept source column that is never null.  By default a record is
+    stored as often as it comes."""
+    if arrival and arrival not in keep:
+        raise ValueError(f"arrival column {arrival!r} must be among the kept ones")
     decoded = decode(messages, schema, value_col, keep=(*keep, *(k for k in own_keys if k not in keep)))
     if own_keys:
         decoded = keyed(decoded, message_keys, own_keys)
     rows = normalise(decoded, with_month=with_month, observe=observe, keep=(*keep, *message_keys))
+    if resent_within:
+        rows = without_resent(rows, resent_within, event_time=arrival or "timestamp", always_timed=arrival is not None)
     writer = rows.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
-    return _start(writer, trigger)
+    with rocksdb_state(rows.sparkSession) if resent_within else nullcontext():
+        return _start(writer, trigger)

@@ -32,13 +32,14 @@ from tollgate.operators.billing import bill_monthly
 from tollgate.operators.mediation import encode
 from tollgate.operators.quality import DECLARED_RULES, check
 from tollgate.operators.rating import RUN_ID, latest_runs, rate_monthly, with_run
+from tollgate.plans.joins import hold
 from tollgate.schemas import KEYED_CDR, MEDIATED_CDR, RAW_KEYS
 from tollgate.session import build_session
 from tollgate.sinks.jdbc import jdbc_batch_writer, write_jdbc
 from tollgate.sinks.kafka import write_kafka_batch
 from tollgate.sinks.tables import BatchSink, batch_table_writer, write_bills, write_rated
 from tollgate.sources.files import MAX_FILES_PER_TRIGGER, message_files, read_table
-from tollgate.sources.jdbc import read_jdbc, read_jdbc_split
+from tollgate.sources.jdbc import read_jdbc, read_jdbc_balanced, read_jdbc_split
 from tollgate.sources.kafka import MAX_OFFSETS_PER_TRIGGER, kafka_stream
 from tollgate.streaming.runners import run_mediation, run_mediation_streams, run_store, wait_any
 
@@ -61,6 +62,9 @@ def read_any(spark: SparkSession, spec: str, args, split_column: str | None = No
     that many parallel ranges instead of one task."""
     if spec.startswith(JDBC_PREFIX):
         table = spec[len(JDBC_PREFIX):]
+        if split_column and args.jdbc_partitions and args.jdbc_balanced:
+            return read_jdbc_balanced(spark, args.jdbc_url, table, split_column, args.jdbc_partitions,
+                                      properties=_jdbc_properties())
         if split_column and args.jdbc_partitions:
             return read_jdbc_split(spark, args.jdbc_url, table, split_column, args.jdbc_partitions,
                                    properties=_jdbc_properties())
@@ -135,7 +139,7 @@ def job_store(spark: SparkSession, args) -> None:
         sink = batch_table_writer(args.out, partition_by=("year_month",), on_error=args.on_error)
     query = run_store(messages, sink, args.checkpoint, _trigger(args), with_month=not to_jdbc,
                       schema=KEYED_CDR if keys else MEDIATED_CDR, message_keys=keys, own_keys=KAFKA_COORDS if keys else (),
-                      observe="store_losses")
+                      observe="store_losses", resent_within=args.resent_within)
     query.awaitTermination()
 
 
@@ -145,7 +149,7 @@ def job_rate(spark: SparkSession, args) -> None:
         raise SystemExit("rating into a JDBC table appends: give --run-id (billing then takes each month's latest run), "
                          "or --mode append to double the month on a rerun")
     customers = read_any(spark, args.customers, args, split_column=args.customers_partition_column)
-    rates = read_any(spark, args.rates, args)
+    rates = hold(read_any(spark, args.rates, args))  # a small book is broadcast
     cdr = read_any(spark, args.cdr, args, split_column=args.jdbc_partition_column)
     month_col = "year_month" if "year_month" in cdr.columns else None
     if args.months:  # partition pruning, or a time range for the scan
@@ -157,7 +161,7 @@ def job_rate(spark: SparkSession, args) -> None:
         write_jdbc(rated, args.jdbc_url, args.out[len(JDBC_PREFIX):], mode="append", properties=_jdbc_properties(),
                    num_partitions=args.jdbc_write_partitions)
     else:
-        write_rated(rated, args.out, mode=args.mode, months=args.months)
+        write_rated(rated, args.out, mode=args.mode, months=args.months, atomic=args.atomic)
 
 
 def job_bill(spark: SparkSession, args) -> None:
@@ -172,7 +176,7 @@ def job_bill(spark: SparkSession, args) -> None:
         write_jdbc(bills, args.jdbc_url, args.out[len(JDBC_PREFIX):], mode="overwrite", truncate=True,
                    properties=_jdbc_properties(), num_partitions=args.jdbc_write_partitions)
     else:
-        write_bills(bills, args.out, args.months)
+        write_bills(bills, args.out, args.months, args.atomic)
 
 
 def job_check(spark: SparkSession, args) -> None:
@@ -218,6 +222,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--valid-dir")
     s.add_argument("--out", required=True)
     s.add_argument("--on-error", choices=("raise", "skip"), default="raise")
+    s.add_argument("--resent-within", help="store a record that is sent again within this time once, e.g. '7 days'")
     s.add_argument("--plain-columns", action="store_true",
                    help="JDBC: append the ten storage columns only (an existing table); a replayed batch is then appended again")
 
@@ -228,9 +233,11 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--out", required=True)
     r.add_argument("--months", nargs="*")
     r.add_argument("--mode", choices=("replace_months", "append", "overwrite"), default="replace_months")
+    r.add_argument("--atomic", action="store_true", help="keep --out as versions: all months change in one step")
     r.add_argument("--decimal", action="store_true")
     r.add_argument("--run-id", type=int, help="tag rows with this run (append-only stores, e.g. JDBC)")
     r.add_argument("--jdbc-partitions", type=int, help="parallel ranges for JDBC reads of large tables")
+    r.add_argument("--jdbc-balanced", action="store_true", help="ranges with equally many rows (skewed columns)")
     r.add_argument("--jdbc-partition-column", help="numeric/date column of a JDBC --cdr table to split on")
     r.add_argument("--customers-partition-column", help="numeric/date column of a JDBC --customers table")
 
@@ -238,6 +245,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--rated", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--months", nargs="*")
+    b.add_argument("--atomic", action="store_true", help="keep --out as versions: all months change in one step")
     b.add_argument("--plan-pick", choices=("min", "first", "key"), default="min")
     b.add_argument("--all-runs", action="store_true", help="bill every rating run, not the latest of each month")
 

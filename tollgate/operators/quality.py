@@ -4,6 +4,8 @@ A database rejects violating rows on insert; Spark tables do not, so each
 constraint becomes a job that returns the violations.  All checks are
 distributed: key checks aggregate with map-side combine (a hot key is
 collapsed per task before the shuffle), and foreign keys are one anti join.
+``check`` runs a whole rule set in one scan; :mod:`tollgate.streaming.keys` checks
+primary keys of batches as they arrive.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.plans.joins import bounded
@@ -122,24 +124,64 @@ def violations(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame] | Non
     raise ValueError(f"unknown rule kind {rule.kind!r}")
 
 
+def _key(columns: Iterable[str]) -> Column:
+    return F.to_json(F.struct(*columns))
+
+
+def _item(rule: Rule) -> Column:
+    """The value that a row gives to a rule: what violates it, or for rules about
+    keys the key itself; null when there is none."""
+    value = _key(rule.columns)
+    column = F.col(rule.columns[0])
+    if rule.kind == "allowed":
+        return F.when(column.isNotNull() & ~column.isin(list(rule.allowed)), value)
+    missing = check_null_any(rule.columns)
+    if rule.kind == "not_null":
+        return F.when(missing, value)
+    if rule.kind in ("unique", "fk"):
+        return F.when(~missing, value)
+    raise ValueError(f"unknown rule kind {rule.kind!r}")
+
+
+def _parent_keys(df: DataFrame, number: int, rule: Rule, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Keys of a rule's parent, written as the child's are."""
+    parent = parents[rule.parent]
+    columns = zip(rule.columns, rule.parent_columns or rule.columns)
+    keys = parent.select(*[F.col(p).cast(df.schema[c].dataType).alias(c) for c, p in columns])
+    keys = keys.filter(~check_null_any(rule.columns))
+    return keys.select(F.lit(number).alias("rule_no"), _key(rule.columns).alias("value")).distinct()
+
+
 def check(df: DataFrame, rules: Iterable[Rule], parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """All violations as one frame ``(rule, value, n_rows)``: a row per rule and
     distinct violating value of the rule's columns (JSON, nulls left out).
 
-    The count per value combines map-side, so a value that violates a rule in a
-    third of the rows is one row per task.  Lazy; no rule gives no rows."""
-    parts = []
-    for rule in rules:
-        found = violations(df, rule, parents)
-        count = F.sum("n_rows") if rule.kind == "unique" else F.count(F.lit(1))
-        parts.append(
-            found.groupBy(F.to_json(F.struct(*rule.columns)).alias("value"))
-            .agg(count.alias("n_rows"))
-            .select(F.lit(rule.name).alias("rule"), "value", "n_rows")
-        )
-    if not parts:
+    One scan of the table for all rules: each row is exploded to (rule, value) items,
+    which are counted in one aggregation.  It combines map-side, so a value that a third
+    of the rows have is one row per task.  Keys are violations when counted more than
+    once; foreign keys when no parent has them, which one outer join of the counted
+    values with all parents' keys says.  Lazy; no rule gives no rows."""
+    rules = list(rules)
+    if not rules:
         return df.sparkSession.createDataFrame([], "rule string, value string, n_rows long")
-    return reduce(DataFrame.unionByName, parts)
+    items = F.array(*[F.struct(F.lit(i).alias("rule_no"), _item(r).alias("value")) for i, r in enumerate(rules)])
+    counted = (
+        df.select(F.explode(items).alias("item"))
+        .select("item.rule_no", "item.value")
+        .filter(F.col("value").isNotNull())
+        .groupBy("rule_no", "value")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    numbers = {kind: [i for i, r in enumerate(rules) if r.kind == kind] for kind in ("unique", "fk")}
+    broken = ~F.col("rule_no").isin(numbers["unique"]) | (F.col("n_rows") > 1)
+    if numbers["fk"]:
+        keys = reduce(
+            DataFrame.unionByName, [_parent_keys(df, i, rules[i], parents or {}) for i in numbers["fk"]]
+        ).withColumn("has_parent", F.lit(True))
+        counted = counted.join(keys, ["rule_no", "value"], "left")
+        broken = broken & (~F.col("rule_no").isin(numbers["fk"]) | F.col("has_parent").isNull())
+    names = F.array(*[F.lit(r.name) for r in rules])
+    return counted.filter(broken).select(names[F.col("rule_no")].alias("rule"), "value", "n_rows")
 
 
 # ---------------------------------------------------------------------------

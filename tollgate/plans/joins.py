@@ -37,6 +37,17 @@ def bounded(df: DataFrame, max_rows: int = MAX_PLAN_ROWS) -> bool:
     return rows is not None and rows <= max_rows
 
 
+def hold(df: DataFrame, max_rows: int = MAX_PLAN_ROWS) -> DataFrame:
+    """``df`` with its rows held in the plan, if there are at most ``max_rows``: what
+    is joined with it later broadcasts it with a known size.  A larger frame comes back
+    as it is.  Runs one job that reads ``max_rows + 1`` rows at most: for jobs that
+    start from a stored price book or name table, not for operators."""
+    if bounded(df, max_rows):
+        return df
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, schema=df.schema)
+
+
 def join_dimension(
     facts: DataFrame,
     dimension: DataFrame,

@@ -8,6 +8,7 @@ Credentials come from ``properties`` supplied by the caller.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +78,52 @@ def read_jdbc_split(
     )
 
 
+def quantile_query(table: str, column: str, num_partitions: int) -> str:
+    """The query that gives the least value of each of ``num_partitions`` ranges with
+    equally many rows: one pass in the database, a row per range."""
+    tiles = (
+        f"SELECT {column} AS bound, NTILE({int(num_partitions)}) OVER (ORDER BY {column}) AS tile "
+        f"FROM {table} WHERE {column} IS NOT NULL"
+    )
+    return f"(SELECT MIN(bound) AS bound FROM ({tiles}) tiles GROUP BY tile) bounds"
+
+
+def _literal(value) -> str:
+    if isinstance(value, bool) or not isinstance(value, (int, Decimal, float)):
+        return "'" + str(value).replace("'", "''") + "'"
+    return str(value)
+
+
+def range_predicates(column: str, bounds: Iterable) -> list[str]:
+    """``WHERE`` predicates of the ranges that begin at the given values: each row is
+    in exactly one.  The first range has what lies below it, and the nulls.  A value that
+    begins several ranges (a key with very many rows) begins one."""
+    starts = sorted(set(b for b in bounds if b is not None))[1:]
+    if not starts:
+        return ["1 = 1"]
+    first = f"{column} < {_literal(starts[0])} OR {column} IS NULL"
+    between = [f"{column} >= {_literal(a)} AND {column} < {_literal(b)}" for a, b in zip(starts, starts[1:])]
+    return [first, *between, f"{column} >= {_literal(starts[-1])}"]
+
+
+def read_jdbc_balanced(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    num_partitions: int,
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """A parallel JDBC scan over ranges of ``column`` that hold equally many rows, however
+    its values are spread (numbers, dates, times or strings): the boundaries are quantiles
+    that the database computes in one query.  Ranges of equal width
+    (:func:`read_jdbc_split`) put most rows of a skewed column in one task.  Rows that
+    arrive after the boundaries were read are read too."""
+    bounds = read_jdbc(spark, url, quantile_query(table, column, num_partitions), properties=properties)
+    found = [r[0] for r in bounds.collect()]  # a row per range
+    return read_jdbc_predicates(spark, url, table, range_predicates(column, found), properties)
+
+
 def read_jdbc_predicates(
     spark: SparkSession,
     url: str,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +20,9 @@ from tollgate.operators import quality as Q
 from tollgate.operators.billing import bill_monthly, preview
 from tollgate.operators.mediation import decode, encode, mediate, split
 from tollgate.operators.normalise import normalise
+from tollgate.operators.offsets import gaps, islands, merge_islands
+from tollgate.operators.reach import monthly_reach, merged_reach
+from tollgate.operators.reasons import BAD, decode_with_reasons
 from tollgate.operators.rating import (
     active_customers,
     cdr_with_plan,
@@ -45,8 +48,12 @@ from tollgate.sinks.tables import (
     write_rated,
 )
 from tollgate.sources.files import message_files, read_snapshot, read_table
+from tollgate.sources.json_array import read_json_array
 from tollgate.sources.reference import PRODUCT_RATES_DEFAULTS, products, rate_plans
+from tollgate.streaming.keys import run_key_check
 from tollgate.streaming.runners import run_mediation, run_mediation_streams, run_store, wait_any
+from tollgate.streaming.usage import UsageStore, run_usage
+from tollgate.versions import MonthTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -319,6 +326,109 @@ def q_stream_replay(spark, sf_dir):
     return _comparable_cdr(read_table(spark, f"{root}/normalised", NORMALISED_CDR))
 
 
+def _failing_once(sink, batch: int):
+    """The sink, failing the first time that it gets the given batch."""
+    failed = []
+
+    def write(df, batch_id):
+        if batch_id == batch and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("planned failure of the sink")
+        sink(df, batch_id)
+
+    return write
+
+
+def _ended(query) -> bool:
+    """Wait for a query; whether it ended well, or by the planned failure."""
+    try:
+        query.awaitTermination()
+        return True
+    except StreamingQueryException as error:
+        if "planned failure" not in str(error):
+            raise
+        return False
+
+
+def q_stream_resent_once(spark, sf_dir):
+    """A quarter of the messages is sent again, anywhere in the topic; the sink fails in
+    the second batch and the stream is started again.  Every record is stored once."""
+    root = scratch_path(spark, "stream-resent")
+    events = _tb(spark, sf_dir).events
+    again = events.filter(F.col("event_id") % 4 == 0)
+    _write_messages(testbed.raw_messages(events.unionByName(again)), f"{root}/raw")
+    wait_any(
+        spark,
+        run_mediation_streams(
+            message_files(spark, f"{root}/raw", BATCH_FILES), f"{root}/valid_topic", f"{root}/invalid",
+            f"{root}/_checkpoint_mediation", AVAILABLE_NOW,
+        ),
+        until_all=True,
+    )
+    sink = _failing_once(batch_table_writer(f"{root}/normalised"), 1)
+    for _ in range(2):
+        ended = _ended(
+            run_store(
+                message_files(spark, f"{root}/valid_topic", BATCH_FILES), sink, f"{root}/_checkpoint_store",
+                AVAILABLE_NOW, resent_within="365 days",
+            )
+        )
+        if ended:
+            break
+    return _comparable_cdr(read_table(spark, f"{root}/normalised", NORMALISED_CDR))
+
+
+def q_stream_primary_keys(spark, sf_dir):
+    """Registrations arrive in three batches, each with those of before again, two
+    customers to an account number and some without one; the sink fails once in the
+    second batch.  Every row is accepted or rejected with its reason."""
+    root = scratch_path(spark, "stream-keys")
+    key = F.col("c_custkey")
+    account = F.when(key % 5 != 0, F.floor(key / 2))
+    rows = _tb(spark, sf_dir).table("customer").select(key, "c_name", account.alias("account"))
+    schema = rows.withColumn("batch", F.lit(0)).schema
+    accepted = _failing_once(batch_table_writer(f"{root}/accepted"), 1)
+    for batch in range(3):
+        arrived = rows.filter(key % 3 <= batch).withColumn("batch", F.lit(batch))
+        arrived.write.mode("append").parquet(f"{root}/in")
+        for _ in range(2):
+            stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+            query = run_key_check(
+                stream, ["account"], accepted, batch_table_writer(f"{root}/rejected"), f"{root}/_checkpoint",
+                order=["c_custkey"], trigger=AVAILABLE_NOW,
+            )
+            if _ended(query):
+                break
+    good = read_table(spark, f"{root}/accepted").withColumn("reject_reason", F.lit(None).cast("string"))
+    bad = read_table(spark, f"{root}/rejected")
+    return good.unionByName(bad).drop("batch_id")
+
+
+def q_stream_usage(spark, sf_dir):
+    """Valid messages in several batches, all with records of all months: each batch's
+    partial sums are stored and the keys it touched are priced again.  Half-way the layers
+    are folded, and the sink fails once."""
+    root = scratch_path(spark, "stream-usage")
+    tb = _tb(spark, sf_dir)
+    valid, _ = split(mediated_from_messages(tb.raw_messages()))
+    messages = encode(valid).select("value")
+    store = UsageStore(spark, f"{root}/store")
+    customers = tb.customers()
+    for turn in range(2):
+        half = messages.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == turn)
+        half.repartition(TOPIC_FILES // 2).write.mode("append").text(f"{root}/topic")
+        for _ in range(2):
+            query = run_usage(
+                message_files(spark, f"{root}/topic", BATCH_FILES), store, lambda: customers, tb.rates,
+                f"{root}/_checkpoint", AVAILABLE_NOW,
+            )
+            if _ended(query):
+                break
+        if turn == 0:
+            store.fold(query.lastProgress["batchId"] if query.lastProgress else 0)
+    return _comparable_rated(store.rated())
+
+
 def q_snapshot_json(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
     _tb(spark, sf_dir).raw_records().write.mode("overwrite").json(path)
@@ -342,6 +452,19 @@ def q_snapshot_array(spark, sf_dir):
     return read_snapshot(spark, f"{path}/*", RAW_CDR, multiline=True)
 
 
+def q_snapshot_array_split(spark, sf_dir):
+    """The arrays of :func:`q_snapshot_array`, read by the byte ranges of their files."""
+    path = scratch_path(spark, "snapshot-split")
+    tb = _tb(spark, sf_dir)
+    keyed = testbed.raw_records(tb.events, keep=("event_id",))
+    arrays = (
+        keyed.groupBy(F.floor(F.col("event_id") / ARRAY_RECORDS).alias("file"))
+        .agg(F.to_json(F.collect_list(F.struct(*RAW_CDR.names))).alias("value"))
+    )
+    arrays.write.mode("overwrite").partitionBy("file").text(path)
+    return read_json_array(spark, f"{path}/*", RAW_CDR)
+
+
 def _rated_and_path(spark, sf_dir, name):
     tb = _tb(spark, sf_dir)
     rated = rate_monthly(normalised_direct(tb.raw_records()), tb.customers(), tb.rates())
@@ -355,22 +478,59 @@ def q_sink_append_twice(spark, sf_dir):
     return _comparable_bills(bill_monthly(read_table(spark, path)))
 
 
+def _first_month(rated: DataFrame) -> str:
+    return rated.agg(F.min("year_month")).first()[0]
+
+
+def _dearer(rated: DataFrame, month: str, times: float) -> DataFrame:
+    """The rated usage with the month's cost multiplied."""
+    cost = F.when(F.col("year_month") == month, F.col("cost") * times).otherwise(F.col("cost"))
+    return rated.withColumn("cost", cost)
+
+
 def q_sink_month_replaced(spark, sf_dir):
+    """All months written, then the first one replaced by other costs: the other
+    months stay as they were, though the second frame holds them too."""
     rated, path = _rated_and_path(spark, sf_dir, "rated-replace")
     write_rated(rated, path)
-    write_rated(rated, path)
+    month = _first_month(read_table(spark, path))
+    write_rated(rated.withColumn("cost", F.col("cost") * 2), path, months=[month])
     return _comparable_rated(read_table(spark, path))
 
 
 def q_sink_rerun_latest(spark, sf_dir):
-    """Two rating runs appended to an append-only store; billing reads the
-    latest run of each month, so the rerun does not double the bills."""
+    """A rating run of all months, wrong in the first, and a run of the first month
+    appended to an append-only store; billing reads the latest run of each month."""
     rated, path = _rated_and_path(spark, sf_dir, "rated-runs")
-    write_rated(with_run(rated, 1), path, mode="append")
-    write_rated(with_run(rated, 2), path, mode="append")
+    month = _first_month(rated)
+    write_rated(with_run(_dearer(rated, month, 3.0), 1), path, mode="append")
+    write_rated(with_run(rated.filter(F.col("year_month") == month), 2), path, mode="append")
     return _comparable_bills(bill_monthly(latest_runs(read_table(spark, path))))
 
 
+def q_sink_months_atomic(spark, sf_dir):
+    """Two months replaced together: the first try fails in the second month and leaves
+    the table as it was, the second one changes both."""
+    rated, path = _rated_and_path(spark, sf_dir, "rated-atomic")
+    write_rated(rated, path, atomic=True)
+    months = sorted(r[0] for r in read_table(spark, path).select("year_month").distinct().collect())[:2]  # a row per month
+    doubled = rated.withColumn("cost", F.col("cost") * 2)
+    broken = doubled.withColumn(
+        "cost", F.when(F.col("year_month") == months[-1], F.raise_error(F.lit("planned failure"))).otherwise(F.col("cost"))
+    )
+    try:
+        write_rated(broken, path, months=months)
+    except PySparkException as error:
+        if "planned failure" not in str(error):
+            raise
+    kept = MonthTable(spark, path).read()
+    write_rated(doubled, path, months=months)
+    replaced = MonthTable(spark, path).read()
+    return _comparable_rated(kept).withColumn("state", F.lit("kept")).unionByName(
+        _comparable_rated(replaced).withColumn("state", F.lit("replaced"))
+    )
+
+
 def q_sink_overwrite(spark, sf_dir):
     rated, path = _rated_and_path(spark, sf_dir, "bills-overwrite")
     bills = bill_monthly(rated)
@@ -386,8 +546,10 @@ def q_stored_chain(spark, sf_dir):
     root = scratch_path(spark, "stored-chain")
     valid, _ = split(mediate(tb.raw_records()))
     store_normalised(normalise(valid, with_month=True), f"{root}/cdr")
-    rated = rate_stored(spark, f"{root}/cdr", tb.customers(), tb.rates(), f"{root}/rated")
-    bill_stored(rated, f"{root}/bills")
+    rate_stored(spark, f"{root}/cdr", tb.customers(), tb.rates(), f"{root}/rated")
+    month = _first_month(read_table(spark, f"{root}/rated"))
+    rate_stored(spark, f"{root}/cdr", tb.customers(), tb.rates(), f"{root}/rated", months=[month])  # one month again
+    bill_stored(read_table(spark, f"{root}/rated"), f"{root}/bills")
     return _comparable_bills(read_table(spark, f"{root}/bills"))
 
 
@@ -411,13 +573,14 @@ def q_rerate_inactive(spark, sf_dir):
 
 
 def q_bill_one_month(spark, sf_dir):
-    """All months billed, then one month billed again: every month is there."""
+    """All months billed, then the first month billed again at other costs: every
+    month is there, and only the first has changed."""
     rated, path = _rated_and_path(spark, sf_dir, "bills-month")
     write_rated(rated, f"{path}/rated")
     stored = read_table(spark, f"{path}/rated")
     bill_stored(stored, f"{path}/bills")
-    month = stored.agg(F.min("year_month")).first()[0]
-    bill_stored(stored, f"{path}/bills", months=[month])
+    month = _first_month(stored)
+    bill_stored(stored.withColumn("cost", F.col("cost") * 2), f"{path}/bills", months=[month])
     return _comparable_bills(read_table(spark, f"{path}/bills"))
 
 
@@ -433,6 +596,74 @@ def q_preview(spark, sf_dir):
     return found.agg(F.count("shown").alias("n_rows"), F.count("billed").alias("n_bills"))
 
 
+# ---------------------------------------------------------------------------
+# What was lost, what is wrong, whom it reached
+def q_offset_gaps(spark, sf_dir):
+    """Stored offsets (a third of them in one partition's first slices), islands by batch,
+    merged: what lies between them was lost."""
+    rows = testbed.decode_props(_tb(spark, sf_dir).events).select(
+        F.lit("raw-cdr").alias("topic"),
+        (F.floor(F.col("event_id") / 3000) % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        "k",
+    )
+    stored = rows.filter(F.col("k") % 8 != 3)
+    batches = [islands(stored.filter(F.col("k") % 2 == b)) for b in (0, 1)]
+    return gaps(merge_islands(batches[0].unionByName(batches[1])))
+
+
+def q_invalid_reasons(spark, sf_dir):
+    """Messages with fields of wrong types, cut short or in an array: each with its
+    verdict and what is wrong in it."""
+    raw = testbed.raw_records(_tb(spark, sf_dir).events, keep=("event_id",))
+    text = F.to_json(F.struct(*RAW_CDR.names))
+    kind = F.col("event_id") % 23
+    value = (
+        F.when(kind == 0, F.substring(text, F.lit(1), F.length(text) - 1))
+        .when(kind == 1, F.concat(F.lit("["), text, F.lit("]")))
+        .when(kind == 2, F.regexp_replace(text, r'"duration_sec":(-?\d+)', r'"duration_sec":"$1s"'))
+        .when(kind == 3, F.regexp_replace(text, r'"duration_sec":(-?)(\d+)', r'"duration_sec":$19999999999$2'))
+        .when(kind == 4, F.regexp_replace(text, r'"data_volume_mb":[0-9.E-]+', '"data_volume_mb":"lots"'))
+        .otherwise(text)
+    )
+    found = mediate(decode_with_reasons(raw.select("event_id", value.alias("value")), keep=("event_id",)))
+    told = F.transform(
+        BAD,
+        lambda x: F.concat_ws(
+            ":", F.coalesce(x["field"], F.lit("message")), x["reason"], F.when(x["field"].isNotNull(), x["raw"])
+        ),
+    )
+    return found.select(
+        "event_id", "msisdn", "record_type", F.col("duration").cast("long").alias("duration"), "volume_mb", "is_valid",
+        F.array_join(told, ";").alias("bad"),
+    )
+
+
+def q_region_reach(spark, sf_dir):
+    """Customers and services of each region over all months, from stored monthly
+    sketches: exact counts, whether the estimates are within 5 %, and whether the
+    merged months are the sketch of all."""
+    tb = _tb(spark, sf_dir)
+    path = scratch_path(spark, "reach")
+    cdr, customers = normalised_direct(tb.raw_records()), tb.customers()
+    monthly_reach(cdr, customers).write.partitionBy("year_month").parquet(path)
+    merged = merged_reach(read_table(spark, path))
+    regions = customers.select("customer_id", "region")
+    direct = (
+        cdr.select("customer_id", "record_type").distinct().join(regions, "customer_id").groupBy("region").agg(
+            F.count_distinct("customer_id").alias("n_customers"),
+            F.count_distinct("record_type").alias("n_services"),
+            F.hll_sketch_estimate(F.hll_sketch_agg("customer_id", 12)).alias("direct"),
+        )
+    )
+    joined = direct.withColumnRenamed("region", "r").join(merged, F.col("r").eqNullSafe(F.col("region")))
+    near = lambda est, n: F.abs(F.col(est) - F.col(n)) <= 0.05 * F.col(n)
+    return joined.select(
+        "region", "n_customers", "n_services", near("est_customers", "n_customers").alias("customers_near"),
+        near("est_services", "n_services").alias("services_near"), (F.col("direct") == F.col("est_customers")).alias("merge_exact"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "decode_props": q_decode_props,
     "mediated_all": q_mediated_all,
@@ -468,6 +699,14 @@ QUERIES: dict[str, Query] = {
     "stream_two_queries": q_stream_two_queries,
     "stream_replay": q_stream_replay,
     "preview": q_preview,
+    "stream_resent_once": q_stream_resent_once,
+    "stream_primary_keys": q_stream_primary_keys,
+    "stream_usage": q_stream_usage,
+    "sink_months_atomic": q_sink_months_atomic,
+    "snapshot_array_split": q_snapshot_array_split,
+    "offset_gaps": q_offset_gaps,
+    "invalid_reasons": q_invalid_reasons,
+    "region_reach": q_region_reach,
 }
 
 
@@ -492,7 +731,7 @@ shaped AS (
   FROM ev),
 raw AS (
   SELECT CASE WHEN k IN (8, 9) THEN NULL ELSE shape END AS record_type,
-         strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp",
+         strftime(ts + (event_id % 3) * INTERVAL 31 DAY, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp",
          CASE WHEN shape = 'voice' THEN sub END AS caller_id,
          CASE WHEN shape = 'voice' AND k % 7 <> 0 THEN other_party END AS callee_id,
          CASE WHEN shape = 'sms' THEN sub END AS sender_id,
@@ -672,7 +911,8 @@ FROM both_sides""",
     "stream_replay": f"WITH {_NORM} {_NORM_SELECT}",
     "rerate_inactive": f"WITH {_RATED} {_RATED_SELECT} WHERE CAST(substr(customer_id, 5) AS BIGINT) % 3 <> 0 "
     "AND year_month > (SELECT min(year_month) FROM rated)",
-    "bill_one_month": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
+    "bill_one_month": f"WITH {_RATED} "
+    + _BILLS_SELECT.format(factor=" * CASE WHEN year_month = (SELECT min(year_month) FROM rated) THEN 2 ELSE 1 END"),
     "preview": f"WITH {_RATED}, bills AS (" + _BILLS_SELECT.format(factor="") + """)
 SELECT least(count(*), 20) AS n_rows, least(count(*), 20) AS n_bills FROM bills""",
     "check_rules": f"""WITH {_CUST}
@@ -685,8 +925,55 @@ FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctb
 UNION ALL SELECT 'fk(o_custkey) -> builders(c_custkey)', '{{"o_custkey":' || o_custkey || '}}', count(*)
 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY o_custkey""",
     "sink_append_twice": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=" * 2"),
-    "sink_month_replaced": f"WITH {_RATED} {_RATED_SELECT}",
+    "sink_month_replaced": f"""WITH {_RATED}
+SELECT * EXCLUDE (cost), round(CASE WHEN year_month = (SELECT min(year_month) FROM rated) THEN 2 ELSE 1 END * cost, 4) AS cost
+FROM (SELECT customer_id, rate_plan_id, record_type, year_month, round(total_consumption_units, 4) AS total_consumption_units,
+             free_units, round(billable_units, 4) AS billable_units, unit_price, cost FROM rated)""",
     "sink_overwrite": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
     "stored_chain": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
     "sink_rerun_latest": f"WITH {_RATED} " + _BILLS_SELECT.format(factor=""),
+    "stream_resent_once": f"WITH {_NORM} SELECT DISTINCT * FROM norm",
+    "stream_primary_keys": """WITH arrived AS (
+  SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey // 2 END AS account, CAST(b AS INTEGER) AS batch
+  FROM customer, range(3) t(b) WHERE c_custkey % 3 <= b)
+SELECT *, CASE WHEN account IS NULL THEN 'null_key'
+               WHEN row_number() OVER (PARTITION BY account ORDER BY batch, c_custkey) > 1 THEN 'duplicate_key' END AS reject_reason
+FROM arrived""",
+    "stream_usage": f"WITH {_RATED} {_RATED_SELECT}",
+    "sink_months_atomic": f"""WITH {_RATED},
+shown AS ({_RATED_SELECT}),
+dear AS (SELECT year_month FROM rated GROUP BY year_month ORDER BY year_month LIMIT 2)
+SELECT *, 'kept' AS state FROM shown
+UNION ALL
+SELECT * REPLACE (round(CASE WHEN year_month IN (SELECT year_month FROM dear) THEN 2 ELSE 1 END * cost, 4) AS cost), 'replaced'
+FROM ({_RATED_SELECT.replace("round(cost, 4)", "cost")})""",
+    "snapshot_array_split": f"WITH {_RAW} SELECT * FROM raw",
+    "offset_gaps": f"""WITH {_EV},
+stored AS (SELECT DISTINCT CAST(event_id // 3000 % 3 AS INTEGER) AS "partition", event_id AS o FROM ev WHERE k % 8 <> 3),
+next AS (SELECT *, lead(o) OVER (PARTITION BY "partition" ORDER BY o) AS n FROM stored)
+SELECT 'raw-cdr' AS topic, "partition", o + 1 AS first, n - 1 AS last, n - o - 1 AS n_lost FROM next WHERE n > o + 1""",
+    "invalid_reasons": "WITH "
+    + _RAW.replace("raw AS (\n  SELECT CASE", "raw AS (\n  SELECT event_id, CASE")
+    + """,
+kinds AS (SELECT *, event_id % 23 AS kind FROM raw),
+read AS (
+  SELECT event_id, kind, kind > 1 AS ok, duration_sec AS sent_duration, data_volume_mb AS sent_volume,
+         CASE WHEN kind > 1 THEN record_type END AS record_type,
+         CASE WHEN kind > 1 THEN coalesce(caller_id, sender_id, user_id) END AS msisdn,
+         CASE WHEN kind IN (0, 1, 2, 3) THEN NULL ELSE duration_sec END AS duration_sec,
+         CASE WHEN kind IN (0, 1) THEN NULL ELSE session_duration_sec END AS session_duration_sec,
+         CASE WHEN kind IN (0, 1, 4) THEN NULL ELSE data_volume_mb END AS volume_mb
+  FROM kinds)
+SELECT event_id, msisdn, record_type, CAST(coalesce(duration_sec, session_duration_sec) AS BIGINT) AS duration, volume_mb,
+       coalesce(msisdn IS NOT NULL AND NOT starts_with(msisdn, '999') AND record_type IS NOT NULL, false) AS is_valid,
+       CASE WHEN kind = 0 THEN 'message:not_json' WHEN kind = 1 THEN 'message:not_an_object'
+            WHEN kind = 2 AND sent_duration IS NOT NULL THEN 'duration_sec:wrong_type:"' || sent_duration || 's"'
+            WHEN kind = 3 AND sent_duration IS NOT NULL THEN 'duration_sec:out_of_range:'
+              || CASE WHEN sent_duration < 0 THEN '-' ELSE '' END || '9999999999' || abs(sent_duration)
+            WHEN kind = 4 AND sent_volume IS NOT NULL THEN 'data_volume_mb:wrong_type:"lots"' ELSE '' END AS bad
+FROM read""",
+    "region_reach": f"""WITH {_NORM}, {_CUST}
+SELECT region, count(DISTINCT n.customer_id) AS n_customers, count(DISTINCT n.record_type) AS n_services,
+       true AS customers_near, true AS services_near, true AS merge_exact
+FROM norm n JOIN cust c ON n.customer_id = c.customer_id GROUP BY region""",
 }

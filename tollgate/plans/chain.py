@@ -17,6 +17,7 @@ from tollgate.operators.mediation import decode, encode, mediate, split
 from tollgate.operators.normalise import normalise
 from tollgate.operators.rating import rate_monthly
 from tollgate.plans import testbed
+from tollgate.plans.joins import hold
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
 from tollgate.sources.reference import product_rates
 
@@ -47,7 +48,9 @@ class Testbed:
         return testbed.raw_records(self.events)
 
     def customers(self) -> DataFrame:
-        return testbed.customers_from(self.table("customer"), self.table("nation"))
+        if "names" not in self._cache:
+            self._cache["names"] = hold(self.table("nation").select("n_nationkey", "n_name"))
+        return testbed.customers_from(self.table("customer"), self._cache["names"])
 
     def rates(self) -> DataFrame:
         return product_rates(self.spark)

@@ -8,6 +8,8 @@ every query reads the given tables and its work grows with them.  The rules
   k < 8 a non-numeric subscriber, k in (8, 9) no record type, k = 10 a
   negative call duration, k % 7 = 0 a voice call without callee.
 * ``event_type`` decides the record shape (see ``EVENT_SHAPES``).
+* The events lie within one month; ``event_id`` modulo 3 moves a record on by so
+  many times 31 days, so that there are several billing months.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ COUNTRY_CODE = "212"
 TEST_PREFIX = "999"
 TEXT_SUBSCRIBER = "front-desk"
 NUMBER_DIGITS = 9
+MONTHS_APART, MONTH_DAYS = 3, 31
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 # ---------------------------------------------------------------------------
 
@@ -68,9 +71,10 @@ def raw_records(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
     other_party = _number(COUNTRY_CODE, k)
     whole = F.floor(F.col("value"))
+    moved = F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % MONTHS_APART * MONTH_DAYS).cast("int"))
     cols = {
         "record_type": F.when(k.isin(8, 9), F.lit(None).cast("string")).otherwise(shape),
-        "timestamp": F.date_format(F.col("ts"), TIMESTAMP_FORMAT),
+        "timestamp": F.date_format(moved, TIMESTAMP_FORMAT),
         "caller_id": F.when(shape == "voice", sub),
         "callee_id": F.when((shape == "voice") & (k % 7 != 0), other_party),
         "sender_id": F.when(shape == "sms", sub),

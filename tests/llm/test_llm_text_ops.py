@@ -1,6 +1,7 @@
 """Secrets, quality and toxicity."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -11,6 +12,7 @@ import pytest
 
 from conftest import SF_MID
 from llm_frames import awkward, documents, prose
+from pyspark.sql import functions as F
 
 from tollgate.llm import quality_forest as Q
 from tollgate.llm import secret_grammar as G
@@ -171,7 +173,7 @@ def test_forest_scores_outliers_high():
 
 def test_quality_verdicts(spark):
     rng = random.Random(4)
-    good = [(i, prose(rng, 120, 4000) + ".") for i in range(200)]
+    good = [(100 + i, prose(rng, 120, 4000) + ".") for i in range(200)]  # no id of an awkward row
     junk = [(1000 + i, " ".join(w + "###" for w in prose(rng, 120, 4000).upper().split())) for i in range(30)]
     docs = documents(spark, good + junk + awkward()[:4] + [(None, prose(rng, 80, 4000))])
     labels = spark.createDataFrame([(d, 1, 0) for d, _ in good[:150]] + [(d, 0, 0) for d, _ in junk[:20]] + [(None, 1, 0), (7777, 0, None)],
@@ -279,3 +281,37 @@ def test_held_out_rows_are_never_trained_on(spark):
     good = [r.score for r in rows if r.toxic == 0]
     bad = [r.score for r in rows if r.toxic == 1]
     assert np.mean([b > g for b in bad for g in good]) > 0.85
+
+
+# -- held-out figures -------------------------------------------------------------
+def test_quality_on_held_out_labels(spark):
+    """Fitted on half of the labelled rows; of the other half that pass the base rules,
+    nearly all bad ones are rejected and nearly no good one."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels").select("doc_id", "quality")
+    half = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    model = Q.fit_quality(docs, labels.where(half))
+    judged = Q.judge_quality(docs.join(labels.where(~half).select("doc_id"), "doc_id"), model).where("not base_failed")
+    rows = judged.join(labels, "doc_id").groupBy("quality").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()
+    got = {r.quality: (r.kept, r.n) for r in rows}
+    print("held out, kept of all by label:", got)
+    assert got[0][1] > 100 and got[0][0] <= 0.05 * got[0][1]
+    assert got[1][1] > 1000 and got[1][0] >= 0.995 * got[1][1]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 50])
+def test_path_lengths_equal_a_plain_walk(n):
+    rng = np.random.default_rng(n)
+    x = np.round(rng.normal(size=(n, 3)), 1)
+    forest = Q.IsolationForest.fit(x, trees=7, rows=16, seed=3)
+
+    def walk(row, t):
+        node = 0
+        while forest.feature[t, node] >= 0:
+            node = 2 * node + (2 if row[forest.feature[t, node]] > forest.split[t, node] else 1)
+        return forest.path[t, node]
+
+    mean = np.array([np.mean([walk(row, t) for t in range(7)]) for row in x])
+    size = min(16, n)
+    normal = size - 1.0 if size < 3 else 2 * (math.log(size - 1) + 0.5772156649) - 2 * (size - 1) / size
+    assert np.allclose(forest.score(x), 2.0 ** (-mean / max(normal, 1e-9)))

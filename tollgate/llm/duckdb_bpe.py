@@ -3,35 +3,40 @@ inside each partition's task.
 
 Rows are (word, position, token, next token).  A step joins them with the merge
 table, takes each word's leftmost pair of least rank, contracts it, and goes on
-with the words that changed, until no word has a pair to merge.  Long words use
-a second form that contracts all non-overlapping occurrences of the least pair
-in a step, which gives the same tokens (a merge never makes a pair of lower
-rank) in as many steps as there are different pairs.  Words that are tokens
+with the words that changed, until no word has a pair to merge.  Words that are tokens
 themselves need no step.  Decoding joins (document, position, id) rows with the
 vocabulary and concatenates by an ordered aggregate.
 
-Each worker holds one in-memory database with a memory limit and one
-thread.  Words are cached (``tokens.ChunkEncoder``), so each is encoded once per
-worker.  Null and empty texts have no ids; a null ``doc_id`` stays null;
-repeated rows each give a row.
+A word is contracted in blocks of ``BLOCK`` bytes, so the steps don't grow with it.
+Encodings of neighbouring blocks join to that of the whole when the last token of one
+and the first of the next are the encoding of their joined bytes: a sequence of tokens
+is an encoding exactly when all neighbours in it are.  Where they are not, the two blocks
+are contracted together and cut again at a token's edge near their middle; blocks that
+still don't fit after ``TURNS`` rounds grow together.
+
+Each worker holds one in-memory database with a memory limit, one thread and no folder
+for spilled data, and caches words (``tokens.ChunkEncoder``).  Null and empty texts have no
+ids; a null ``doc_id`` stays null; repeated rows each give a row; words of any length are
+encoded whole.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tollgate.llm.common import map_batches
-from tollgate.llm.tokens import ChunkEncoder
+from tollgate.llm.common import map_batches, worker_state
+from tollgate.llm.tokens import ChunkEncoder, unproven
 
-#: Longer words (in bytes) take the form for long words.
-LONG_WORD = 48
-#: Bytes of words per encoding query; ids per decoding query.
-QUERY_BYTES, DECODE_IDS = 400_000, 200_000
+#: Bytes of a word that are contracted together, and rounds in which blocks are cut anew.
+BLOCK, TURNS = 48, 12
+#: Rows that the steps of an encoding query may make; ids per decoding query.
+QUERY_ROWS, DECODE_IDS = 2_000_000, 200_000
 
 _LAST = """
 SELECT word, list(tok ORDER BY pos) AS ids
@@ -39,7 +44,7 @@ FROM steps JOIN (SELECT word, max(it) AS it FROM steps GROUP BY word) USING (wor
 GROUP BY word
 """
 
-SHORT_SQL = (
+ENCODE_SQL = (
     """
 WITH RECURSIVE steps(word, it, pos, tok, nxt, nxtpos) AS (
   SELECT word, 0, pos, tok, lead(tok) OVER w, lead(pos) OVER w
@@ -63,29 +68,6 @@ WITH RECURSIVE steps(word, it, pos, tok, nxt, nxtpos) AS (
     + _LAST
 )
 
-LONG_SQL = (
-    """
-WITH RECURSIVE steps(word, it, pos, tok) AS (
-  SELECT word, 0, pos, tok FROM start
-  UNION ALL
-  SELECT word, it + 1, (row_number() OVER (PARTITION BY word ORDER BY pos))::INTEGER, CASE WHEN take THEN best ELSE tok END
-  FROM (
-    SELECT *, lag(take, 1, false) OVER (PARTITION BY word ORDER BY pos) AS gone
-    FROM (
-      SELECT word, it, pos, tok, best,
-             coalesce(rank = best AND (pos - coalesce(max(CASE WHEN rank = best THEN NULL ELSE pos END)
-               OVER (PARTITION BY word ORDER BY pos), 0)) % 2 = 1, false) AS take
-      FROM (
-        SELECT word, it, pos, tok, rank, min(rank) OVER (PARTITION BY word) AS best
-        FROM (SELECT *, (tok::BIGINT << 20) + lead(tok) OVER (PARTITION BY word ORDER BY pos) AS pair FROM steps)
-        LEFT JOIN merges USING (pair)
-      ) WHERE best IS NOT NULL
-    )
-  ) WHERE NOT gone
-)"""
-    + _LAST
-)
-
 DECODE_SQL = """
 SELECT doc, list(bytes ORDER BY pos) AS parts FROM ids JOIN vocabulary USING (id) GROUP BY doc
 """
@@ -96,14 +78,41 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def splitter(pattern: str):
+    """``findall`` of the pattern with tiktoken's idea of letters and numbers: for code
+    points in which it and the ``regex`` package may differ, tiktoken itself is asked
+    for their class, and a character of that class stands in while the text is split."""
+    import regex
+    import tiktoken
+
+    find, odd = regex.compile(pattern), unproven()
+    single = {bytes([b]): b for b in range(256)}
+
+    def matches(name: str, c: str) -> bool:
+        return bool(tiktoken.Encoding(name, pat_str=name, mergeable_ranks=single, special_tokens={}).encode_ordinary(c))
+
+    classes = [(r"\p{L}", "a"), (r"\p{N}", "1"), (r"\s", "\t")]
+    stands: dict[int, str] = {}
+
+    def split(text: str) -> list[str]:
+        if text.isascii() or not odd.search(text):
+            return find.findall(text)
+        for c in set(odd.findall(text)):
+            if ord(c) not in stands:
+                stands[ord(c)] = next((s for name, s in classes if matches(name, c)), "*")
+        return [text[m.start() : m.end()] for m in find.finditer(text.translate(stands))]
+
+    return split
+
+
 class DuckBPE:
     """A database with the merge table of a rank file."""
 
     def __init__(self, path: str, pattern: str, memory: str = "256MB"):
         import duckdb
-        import regex
 
         self.ranks = read_ranks(path)
+        self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs, merged = [], []
         for token, rank in self.ranks.items():
@@ -112,13 +121,13 @@ class DuckBPE:
                 if left is not None and right is not None:
                     pairs.append((left << 20) + right)
                     merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory, "temp_directory": ""})
         self._load("merges", pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(merged, pa.int32())}))
         self._load(
             "vocabulary",
             pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())}),
         )
-        self.chunks = ChunkEncoder(regex.compile(pattern).findall, self.encode_words)
+        self.chunks = ChunkEncoder(splitter(pattern), self.encode_words)
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.db.register("incoming", table)
@@ -135,22 +144,82 @@ class DuckBPE:
     def encode_words(self, words: list[str]) -> list:
         """Ids of each word, in order."""
         raw = [w.encode() for w in words]
-        out: list = [[self.ranks[b]] if b in self.ranks else None for b in raw]
-        for long_, sql in ((False, SHORT_SQL), (True, LONG_SQL)):
-            todo = [i for i, ids in enumerate(out) if ids is None and (len(raw[i]) > LONG_WORD) == long_]
-            at = 0
-            while at < len(todo):
-                end, size = at, 0
-                while end < len(todo) and (size == 0 or size + len(raw[todo[end]]) <= QUERY_BYTES):
-                    size += len(raw[todo[end]])
-                    end += 1
-                some = todo[at:end]
-                got = self._query("start", self._start([raw[i] for i in some]), sql)
-                ids = got.column("ids").combine_chunks()
-                flat, edge = ids.flatten().to_numpy(), ids.offsets.to_numpy() - ids.offsets[0].as_py()
-                for k, w in enumerate(got.column("word").to_numpy()):
-                    out[some[w]] = flat[edge[k] : edge[k + 1]]
-                at = end
+        blocks = [[r[i : i + BLOCK] for i in range(0, len(r), BLOCK)] if len(r) > BLOCK and r not in self.ranks else [r] for r in raw]
+        known = self._contracted([b for parts in blocks for b in parts])
+        out = [known[parts[0]] if len(parts) == 1 else None for parts in blocks]
+        long = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(long, self._settled([[(b, known[b]) for b in blocks[i]] for i in long])):
+            out[i] = ids
+        return out
+
+    def _contracted(self, parts: list[bytes]) -> dict[bytes, list]:
+        """Ids of each distinct byte string, contracted as a whole."""
+        out = {}
+        todo = []
+        for part in dict.fromkeys(parts):
+            rank = self.ranks.get(part)
+            if rank is None and part:
+                todo.append(part)
+            else:
+                out[part] = [] if rank is None else [rank]
+        at = 0
+        while at < len(todo):
+            end, rows = at, 0
+            while end < len(todo) and (end == at or rows + len(todo[end]) ** 2 // 2 <= QUERY_ROWS):
+                rows += len(todo[end]) ** 2 // 2
+                end += 1
+            some = todo[at:end]
+            got = self._query("start", self._start(some), ENCODE_SQL)
+            ids = got.column("ids").combine_chunks()
+            flat, edge = ids.flatten().to_pylist(), ids.offsets.to_numpy() - ids.offsets[0].as_py()
+            for k, w in enumerate(got.column("word").to_numpy()):
+                out[some[w]] = flat[edge[k] : edge[k + 1]]
+            at = end
+        return out
+
+    def _settled(self, words: list[list[tuple[bytes, list]]]) -> list[list]:
+        """Ids of words given in blocks and their ids: every edge between blocks is
+        checked, and moved where it cuts a token of the whole."""
+        fits: dict[tuple, bool] = {}
+        for turn in itertools.count():
+            edges = {(a[1][-1], b[1][0]) for blocks in words for a, b in zip(blocks, blocks[1:])} - fits.keys()
+            joined = {pair: self.tokens[pair[0]] + self.tokens[pair[1]] for pair in edges}
+            known = self._contracted(list(joined.values()))
+            fits.update((pair, known[both] == list(pair)) for pair, both in joined.items())
+            wrong = [self._apart(blocks, fits) for blocks in words]
+            if not any(wrong):
+                return [[i for _, ids in blocks for i in ids] for blocks in words]
+            known = self._contracted([blocks[k][0] + blocks[k + 1][0] for blocks, at in zip(words, wrong) for k in at])
+            words = [
+                self._moved(blocks, set(at), known, turn < TURNS) if at else blocks for blocks, at in zip(words, wrong)
+            ]
+
+    @staticmethod
+    def _apart(blocks: list, fits: dict) -> list[int]:
+        """Blocks that don't fit their next one, no two of them neighbours."""
+        out: list[int] = []
+        for k in range(len(blocks) - 1):
+            if not fits[(blocks[k][1][-1], blocks[k + 1][1][0])] and (not out or out[-1] < k - 1):
+                out.append(k)
+        return out
+
+    def _moved(self, blocks: list, at: set[int], known: dict, cut: bool) -> list:
+        """The blocks with each one of ``at`` and its next contracted together."""
+        out, k = [], 0
+        while k < len(blocks):
+            if k not in at:
+                out.append(blocks[k])
+                k += 1
+                continue
+            both = blocks[k][0] + blocks[k + 1][0]
+            ids = known[both]
+            ends = list(itertools.accumulate(len(self.tokens[i]) for i in ids))
+            if cut and len(ids) > 1:
+                n = min(range(1, len(ids)), key=lambda n: abs(2 * ends[n - 1] - len(both)))
+                out += [(both[: ends[n - 1]], ids[:n]), (both[ends[n - 1] :], ids[n:])]
+            else:
+                out.append((both, ids))
+            k += 2
         return out
 
     def _start(self, raw: list[bytes]) -> pa.Table:
@@ -199,14 +268,9 @@ class DuckBPE:
             yield i, values.buffers()[2].slice(start, end - start).to_pybytes()
 
 
-_WORKER: dict[tuple, DuckBPE] = {}
-
-
 def encoder(path: str, pattern: str) -> DuckBPE:
     """One database per worker and rank file."""
-    if (path, pattern) not in _WORKER:
-        _WORKER[(path, pattern)] = DuckBPE(path, pattern)
-    return _WORKER[(path, pattern)]
+    return worker_state((path, pattern, "duckdb"), lambda: DuckBPE(path, pattern))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:

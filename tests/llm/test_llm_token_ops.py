@@ -5,6 +5,7 @@ import io
 import itertools
 import random
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -40,9 +41,7 @@ def le(ids):
 
 
 def library(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)  # as it is: its own added tokens are ids of their own
 
 
 @pytest.fixture(scope="module")
@@ -94,14 +93,69 @@ def test_duckdb_encoding_equals_tiktoken_and_decodes(spark, reference):
     assert B.encode_digests(documents(spark, []), RANKS, P.PATTERN).count() == 0
 
 
-def test_both_recursive_forms_agree(reference, monkeypatch):
+@pytest.mark.parametrize("size", [1, 2, 5, 48])
+def test_blocks_of_any_size_join_to_the_same_ids(reference, monkeypatch, size):
     bpe = B.encoder(RANKS, P.PATTERN)
     rng = random.Random(1)
-    words = ["".join(rng.choice("aeinorstl") for _ in range(rng.randrange(1, 40))) for _ in range(200)] + ["aaaa" * 9, "banana" * 5]
-    short = [list(map(int, x)) for x in bpe.encode_words(words)]
-    monkeypatch.setattr(B, "LONG_WORD", 0)
-    monkeypatch.setattr(B, "QUERY_BYTES", 100)
-    assert short == [list(map(int, x)) for x in bpe.encode_words(words)] == [reference(w) for w in words]
+    words = ["".join(rng.choice("aeinorstl") for _ in range(rng.randrange(1, 40))) for _ in range(200)]
+    words += ["aaaa" * 9, "banana" * 5, "ab" * 300, "é中" * 40] + [w * 30 for w in ("abc", "tion", "ingrest", "x" * 31, "qzj")]
+    words += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(700)) for _ in range(20)]
+    monkeypatch.setattr(B, "BLOCK", size)
+    monkeypatch.setattr(B, "QUERY_ROWS", 3000)
+    assert [list(map(int, x)) for x in bpe.encode_words(words)] == [reference(w) for w in words]
+
+
+def test_blocks_that_never_settle_grow_together(reference, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK", 3)
+    monkeypatch.setattr(B, "TURNS", 0)
+    bpe = B.encoder(RANKS, P.PATTERN)
+    words = ["internationalisation" * 4, "abcabcab" * 20]
+    assert [list(map(int, x)) for x in bpe.encode_words(words)] == [reference(w) for w in words]
+
+
+def long_words(n):
+    rng = random.Random(2)
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    return {"random": letters, "one": "a" * n, "period": ("etaoinshrdlucmfwypvbgkjqxzetaon" * (n // 31 + 1))[:n]}
+
+
+@pytest.mark.parametrize("kind", ["random", "one", "period"])
+def test_a_word_of_a_million_letters_is_encoded_in_time(kind):
+    word = long_words(1_000_000)[kind]
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=B.read_ranks(RANKS), special_tokens={})
+    bpe = B.encoder(RANKS, P.PATTERN)
+    at = time.time()
+    (ids,) = bpe.chunks.ids([word])
+    assert time.time() - at < 60
+    part = 20_000  # the library takes minutes for all of it: its ids of the beginning, but for the last ones
+    want = enc.encode_ordinary(word[:part])[:-40]
+    assert np.frombuffer(ids, "<u4")[: len(want)].tolist() == want
+    assert b"".join(p for _, p in bpe.decode([ids])) == word.encode()
+
+
+def test_a_word_of_a_million_letters_is_counted_in_time():
+    counter = C.TrieCounter(C.sentencepiece_pieces(P.path("piece_bpe_32k.model")))
+    word = long_words(1_000_000)["random"]
+    at = time.time()
+    ((words, tokens_, score),) = counter.counts([word])
+    assert time.time() - at < 60 and words == 1 and score < 0 < tokens_
+    some = word[:3_000]
+    assert counter.chain(some) == counter.score([some])[0]
+
+
+def test_every_code_point_is_split_as_the_libraries_do(reference):
+    """All code points below U+3000, and a share of those beyond."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % (7 if c < 0x20000 else 97) == 0)]
+    encoders = ((BYTES, tokens.library_encoder(BYTES, P.PATTERN)), (WORDS, tokens.word_end_encoder(WORDS)))
+    split, find = B.splitter(P.PATTERN), tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=B.read_ranks(RANKS), special_tokens={})
+    for at in range(0, len(points), 4000):
+        texts = [f"a{c}b {c}'s 1{c}2 {c}{c} x.{c}!" for c in map(chr, points[at : at + 4000])]
+        for path, enc in encoders:
+            want = library_of(path).encode_batch(texts, add_special_tokens=False)
+            for text, ids, w in zip(texts, enc.ids(texts), want):
+                assert np.frombuffer(ids, "<u4").tolist() == w.ids, text
+        for text in texts[::5]:
+            assert [i for p in split(text) for i in find._core_bpe.encode_single_piece(p.encode())] == reference(text), text
 
 
 def test_decoding_a_document_longer_than_a_query(monkeypatch, reference):

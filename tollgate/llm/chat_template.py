@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import byte_slices, ship_package
+from tollgate.llm.common import byte_slices, ship_package, worker_turn
 
 # ---------------------------------------------------------------------------
 # The marks of the instruction format and its template
@@ -529,6 +529,7 @@ def format_conversations(rows: DataFrame, template: str = INSTRUCT, part_chars:
     compile_template(template)  # a wrong template fails here
 
     def run(batches):
+        worker_turn(__name__)
         render = compile_template(template)
         ready: list[tuple] = []
         size = 0
@@ -629,6 +630,7 @@ def read_back(parts: DataFrame, in_order: bool = False) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def run(batches):
+        worker_turn(__name__)
         ready = []
         for conv_id, group in itertools.groupby(_python_rows(batches, "formatted"), key=lambda r: r[0]):
             ready.append(conversation(conv_id, group))

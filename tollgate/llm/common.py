@@ -18,6 +18,10 @@ from pyspark.sql import types as T
 
 from tollgate.session import scratch_path
 
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch between Spark and a Python worker.
+ARROW_BYTES = 4 << 20
+
 #: ASCII white space; words are runs of anything else.
 SPACES = " \t\n\v\f\r"
 
@@ -25,7 +29,12 @@ SPACES = " \t\n\v\f\r"
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers: once per context, as a zip
     in the shared folder that Spark hands to every executor.  Operators run their
-    functions by reference, so that a worker's caches outlive a task."""
+    functions by reference, so that a worker's caches outlive a task.
+
+    Also bounds the Arrow batches of a session in bytes, unless it has a bound of its own:
+    by rows alone, a batch of long texts is as large as its texts are."""
+    if spark.conf.get(_ARROW_BYTES, None) in (None, "67108864b"):  # its default
+        spark.conf.set(_ARROW_BYTES, str(ARROW_BYTES))
     context = spark.sparkContext
     if getattr(context, "_tollgate_shipped", False):
         return
@@ -108,18 +117,23 @@ def map_batches(
 
     ``columns`` maps names to Python lists; ``fn`` returns a dict of column
     name to list or array, in the order of ``schema``.  Narrow: no shuffle, one
-    batch in memory at a time."""
+    batch in memory at a time, of ``BATCH_BYTES`` of text at most (or one row)."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    owner = fn.__module__
+    long = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    heaviest = "text" if "text" in long else long[0] if long else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turn(owner)
         target = arrow_schema(schema)
         for batch in batches:
-            if batch.num_rows:
-                out = fn({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}, *args)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], type=f.type) for f in target], schema=target
-                )
+            for some in byte_slices(batch, heaviest) if heaviest else (batch,):
+                if some.num_rows:
+                    out = fn({n: some.column(i).to_pylist() for i, n in enumerate(some.schema.names)}, *args)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(out[f.name], type=f.type) for f in target], schema=target
+                    )
 
     return df.mapInArrow(run, schema)
 
@@ -137,27 +151,78 @@ def hashed_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.withColumn("_order", F.xxhash64(key)).orderBy("_order", key).limit(rows).drop("_order")
 
 
-class WordCache:
-    """A bounded two-generation cache of per-word results, kept at module
-    level so that a reused worker keeps what earlier tasks computed.  At most
-    ``2 * size`` entries; nothing is ever wrong for being evicted."""
+class WordCache(dict):
+    """Results by word, kept while a worker lives: made by ``make`` when first asked
+    for, in two generations of at most about ``limit`` bytes each.  Nothing is ever
+    wrong for being evicted.  Words longer than ``LONGEST`` are made anew each time."""
+
+    LONGEST = 200
+    #: Bytes of an entry besides its word's and result's own: two objects, and a slot.
+    ENTRY = 170
+
+    def __init__(self, make: Callable, limit: int, old: "WordCache | None" = None):
+        self.make, self.limit, self.old, self.held = make, limit, old, 0
 
-    def __init__(self, size: int = 300_000):
-        self.size, self.young, self.old = size, {}, {}
+    def __missing__(self, word):
+        got = self.old.get(word) if self.old is not None else None
+        if got is None:
+            got = self.make(word)
+        if len(word) <= self.LONGEST:
+            self.keep(word, got)
+        return got
+
+    def keep(self, word, got) -> None:
+        self[word] = got
+        self.held += self.ENTRY + len(word) * (1 if word.isascii() else 2) + (len(got) if isinstance(got, bytes) else 40)
 
     def missing(self, words) -> list:
-        young, old = self.young, self.old
-        out = []
+        """Those of the words that neither generation has; the old one's are taken over."""
+        old, out = self.old, []
         for w in words:
-            if w not in young:
-                hit = old.get(w)
+            if w not in self:
+                hit = old.get(w) if old is not None else None
                 if hit is None:
                     out.append(w)
                 else:
-                    young[w] = hit
+                    self.keep(w, hit)
         return out
 
-    def room(self) -> None:
-        """Call between batches: starts a new generation when full."""
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
+    def room(self) -> "WordCache":
+        """The cache to go on with: between texts, a full generation becomes the old one."""
+        if self.held <= self.limit:
+            return self
+        self.old = None
+        return WordCache(self.make, self.limit, self)
+
+
+_STATE: dict = {}
+
+
+def worker_turn(owner: str) -> None:
+    """Called by every operator's function in a worker: what another operator kept
+    there (tokenizers, databases, caches) is dropped, and its memory given back."""
+    if _STATE.get("owner") != owner:
+        _STATE.clear()
+        _STATE["owner"] = owner
+        trim_memory()
+
+
+def worker_state(key, make: Callable):
+    """What the operator whose turn it is keeps in this worker under ``key``, made when
+    first asked for."""
+    if key not in _STATE:
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def trim_memory() -> None:
+    """Give unused memory back to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import byte_slices, ship_package
+from tollgate.llm.common import byte_slices, ship_package, worker_turn
 
 MARKS = ("<P>", "<S>", "<M>")
 _BLOCK = 1 << 20
@@ -128,6 +128,7 @@ def fill_in_middle(
         return n, chars[0], chars[1] - chars[0], b"".join(parts)
 
     def run(batches):
+        worker_turn(__name__)
         for batch in batches:
             for some in byte_slices(batch, "text"):
                 texts = some.column("text").cast(pa.binary()).to_pylist()
@@ -168,6 +169,7 @@ def restore(formatted: DataFrame, marks: tuple[str, str, str] = MARKS) -> DataFr
     raw = tuple(mark.encode() for mark in marks)
 
     def run(batches):
+        worker_turn(__name__)
         for batch in batches:
             for some in byte_slices(batch, "output"):
                 texts = some.column("output").cast(pa.binary()).to_pylist()

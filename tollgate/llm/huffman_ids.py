@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.llm.common import arrow_schema, materialise
+from tollgate.llm.common import arrow_schema, byte_slices, materialise, worker_turn
 from tollgate.llm.files import open_file, whole_file
 from tollgate.session import scratch_path
 
@@ -222,11 +222,13 @@ def tokenise(docs: DataFrame, make_encode: Callable[[], Encode], size: int, end_
     kind = _kind(size)
 
     def run(batches):
+        worker_turn(__name__)
         encode, end = make_encode(), np.array([end_id], kind).tobytes()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in encode(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for some in byte_slices(batch, "text"):
+                texts = some.column("text").to_pylist()
+                ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in encode(texts)]
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
     return materialise(rows, "ids", compression="zstd")

@@ -33,7 +33,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import hashed_sample, map_batches, materialise
+from tollgate.llm.common import hashed_sample, map_batches, materialise, worker_turn
 
 KINDS = ("assign", "access", "hex", "format")
 MIN_RUN = 20
@@ -344,6 +344,7 @@ def redact_documents(docs: DataFrame, grammar: Grammar, columns: list[str]) -> D
     chosen = docs.select(*columns)
 
     def run(batches):
+        worker_turn(__name__)
         known: dict = {}
         for batch in batches:
             texts = batch.column("text").to_pylist()

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import map_batches, materialise
+from tollgate.llm.common import WordCache, map_batches, materialise, worker_state
 from tollgate.llm.graph import connected_components
 
 BANDS, ROWS = 32, 5
@@ -76,9 +76,10 @@ def shingle_set(text: str | None, width: int, cache: dict | None = None) -> np.n
     if cache is None:
         cache = {}
     digest = xxhash.xxh3_64_intdigest
+    keep = cache.keep if isinstance(cache, WordCache) else cache.__setitem__
     for w in set(words):
         if w not in cache:
-            cache[w] = digest(w)
+            keep(w, digest(w))
     h = np.fromiter((cache[w] for w in words), np.uint64, len(words))
     width = min(width, len(words))
     key = np.full(len(words) - width + 1, width, np.uint64)
@@ -140,15 +141,18 @@ def most_differing_bits(percent: int) -> int:
     return min(COORDS, math.ceil(COORDS * p + 6 * math.sqrt(COORDS * p * (1 - p))))
 
 
-_words: dict = {}
+#: Bytes of word hashes that a worker keeps, at most (and those of one batch's words).
+CACHE_BYTES = 24 << 20
 
 
 def _sketch_columns(cols, width):
     import hashlib
 
-    if len(_words) > 400_000:
-        _words.clear()
-    sets = [shingle_set(t, width, _words) for t in cols["text"]]
+    words = worker_state("words", lambda: WordCache(None, CACHE_BYTES))
+    if words.held > words.limit:
+        words.clear()
+        words.held = 0
+    sets = [shingle_set(t, width, words) for t in cols["text"]]
     full = [i for i, s in enumerate(sets) if len(s)]
     bands, bits = [None] * len(sets), [None] * len(sets)
     for start in range(0, len(full), 256):

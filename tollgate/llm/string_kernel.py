@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import hashed_sample, map_batches
+from tollgate.llm.common import hashed_sample, map_batches, worker_turn
 
 LETTERS = 64  # code 0 is "no letter"
 SPAN, DECAY = 6, 0.8
@@ -359,6 +359,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, columns: list[str], thresh
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        worker_turn(__name__)
         for batch in batches:
             yield batch.filter(pa.array([shared.value.score(t) < threshold for t in batch.column("text").to_pylist()], pa.bool_()))
 

@@ -5,7 +5,13 @@ pattern before they merge.  No pre-token spans the place before a space that
 follows a non-space character, so a text can be cut there into chunks, each
 chunk encoded once per worker, and the ids joined.  Chunks that are not
 cached are split by the pattern, and only pre-tokens not cached go to the
-tokenizer.  The ids are those of encoding the whole text.
+tokenizer.  The ids are those of encoding the whole text with the library.
+
+Two kinds of text go through the library's own whole-text call instead: those that
+contain one of its added tokens (``<|endoftext|>``), which it takes out before anything
+else, and those with a code point outside ``proven``: the libraries and the
+``regex`` package follow different versions of Unicode, and differ in what they take for
+a letter only where Python's tables have no character (yet), or beyond U+FFFF.
 """
 
 from __future__ import annotations
@@ -17,14 +23,24 @@ from collections.abc import Callable
 
 import numpy as np
 
-from tollgate.llm.common import WordCache
+from tollgate.llm.common import WordCache, worker_state
 
 _EDGE = re.compile(r"(?<=\S)(?= )")
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
-_LONG = 200  # longer chunks are not kept
+#: Bytes of a generation of an encoder's caches, of which it has two: chunks, words.
+CACHE_BYTES = (18 << 20, 6 << 20)
 _GROUP_CHARS = 1_000_000  # characters of the texts that are cut at a time
 
 
+def unproven() -> re.Pattern:
+    """Matches a code point in which the libraries may differ: one without a
+    character in Python's Unicode tables, or beyond U+FFFF."""
+    known = [not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn" for c in range(0x10000)]
+    edges = np.flatnonzero(np.diff(np.array([False, *known, False]).view(np.int8)))
+    spans = "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+    return re.compile(f"[^{spans}]")
+
+
 def groups(texts: list) -> list[list]:
     """Texts in order, in groups of about ``_GROUP_CHARS`` characters."""
     out, size = [[]], 0
@@ -49,7 +65,7 @@ class ChunkEncoder:
 
     def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list]):
         self.split, self.encode = split, encode
-        self.chunks, self.words = WordCache(200_000), WordCache(300_000)
+        self.chunks, self.words = (WordCache(None, n) for n in CACHE_BYTES)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
@@ -59,25 +75,24 @@ class ChunkEncoder:
         return out
 
     def _ids(self, texts: list[str | None]) -> list[bytes]:
-        self.chunks.room()
-        self.words.room()
+        self.chunks, self.words = self.chunks.room(), self.words.room()
         parts = [chunks(t) if t else [] for t in texts]
         need: set = set()
         need.update(*parts)
         missing = self.chunks.missing(need)
-        known, words = self.chunks.young, self.words.young
         pre = [self.split(c) for c in missing]
         wanted: set = set()
         wanted.update(*pre)
         new = self.words.missing(wanted)
+        known, words = self.chunks, self.words
         for word, ids in zip(new, self.encode(new) if new else ()):
-            words[word] = np.asarray(ids, "<u4").tobytes()
+            words.keep(word, np.asarray(ids, "<u4").tobytes())
         for c, p in zip(missing, pre):
-            known[c] = b"".join(map(words.__getitem__, p))
+            known.keep(c, b"".join(map(words.__getitem__, p)))
         out = [b"".join(map(known.__getitem__, p)) for p in parts]
         for cache, used in ((known, missing), (words, new)):
             for w in used:
-                if len(w) > _LONG:
+                if len(w) > cache.LONGEST:
                     del cache[w]
         return out
 
@@ -90,23 +105,27 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
 
 
-_ENCODERS: dict = {}
-
-
 def _load(path: str):
-    """A tokenizer file: (whole-text encoder, model step of one pre-token)."""
+    """A tokenizer file: (whole-text encoder, model step of one pre-token, test
+    for texts that only the whole-text encoder takes)."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     model, table = tokenizer.model, byte_characters()
+    added = sorted(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    # Whether an added token may be in a text: its first two marks are looked for.
+    marks = sorted({t[:2] for t in added})
+    odd = unproven().search
 
     def whole(text: str) -> list[int]:
         return tokenizer.encode(text, add_special_tokens=False).ids
 
+    def needs_whole(text: str) -> bool:
+        return any(m in text for m in marks) or (not text.isascii() and odd(text) is not None)
+
     tokenize, space = model.tokenize, table[32]
 
     def step(word: str) -> list[int]:
@@ -118,28 +137,7 @@ def _load(path: str):
             mapped = word.encode().decode("latin-1").translate(table)
         return [t.id for t in tokenize(mapped)]
 
-    return whole, step
-
-
-class WordIds(dict):
-    """Ids (packed) by word, made when first asked for, in two generations."""
-
-    def __init__(self, make: Callable[[str], bytes], size: int = 500_000, old: dict | None = None):
-        self.make, self.size, self.old = make, size, old or {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.make(word)
-        if len(word) <= _LONG:
-            self[word] = ids
-        return ids
-
-    def room(self) -> None:
-        """Call between texts: a full dict becomes the old generation."""
-        if len(self) > self.size:
-            self.old = dict(self)
-            self.clear()
+    return whole, step, needs_whole
 
 
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
@@ -165,34 +163,37 @@ class LibraryEncoder:
     """Whole-text ids of a byte-level file: the text is cut before spaces, and each
     distinct word goes through the pattern and the library's model once."""
 
-    def __init__(self, step: Callable[[str], list[int]], find: Callable[[str], list[str]]):
-        self.step, self.find = step, find
-        self.words = WordIds(lambda w: pack(step(w)))  # pre-tokens
-        self.spaced = WordIds(self._spaced)  # chunks, without the space in front
+    def __init__(self, path: str, find: Callable[[str], list[str]], cache_bytes: tuple[int, int] = CACHE_BYTES):
+        self.whole, self.step, self.needs_whole = _load(path)
+        self.find = find
+        self.spaced = WordCache(self._spaced, cache_bytes[0])  # chunks, without the space in front
+        self.words = WordCache(lambda w: pack(self.step(w)), cache_bytes[1])  # pre-tokens
 
     def _spaced(self, word: str) -> bytes:
         if word.isalpha():
             return pack(self.step(" " + word))
         if word[-1:] in _MARKS and word[:-1].isalpha():
             return self.spaced[word[:-1]] + self.words[word[-1]]
-        return self._whole(" " + word)
+        return self._chunk(" " + word)
 
-    def _whole(self, chunk: str) -> bytes:
+    def _chunk(self, chunk: str) -> bytes:
         return b"".join([self.spaced[p[1:]] if p[0] == " " and p[1:].isalpha() else self.words[p] for p in self.find(chunk)])
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
-        out, get = [], self.spaced.__getitem__
+        out = []
         for text in texts:
-            self.words.room()
-            self.spaced.room()
+            self.words, self.spaced = self.words.room(), self.spaced.room()
+            get = self.spaced.__getitem__
             if not text:
                 out.append(b"")
+            elif self.needs_whole(text):
+                out.append(pack(self.whole(text)))
             elif cuts_at_spaces(text):
                 first, *rest = text.split(" ")
-                out.append(self._whole(first) + b"".join(map(get, rest)) if first else b"".join(map(get, rest)))
+                out.append((self._chunk(first) if first else b"") + b"".join(map(get, rest)))
             else:
-                out.append(b"".join(map(self._whole, _EDGE.split(text))))
+                out.append(b"".join(map(self._chunk, _EDGE.split(text))))
         return out
 
 
@@ -201,10 +202,11 @@ class WordEndEncoder:
     space.  Words that composition or a final sigma could change go through the
     library whole."""
 
-    def __init__(self, whole: Callable[[str], list[int]], step: Callable[[str], list[int]], find: Callable[[str], list[str]]):
-        self.whole, self.find = whole, find
-        self.words = WordIds(lambda w: pack(step(w)))  # lower-cased pre-tokens
-        self.chunks = WordIds(self._chunk)
+    def __init__(self, path: str, find: Callable[[str], list[str]], cache_bytes: tuple[int, int] = CACHE_BYTES):
+        self.whole, self.step, self.needs_whole = _load(path)
+        self.find = find
+        self.chunks = WordCache(self._chunk, cache_bytes[0])
+        self.words = WordCache(lambda w: pack(self.step(w)), cache_bytes[1])  # lower-cased pre-tokens
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk.isascii() and ("\u03a3" in chunk or not unicodedata.is_normalized("NFC", chunk)):
@@ -217,30 +219,29 @@ class WordEndEncoder:
         return b"".join(map(self.words.__getitem__, self.find(low)))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        out, get = [], self.chunks.__getitem__
+        out = []
         for text in texts:
-            self.words.room()
-            self.chunks.room()
-            out.append(b"".join(map(get, text.split(" "))) if text else b"")
+            self.words, self.chunks = self.words.room(), self.chunks.room()
+            if not text:
+                out.append(b"")
+            elif self.needs_whole(text):
+                out.append(pack(self.whole(text)))
+            else:
+                out.append(b"".join(map(self.chunks.__getitem__, text.split(" "))))
         return out
 
 
-def library_encoder(path: str, pattern: str) -> LibraryEncoder:
-    """The ``tokenizers`` library's encoder of a byte-level file, one per worker.
-    ``pattern`` is the file's own; special tokens in a text are ordinary text."""
-    if path not in _ENCODERS:
-        import regex
+def library_encoder(path: str, pattern: str, cache_bytes: tuple[int, int] = CACHE_BYTES) -> LibraryEncoder:
+    """The ``tokenizers`` library's encoder of a byte-level file, kept in the worker.
+    ``pattern`` is the file's own."""
+    import regex
 
-        _ENCODERS[path] = LibraryEncoder(_load(path)[1], regex.compile(pattern).findall)
-    return _ENCODERS[path]
+    return worker_state((path, pattern), lambda: LibraryEncoder(path, regex.compile(pattern).findall, cache_bytes))
 
 
-def word_end_encoder(path: str) -> WordEndEncoder:
-    """The library's encoder of a lower-casing file with word ends, one per worker."""
-    key = (path, "words")
-    if key not in _ENCODERS:
-        import regex
+def word_end_encoder(path: str, cache_bytes: tuple[int, int] = CACHE_BYTES) -> WordEndEncoder:
+    """The library's encoder of a lower-casing file with word ends, kept in the worker."""
+    import regex
 
-        find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        _ENCODERS[key] = WordEndEncoder(*_load(path), find)
-    return _ENCODERS[key]
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+    return worker_state((path, "words"), lambda: WordEndEncoder(path, regex.compile(pattern).findall, cache_bytes))

@@ -28,7 +28,7 @@ from tollgate.llm.common import WordCache, worker_state
 _EDGE = re.compile(r"(?<=\S)(?= )")
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
 #: Bytes of a generation of an encoder's caches, of which it has two: chunks, words.
-CACHE_BYTES = (18 << 20, 6 << 20)
+CACHE_BYTES = (40 << 20, 8 << 20)
 _GROUP_CHARS = 1_000_000  # characters of the texts that are cut at a time
 
 
@@ -212,10 +212,10 @@ class WordEndEncoder:
         if not chunk.isascii() and ("\u03a3" in chunk or not unicodedata.is_normalized("NFC", chunk)):
             return pack(self.whole(chunk))
         low = chunk.lower()
-        if low.isalpha():
-            return self.words[low]
+        if low.isalpha():  # held once: here, or as the lower-cased chunk
+            return self.chunks[low] if low != chunk else pack(self.step(low))
         if low[-1:] in _MARKS and low[:-1].isalpha():
-            return self.words[low[:-1]] + self.words[low[-1]]
+            return self.chunks[low[:-1]] + self.words[low[-1]]
         return b"".join(map(self.words.__getitem__, self.find(low)))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:

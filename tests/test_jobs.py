@@ -201,3 +201,52 @@ def test_command_line_in_its_own_process(spark, tmp_dir):
                               capture_output=True, text=True, timeout=300)
         assert done.returncode == 0, done.stderr[-2000:]
     assert _bills(read_table(spark, f"{tmp_dir}/bills")) == _bills(QUERIES["monthly_bills"](spark, SF_SMALL))
+
+
+def test_usage_job_keeps_rated_usage_up_to_date(spark, tmp_dir):
+    tb = Testbed(spark, SF_SMALL)
+    raw = tb.raw_messages().select(F.col("value").cast("string"))
+    tb.customers().write.parquet(f"{tmp_dir}/customers")
+    tb.rates().write.parquet(f"{tmp_dir}/rates")
+    usage = ["usage", "--valid-dir", f"{tmp_dir}/valid", "--store", f"{tmp_dir}/store", "--customers", f"{tmp_dir}/customers",
+             "--rates", f"{tmp_dir}/rates", "--checkpoint", f"{tmp_dir}/ck2", "--available-now", "--out", f"{tmp_dir}/rated"]
+    for turn in range(2):  # half of the messages each time; the layers are folded in between
+        half = raw.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == turn)
+        half.coalesce(2).write.mode("append").text(f"{tmp_dir}/raw")
+        jobs.main(["mediate", "--raw-dir", f"{tmp_dir}/raw", "--valid-dir", f"{tmp_dir}/valid",
+                   "--invalid-dir", f"{tmp_dir}/invalid", "--checkpoint", f"{tmp_dir}/ck1", "--available-now"], spark)
+        jobs.main(usage + (["--fold"] if turn == 0 else []), spark)
+    # The rated usage is a table with versions; billing follows it, and keeps versions of its own.
+    jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills", "--atomic"], spark)
+    want = _bills(QUERIES["monthly_bills"](spark, SF_SMALL))
+    assert _bills(read_table(spark, f"{tmp_dir}/bills")) == want
+    month = want[0][1]
+    jobs.main(["bill", "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/bills", "--months", month], spark)
+    from tollgate.versions import MonthTable
+
+    assert MonthTable(spark, f"{tmp_dir}/bills").versions() == [1, 2] and _bills(read_table(spark, f"{tmp_dir}/bills")) == want
+
+
+def test_gaps_job_reads_either_set_of_coordinates(spark, tmp_dir):
+    rows = [("raw", 0, o) for o in (1, 2, 5, 6, 9)] + [("raw", 1, 4)]
+    for names in ("topic string, partition int, offset long", "raw_topic string, raw_partition int, raw_offset long"):
+        kind = names.split()[0]
+        spark.createDataFrame(rows, names).write.parquet(f"{tmp_dir}/{kind}")
+        jobs.main(["gaps", "--table", f"{tmp_dir}/{kind}", "--out", f"{tmp_dir}/gaps-{kind}"], spark)
+        got = sorted((r.partition, r.first, r.last, r.n_lost) for r in read_table(spark, f"{tmp_dir}/gaps-{kind}").collect())
+        assert got == [(0, 3, 4, 2), (0, 7, 8, 2)]
+
+
+def test_mediate_job_gives_reasons(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/raw")
+    with open(f"{tmp_dir}/raw/a.txt", "w") as f:
+        f.write('{"record_type":"voice","caller_id":"212660000001","duration_sec":5}\njunk\n{"record_type":"sms","sender_id":[1]}\n')
+    jobs.main(["mediate", "--raw-dir", f"{tmp_dir}/raw", "--valid-dir", f"{tmp_dir}/valid", "--invalid-dir", f"{tmp_dir}/invalid",
+               "--checkpoint", f"{tmp_dir}/ck", "--available-now", "--reasons"], spark)
+    (message,) = spark.read.text(f"{tmp_dir}/valid").collect()
+    assert "bad_fields" not in message.value and "raw_value" not in message.value
+    dead = {r.raw_value: [tuple(x) for x in r.bad_fields] for r in read_table(spark, f"{tmp_dir}/invalid").collect()}
+    assert dead == {"junk": [(None, "junk", "not_json")],
+                    '{"record_type":"sms","sender_id":[1]}': [("sender_id", "[1]", "wrong_type")]}

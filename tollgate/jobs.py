@@ -6,6 +6,8 @@
     ... rate   --cdr <table> --customers <table> --rates <table> --out <table> [--months 2025-06]
     ... bill   --rated <table> --out <table> [--months 2025-06]
     ... check  --table <table> --rules customers --out <table>
+    ... usage  --valid-dir <dir> --store <path> --customers <table> --rates <table> --checkpoint <dir>
+    ... gaps   --table <table> --out <table>
 
 (``python -m tollgate.jobs ...`` runs the same in a local session.)
 
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tollgate.operators.billing import bill_monthly
 from tollgate.operators.mediation import encode
+from tollgate.operators.offsets import gaps, islands
 from tollgate.operators.quality import DECLARED_RULES, check
 from tollgate.operators.rating import RUN_ID, latest_runs, rate_monthly, with_run
 from tollgate.plans.joins import hold
@@ -42,6 +45,7 @@ from tollgate.sources.files import MAX_FILES_PER_TRIGGER, message_files, read_ta
 from tollgate.sources.jdbc import read_jdbc, read_jdbc_balanced, read_jdbc_split
 from tollgate.sources.kafka import MAX_OFFSETS_PER_TRIGGER, kafka_stream
 from tollgate.streaming.runners import run_mediation, run_mediation_streams, run_store, wait_any
+from tollgate.streaming.usage import UsageStore, run_usage
 
 JDBC_PREFIX = "jdbc:"
 KAFKA_COORDS = ("topic", "partition", "offset")
@@ -106,7 +110,7 @@ def _kafka_side(args, topic: str) -> BatchSink:
 
 
 def job_mediate(spark: SparkSession, args) -> None:
-    options = {"keep_raw": args.keep_raw, "reject": tuple(args.reject or ())}
+    options = {"keep_raw": args.keep_raw, "reject": tuple(args.reject or ()), "reasons": args.reasons}
     if args.kafka_servers:
         messages = kafka_stream(
             spark, args.kafka_servers, args.raw_topic, starting_offsets=args.starting_offsets,
@@ -143,6 +147,36 @@ def job_store(spark: SparkSession, args) -> None:
     query.awaitTermination()
 
 
+def job_usage(spark: SparkSession, args) -> None:
+    """Consumption and rated usage kept up to date from the valid messages."""
+    if args.kafka_servers:
+        messages = kafka_stream(
+            spark, args.kafka_servers, args.valid_topic, starting_offsets=args.starting_offsets, fail_on_data_loss=False,
+            max_offsets_per_trigger=args.max_offsets_per_trigger, min_partitions=args.min_partitions,
+        )
+    else:
+        messages = message_files(spark, args.valid_dir, args.max_files_per_trigger)
+    store = UsageStore(spark, args.store)
+    query = run_usage(
+        messages, store, lambda: read_any(spark, args.customers, args), lambda: hold(read_any(spark, args.rates, args)),
+        args.checkpoint, _trigger(args),
+    )
+    query.awaitTermination()
+    last = query.lastProgress
+    if args.fold and last:
+        store.fold(int(last["batchId"]))
+    if args.out:
+        write_rated(store.rated(), args.out, atomic=True)
+
+
+def job_gaps(spark: SparkSession, args) -> None:
+    """Offsets missing from a stored table's message coordinates, written as a table."""
+    stored = read_any(spark, args.table, args)
+    names = KAFKA_COORDS if set(KAFKA_COORDS) <= set(stored.columns) else RAW_KEYS
+    messages = stored.select(*[F.col(n).alias(c) for n, c in zip(names, KAFKA_COORDS)])
+    gaps(islands(messages)).write.mode("overwrite").parquet(args.out)
+
+
 def job_rate(spark: SparkSession, args) -> None:
     to_jdbc = args.out.startswith(JDBC_PREFIX)
     if to_jdbc and args.run_id is None and args.mode != "append":
@@ -214,6 +248,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--valid-dir")
     m.add_argument("--invalid-dir")
     m.add_argument("--keep-raw", action="store_true")
+    m.add_argument("--reasons", action="store_true", help="dead letters say which fields are wrong, and how")
     m.add_argument("--reject", nargs="*")
 
     s = sub.add_parser("store")
@@ -226,6 +261,20 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--plain-columns", action="store_true",
                    help="JDBC: append the ten storage columns only (an existing table); a replayed batch is then appended again")
 
+    u = sub.add_parser("usage")
+    stream_opts(u)
+    u.add_argument("--valid-topic", default="valid-cdr")
+    u.add_argument("--valid-dir")
+    u.add_argument("--store", required=True, help="path of the partial sums and priced keys")
+    u.add_argument("--customers", required=True)
+    u.add_argument("--rates", required=True)
+    u.add_argument("--fold", action="store_true", help="merge the layers when the query has ended")
+    u.add_argument("--out", help="write the rated usage as a table when the query has ended")
+
+    g = sub.add_parser("gaps")
+    g.add_argument("--table", required=True)
+    g.add_argument("--out", required=True)
+
     r = sub.add_parser("rate")
     r.add_argument("--cdr", required=True)
     r.add_argument("--customers", required=True)
@@ -257,7 +306,10 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-JOBS = {"mediate": job_mediate, "store": job_store, "rate": job_rate, "bill": job_bill, "check": job_check}
+JOBS = {
+    "mediate": job_mediate, "store": job_store, "usage": job_usage, "gaps": job_gaps, "rate": job_rate, "bill": job_bill,
+    "check": job_check,
+}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

@@ -28,6 +28,7 @@ from pyspark.sql.types import StructType
 
 from tollgate.operators.mediation import decode, encode, mediate, split
 from tollgate.operators.normalise import normalise
+from tollgate.operators.reasons import BAD, decode_with_reasons
 from tollgate.schemas import MEDIATED_CDR, RAW_CDR
 from tollgate.sinks.tables import BatchSink, side_of_cached
 from tollgate.streaming.resent import rocksdb_state, without_resent
@@ -39,6 +40,16 @@ def _start(writer, trigger: dict | None) -> StreamingQuery:
     return writer.start()
 
 
+#: What dead letters carry besides the record: the message text, and what is wrong in it.
+_DEAD_LETTERS_ONLY = ("raw_value", BAD)
+
+
+def _decoded(messages: DataFrame, value_col: str, keep: tuple[str, ...], keep_raw: bool, reasons: bool) -> DataFrame:
+    if reasons:
+        return decode_with_reasons(messages, RAW_CDR, value_col, keep=keep)
+    return decode(messages, RAW_CDR, value_col, keep=keep, keep_raw=keep_raw)
+
+
 def mediation_fanout(valid_sink: BatchSink, invalid_sink: BatchSink) -> BatchSink:
     """One ``foreachBatch`` callback feeding both sides from a single read of
     the source: the batch is cached once, split, written twice."""
@@ -47,8 +58,7 @@ def mediation_fanout(valid_sink: BatchSink, invalid_sink: BatchSink) -> BatchSin
         batch.persist()
         try:
             valid, invalid = split(batch)
-            # the message text is kept for dead letters only
-            valid_sink(side_of_cached(valid.drop("raw_value")), batch_id)
+            valid_sink(side_of_cached(valid.drop(*_DEAD_LETTERS_ONLY)), batch_id)
             invalid_sink(side_of_cached(invalid), batch_id)
         finally:
             batch.unpersist()
@@ -66,14 +76,16 @@ def run_mediation(
     keep: tuple[str, ...] = (),
     keep_raw: bool = False,
     reject: tuple[str, ...] = (),
+    reasons: bool = False,
 ) -> StreamingQuery:
     """Start hop 1 as one query with a fan-out (the source is read once).
 
     ``keep`` carries source columns (topic, partition, offset) to both
     sides, ``keep_raw`` keeps the message text (``raw_value``) for dead
-    letters, and ``reject`` names strict validation rules (see
+    letters, ``reasons`` also says what is wrong in it (``bad_fields``, see
+    :mod:`tollgate.operators.reasons`), and ``reject`` names strict validation rules (see
     :func:`tollgate.operators.mediation.validate`)."""
-    validated = mediate(decode(messages, RAW_CDR, value_col, keep=keep, keep_raw=keep_raw), reject)
+    validated = mediate(_decoded(messages, value_col, keep, keep_raw, reasons), reject)
     writer = (
         validated.writeStream.foreachBatch(mediation_fanout(valid_sink, invalid_sink))
         .outputMode("append")
@@ -88,10 +100,11 @@ def mediation_streams(
     keep: tuple[str, ...] = (),
     keep_raw: bool = False,
     reject: tuple[str, ...] = (),
+    reasons: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Hop 1 as two streaming frames (valid, invalid) for two queries with
     their own sinks and checkpoints; each query reads the source itself."""
-    return split(mediate(decode(messages, RAW_CDR, value_col, keep=keep, keep_raw=keep_raw), reject))
+    return split(mediate(_decoded(messages, value_col, keep, keep_raw, reasons), reject))
 
 
 def run_mediation_streams(
@@ -107,8 +120,7 @@ def run_mediation_streams(
     micro-batches.  ``options`` are those of :func:`mediation_streams`.  Each
     query has its own folder under ``checkpoint``."""
     good, bad = mediation_streams(messages, **options)
-    if "raw_value" in good.columns:
-        good = good.drop("raw_value")  # the message text is kept for dead letters only
+    good = good.drop(*_DEAD_LETTERS_ONLY)
     queries = []
     for name, frame, side in (("valid", good, valid), ("invalid", bad, invalid)):
         if callable(side):

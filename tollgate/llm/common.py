@@ -157,8 +157,8 @@ class WordCache(dict):
     wrong for being evicted.  Words longer than ``LONGEST`` are made anew each time."""
 
     LONGEST = 200
-    #: Bytes of an entry besides its word's and result's own: two objects, and a slot.
-    ENTRY = 170
+    #: Bytes of an entry besides twice its word's length: two objects, and a slot.
+    ENTRY = 190
 
     def __init__(self, make: Callable, limit: int, old: "WordCache | None" = None):
         self.make, self.limit, self.old, self.held = make, limit, old, 0
@@ -167,13 +167,15 @@ class WordCache(dict):
         got = self.old.get(word) if self.old is not None else None
         if got is None:
             got = self.make(word)
-        if len(word) <= self.LONGEST:
-            self.keep(word, got)
+        size = len(word)
+        if size <= self.LONGEST:
+            self[word] = got
+            self.held += self.ENTRY + 2 * size
         return got
 
     def keep(self, word, got) -> None:
         self[word] = got
-        self.held += self.ENTRY + len(word) * (1 if word.isascii() else 2) + (len(got) if isinstance(got, bytes) else 40)
+        self.held += self.ENTRY + 2 * len(word)
 
     def missing(self, words) -> list:
         """Those of the words that neither generation has; the old one's are taken over."""

@@ -151,10 +151,19 @@ _MARKS = frozenset(".,;:!?")
 _RARE_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
 
 
+def lines_apart(text: str) -> bool:
+    """Whether every line feed stands alone between characters that are not white
+    space, and there is no white space but it and spaces: it is a pre-token then."""
+    if "\n\n" in text or " \n" in text or "\n " in text:
+        return False
+    return not any(c in text for c in _RARE_SPACES if c != "\n")
+
+
 def cuts_at_spaces(text: str) -> bool:
     """Whether every space follows a character that is not white space, so that
-    the text may be cut before each."""
-    if "  " in text or "\n " in text:
+    the text may be cut before each (and no null character is there, which stands for
+    a line feed in the chunks)."""
+    if "  " in text or "\n " in text or "\0" in text:
         return False
     return not any(c in text and c + " " in text for c in _RARE_SPACES)
 
@@ -172,6 +181,8 @@ class LibraryEncoder:
     def _spaced(self, word: str) -> bytes:
         if word.isalpha():
             return pack(self.step(" " + word))
+        if word[:1] == "\0":  # stands for a line feed, with no space in front
+            return self.words["\n"] + self._chunk(word[1:])
         if word[-1:] in _MARKS and word[:-1].isalpha():
             return self.spaced[word[:-1]] + self.words[word[-1]]
         return self._chunk(" " + word)
@@ -190,7 +201,7 @@ class LibraryEncoder:
             elif self.needs_whole(text):
                 out.append(pack(self.whole(text)))
             elif cuts_at_spaces(text):
-                first, *rest = text.split(" ")
+                first, *rest = (text.replace("\n", " \0") if "\n" in text and lines_apart(text) else text).split(" ")
                 out.append((self._chunk(first) if first else b"") + b"".join(map(get, rest)))
             else:
                 out.append(b"".join(map(self._chunk, _EDGE.split(text))))
@@ -227,7 +238,8 @@ class WordEndEncoder:
             elif self.needs_whole(text):
                 out.append(pack(self.whole(text)))
             else:
-                out.append(b"".join(map(self.chunks.__getitem__, text.split(" "))))
+                # White space is dropped, whichever it is.
+                out.append(b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" "))))
         return out
 
 

@@ -61,7 +61,8 @@ def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make_encode():
-        return library_encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN).ids
+        path = public_tokenizers.path("byte_bpe_50k.json")
+        return library_encoder(path, public_tokenizers.PATTERN, cache_bytes=(80 << 20, 16 << 20)).ids
 
     manifest = store_ids(read(spark, sf_dir, "documents"), make_encode, size=50_257, end_id=0)
     return read_documents(spark, manifest)

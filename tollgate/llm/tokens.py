@@ -115,6 +115,7 @@ def _load(path: str):
 
     tokenizer = Tokenizer.from_file(path)
     model, table = tokenizer.model, byte_characters()
+    shown = [table[b] for b in range(256)].__getitem__
     added = sorted(t.content for t in tokenizer.get_added_tokens_decoder().values())
     # Whether an added token may be in a text: its first two marks are looked for.
     marks = sorted({t[:2] for t in added})
@@ -134,7 +135,7 @@ def _load(path: str):
         elif word[0] == " " and word.isascii() and word[1:].isalnum():
             mapped = space + word[1:]
         else:
-            mapped = word.encode().decode("latin-1").translate(table)
+            mapped = "".join(map(shown, word.encode()))
         return [t.id for t in tokenize(mapped)]
 
     return whole, step, needs_whole

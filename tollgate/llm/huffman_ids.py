@@ -39,6 +39,8 @@ LIMIT = 20  # bits of the longest code
 STEP = 128  # ids between checkpoints
 BLOCK_IDS = 1 << 18
 MAGIC = b"HUFFIDS1"
+#: Ids of a file, on average, at most.
+FILE_IDS = 1 << 27
 _HEAD = struct.Struct("<IIIII")
 _NULL_ID = -(2**63)
 
@@ -218,19 +220,29 @@ def read_blocks(stream) -> Iterator[tuple[int | None, np.ndarray, bool]]:
 
 def tokenise(docs: DataFrame, make_encode: Callable[[], Encode], size: int, end_id: int) -> DataFrame:
     """``doc_id, ids`` with the end id, in 16 bits where the ids allow, as a table in
-    the shared folder: texts are tokenised once."""
+    the shared folder: texts are tokenised once.  Besides a row per document there is one
+    per task, without ids: the ids that it used, and how often (``used, n``)."""
     kind = _kind(size)
+    names = ["doc_id", "ids", "used", "n"]
 
     def run(batches):
         worker_turn(__name__)
         encode, end = make_encode(), np.array([end_id], kind).tobytes()
+        total = np.zeros(size, np.int64)
         for batch in batches:
             for some in byte_slices(batch, "text"):
-                texts = some.column("text").to_pylist()
-                ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in encode(texts)]
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+                ids = [np.frombuffer(raw, "<u4").astype(kind).tobytes() + end for raw in encode(some.column("text").to_pylist())]
+                total += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=size)
+                none = pa.nulls(len(ids), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(ids, pa.binary()), none, none], names)
+        used = np.flatnonzero(total)
+        if len(used):
+            one = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (used, total[used])]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *one], names)
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, ids binary, used array<long>, n array<long>"
+    )
     return materialise(rows, "ids", compression="zstd")
 
 
@@ -239,23 +251,11 @@ def _kind(size: int) -> str:
 
 
 def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
-    """Occurrences of each id in all documents.  The result has ``size`` numbers,
-    whatever the input."""
-    kind = _kind(size)
-
-    def count(batches):
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            ids = batch.column(0)
-            for at in range(0, len(ids), 500):
-                some = b"".join(ids.slice(at, 500).to_pylist())
-                total += np.bincount(np.frombuffer(some, kind), minlength=size)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["id", "n"])
-
-    rows = tokens.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    """Occurrences of each id in all documents, from the tasks' counts.  The result has
+    ``size`` numbers, whatever the input."""
+    parts = tokens.where("ids is null").select(F.explode(F.arrays_zip("used", "n")).alias("c"))
     counts = np.zeros(size, np.int64)
-    for r in rows.collect():  # at most ``size`` rows
+    for r in parts.groupBy(F.col("c.used").alias("id")).agg(F.sum("c.n").alias("n")).collect():  # at most ``size`` rows
         counts[r["id"]] = r["n"]
     return counts
 
@@ -289,7 +289,7 @@ def write_files(tokens: DataFrame, folder: str, lengths: np.ndarray, size: int,
         )
 
     order = ["doc_id", F.crc32("ids")]
-    ordered = tokens.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ordered = tokens.where("ids is not null").select("doc_id", "ids").repartitionByRange(files, *order).sortWithinPartitions(*order)
     written = ordered.mapInArrow(write, "part int, path string, n_docs long, n_ids long")
     return materialise(written, "id-files")
 
@@ -334,6 +334,8 @@ def store_ids(docs: DataFrame, make_encode: Callable[[], Encode], size: int, end
     than the largest id."""
     spark = docs.sparkSession
     tokens = tokenise(docs, make_encode, size, end_id)
-    lengths = code_lengths(count_ids(tokens, size))
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = count_ids(tokens, size)
+    lengths = code_lengths(counts)
+    if not files:  # a file is written by one task: its size is bounded
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(counts.sum()) // FILE_IDS))
     return write_files(tokens, scratch_path(spark, "token-ids"), lengths, size, files)

@@ -149,24 +149,21 @@ def pack(ids: list[int]) -> bytes:
 
 
 _MARKS = frozenset(".,;:!?")
-_RARE_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
+_RARE_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_RARE_ASCII = "".join(c for c in _RARE_SPACES if c.isascii())
 
 
-def lines_apart(text: str) -> bool:
-    """Whether every line feed stands alone between characters that are not white
-    space, and there is no white space but it and spaces: it is a pre-token then."""
-    if "\n\n" in text or " \n" in text or "\n " in text:
-        return False
-    return not any(c in text for c in _RARE_SPACES if c != "\n")
-
-
-def cuts_at_spaces(text: str) -> bool:
-    """Whether every space follows a character that is not white space, so that
-    the text may be cut before each (and no null character is there, which stands for
-    a line feed in the chunks)."""
+def spacing(text: str) -> tuple[bool, bool]:
+    """Whether every space follows a character that is not white space, so that the
+    text may be cut before each (and no null character is there, which stands for a line
+    feed in the chunks); and whether, besides, every line feed stands alone between
+    characters that are not white space, and is a pre-token."""
     if "  " in text or "\n " in text or "\0" in text:
-        return False
-    return not any(c in text and c + " " in text for c in _RARE_SPACES)
+        return False, False
+    rare = [c for c in (_RARE_ASCII if text.isascii() else _RARE_SPACES) if c in text]
+    if rare:
+        return not any(c + " " in text for c in rare), False
+    return True, "\n\n" not in text and " \n" not in text
 
 
 class LibraryEncoder:
@@ -196,18 +193,22 @@ class LibraryEncoder:
         out = []
         for text in texts:
             self.words, self.spaced = self.words.room(), self.spaced.room()
-            get = self.spaced.__getitem__
             if not text:
                 out.append(b"")
             elif self.needs_whole(text):
                 out.append(pack(self.whole(text)))
-            elif cuts_at_spaces(text):
-                first, *rest = (text.replace("\n", " \0") if "\n" in text and lines_apart(text) else text).split(" ")
-                out.append((self._chunk(first) if first else b"") + b"".join(map(get, rest)))
             else:
-                out.append(b"".join(map(self._chunk, _EDGE.split(text))))
+                out.append(self._cut(text))
         return out
 
+    def _cut(self, text: str) -> bytes:
+        at_spaces, at_lines = spacing(text)
+        if not at_spaces:
+            return b"".join(map(self._chunk, _EDGE.split(text)))
+        first, *rest = (text.replace("\n", " \0") if at_lines else text).split(" ")
+        ids = b"".join(map(self.spaced.__getitem__, rest))
+        return self._chunk(first) + ids if first else ids
+
 
 class WordEndEncoder:
     """Whole-text ids of a lower-casing file with word ends, which drops white

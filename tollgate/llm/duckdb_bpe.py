@@ -37,6 +37,9 @@ from tollgate.llm.tokens import ChunkEncoder, unproven
 BLOCK, TURNS = 48, 12
 #: Rows that the steps of an encoding query may make; ids per decoding query.
 QUERY_ROWS, DECODE_IDS = 2_000_000, 200_000
+#: Bytes of a generation of cached chunks and words, of which a worker has two: a word
+#: that is not cached costs a share of a query.
+CACHE_BYTES = (64 << 20, 96 << 20)
 
 _LAST = """
 SELECT word, list(tok ORDER BY pos) AS ids
@@ -127,7 +130,7 @@ class DuckBPE:
             "vocabulary",
             pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())}),
         )
-        self.chunks = ChunkEncoder(splitter(pattern), self.encode_words)
+        self.chunks = ChunkEncoder(splitter(pattern), self.encode_words, CACHE_BYTES)
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.db.register("incoming", table)

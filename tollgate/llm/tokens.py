@@ -63,9 +63,11 @@ def chunks(text: str) -> list[str]:
 class ChunkEncoder:
     """``split(chunk)`` gives pre-tokens, ``encode(pretokens)`` their ids."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list]):
+    def __init__(
+        self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list], cache_bytes: tuple[int, int] = CACHE_BYTES
+    ):
         self.split, self.encode = split, encode
-        self.chunks, self.words = (WordCache(None, n) for n in CACHE_BYTES)
+        self.chunks, self.words = (WordCache(None, n) for n in cache_bytes)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
@@ -86,7 +88,7 @@ class ChunkEncoder:
         new = self.words.missing(wanted)
         known, words = self.chunks, self.words
         for word, ids in zip(new, self.encode(new) if new else ()):
-            words.keep(word, np.asarray(ids, "<u4").tobytes())
+            words.keep(word, pack(ids))
         for c, p in zip(missing, pre):
             known.keep(c, b"".join(map(words.__getitem__, p)))
         out = [b"".join(map(known.__getitem__, p)) for p in parts]

@@ -29,7 +29,7 @@ BYTE_SCORE = -20.0
 #: Longer words share no trie: a node for each of their characters would be held.
 LONG_WORD = 1_000
 #: Bytes of a generation of cached words, of which a worker has two.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 80 << 20
 
 
 class TrieCounter:
@@ -54,17 +54,17 @@ class TrieCounter:
     def score(self, words: list[str]) -> list[tuple[float, int]]:
         """(best score, tokens) of each distinct word."""
         out: list = [(0.0, 0)] * len(words)
-        longest = self.longest
+        pieces, longest = self.pieces, self.longest
         best: list[float] = [0.0]  # by prefix length along the current path
         tokens: list[int] = [0]
-        path: list[str] = []
+        path = ""  # words here have ``LONG_WORD`` characters at most
         stack = [iter(self.insert(words).items())]
         while stack:
             step = next(stack[-1], None)
             if step is None:
                 stack.pop()
                 if path:
-                    path.pop()
+                    path = path[:-1]
                     best.pop()
                     tokens.pop()
                 continue
@@ -72,9 +72,20 @@ class TrieCounter:
             if symbol == "":
                 out[below] = (best[-1], tokens[-1])
                 continue
-            path.append(symbol)
-            # No piece is longer than the window.
-            top, count = self._extended("".join(path[-longest:]), best, tokens)
+            path += symbol
+            n = len(path)
+            top, count = -math.inf, 0
+            for start in range(max(0, n - longest), n):
+                score = pieces.get(path[start:])
+                if score is not None:
+                    total = best[start] + score
+                    if total > top or (total == top and tokens[start] + 1 < count):
+                        top, count = total, tokens[start] + 1
+            if symbol not in pieces:
+                size = len(symbol.encode("utf-8", "surrogatepass"))
+                total = best[n - 1] + BYTE_SCORE * size
+                if total > top:
+                    top, count = total, tokens[n - 1] + size
             best.append(top)
             tokens.append(count)
             stack.append(iter(below.items()))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tollgate.llm.common import map_batches, worker_state
-from tollgate.llm.tokens import ChunkEncoder, unproven
+from tollgate.llm.tokens import ChunkEncoder, pack, unproven
 
 #: Bytes of a word that are contracted together, and rounds in which blocks are cut anew.
 BLOCK, TURNS = 48, 12
@@ -108,6 +108,10 @@ def splitter(pattern: str):
     return split
 
 
+def unpacked(ids: bytes) -> list[int]:
+    return np.frombuffer(ids, "<u4").tolist()
+
+
 class DuckBPE:
     """A database with the merge table of a rank file."""
 
@@ -144,27 +148,27 @@ class DuckBPE:
         finally:
             self.db.unregister(view)
 
-    def encode_words(self, words: list[str]) -> list:
-        """Ids of each word, in order."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word, in order."""
         raw = [w.encode() for w in words]
-        blocks = [[r[i : i + BLOCK] for i in range(0, len(r), BLOCK)] if len(r) > BLOCK and r not in self.ranks else [r] for r in raw]
-        known = self._contracted([b for parts in blocks for b in parts])
-        out = [known[parts[0]] if len(parts) == 1 else None for parts in blocks]
-        long = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(long, self._settled([[(b, known[b]) for b in blocks[i]] for i in long])):
-            out[i] = ids
+        long = [i for i, r in enumerate(raw) if len(r) > BLOCK and r not in self.ranks]
+        if not long:
+            known = self._contracted(raw)
+            return [known[r] for r in raw]
+        blocks = {i: [raw[i][k : k + BLOCK] for k in range(0, len(raw[i]), BLOCK)] for i in long}
+        whole = [r for i, r in enumerate(raw) if i not in blocks]
+        known = self._contracted(whole + [b for parts in blocks.values() for b in parts])
+        out = [b"" if i in blocks else known[r] for i, r in enumerate(raw)]
+        settled = self._settled([[(b, unpacked(known[b])) for b in parts] for parts in blocks.values()])
+        for i, ids in zip(blocks, settled):
+            out[i] = pack(ids)
         return out
 
-    def _contracted(self, parts: list[bytes]) -> dict[bytes, list]:
-        """Ids of each distinct byte string, contracted as a whole."""
-        out = {}
-        todo = []
-        for part in dict.fromkeys(parts):
-            rank = self.ranks.get(part)
-            if rank is None and part:
-                todo.append(part)
-            else:
-                out[part] = [] if rank is None else [rank]
+    def _contracted(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of each distinct byte string, contracted as a whole."""
+        ranks = self.ranks
+        out = {part: pack([ranks[part]]) if part else b"" for part in parts if part in ranks or not part}
+        todo = [part for part in dict.fromkeys(parts) if part not in out]
         at = 0
         while at < len(todo):
             end, rows = at, 0
@@ -174,9 +178,10 @@ class DuckBPE:
             some = todo[at:end]
             got = self._query("start", self._start(some), ENCODE_SQL)
             ids = got.column("ids").combine_chunks()
-            flat, edge = ids.flatten().to_pylist(), ids.offsets.to_numpy() - ids.offsets[0].as_py()
-            for k, w in enumerate(got.column("word").to_numpy()):
-                out[some[w]] = flat[edge[k] : edge[k + 1]]
+            flat = ids.flatten().to_numpy().astype("<u4").tobytes()
+            edge = ((ids.offsets.to_numpy() - ids.offsets[0].as_py()) * 4).tolist()
+            for w, a, b in zip(got.column("word").to_pylist(), edge, edge[1:]):
+                out[some[w]] = flat[a:b]
             at = end
         return out
 
@@ -188,7 +193,7 @@ class DuckBPE:
             edges = {(a[1][-1], b[1][0]) for blocks in words for a, b in zip(blocks, blocks[1:])} - fits.keys()
             joined = {pair: self.tokens[pair[0]] + self.tokens[pair[1]] for pair in edges}
             known = self._contracted(list(joined.values()))
-            fits.update((pair, known[both] == list(pair)) for pair, both in joined.items())
+            fits.update((pair, known[both] == pack(list(pair))) for pair, both in joined.items())
             wrong = [self._apart(blocks, fits) for blocks in words]
             if not any(wrong):
                 return [[i for _, ids in blocks for i in ids] for blocks in words]
@@ -215,7 +220,7 @@ class DuckBPE:
                 k += 1
                 continue
             both = blocks[k][0] + blocks[k + 1][0]
-            ids = known[both]
+            ids = unpacked(known[both])
             ends = list(itertools.accumulate(len(self.tokens[i]) for i in ids))
             if cut and len(ids) > 1:
                 n = min(range(1, len(ids)), key=lambda n: abs(2 * ends[n - 1] - len(both)))

@@ -61,7 +61,7 @@ def chunks(text: str) -> list[str]:
 
 
 class ChunkEncoder:
-    """``split(chunk)`` gives pre-tokens, ``encode(pretokens)`` their ids."""
+    """``split(chunk)`` gives pre-tokens, ``encode(pretokens)`` their packed ids."""
 
     def __init__(
         self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list], cache_bytes: tuple[int, int] = CACHE_BYTES
@@ -88,7 +88,7 @@ class ChunkEncoder:
         new = self.words.missing(wanted)
         known, words = self.chunks, self.words
         for word, ids in zip(new, self.encode(new) if new else ()):
-            words.keep(word, pack(ids))
+            words.keep(word, ids)
         for c, p in zip(missing, pre):
             known.keep(c, b"".join(map(words.__getitem__, p)))
         out = [b"".join(map(known.__getitem__, p)) for p in parts]

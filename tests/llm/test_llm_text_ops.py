@@ -190,6 +190,76 @@ def test_quality_verdicts(spark):
     assert Q.judge_quality(documents(spark, []), model).count() == 0
 
 
+def plain_threshold(score, good, max_reject):
+    if not good.any() or good.all():
+        return 1.0
+    best, at = 0.0, 1.0
+    cuts = np.unique(score)
+    for cut, above in zip(cuts, cuts[1:]):
+        lost = (score[good] > cut).mean()
+        gain = (score[~good] > cut).mean() - lost
+        if lost <= max_reject and gain > best:
+            best, at = gain, float(cut + above) / 2
+    return at
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_threshold_equals_a_plain_search(spark, seed):
+    rng = np.random.default_rng(seed)
+    n = [1, 2, 40, 900, 900, 3000][seed]
+    good = rng.random(n) < 0.8
+    score = np.round(rng.normal(0.4, 0.1, n) + ~good * rng.choice([0, 0.1, 0.3]), [1, 1, 2, 2, 9, 9][seed])
+    scored = spark.createDataFrame(
+        [(float(s), int((score[good] == s).sum()), int((score[~good] == s).sum())) for s in np.unique(score)],
+        "score double, good long, bad long",
+    )
+    for max_reject in (0.0, 0.005, 0.3, 1.0):
+        assert Q.calibrate(scored, max_reject) == plain_threshold(score, good, max_reject)
+    assert Q.calibrate(scored.withColumn("good", F.lit(0)), 0.5) == Q.calibrate(scored.withColumn("bad", F.lit(0)), 0.5) == 1.0
+
+
+def test_trees_draw_from_all_rows(spark):
+    def rows(n, times=1):
+        return spark.createDataFrame([(i, [float(i)] * len(Q.FEATURES), times) for i in range(n)], "doc_id long, features array<double>, n long")
+
+    drawn = Q.draw_rows(rows(1200), 300, 32, seed=1)
+    ids = [sorted(x[:, 0].astype(int)) for x in drawn]
+    assert all(len(set(d)) == 32 and x.shape == (32, len(Q.FEATURES)) for d, x in zip(ids, drawn))
+    times = np.bincount(np.concatenate(ids), minlength=1200)  # binomial: 8 a row
+    assert times.min() >= 1 and times.max() <= 24 and 2.4 < times.std() < 3.2
+    assert len({tuple(d) for d in ids}) == 300
+    for again in (rows(1200).repartition(7), rows(1200).coalesce(1)):
+        assert all(np.array_equal(x, y) for x, y in zip(drawn, Q.draw_rows(again, 300, 32, seed=1)))
+    assert all(len(x) == 5 for x in Q.draw_rows(rows(5, 100), 10, 32, seed=1))
+    # A repeated row is as many rows.
+    heavy = rows(400).withColumn("n", F.when(F.col("doc_id") < 40, 9).otherwise(1).cast("long"))
+    assert np.mean([(x[:, 0] < 40).mean() for x in Q.draw_rows(heavy, 200, 8, seed=2)]) > 0.4
+
+
+def test_all_labelled_rows_are_fitted(spark):
+    """More labelled rows than the driver draws from: the threshold is that of all rows' scores,
+    and the trees see rows from everywhere."""
+    rng = random.Random(8)
+    texts = [prose(rng, rng.randrange(55, 70), 900) + rng.choice(["", "!", " ##", "?! & &"]) for _ in range(4600)]
+    texts = [t.upper().replace(" ", "$ ") if i % 50 == 0 else t for i, t in enumerate(texts)]
+    docs = documents(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, int(i % 50 > 0)) for i in range(len(texts))], "doc_id long, quality int")
+    stats = [Q.rule_stats(t) for t in texts]
+    use = np.array([not Q.base_fails(b[0], b[4]) for b, _ in stats])
+    assert use.sum() > 4400
+    x, good = np.array([f for _, f in stats])[use], (np.arange(len(texts)) % 50 > 0)[use]
+    model = Q.fit_quality(docs, labels, trees=40)
+    assert model.threshold == plain_threshold(model.forest.score(x), good, 0.005) < 1.0
+    # Small tables: the forest of the rows in the driver, in ascending doc_id order.
+    some = labels.where("doc_id < 300")
+    model, few = Q.fit_quality(docs, some, trees=40), x[: use[:300].sum()]
+    assert np.array_equal(model.forest.split, Q.IsolationForest.fit(few, 40).split)
+    assert model.threshold == plain_threshold(model.forest.score(few), good[: len(few)], 0.005)
+    drawn = Q.fit_quality(docs, some, trees=40, held_rows=0)
+    assert drawn.forest.rows == Q.TREE_ROWS
+    assert drawn.threshold == plain_threshold(drawn.forest.score(few), good[: len(few)], 0.005) < 1.0
+
+
 # -- toxicity --------------------------------------------------------------
 def plain_kernel(a, b):
     """The kernel by enumerating subsequences of two units."""

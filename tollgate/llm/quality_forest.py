@@ -3,10 +3,13 @@
 ``rule_stats`` counts, over each whole text, the base rules (words, symbols,
 repeated lines, repeated three-word windows) and further shares.  A forest of
 random axis-parallel splits (``IsolationForest``) is grown on the statistics
-of a bounded sample of labelled documents; anomalous documents have short
-paths.  The threshold is calibrated on the same labelled rows, to part good
-from bad ones while it rejects at most ``max_reject`` of the good.  Both use
+of the labelled documents: each tree from a random subset of its own, as the
+method has it, drawn from all of them.  Anomalous documents have short
+paths.  The threshold is calibrated on the scores of all labelled rows, to part
+good from bad ones while it rejects at most ``max_reject`` of the good.  Both use
 only rows that pass the base rules, as the forest decides only among those.
+Statistics, draws, scores and the threshold's sums are Spark jobs; the driver gets
+the trees' rows and sums per range of scores.
 
 Defined cases: null text counts as empty; an empty text has no words and fails
 the base rule; a null ``doc_id`` is kept as a null; repeated rows each give a
@@ -20,14 +23,18 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tollgate.llm.common import SPACES, hashed_sample, map_batches, worker_turn
+from tollgate.llm.common import SPACES, arrow_schema, map_batches, materialise, worker_turn
 
 SYMBOLS = "#*$%&|<>"
-#: Rows of labels that the forest is grown and calibrated on, at most.
-MAX_LABELLED = 4096
+#: The driver itself draws the trees' rows from up to so many labelled rows; from more,
+#: Spark draws them.
+HELD_ROWS = 4096
+#: Ranges of scores that the threshold is looked for in, side by side.
+SCORE_RANGES = 128
 #: Trees, and rows that each is grown from.  With few rows a tree seldom holds several
 #: of a cluster of like bad documents, which would hide one another (masking).
 TREES, TREE_ROWS = 400, 32
@@ -121,13 +128,18 @@ class IsolationForest:
     def fit(cls, x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7) -> "IsolationForest":
         rng = np.random.default_rng(seed)
         rows = min(rows, len(x))
+        return cls.grow((x[rng.choice(len(x), rows, replace=False)] for _ in range(trees)), trees, rows, rng)
+
+    @classmethod
+    def grow(cls, drawn, trees: int, rows: int, rng: np.random.Generator) -> "IsolationForest":
+        """One tree from each of the ``drawn`` sets of ``rows`` rows."""
         depth = max(1, math.ceil(math.log2(max(rows, 2))))
         nodes = 2 ** (depth + 1) - 1
         feature = np.full((trees, nodes), -1, np.int32)
         split = np.zeros((trees, nodes))
         path = np.zeros((trees, nodes))
-        for t in range(trees):
-            at = {0: x[rng.choice(len(x), rows, replace=False)]}
+        for t, part in enumerate(drawn):
+            at = {0: part}
             for node in range(nodes):
                 part = at.pop(node, None)
                 if part is None:
@@ -180,61 +192,152 @@ class QualityModel:
         return self.forest.score(np.asarray(features, float))
 
 
-def calibrate(score: np.ndarray, good: np.ndarray, max_reject: float) -> float:
-    """Of the thresholds that reject at most ``max_reject`` of the good rows,
-    the one with most bad rows less good rows above it, half-way between the scores
+def calibrate(scored: DataFrame, max_reject: float) -> float:
+    """``scored``: number of ``good`` and ``bad`` rows by distinct ``score``.  Of the
+    thresholds that reject at most ``max_reject`` of the good rows, the one with
+    most bad rows less good rows above it (in shares), half-way between the scores
     that it parts; 1.0 (nothing above) when no threshold rejects more bad rows than
-    good ones."""
-    if not good.any() or good.all():
+    good ones.  Exact: running sums within ranges of scores, after those of all
+    higher ranges."""
+    bounds = sorted(set(scored.approxQuantile("score", [k / SCORE_RANGES for k in range(1, SCORE_RANGES)], 0.5 / SCORE_RANGES)))
+    below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("score"))) if bounds else F.lit(0)
+    ranged = scored.withColumn("range", below)
+    sums = ranged.groupBy("range").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.min("score").alias("least"))
+    good = bad = 0
+    above: dict = {}  # by range: good and bad rows in higher ranges, and the least score there
+    least = None
+    for r in sorted(sums.collect(), key=lambda r: -r["range"]):
+        above[r["range"]] = good, bad, least
+        good, bad, least = good + r["good"], bad + r["bad"], r["least"]
+    if not good or not bad:
         return 1.0
-    best, at = 0.0, 1.0
-    cuts = np.unique(score)
-    for cut, above in zip(cuts, cuts[1:]):
-        lost = (score[good] > cut).mean()
-        if lost <= max_reject:
-            gain = (score[~good] > cut).mean() - lost
-            if gain > best:
-                best, at = gain, float(cut + above) / 2
-    return at
+    # In ranges below these, more of the good are lost by each threshold.
+    usable = {k: v for k, v in above.items() if v[0] / good <= max_reject}
+
+    def higher(i: int, kind: str):
+        pairs = [F.lit(x) for k, v in usable.items() for x in (k, v[i])]
+        return F.create_map(*pairs)[F.col("range")].cast(kind)
+
+    falling = Window.partitionBy("range").orderBy(F.desc("score"))
+    before = falling.rowsBetween(Window.unboundedPreceding, -1)
+    best = (
+        ranged.where(F.col("range").isin(list(usable)))
+        .select(
+            "score",
+            F.coalesce(F.lag("score").over(falling), higher(2, "double")).alias("above"),
+            ((F.coalesce(F.sum("good").over(before), F.lit(0)) + higher(0, "long")) / good).alias("lost"),
+            ((F.coalesce(F.sum("bad").over(before), F.lit(0)) + higher(1, "long")) / bad).alias("caught"),
+        )
+        .where("above is not null")
+        .withColumn("gain", F.col("caught") - F.col("lost"))
+        .where((F.col("lost") <= max_reject) & (F.col("gain") > 0))
+        .orderBy(F.desc("gain"), "score")
+        .limit(1)
+        .collect()
+    )
+    return (best[0]["score"] + best[0]["above"]) / 2 if best else 1.0
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers of 64 bits, scrambled one by one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def draw_rows(labelled: DataFrame, trees: int, size: int, seed: int) -> list[np.ndarray]:
+    """Per tree, ``size`` of all rows at random without replacement (fewer if there are
+    no more), each by its ``n`` as weight: those with the smallest exponential variates,
+    which hash a row's key with the tree's.  No matter how the rows are dealt."""
+    salts = np.random.default_rng(seed).integers(0, 1 << 63, trees, np.uint64)
+
+    def smallest(batches):
+        import pyarrow as pa
+
+        worker_turn(__name__)
+        tree, order, key = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        x = np.zeros((0, len(FEATURES)))
+        limit = np.full(trees, np.inf)
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            weights = batch.column("n").to_numpy()
+            rows = batch.column("features").flatten().to_numpy().reshape(-1, len(FEATURES))
+            for i in range(0, len(keys), 512):
+                some = keys[i : i + 512].astype(np.uint64)
+                u = ((_mixed(_mixed(some)[:, None] ^ salts) >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+                variate = -np.log(u) / weights[i : i + 512, None]
+                at, t = np.nonzero(variate <= limit)
+                tree, order = np.append(tree, t), np.append(order, variate[at, t])
+                key, x = np.append(key, keys[i + at]), np.vstack([x, rows[i + at]])
+                by = np.lexsort((key, order, tree))
+                tree = tree[by]
+                rank = np.arange(len(tree)) - np.searchsorted(tree, tree)
+                first = rank < size
+                tree, by, rank = tree[first], by[first], rank[first]
+                order, key, x = order[by], key[by], x[by]
+                full = rank == size - 1
+                limit[tree[full]] = order[full]
+        if len(tree):
+            columns = [pa.array(tree), pa.array(order), pa.array(key), pa.array(list(x), target.field("features").type)]
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    schema = T.StructType.fromDDL("tree long, variate double, key long, features array<double>")
+    target = arrow_schema(schema)
+    keyed = labelled.select(F.xxhash64("doc_id", "features").alias("key"), "n", "features")
+    first = Window.partitionBy("tree").orderBy("variate", "key")
+    chosen = keyed.mapInArrow(smallest, schema).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= size)
+    drawn: list = [[] for _ in range(trees)]
+    for r in sorted(chosen.select("tree", "rank", "features").collect()):  # trees * size rows
+        drawn[r["tree"]].append(r["features"])
+    return [np.array(x) for x in drawn]
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED, max_reject: float = 0.005, trees: int = TREES
+    docs: DataFrame, labels: DataFrame, max_reject: float = 0.005, trees: int = TREES, held_rows: int = HELD_ROWS
 ) -> QualityModel:
-    """Grow and calibrate on at most ``max_rows`` labelled documents (smallest
-    hash of doc_id).  Only the sampled rows' statistics reach the driver."""
-    chosen = hashed_sample(
-        labels.select("doc_id", "quality").where("doc_id is not null and quality is not null").dropDuplicates(["doc_id"]),
-        F.col("doc_id"),
-        max_rows,
-    )
-    sample = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")  # at most max_rows rows of two columns
-    )
+    """Grow and calibrate on all labelled documents.  Texts are read in a narrow pass;
+    their statistics alone are joined with the labels and stored.  Up to ``held_rows``
+    rows, the driver draws the trees' rows itself."""
 
     def stats(cols):
         rows = [rule_stats(t) for t in cols["text"]]
         return {
             "doc_id": cols["doc_id"],
-            "quality": cols["quality"],
             "failed": [base_fails(base[0], base[4]) for base, _ in rows],
             "features": [features for _, features in rows],
         }
 
-    rows = (
-        map_batches(sample, stats, "doc_id long, quality int, failed boolean, features array<double>")
+    marks = labels.select("doc_id", "quality").where("doc_id is not null and quality is not null").dropDuplicates(["doc_id"])
+    named = docs.select("doc_id", "text").where("doc_id is not null")
+    labelled = (
+        map_batches(named, stats, "doc_id long, failed boolean, features array<double>")
         .where("not failed")
-        .orderBy("doc_id", "features")
-        .limit(max_rows)
-        .collect()
+        .join(marks.hint("shuffle_hash"), "doc_id")  # labels grow with the documents: no broadcast
+        .groupBy("doc_id", "quality", "features")
+        .agg(F.count("*").alias("n"))
     )
+    labelled = materialise(labelled, "quality-stats")
+    rows, distinct = labelled.agg(F.sum("n"), F.count("*")).first()
     if not rows:
         return QualityModel(None, 1.0)
-    x = np.array([r.features for r in rows])
-    good = np.array([r.quality == 1 for r in rows])
-    forest = IsolationForest.fit(x, trees)
-    return QualityModel(forest, calibrate(forest.score(x), good, max_reject))
+    if rows <= held_rows:
+        held = labelled.orderBy("doc_id", "features").collect()
+        forest = IsolationForest.fit(np.repeat(np.array([r["features"] for r in held]), [r["n"] for r in held], axis=0), trees)
+    else:
+        drawn = draw_rows(labelled, trees, TREE_ROWS, seed=7)
+        forest = IsolationForest.grow(drawn, trees, min(TREE_ROWS, distinct), np.random.default_rng(7))
+    shared = docs.sparkSession.sparkContext.broadcast(forest)
+
+    def score(cols):
+        return {"score": shared.value.score(np.array(cols["features"])), "quality": cols["quality"], "n": cols["n"]}
+
+    good = F.col("quality") == 1
+    scored = (
+        map_batches(labelled.select("features", "quality", "n"), score, "score double, quality int, n long")
+        .groupBy("score")
+        .agg(F.sum(F.when(good, F.col("n")).otherwise(0)).alias("good"), F.sum(F.when(good, 0).otherwise(F.col("n"))).alias("bad"))
+    )
+    return QualityModel(forest, calibrate(materialise(scored, "quality-scores"), max_reject))
 
 
 def judge_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

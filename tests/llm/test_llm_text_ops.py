@@ -73,6 +73,79 @@ def test_learned_formats_find_bare_credentials_and_leave_words(spark):
     assert not any(G.all_spans(c, grammar, {})[1] for c in clean)
 
 
+def shape_words(rng, n):
+    """Distinct shapes over few symbols, some of them longer than a tree is deep."""
+    return ["".join(rng.choice("0aGG/") for _ in range(rng.choice([1, 2, 3, 9, 20, 95, 96, 97, 150]))) for _ in range(n)]
+
+
+def cut_words(words):
+    """Weights by head, as in a prefix tree."""
+    out = Counter()
+    for w, n in words.items():
+        out[w if len(w) <= G.MAX_SHAPE else w[: G.MAX_SHAPE] + G.CUT] += n
+    return out
+
+
+@pytest.mark.parametrize("least", [1, 2, 7, 60])
+def test_tree_nodes_equal_a_plain_count(spark, least):
+    rng = random.Random(least)
+    words = {k: cut_words({w: rng.randrange(1, 11) for w in shape_words(rng, 150)}) for k in ("assign", "hex", "ordinary")}
+    given = [(k, w, n) for k, some in words.items() for w, n in some.items()]
+    rng.shuffle(given)
+    shapes = spark.createDataFrame(given, "kind string, head string, weight long").repartition(5)
+    least_of = {"assign": least, "hex": 2 * least, "ordinary": 1}
+    got = {(r.kind, r.prefix): (r.seen, r.arcs) for r in G.count_nodes(shapes, least_of).collect()}
+    want = {}
+    for k, some in words.items():
+        arcs = {}
+        for w, n in some.items():
+            bare = w.removesuffix(G.CUT)
+            for i, symbol in enumerate(bare):
+                arcs.setdefault(bare[:i], Counter())[symbol] += n
+            if w == bare:
+                arcs.setdefault(w, Counter())[""] += n
+        want |= {(k, p): (c.total(), dict(c)) for p, c in arcs.items() if c.total() >= least_of[k]}
+    assert got == want
+    # With every node, the tree is that of the words themselves.
+    assert G.tree_of({p: arcs for (k, p), (_, arcs) in got.items() if k == "ordinary"}) == G._prefix_tree(words["ordinary"])
+
+
+def test_steps_are_counted_to_the_end_of_each_shape(spark):
+    rng = random.Random(4)
+    words = {w: rng.randrange(1, 11) for w in shape_words(rng, 200)} | {"0a" * 4000: 3}
+    steps = {"hex": [{"0": 1, "a": 0}, {"0": 1, "G": 2}, {"/": 0}]}
+    rows = [("hex", G.shape(w)[:96] + G.CUT * (len(w) > 96), w[96:], n) for w, n in words.items()]
+    shapes = spark.createDataFrame(rows, "kind string, head string, rest string, weight long").repartition(3)
+    want = Counter()
+    for w, n in words.items():
+        state = 0
+        for symbol in w:
+            want[state, symbol] += n
+            state = steps["hex"][state].get(symbol, 0)
+        want[state, ""] += n
+    assert {(r.state, r.symbol): r.n for r in G.count_steps(shapes, steps).collect()} == want
+
+
+def test_formats_are_learned_from_all_shapes(spark):
+    """Over 900 distinct shapes of a kind: the automaton is that of all of them; at a
+    coarser resolution every shape is still counted."""
+    rng = random.Random(12)
+    values = {"".join(rng.choice("xQ7/") for _ in range(rng.randrange(12, 30))) for _ in range(1000)}
+    df = documents(spark, [(i, f"token={v} and {v}-and-the-rest-of-it {'secret=' + 'Z' * 300 if i % 100 == 0 else ''}") for i, v in enumerate(sorted(values))])
+    tokens, rest = Counter(map(G.shape, values)), Counter(G.shape(f"{v}-and-the-rest-of-it") for v in values)
+    assert len(tokens) > 900
+    short = documents(spark, [(r.doc_id, r.text.split(" secret=")[0]) for r in df.collect()])
+    grammar = G.learn_formats(short, resolution=10_000)
+    assert grammar == G.Grammar({"assign": G.infer(tokens)}, G.infer(rest))
+    for resolution in (10_000, 300, 20):
+        grammar = G.learn_formats(df, resolution)
+        auto = grammar.formats["assign"]
+        assert all(auto.generates(w) for w in tokens) and auto.generates("G" * 300)
+        assert all(grammar.ordinary.generates(w) for w in rest)
+        for step, stop in zip(auto.step, auto.stop):
+            assert sum(np.exp(p) for _, p in step.values()) + np.exp(stop) <= 1 + 1e-9
+
+
 def digits_grammar():
     digits = G.Automaton([{"0": (0, np.log(0.9))}], [np.log(0.1)], [np.log(0.001)])
     letters = G.Automaton([{s: (0, np.log(0.3)) for s in "0ag"}], [np.log(0.1)], [np.log(0.001)])

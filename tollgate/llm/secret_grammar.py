@@ -1,12 +1,16 @@
 """Secret spans: base rules, and formats learned by grammar inference.
 
 The base rules find assignments, access keys and hex runs.  Their matches are
-the labelled credentials: a bounded sample of them per kind grows one
+the labelled credentials: all of them grow one
 prefix tree per kind, over character shapes (digit, a-f, g-z, A-F, G-Z,
 and the marks themselves).  States whose next-symbol and stop frequencies are
 statistically compatible (Hoeffding bound, checked through their subtrees) are
 merged into a probabilistic automaton.  One more automaton is
-learned from ordinary long tokens.  Every other run of credential characters
+learned from all ordinary long tokens.  Spark counts the shapes, the trees' nodes
+and, once the states are merged, every symbol of every shape on its way through the
+automaton; the driver merges.  A node with less than a ``RESOLUTION``-th of its
+kind's weight is no state of its own (what follows it is counted from the first
+state on), so the trees that reach the driver stay bounded.  Every other run of credential characters
 of at least ``MIN_RUN``, or what base spans leave of one, is a candidate; its
 whole length is scored, and it is a secret when some
 format explains it better than the ordinary tokens do by ``MIN_GAIN`` nats per
@@ -18,8 +22,8 @@ learned spans (kind ``format``) never overlap a base span.
 
 Defined cases: null and empty texts have no span; a null ``doc_id`` stays null;
 repeated rows each give a row; without credentials nothing is learned and
-only base spans are found.  Only shapes of credentials leave a task, never the
-credentials.
+only base spans are found.  A shape weighs as often as it occurs, ``MAX_WEIGHT``
+times at most.  Only shapes of credentials leave a task, never the credentials.
 """
 
 from __future__ import annotations
@@ -32,14 +36,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tollgate.llm.common import hashed_sample, map_batches, materialise, worker_turn
+from tollgate.llm.common import arrow_schema, map_batches, materialise, worker_turn
 
 KINDS = ("assign", "access", "hex", "format")
 MIN_RUN = 20
-#: Labelled credentials of each kind, and ordinary tokens, learned from at most.
-MAX_SAMPLE = 500
-#: A longer run is learned from by its first symbols (the whole run is scored).
+#: A node of a kind's prefix tree that has this part of the kind's weight can become a
+#: state of its own.
+RESOLUTION = 1024
+#: A shape that is repeated all over says no more than a few times.
+MAX_WEIGHT = 10
+#: Depth of the prefix trees (longer runs are counted, and scored, to their ends).
 MAX_SHAPE = 96
 MARKS = "+/_.=-"
 CUT = "~"  # not a symbol of a shape
@@ -162,12 +170,16 @@ def _prefix_tree(words: Counter) -> tuple[list[dict], list[int]]:
 
 
 def infer(words: Counter, alpha: float = 0.05) -> Automaton:
-    """Merge statistically compatible states of the prefix tree of ``words``.
+    """The automaton of ``words``, which are all at hand."""
+    return _automaton(*merge(*_prefix_tree(words), alpha))
+
+
+def merge(arcs: list[dict], ends: list[int], alpha: float = 0.05) -> tuple[list[dict], list[int]]:
+    """Merge statistically compatible states of a prefix tree; the states' arcs and ends.
 
     The most visited frontier state joins the first accepted state that it is
     compatible with, else it is accepted.  A state seen fewer than eight times
     says nothing on its own and joins the most visited accepted one."""
-    arcs, ends = _prefix_tree(words)
     slack = math.sqrt(0.5 * math.log(2 / alpha))
 
     def seen(node: int) -> int:
@@ -204,7 +216,7 @@ def infer(words: Counter, alpha: float = 0.05) -> Automaton:
                     mine[1] += count
                     stack.append((mine[0], child))
 
-    accepted = [0]
+    accepted = {0: 0}  # in order, each with its number
     while True:
         frontier = [(arc[1], state, symbol) for state in accepted for symbol, arc in arcs[state].items() if arc[0] not in accepted]
         if not frontier:
@@ -215,17 +227,21 @@ def infer(words: Counter, alpha: float = 0.05) -> Automaton:
         if into is None and seen(node) < 8:
             into = max(accepted, key=seen)
         if into is None:
-            accepted.append(node)
+            accepted[node] = len(accepted)
         else:
             arcs[state][symbol][0] = into
             fold(into, node)
 
-    number = {a: i for i, a in enumerate(accepted)}
+    return [{s: [accepted[child], n] for s, (child, n) in sorted(arcs[a].items())} for a in accepted], [ends[a] for a in accepted]
+
+
+def _automaton(arcs: list[dict], ends: list[int]) -> Automaton:
+    """Probabilities of states' arcs (symbol -> [state, count]) and end counts."""
     out = Automaton()
-    for a in accepted:
-        floor = seen(a) + 0.5 * ALPHABET
-        out.step.append({s: (number[child], math.log((n + 0.5) / floor)) for s, (child, n) in sorted(arcs[a].items())})
-        out.stop.append(math.log((ends[a] + 0.5) / floor))
+    for mine, end in zip(arcs, ends):
+        floor = end + sum(n for _, n in mine.values()) + 0.5 * ALPHABET
+        out.step.append({s: (child, math.log((n + 0.5) / floor)) for s, (child, n) in sorted(mine.items())})
+        out.stop.append(math.log((end + 0.5) / floor))
         out.rare.append(math.log(0.5 / floor))
     return out
 
@@ -271,39 +287,167 @@ def joined(spans: list) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in order)
 
 
-def learn_formats(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> Grammar:
-    """Automata from at most ``max_sample`` shapes per kind (smallest hashes) of
-    the base rules' matches and of the other long runs, over all whole texts."""
+def count_nodes(shapes: DataFrame, least: dict[str, int]) -> DataFrame:
+    """Arcs and ends of the nodes of each kind's prefix tree that are seen ``least[kind]``
+    times or more: (kind, prefix, seen, arcs as a map of symbol to n; the symbol of an end
+    is empty).  ``shapes``: kind, head, weight.
+
+    Shapes are sorted over ranges; a task keeps the nodes of one path at a time.
+    Nodes on its first and last path may go on in other tasks, so it gives them
+    whatever their count; of the others it has all that there is."""
+    schema = T.StructType.fromDDL("kind string, prefix string, symbol string, n long")
+    target = arrow_schema(schema)
+
+    def nodes(batches):
+        import pyarrow as pa
+
+        worker_turn(__name__)
+        out: list = []
+        path: list = []  # per depth: arcs, ends, times passed, on the first path
+        at_kind, at_word, first = None, "", True
+
+        def close(depth: int, last: bool) -> None:
+            while len(path) > depth:
+                arcs, ends, passed, edge = path.pop()
+                if edge or last or ends + sum(arcs.values()) >= least[at_kind]:
+                    prefix = at_word[: len(path)]
+                    out.extend((at_kind, prefix, symbol, n) for symbol, n in arcs.items())
+                    if ends:
+                        out.append((at_kind, prefix, "", ends))
+                if path:
+                    path[-1][0][at_word[len(path) - 1]] = passed
+                    path[-1][2] += passed
+
+        def given():
+            columns = [pa.array(c, t) for c, t in zip(zip(*out), target.types)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=target)
+
+        for batch in batches:
+            for kind, head, weight in zip(*(batch.column(c).to_pylist() for c in ("kind", "head", "weight"))):
+                word = head.removesuffix(CUT)
+                if kind != at_kind:
+                    close(0, False)
+                    path.append([{}, 0, 0, first])
+                    at_kind, at_word = kind, ""
+                same = 0
+                while same < min(len(word), len(at_word)) and word[same] == at_word[same]:
+                    same += 1
+                close(same + 1, False)
+                path.extend([{}, 0, 0, first] for _ in word[same:])
+                at_word, first = word, False
+                path[-1][2] += weight
+                if word == head:  # a cut word goes on: no end is counted
+                    path[-1][1] += weight
+                if len(out) > 20_000:
+                    yield given()
+        close(0, True)
+        if out:
+            yield given()
+
+    arcs = (
+        shapes.repartitionByRange("kind", "head").sortWithinPartitions("kind", "head").mapInArrow(nodes, schema)
+        .groupBy("kind", "prefix", "symbol").agg(F.sum("n").alias("n"))
+    )
+    floor = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.col("kind")]
+    return (
+        arcs.groupBy("kind", "prefix")
+        .agg(F.sum("n").alias("seen"), F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("arcs"))
+        .where(F.col("seen") >= floor)
+    )
+
+
+def tree_of(nodes: dict[str, dict]) -> tuple[list[dict], list[int]]:
+    """The tree of counted nodes by prefix, in the form of ``_prefix_tree``; an arc to a node
+    that is not among them ends in a leaf."""
+    prefixes = sorted({""} | set(nodes) | {p + symbol for p, arcs in nodes.items() for symbol in arcs})
+    number = {p: i for i, p in enumerate(prefixes)}
+    arcs: list[dict] = [{} for _ in prefixes]
+    ends = [0] * len(prefixes)
+    for prefix, found in nodes.items():
+        for symbol, n in sorted(found.items()):
+            if symbol:
+                arcs[number[prefix]][symbol] = [number[prefix + symbol], n]
+            else:
+                ends[number[prefix]] = n
+    return arcs, ends
+
+
+def count_steps(shapes: DataFrame, steps: dict[str, list[dict]]) -> DataFrame:
+    """How often each state of each kind's automaton meets a symbol, or stops (an empty one),
+    over all shapes to their ends.  ``steps``: per state, symbol -> next state; the
+    first state follows any other symbol.  ``shapes``: kind, head, rest, weight."""
+    schema = T.StructType.fromDDL("kind string, state int, symbol string, n long")
+    target = arrow_schema(schema)
+    shared = shapes.sparkSession.sparkContext.broadcast(steps)
+
+    def walk(batches):
+        import pyarrow as pa
+
+        worker_turn(__name__)
+        met = {kind: [Counter() for _ in step] for kind, step in shared.value.items()}
+        for batch in batches:
+            for kind, head, rest, weight in zip(*(batch.column(c).to_pylist() for c in ("kind", "head", "rest", "weight"))):
+                state, step, counts = 0, shared.value[kind], met[kind]
+                for symbol in head.removesuffix(CUT) + rest:
+                    counts[state][symbol] += weight
+                    state = step[state].get(symbol, 0)
+                counts[state][""] += weight
+        out = [(k, i, s, n) for k, states in met.items() for i, c in enumerate(states) for s, n in c.items()]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), target.types)], schema=target)
+
+    return shapes.mapInArrow(walk, schema).groupBy("kind", "state", "symbol").agg(F.sum("n").alias("n"))
+
+
+def learn_formats(docs: DataFrame, resolution: int = RESOLUTION) -> Grammar:
+    """Automata from the shapes of all the base rules' matches and of all other long
+    runs, over all whole texts."""
 
     def shapes(cols):
         counts: Counter = Counter()
         for text in cols["text"]:
             base = base_spans(text or "")
-            counts.update((kind, training_shape(value)) for kind, _, _, value in base)
-            counts.update(("ordinary", training_shape(value)) for _, _, value in candidates(text or "", base))
-        keys = list(counts)
-        return {"kind": [k[0] for k in keys], "shape": [k[1] for k in keys], "n": [counts[k] for k in keys]}
+            found = [(kind, value) for kind, _, _, value in base]
+            found += [("ordinary", value) for _, _, value in candidates(text or "", base)]
+            counts.update((kind, training_shape(value), shape(value[MAX_SHAPE:])) for kind, value in found)
+        kinds, heads, rests = zip(*counts) if counts else ((), (), ())
+        return {"kind": kinds, "head": heads, "rest": rests, "n": list(counts.values())}
 
     found = (
-        map_batches(docs.select("text"), shapes, "kind string, shape string, n long")
-        .groupBy("kind", "shape")
-        .agg(F.sum("n").alias("n"))
+        map_batches(docs.select("text"), shapes, "kind string, head string, rest string, n long")
+        .groupBy("kind", "head", "rest")
+        .agg(F.least(F.sum("n"), F.lit(MAX_WEIGHT)).alias("weight"))
     )
     found = materialise(found, "credential-shapes")
-    sample: dict[str, Counter] = {}
-    for kind in ("assign", "access", "hex", "ordinary"):
-        rows = hashed_sample(found.where(F.col("kind") == kind), F.col("shape"), max_sample).collect()
-        # A shape that is repeated all over says no more than a few times.
-        sample[kind] = Counter({r["shape"]: min(r["n"], 10) for r in rows})
+    total = {r["kind"]: r["weight"] for r in found.groupBy("kind").agg(F.sum("weight").alias("weight")).collect()}
+    learned = {}
+    if total:
+        heads = found.groupBy("kind", "head").agg(F.sum("weight").alias("weight"))
+        nodes = materialise(count_nodes(heads, {kind: -(-n // resolution) for kind, n in total.items()}), "shape-nodes")
+        steps = {}
+        for kind in total:  # one kind's tree at a time in the driver
+            mine = nodes.where(F.col("kind") == kind).select("prefix", "arcs").collect()
+            states, _ = merge(*tree_of({r["prefix"]: r["arcs"] for r in mine}))
+            steps[kind] = [{s: child for s, (child, _) in arcs.items()} for arcs in states]
+        counted = {kind: ([{} for _ in step], [0] * len(step)) for kind, step in steps.items()}
+        for r in count_steps(found, steps).collect():  # a row per state and symbol
+            arcs, ends = counted[r["kind"]]
+            if r["symbol"]:
+                arcs[r["state"]][r["symbol"]] = [steps[r["kind"]][r["state"]].get(r["symbol"], 0), r["n"]]
+            else:
+                ends[r["state"]] = r["n"]
+        learned = {kind: _automaton(*counts) for kind, counts in counted.items()}
+    ordinary = learned.pop("ordinary", None)
     return Grammar(
-        {k: infer(sample[k]) for k in ("assign", "access", "hex") if sample[k]},
-        infer(sample["ordinary"]) if sample["ordinary"] else Automaton([{}], [math.log(0.5)], [math.log(0.5 / ALPHABET)]),
+        {k: learned[k] for k in KINDS if k in learned},
+        ordinary or Automaton([{}], [math.log(0.5)], [math.log(0.5 / ALPHABET)]),
     )
 
 
 def find_secrets(docs: DataFrame, grammar: Grammar) -> DataFrame:
     """Per document: spans of every whole text; narrow."""
-    shared = docs.sparkSession.sparkContext.broadcast(grammar)  # bounded by the samples
+    shared = docs.sparkSession.sparkContext.broadcast(grammar)  # bounded by the resolution
 
     def find(cols):
         known: dict = {}
